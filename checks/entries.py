@@ -240,3 +240,57 @@ STAGING: dict[str, Callable[[Star], DataFrame]] = {
 def all_queries() -> dict[str, Query]:
     groups = [PARITY, ATTRIBUTION, STAGING]
     return {name: query(fn) for group in groups for name, fn in group.items()}
+
+
+# --- metric layer and questions ----------------------------------------------------------
+
+from trailmark.plans.behavior import Analysis  # noqa: E402
+from trailmark.plans.metrics import EXTRA_METRICS, METRICS, SESSIONS, VISITORS, metric_query  # noqa: E402
+from trailmark.plans.questions import questions  # noqa: E402
+
+NOW = "2024-01-30 18:00:00"
+
+
+def analysis(t: Star) -> Analysis:
+    return Analysis(t, NOW, default_period="past month")
+
+
+def ask(name: str) -> Callable[[Star], DataFrame]:
+    return lambda t: questions(analysis(t))[name]()
+
+
+QUESTION_NAMES = list(questions(Analysis({}, NOW)))
+QUESTIONS = {name: ask(name) for name in QUESTION_NAMES}
+
+# The dimension each base is broken down by: context for event tables, own columns elsewhere.
+BASE_DIMENSION = {"users": {"known": "uid"}, "user_properties": {"tier": "loyalty_tier"},
+                  "source_properties": {"page": "page"}, "element_properties": {"page": "page"}}
+
+
+def _base_metrics() -> dict[str, Callable[[Star], DataFrame]]:
+    out = {}
+    for base in dict.fromkeys(m.base for m in (*METRICS, *EXTRA_METRICS)):
+        names = [m.name for m in (*METRICS, *EXTRA_METRICS) if m.base == base]
+        by = BASE_DIMENSION.get(base, {"page": "page"})
+        out[f"metric_{base}"] = lambda t, names=names, by=by: analysis(t).metrics(names, by, when="all")
+    return out
+
+
+METRIC_LAYER: dict[str, Callable[[Star], DataFrame]] = {
+    **_base_metrics(),
+    "k21_metrics_across_bases": lambda t: analysis(t).metrics(
+        [SESSIONS, "page_view_count", "rage_click_count", "crash_count", "p75_inp"],
+        {"page": "page", "day": "day", "device": "device type"}, where={"country": ["Japan", "Germany"]}),
+    "k21_metrics_by_synonym": lambda t: metric_query(
+        t, ["pvs", "average lcp", "5xx errors"], ["browser", "operating system"]),
+    "k21_metrics_by_definitions": lambda t: analysis(t).metrics(
+        ["event_count", VISITORS], {"element": "named element", "event": "named event"}),
+    "k21_metrics_by_user": lambda t: analysis(t).metrics(
+        ["click_count", "exception_event_count"], {"uid": "uid", "tier": "user_properties.loyalty_tier"}),
+}
+_old_all = all_queries
+
+
+def all_queries() -> dict[str, Query]:  # noqa: F811
+    groups = [PARITY, ATTRIBUTION, STAGING, METRIC_LAYER, QUESTIONS]
+    return {name: query(fn) for group in groups for name, fn in group.items()}

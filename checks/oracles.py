@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from checks import behavior_sql
 from checks.fx import with_fx
 
 # Denver is UTC-7 throughout the data's month.
@@ -323,4 +324,4 @@ def staging() -> dict[str, str]:
 
 
 def all_oracles() -> dict[str, str]:
-    return {**parity(), **attribution(), **staging()}
+    return {**parity(), **attribution(), **staging(), **behavior_sql.metric_layer(), **behavior_sql.questions()}
