@@ -288,9 +288,206 @@ METRIC_LAYER: dict[str, Callable[[Star], DataFrame]] = {
     "k21_metrics_by_user": lambda t: analysis(t).metrics(
         ["click_count", "exception_event_count"], {"uid": "uid", "tier": "user_properties.loyalty_tier"}),
 }
-_old_all = all_queries
 
 
 def all_queries() -> dict[str, Query]:  # noqa: F811
     groups = [PARITY, ATTRIBUTION, STAGING, METRIC_LAYER, QUESTIONS]
     return {name: query(fn) for group in groups for name, fn in group.items()}
+
+
+# --- exports, properties, refresh, streaming ----------------------------------------------
+
+from trailmark.config import work_path  # noqa: E402
+from trailmark.operators import export, properties  # noqa: E402
+from trailmark.plans.refresh import AttributionStore  # noqa: E402
+from trailmark.sources.landing import export_users  # noqa: E402
+from trailmark.sources.state import Cursor, SyncState  # noqa: E402
+from trailmark.streaming import jobs  # noqa: E402
+
+SPLIT = "2024-01-24 00:00:00"
+_ACCEPT = lambda payload: (200, "ok")
+
+
+def _reject_late(payload: str) -> tuple[int, str]:
+    """Refuses a batch that carries changes made in 2001 or later."""
+    return (503, "unavailable") if '"warehouse_synced_at":"2001-' in payload else (200, "ok")
+
+
+def _state(t: Star) -> SyncState:
+    return SyncState(t.spark, work_path(t.spark, "state"))
+
+
+def k23(t: Star) -> DataFrame:
+    """Outbox of the one-time export, users unpacked."""
+    bag = {"warehouse_synced": True, "warehouse_demo_cohort": "luxury_car_interest", "warehouse_synced_at": "2026-06-04"}
+    report, outbox = export.export_user_properties(export_users(t.spark, t.sf_dir), 250, bag, batch_size=100)
+    return outbox.crossJoin(report.select("status", "users_pushed"))
+
+
+def k24_outbox(t: Star) -> DataFrame:
+    _, outbox = export.export_updated_user_properties(export_users(t.spark, t.sf_dir), _state(t), batch_size=100)
+    return outbox
+
+
+def k24_report(t: Star) -> DataFrame:
+    report, _ = export.export_updated_user_properties(
+        export_users(t.spark, t.sf_dir), _state(t), batch_size=100, transport=_ACCEPT)
+    return report
+
+
+def k24_failed(t: Star) -> DataFrame:
+    """Two runs: the first stops at a refused chunk, the second finishes."""
+    state, users = _state(t), export_users(t.spark, t.sf_dir)
+    first, _ = export.export_updated_user_properties(users, state, batch_size=100, transport=_reject_late, wave=4)
+    second, _ = export.export_updated_user_properties(users, state, batch_size=100, transport=_ACCEPT, wave=4)
+    return first.withColumn("run", F.lit(1)).unionByName(second.withColumn("run", F.lit(2)))
+
+
+def r06(t: Star) -> DataFrame:
+    return export.after_cursor(export.exportable(export_users(t.spark, t.sf_dir)), Cursor("2001-01-01 00:00:00", "c3"))
+
+
+def r07(t: Star) -> DataFrame:
+    rows = export.exportable(export_users(t.spark, t.sf_dir))
+    return export.numbered_in_order(rows, ["updated_at", "uid"], "n").select(
+        "uid", "n", F.floor(F.col("n") / 1000).alias("chunk_id"))
+
+
+def s14(t: Star) -> DataFrame:
+    """State table after seeding one sync per loyalty tier twice, around an advance."""
+    state = _state(t)
+    tiers = [r[0] for r in t["user_properties"].select("loyalty_tier").distinct().collect()]
+    for tier in tiers:
+        state.seed(tier)
+    newest = export_users(t.spark, t.sf_dir).agg(F.max("updated_at").cast("string")).first()[0]
+    state.advance(min(tiers), Cursor(newest, "c1"))
+    for tier in tiers:
+        state.seed(tier)
+    return state.table().select("sync_name", "last_synced_at")
+
+
+def k22(t: Star) -> DataFrame:
+    return properties.property_profile({n: t[n] for n in properties.RESERVED}, exact=True)
+
+
+def k22_approx(t: Star) -> DataFrame:
+    """Estimated distinct counts, checked against the exact ones to within 10 percent."""
+    by = ["table_name", "column_name"]
+    approx = properties.property_profile({n: t[n] for n in properties.RESERVED}).withColumnRenamed("approx_distinct", "estimate")
+    close = F.abs(F.col("estimate") - F.col("approx_distinct")) <= F.greatest(F.lit(1.0), 0.1 * F.col("approx_distinct"))
+    return approx.join(k22(t).select(*by, "approx_distinct"), by).select(
+        *by, "data_type", "non_null_count", close.alias("close"))
+
+
+def store_in_two_batches(t: Star) -> tuple[AttributionStore, DataFrame]:
+    store = AttributionStore(t.spark, work_path(t.spark, "store"), CFG, buckets=8)
+    early, late = F.col("event_time") < SPLIT, F.col("event_time") >= SPLIT
+    # Devices with an id ending in 7 are identified only by the second batch.
+    unknown = t["users"].withColumn("uid", F.when(~F.col("id").endswith("7"), F.col("uid")))
+    store.refresh(t["events"].filter(early), t["source_properties"], t["custom_events"].filter(early), unknown)
+    report = store.refresh(t["events"].filter(late), t["source_properties"], t["custom_events"].filter(late), t["users"])
+    return store, report
+
+
+def streamed_store(t: Star) -> AttributionStore:
+    store = AttributionStore(t.spark, work_path(t.spark, "store"), CFG, buckets=8)
+    source = work_path(t.spark, "arrivals")
+    day = F.dayofmonth("event_time")
+    for i, cond in enumerate([day <= 12, (day > 12) & (day <= 22), day > 22]):
+        t["events"].filter(cond).coalesce(1).write.mode("append").parquet(source)
+    stream = t.spark.readStream.schema(t["events"].schema).option("maxFilesPerTrigger", 1).parquet(source)
+
+    def inputs(batch: DataFrame):
+        new = t["custom_events"].join(batch.select(F.col("id").alias("event_id")), "event_id", "left_semi")
+        return t["source_properties"], new, t["users"]
+
+    q = jobs.refresh_on_arrival(stream, store, inputs, work_path(t.spark, "checkpoint"), {"availableNow": True})
+    q.awaitTermination()
+    return store
+
+
+def _arrivals(t: Star, df: DataFrame, time: str) -> DataFrame:
+    """``df`` as a stream of three time-ordered files."""
+    path = work_path(t.spark, "arrivals")
+    day = F.dayofmonth(time)
+    for cond in (day <= 10, (day > 10) & (day <= 20), day > 20):
+        df.filter(cond).coalesce(1).write.mode("append").parquet(path)
+    return t.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def _drain(t: Star, stream: DataFrame, keys: list[str]) -> DataFrame:
+    log = work_path(t.spark, "updates")
+    jobs.append_updates(stream, log, work_path(t.spark, "checkpoint"), {"availableNow": True}).awaitTermination()
+    return jobs.latest(t.spark, log, keys, stream.schema)
+
+
+def rs1(t: Star) -> DataFrame:
+    from trailmark.functions.traffic import signal_rank
+
+    rows = touchpoints.with_identity(touchpoints.classified_events(t["events"], t["source_properties"], CFG), t["users"])
+    signals = rows.select("user_id", "session_id", "event_time", "event_id", "source", "medium", "campaign",
+                          signal_rank(F.col("medium")).alias("rank"))
+    stream = jobs.best_signal_per_session(_arrivals(t, signals, "event_time"), "40 days")
+    return _drain(t, stream, ["session_id", "user_id"])
+
+
+def rs3(t: Star) -> DataFrame:
+    tp, cv = stored(t)
+    linked = jobs.link_touchpoints(_arrivals(t, tp, "event_time"), _arrivals(t, cv, "converted_at"), CFG, "40 days")
+    out = work_path(t.spark, "linked")
+    q = (linked.writeStream.outputMode("append").format("parquet").option("path", out)
+         .option("checkpointLocation", work_path(t.spark, "checkpoint")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return t.spark.read.schema(linked.schema).parquet(out)
+
+
+def rs4(t: Star) -> DataFrame:
+    stream = jobs.running_funnel(_arrivals(t, hits(t), "event_time"), 5, "40 days")
+    times = _drain(t, stream, ["user_id", "session_id"]).filter(F.col("stp1_time").isNotNull())
+    flags = funnel.reached(5)
+    counted = times.agg(F.countDistinct("session_id").alias("stp1_sessions"),
+                        *[F.count_if(f).alias(f"stp{i}_sessions") for i, f in enumerate(flags, 2)])
+    return funnel.with_rates(counted, 5)
+
+
+def rs5(t: Star) -> DataFrame:
+    stream = jobs.windowed_metrics(_arrivals(t, t["clicks"], "event_time"), ["click_count", "rage_click_count"],
+                                   "1 day", None, "40 days")
+    return _drain(t, stream, ["window_start", "window_end"])
+
+
+def rs5_sliding(t: Star) -> DataFrame:
+    stream = jobs.windowed_metrics(_arrivals(t, t["loads"], "event_time"), ["avg_lcp", "load_event_count"],
+                                   "6 hours", "3 hours", "40 days")
+    return _drain(t, stream, ["window_start", "window_end"])
+
+
+EXPORT: dict[str, Callable[[Star], DataFrame]] = {
+    "s14_sync_state": s14,
+    "r6_high_watermark_delta": r06,
+    "r7_ordered_chunks": r07,
+    "k22_property_profile": k22,
+    "k22_property_profile_estimates": k22_approx,
+    "k23_one_time_export": k23,
+    "k24_incremental_export_outbox": k24_outbox,
+    "k24_incremental_export_report": k24_report,
+    "k24_incremental_export_failed_and_resumed": k24_failed,
+}
+REFRESH: dict[str, Callable[[Star], DataFrame]] = {
+    "r1_incremental_touchpoints": lambda t: store_in_two_batches(t)[0].touchpoints(),
+    "r2_incremental_conversions": lambda t: store_in_two_batches(t)[0].conversions(),
+    "r3_incremental_mart": lambda t: store_in_two_batches(t)[0].mart(),
+    "k25_refresh_report": lambda t: store_in_two_batches(t)[1],
+    "rs1_streaming_touchpoints": rs1,
+    "rs2_streaming_conversions": lambda t: streamed_store(t).conversions(),
+    "rs2_streaming_mart": lambda t: streamed_store(t).mart(),
+    "rs3_streaming_interval_join": rs3,
+    "rs4_streaming_funnel": rs4,
+    "rs5_streaming_daily_metrics": rs5,
+    "rs5_streaming_sliding_metrics": rs5_sliding,
+}
+
+
+def all_queries() -> dict[str, Query]:  # noqa: F811
+    groups = [PARITY, ATTRIBUTION, STAGING, METRIC_LAYER, QUESTIONS, EXPORT, REFRESH]
+    return {name: query(fn) for group in groups for name, fn in group.items()}

@@ -15,13 +15,13 @@ COLUMNS = ["user_id", "conversion_session_id", "converted_at", "conversion_reven
            "previous_conversion_at", "conversion_index"]
 
 
-def conversion_events(custom_events: DataFrame, users: DataFrame, cfg: AttributionConfig) -> DataFrame:
-    """The configured event inside the lookback, with identity and price."""
+def device_conversions(custom_events: DataFrame, cfg: AttributionConfig) -> DataFrame:
+    """The configured event inside the lookback, per device, with its price."""
     raw = custom_events.filter(F.col("event_name") == cfg.conversion_event_name).filter(
         since(F.col("event_time"), cfg.now(), cfg.lookback_days)
     )
-    return with_identity(staging.stage_custom_events(raw, cfg), users).select(
-        "user_id", F.col("session_id").alias("conversion_session_id"),
+    return staging.stage_custom_events(raw, cfg).select(
+        "device_id", F.col("session_id").alias("conversion_session_id"),
         F.col("event_time").alias("converted_at"), F.col("price").alias("conversion_revenue"), "event_id",
     )
 
@@ -31,7 +31,7 @@ def conversions(custom_events: DataFrame, users: DataFrame, cfg: AttributionConf
 
     Both look only at conversions inside the lookback: the first one there has no predecessor.
     """
-    return ordered_conversions(conversion_events(custom_events, users, cfg))
+    return ordered_conversions(with_identity(device_conversions(custom_events, cfg), users))
 
 
 def ordered_conversions(found: DataFrame) -> DataFrame:

@@ -41,26 +41,38 @@ def with_identity(df: DataFrame, users: DataFrame) -> DataFrame:
     return df.join(known, "device_id", "left").withColumn("user_id", F.coalesce("_uid", "device_id")).drop("_uid")
 
 
-def touchpoints(
-    events: DataFrame, source_properties: DataFrame, users: DataFrame, cfg: AttributionConfig
+def device_touchpoints(
+    events: DataFrame, source_properties: DataFrame, cfg: AttributionConfig
 ) -> DataFrame:
-    """One row per (session, identity): strongest signal class, then earliest.
+    """(session_id, device_id, best): each session's best signal per device.
 
-    The winner is the smallest (rank, time, event) struct, which combines map-side.  It is taken
-    per device first so that the identity join sees one row per session instead of every event,
-    then again per identity because devices may share one.
+    ``best`` is the smallest (rank, time, event) struct, so partial results of any split of the
+    events combine with another ``min``.
     """
-    rows = classified_events(events, source_properties, cfg).withColumn(
-        "best",
-        F.struct(traffic.signal_rank(F.col("medium")).alias("rank"), "event_time", "event_id",
-                 "source", "medium", "campaign"),
+    best = F.struct(
+        traffic.signal_rank(F.col("medium")).alias("rank"), "event_time", "event_id",
+        "source", "medium", "campaign",
     )
-    per_device = rows.groupBy("session_id", "device_id").agg(F.min("best").alias("best"))
-    per_identity = (
-        with_identity(per_device, users).groupBy("session_id", "user_id").agg(F.min("best").alias("best"))
-    )
-    return per_identity.select(
+    rows = classified_events(events, source_properties, cfg).select("session_id", "device_id", best.alias("best"))
+    return rows.groupBy("session_id", "device_id").agg(F.min("best").alias("best"))
+
+
+def identity_touchpoints(per_device: DataFrame, users: DataFrame) -> DataFrame:
+    """Touchpoints from per-device bests: devices of one identity may share a session."""
+    best = with_identity(per_device, users).groupBy("session_id", "user_id").agg(F.min("best").alias("best"))
+    return best.select(
         "user_id", "session_id", "best.event_time",
         F.date_trunc("week", "best.event_time").alias("week"),
         "best.source", "best.medium", "best.campaign",
     )
+
+
+def touchpoints(
+    events: DataFrame, source_properties: DataFrame, users: DataFrame, cfg: AttributionConfig
+) -> DataFrame:
+    """One row per (session, identity): strongest signal class, then earliest.
+
+    The best signal is taken per device first, so the identity join sees one row per session
+    instead of every event.
+    """
+    return identity_touchpoints(device_touchpoints(events, source_properties, cfg), users)
