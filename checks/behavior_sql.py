@@ -435,3 +435,67 @@ def metric_layer() -> dict[str, str]:
       SELECT uid, tier, any_value(click_count) AS click_count, any_value(exception_event_count) AS exception_event_count
       FROM ({part('clicks', 'click_count')} UNION ALL BY NAME {part('exceptions', 'exception_event_count')}) x GROUP BY ALL"""
     return {k: with_fx(f"SELECT * FROM ({v}) answer") for k, v in out.items()}
+
+
+def templates() -> dict[str, str]:
+    every = lambda text: text.replace(span(MONTH), "true")
+    denver = "b.event_time - INTERVAL 7 HOUR"
+    q = {
+        "b01_total_in_period": m(["click_count", "rage_click_count", "crash_count"], when=WEEK),
+        "b02_top_n_by_dimension": top("click_count", {"city": "city"}, 7),
+        "b03_weekly_trend": m(["avg_inp", "poor_inp_count"], {"bucket": "week"}, when=ALL),
+        "b04_share_by_segment": share("loads", "time_to_first_byte_millis < 800", D),
+        "b05_side_by_side": f"""SELECT country, max(CASE WHEN segment = 'Mobile' THEN page_view_count END) AS left_value,
+            max(CASE WHEN segment = 'Desktop' THEN page_view_count END) AS right_value,
+            max(CASE WHEN segment = 'Mobile' THEN page_view_count END) - max(CASE WHEN segment = 'Desktop' THEN page_view_count END) AS difference
+            FROM ({m('page_view_count', {'country': 'country', 'segment': 'device'}, where="{device} IN ('Mobile', 'Desktop')")}) t GROUP BY 1""",
+        "b06_change_by_segment": change(m("event_count", {"device": "device", "bucket": "week"}, when=ALL), ["event_count"], ["device"]),
+        "b07_session_averages": every(f"""SELECT count(*) AS sessions, round(avg(duration_seconds), 6) AS avg_duration_seconds,
+            round(avg(events), 6) AS avg_events, round(avg(page_views), 6) AS avg_page_views FROM ({SESSION_ROWS}) s"""),
+        "b08_entities_over_threshold": m(["event_count", "sessions"], {"user_id": "b.user_id"}, when=ALL, tail="HAVING count(b.id) >= 80"),
+        "b09_entry_and_exit_pages": every(f"""SELECT session_id, max(CASE WHEN rn = 1 THEN page END) AS entry_page,
+            max(CASE WHEN back = 1 THEN page END) AS exit_page FROM ({VIEWS}) v GROUP BY 1"""),
+        "b10_next_page": every(f"SELECT next_page, count(*) AS moves FROM ({VIEWS}) v WHERE page = 'Search' GROUP BY 1"),
+        "b11_step_reach": every(f"""SELECT step, count(DISTINCT session_id) AS sessions, count(DISTINCT user_id) AS users
+            FROM ({funnel_hits(PURCHASE)}) h GROUP BY 1"""),
+        "b12_ratio_of_two_facts": rate("dead_click_count", "page_view_count", P, ALL),
+        "b13_frustration_score": frustration({"session_id": "b.session_id", "user_id": "b.user_id"}, when=ALL),
+        "b14_signals_together": f"""SELECT f.user_id, cast(sum(score) AS bigint) AS score, cast(sum(e.exception_event_count) AS bigint) AS errors
+            FROM ({frustration({'user_id': 'b.user_id', 'page': 'page'}, "page IN ('ProductPage', 'Search', 'Checkout Review') AND score > 0", ALL)}) f
+            JOIN ({m('exception_event_count', {'user_id': 'b.user_id', 'page': 'page'}, when=ALL)}) e ON f.user_id = e.user_id AND f.page = e.page
+            GROUP BY 1""",
+        "b15_correlation": f"""SELECT round(corr(event_count, coalesce(exception_event_count, 0)), 6) AS correlation, count(*) AS "groups"
+            FROM ({m(['event_count', 'exception_event_count'], {'user_id': 'b.user_id'}, when=ALL)}) t WHERE event_count IS NOT NULL""",
+        "b16_anomaly_scores": zscore(m("event_count", {"device": "device", "bucket": "day"}, when=ALL), "event_count", ["device"], 5),
+        "b17_time_profile": m(["event_count", "sessions"], {"hour_of_day": f"hour({denver})"}),
+        "b18_weekday_weekend": m(["visitors", "event_count"], {"is_weekend": "is_weekend"}, when=ALL),
+        "b19_adoption": f"""SELECT d.users, e.active_users, round(d.users / e.active_users, 6) AS share
+            FROM (SELECT count(DISTINCT b.user_id) AS users FROM fx_clicks b {PD.format(key='event_id')} WHERE pd.name = 'Search') d,
+                 (SELECT count(DISTINCT user_id) AS active_users FROM fx_events) e""",
+        "b20_growth": """SELECT bucket, new_users, cast(sum(new_users) OVER (ORDER BY bucket) AS bigint) AS total_users FROM (
+            SELECT date_trunc('day', f) AS bucket, count(*) AS new_users FROM (SELECT user_id, min(event_time) AS f FROM fx_events GROUP BY 1) u GROUP BY 1) w""",
+    }
+    return {k: with_fx(f"SELECT * FROM ({v}) answer") for k, v in q.items()}
+
+
+def operators() -> dict[str, str]:
+    hits = funnel_hits(PURCHASE).replace(span(MONTH), "true")
+    w = "(PARTITION BY user_id ORDER BY event_time, id)"
+    q = {
+        "s12_create_and_append": "SELECT event_id, user_id, event_time, target_text FROM fx_clicks",
+        "s16_sampled_users": "SELECT * FROM fx_export_users WHERE uid IS NOT NULL AND uid <> '' ORDER BY uid LIMIT 50",
+        "fx_sessions": "SELECT id, session_id FROM fx_base",
+        "p1_local_day_rows": "SELECT id FROM fx_events WHERE cast(event_time - INTERVAL 7 HOUR AS date) = date '2024-01-10'",
+        "j10_after_session_mark": f"""SELECT session_id, event_time FROM ({hits}) h WHERE step = 2 AND EXISTS (
+            SELECT 1 FROM ({hits}) p WHERE p.step = 1 AND p.session_id = h.session_id AND p.event_time < h.event_time)""",
+        "w1_w3_w4_user_order": f"""SELECT id, row_number() OVER {w} AS rn, count(*) OVER (PARTITION BY user_id) AS n,
+            lag(event_time) OVER {w} AS previous_time, lead(event_type) OVER {w} AS next_type FROM fx_events""",
+        "o3_latest_event_per_user": "SELECT user_id, arg_max(event_type, event_time) AS event_type, max(event_time) AS event_time FROM fx_events GROUP BY 1",
+        "u1_funnel_hits": hits,
+        "x1_decoded_campaign": """SELECT event_id, url_decode(nullif(regexp_extract(url_full_url, '[?&]utm_campaign=([^&]+)', 1), '')) AS campaign
+            FROM fx_source_properties""",
+        "x9_local_calendar": "SELECT strftime(event_time - INTERVAL 7 HOUR, '%Y-%m-%d %H') AS hour, count(*) AS events FROM fx_events GROUP BY 1",
+    }
+    out = {k: with_fx(f"SELECT * FROM ({v}) answer") for k, v in q.items()}
+    out["s1_source_views"] = "SELECT event_type, count(*) AS events, (SELECT count(*) FROM customer) AS buyers FROM events GROUP BY 1"
+    return out

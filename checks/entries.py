@@ -237,11 +237,6 @@ STAGING: dict[str, Callable[[Star], DataFrame]] = {
 }
 
 
-def all_queries() -> dict[str, Query]:
-    groups = [PARITY, ATTRIBUTION, STAGING]
-    return {name: query(fn) for group in groups for name, fn in group.items()}
-
-
 # --- metric layer and questions ----------------------------------------------------------
 
 from trailmark.plans.behavior import Analysis  # noqa: E402
@@ -290,11 +285,6 @@ METRIC_LAYER: dict[str, Callable[[Star], DataFrame]] = {
 }
 
 
-def all_queries() -> dict[str, Query]:  # noqa: F811
-    groups = [PARITY, ATTRIBUTION, STAGING, METRIC_LAYER, QUESTIONS]
-    return {name: query(fn) for group in groups for name, fn in group.items()}
-
-
 # --- exports, properties, refresh, streaming ----------------------------------------------
 
 from trailmark.config import work_path  # noqa: E402
@@ -488,6 +478,83 @@ REFRESH: dict[str, Callable[[Star], DataFrame]] = {
 }
 
 
-def all_queries() -> dict[str, Query]:  # noqa: F811
-    groups = [PARITY, ATTRIBUTION, STAGING, METRIC_LAYER, QUESTIONS, EXPORT, REFRESH]
+# --- behaviour templates and single operators --------------------------------------------
+
+from trailmark.functions.time import local_time, on_local_day  # noqa: E402
+from trailmark.functions.traffic import url_param  # noqa: E402
+from trailmark.operators.ordered import with_order  # noqa: E402
+
+TEMPLATES: dict[str, Callable[[Star], DataFrame]] = {
+    "b01_total_in_period": lambda t: analysis(t).metrics(["click_count", "rage_click_count", "crash_count"], when="last week"),
+    "b02_top_n_by_dimension": lambda t: analysis(t).metrics(
+        ["click_count"], {"city": "city"}, order_by="click_count", limit=7),
+    "b03_weekly_trend": lambda t: analysis(t).trend(["avg_inp", "poor_inp_count"], "week", "all"),
+    "b04_share_by_segment": lambda t: analysis(t).share(
+        "loads", F.col("time_to_first_byte_millis") < 800, {"device": "device type"}),
+    "b05_side_by_side": lambda t: analysis(t).side_by_side(
+        "page_view_count", "device type", "Mobile", "Desktop", {"country": "country"}),
+    "b06_change_by_segment": lambda t: analysis(t).period_over_period(["event_count"], "week", {"device": "device type"}),
+    "b07_session_averages": lambda t: analysis(t).session_averages("all"),
+    "b08_entities_over_threshold": lambda t: analysis(t).having(
+        ["event_count", SESSIONS], {"user_id": "user_id"}, F.col("event_count") >= 80, "all"),
+    "b09_entry_and_exit_pages": lambda t: analysis(t).page_edges("all"),
+    "b10_next_page": lambda t: analysis(t).next_pages("Search", "all"),
+    "b11_step_reach": lambda t: funnel.step_session_counts(hits(t)),
+    "b12_ratio_of_two_facts": lambda t: analysis(t).ratio_of("dead_click_count", "page_view_count", {"page": "page"}, when="all"),
+    "b13_frustration_score": lambda t: analysis(t).frustration({"session_id": "session_id", "user_id": "user_id"}, "all"),
+    "b14_signals_together": lambda t: analysis(t).frustrated_with_errors(["ProductPage", "Search", "Checkout Review"], "all"),
+    "b15_correlation": lambda t: analysis(t).correlation("event_count", "exception_event_count", {"user_id": "user_id"}, "all"),
+    "b16_anomaly_scores": lambda t: analysis(t).anomalies("event_count", "day", 5, {"device": "device type"}),
+    "b17_time_profile": lambda t: Analysis(t, NOW, TZ, "past month").time_profile(["event_count", SESSIONS], "hour_of_day"),
+    "b18_weekday_weekend": lambda t: analysis(t).metrics([VISITORS, "event_count"], {"is_weekend": "is_weekend"}, when="all"),
+    "b19_adoption": lambda t: analysis(t).adoption("clicks", {"page": "Search"}, "all"),
+    "b20_growth": lambda t: analysis(t).growth("day", "all"),
+}
+
+
+def s01(t: Star) -> DataFrame:
+    """Views over templated sources, queried by SQL."""
+    names = {"events": "events.parquet", "buyers": "customer.parquet"}
+    staging.Tables(t.spark, t.sf_dir + "/{}", names).register("raw_")
+    return t.spark.sql("""
+        SELECT event_type, count(*) AS events, (SELECT count(*) FROM raw_buyers) AS buyers
+        FROM raw_events GROUP BY event_type""")
+
+
+def s12(t: Star) -> DataFrame:
+    """Create a table from a query, append to it, read it."""
+    path = work_path(t.spark, "created")
+    t["clicks"].filter(F.col("event_time") < SPLIT).write.parquet(path)
+    t["clicks"].filter(F.col("event_time") >= SPLIT).write.mode("append").parquet(path)
+    return t.spark.read.parquet(path).select("event_id", "user_id", "event_time", "target_text")
+
+
+def w01(t: Star) -> DataFrame:
+    return with_order(
+        t["events"], ["user_id"], "event_time", ["id"], position="rn", size="n",
+        previous={"previous_time": "event_time"}, following={"next_type": "event_type"},
+    ).select("id", "rn", "n", "previous_time", "next_type")
+
+
+OPERATORS: dict[str, Callable[[Star], DataFrame]] = {
+    "s1_source_views": s01,
+    "s12_create_and_append": s12,
+    "s16_sampled_users": lambda t: export.exportable(export_users(t.spark, t.sf_dir)).orderBy("uid").limit(50),
+    "fx_sessions": lambda t: t.base.select("id", "session_id"),
+    "p1_local_day_rows": lambda t: t["events"].filter(on_local_day(F.col("event_time"), DAY, TZ)).select("id"),
+    "j10_after_session_mark": lambda t: funnel.after_session_mark(
+        hits(t).filter("step = 2"), hits(t).filter("step = 1"), "event_time").select("session_id", "event_time"),
+    "w1_w3_w4_user_order": w01,
+    "o3_latest_event_per_user": lambda t: t["events"].groupBy("user_id").agg(
+        F.max_by("event_type", F.struct("event_time", "id")).alias("event_type"), F.max("event_time").alias("event_time")),
+    "u1_funnel_hits": hits,
+    "x1_decoded_campaign": lambda t: t["source_properties"].select(
+        "event_id", url_param(F.col("url_full_url"), "utm_campaign", decode=True).alias("campaign")),
+    "x9_local_calendar": lambda t: t["events"].groupBy(
+        F.date_format(local_time(F.col("event_time"), TZ), "yyyy-MM-dd HH").alias("hour")).agg(F.count(F.lit(1)).alias("events")),
+}
+
+
+def all_queries() -> dict[str, Query]:
+    groups = [PARITY, ATTRIBUTION, STAGING, METRIC_LAYER, TEMPLATES, QUESTIONS, EXPORT, REFRESH, OPERATORS]
     return {name: query(fn) for group in groups for name, fn in group.items()}

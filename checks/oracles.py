@@ -353,12 +353,12 @@ def exports() -> dict[str, str]:
     failed = f"""
       WITH box AS ({chunks}), stop AS (
         SELECT min(chunk_id) AS c, (SELECT max(chunk_id) FROM box) AS top FROM box WHERE payload LIKE '%"warehouse_synced_at":"2001-%'),
-      done AS (SELECT count(*) AS n, coalesce(sum(users), 0) AS u, max(updated_at) AS at FROM box, stop WHERE chunk_id < c),
-      rest AS (SELECT count(*) AS n, sum(users) AS u, max(updated_at) AS at FROM box, stop WHERE chunk_id >= c)
+      done AS (SELECT count(*) AS n, coalesce(sum(users), 0) AS u, max(updated_at) AS upto FROM box, stop WHERE chunk_id < c),
+      rest AS (SELECT count(*) AS n, sum(users) AS u, max(updated_at) AS upto FROM box, stop WHERE chunk_id >= c)
       SELECT 1 AS run, CASE WHEN c = top AND (SELECT users FROM box WHERE chunk_id = top) < 100 THEN 'failed_on_final_chunk'
                ELSE 'failed_mid_run' END AS status, n AS chunks_pushed, cast(u AS bigint) AS users_pushed, {epoch} AS previous_watermark,
-             coalesce(at, {epoch}) AS new_watermark, 503 AS http_status, 'unavailable' AS response FROM done, stop
-      UNION ALL SELECT 2, 'ok', rest.n, cast(rest.u AS bigint), coalesce(done.at, {epoch}), rest.at, NULL, NULL FROM rest, done"""
+             coalesce(upto, {epoch}) AS new_watermark, 503 AS http_status, 'unavailable' AS response FROM done, stop
+      UNION ALL SELECT 2, 'ok', rest.n, cast(rest.u AS bigint), coalesce(done.upto, {epoch}), rest.upto, NULL, NULL FROM rest, done"""
     return {
         "s14_sync_state": with_fx(f"""
           SELECT DISTINCT loyalty_tier AS sync_name, CASE WHEN loyalty_tier = (SELECT min(loyalty_tier) FROM fx_user_properties)
@@ -421,4 +421,4 @@ def refresh() -> dict[str, str]:
 
 def all_oracles() -> dict[str, str]:
     return {**parity(), **attribution(), **staging(), **behavior_sql.metric_layer(), **behavior_sql.questions(),
-            **exports(), **refresh()}
+            **behavior_sql.templates(), **behavior_sql.operators(), **exports(), **refresh()}

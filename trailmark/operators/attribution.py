@@ -11,7 +11,7 @@ from trailmark import config as c
 from trailmark.config import AttributionConfig, work_table
 from trailmark.functions.numbers import div0
 from trailmark.functions.time import days_before
-from trailmark.operators.ordered import DAY, time_bucket, with_following_match, with_position
+from trailmark.operators.ordered import DAY, time_bucket, with_following_match, with_order
 
 MART_COLUMNS = [
     "user_id", "session_id", "session_start_time", "converted_at", "source", "medium", "campaign",
@@ -94,9 +94,9 @@ def interval_join(
 
 def path_metadata(sessions: DataFrame) -> DataFrame:
     """Position in the path, path length, and whether this is the last session before converting."""
-    sized = with_position(
+    sized = with_order(
         sessions, ["user_id", "converted_at"], "session_start_time", ["session_id"],
-        "session_number", "total_sessions_for_conversion",
+        position="session_number", size="total_sessions_for_conversion",
     )
     return sized.withColumn(
         "is_conversion_session", F.col("session_number") == F.col("total_sessions_for_conversion")

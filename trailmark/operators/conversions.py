@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from trailmark.config import AttributionConfig
 from trailmark.functions.time import since
-from trailmark.operators.ordered import with_position, with_previous
+from trailmark.operators.ordered import with_order
 from trailmark.operators.touchpoints import with_identity
 from trailmark.sources import staging
 
@@ -35,8 +35,7 @@ def conversions(custom_events: DataFrame, users: DataFrame, cfg: AttributionConf
 
 
 def ordered_conversions(found: DataFrame) -> DataFrame:
-    chained = with_previous(
-        found, ["user_id"], "converted_at", ["event_id"], "converted_at", "previous_conversion_at"
-    )
-    indexed = with_position(chained, ["user_id"], "converted_at", ["event_id"], "conversion_index")
-    return indexed.select(*COLUMNS)
+    return with_order(
+        found, ["user_id"], "converted_at", ["event_id"], position="conversion_index",
+        previous={"previous_conversion_at": "converted_at"},
+    ).select(*COLUMNS)

@@ -106,26 +106,30 @@ def first_touch_funnel(hits: DataFrame, n_steps: int) -> DataFrame:
     return with_rates(counts, n_steps)
 
 
+def after_session_mark(rows: DataFrame, marks: DataFrame, at: str) -> DataFrame:
+    """Rows later than some mark of their session.
+
+    Equal to a semi join on session and ``mark < event_time``: a row is later than some mark
+    exactly if it is later than the earliest, so marks shrink to one row per session first.
+    """
+    earliest = marks.groupBy("session_id").agg(F.min(at).alias("_after"))
+    return rows.join(earliest, "session_id").filter(F.col("event_time") > F.col("_after")).drop("_after")
+
+
 def chained_funnel(hits: DataFrame, n_steps: int) -> DataFrame:
     """Each step's time is the first one after the session's previous step.
 
-    The previous step enters as one row per session (its earliest time), which decides the same
-    membership as testing every earlier row.  The tagged events are written once and each step
-    scans only its own.
+    The tagged events are written once and each step scans only its own.
     """
     hits = work_table(hits, "funnel-hits")
     step = lambda i: hits.filter(F.col("step") == i)
-    times = step(1).groupBy("user_id", "session_id").agg(F.min("event_time").alias("at"))
+    first = lambda rows: rows.groupBy("user_id", "session_id").agg(F.min("event_time").alias("at"))
+    times = first(step(1))
     counts = times.agg(F.countDistinct("session_id").alias("stp1_sessions"))
     for i in range(2, n_steps + 1):
-        earlier = times.groupBy("session_id").agg(F.min("at").alias("after"))
-        times = (
-            step(i).join(earlier, "session_id").filter(F.col("event_time") > F.col("after"))
-            .groupBy("user_id", "session_id").agg(F.min("event_time").alias("at"))
-        )
-        one = times.agg(F.countDistinct("session_id").alias(f"stp{i}_sessions"))
+        times = first(after_session_mark(step(i), times, "at"))
         # Both sides are one-row aggregates.
-        counts = counts.crossJoin(one)
+        counts = counts.crossJoin(times.agg(F.countDistinct("session_id").alias(f"stp{i}_sessions")))
     return with_rates(counts, n_steps)
 
 

@@ -62,67 +62,45 @@ def two_level(
     return local.join(carried, group, "left").drop(*group)
 
 
-def with_position(
+def with_order(
     df: DataFrame,
     keys: Sequence[str],
     time: str,
     ties: Sequence[str] = (),
-    position: str = "position",
+    position: str | None = None,
     size: str | None = None,
+    previous: dict[str, str] | None = None,
+    following: dict[str, str] | None = None,
     width: int = HOUR,
 ) -> DataFrame:
-    """``row_number()`` by time within ``keys``, and optionally the group's row count."""
-    before = lambda w: F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    across: dict[str, OverRows] = {"_before": before}
+    """Any of these by time within ``keys``, in one pass: ``row_number()``, the group's row count,
+    and ``lag`` / ``lead`` of columns (output name to column)."""
+    within: dict[str, OverRows] = {}
+    summary: dict[str, Column] = {}
+    across: dict[str, OverRows] = {}
+    final: dict[str, Column] = {}
+    place = F.struct(F.col(time), *map(F.col, ties))
+    if position or size:
+        summary["_n"] = F.count(F.lit(1))
+    if position:
+        within["_rn"] = lambda w: F.row_number().over(w)
+        across["_before"] = lambda w: F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1))
+        final[position] = (F.col("_rn") + F.coalesce("_before", F.lit(0))).cast("long")
     if size:
         across["_size"] = lambda w: F.sum("_n").over(
-            w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        )
-    out = two_level(
-        df, keys, time, [F.col(time), *map(F.col, ties)],
-        within={"_rn": lambda w: F.row_number().over(w)},
-        summary={"_n": F.count(F.lit(1))},
-        across=across, width=width,
-    )
-    out = out.withColumn(position, (F.col("_rn") + F.coalesce("_before", F.lit(0))).cast("long"))
-    if size:
-        out = out.withColumn(size, F.col("_size"))
-    return out.drop("_rn", "_before", "_size")
-
-
-def _neighbour(
-    df: DataFrame, keys: Sequence[str], time: str, ties: Sequence[str],
-    value: Column, out: str, width: int, forward: bool,
-) -> DataFrame:
-    # The value is wrapped in a struct so that a NULL value differs from "no such row".
-    cell = F.struct(value.alias("v"))
-    place = F.struct(F.col(time), *map(F.col, ties))
-    edge = (F.min_by if forward else F.max_by)(cell, place)
-    directed = [F.col(c).desc() if forward else F.col(c).asc() for c in (time, *ties)]
-    joined = two_level(
-        df, keys, time, directed,
-        within={"_near": lambda w: F.lag(cell).over(w)},
-        summary={"_edge": edge},
-        across={"_far": lambda w: F.lag("_edge").over(w)},
-        width=width, descending=forward,
-    )
-    return joined.withColumn(out, F.coalesce("_near", "_far")["v"]).drop("_near", "_far")
-
-
-def with_previous(
-    df: DataFrame, keys: Sequence[str], time: str, ties: Sequence[str],
-    value: str, out: str, width: int = HOUR,
-) -> DataFrame:
-    """``lag(value)`` by time within ``keys``."""
-    return _neighbour(df, keys, time, ties, F.col(value), out, width, forward=False)
-
-
-def with_next(
-    df: DataFrame, keys: Sequence[str], time: str, ties: Sequence[str],
-    value: str, out: str, width: int = HOUR,
-) -> DataFrame:
-    """``lead(value)`` by time within ``keys``."""
-    return _neighbour(df, keys, time, ties, F.col(value), out, width, forward=True)
+            w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        final[size] = F.col("_size")
+    for tag, wanted, step, edge in (("p", previous, F.lag, F.max_by), ("f", following, F.lead, F.min_by)):
+        for i, (out, column) in enumerate((wanted or {}).items()):
+            near, far, last = f"_near_{tag}{i}", f"_far_{tag}{i}", f"_edge_{tag}{i}"
+            # The struct tells a NULL value from "no such row".
+            cell = F.struct(F.col(column).alias("v"))
+            within[near] = lambda w, step=step, cell=cell: step(cell).over(w)
+            summary[last] = edge(cell, place)
+            across[far] = lambda w, step=step, last=last: step(F.col(last)).over(w)
+            final[out] = F.coalesce(near, far)["v"]
+    joined = two_level(df, keys, time, [F.col(time), *map(F.col, ties)], within, summary, across, width)
+    return joined.withColumns(final).drop(*within, *across)
 
 
 def with_following_match(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from trailmark.config import work_table
 from trailmark.functions.numbers import ratio
 from trailmark.functions.time import DEFAULT_PERIOD, Period, period
-from trailmark.operators.ordered import with_next
+from trailmark.operators.ordered import with_order
 from trailmark.plans.metrics import (
     SESSIONS, VISITORS, Condition, Metric, _condition, base_rows, metric, metric_query, top,
 )
@@ -194,7 +194,7 @@ class Analysis:
     def next_pages(self, page: str, when: str | Period | None = None) -> DataFrame:
         """Pages viewed right after ``page`` in the same session (NULL: the session ended)."""
         views = work_table(self._viewed_pages(when), "views")
-        after = with_next(views, ["session_id"], "event_time", ["event_id"], "page", "next_page")
+        after = with_order(views, ["session_id"], "event_time", ["event_id"], following={"next_page": "page"})
         return after.filter(F.col("page") == page).groupBy("next_page").agg(F.count(F.lit(1)).alias("moves"))
 
     # -- frustration and combined signals ----------------------------------------------------

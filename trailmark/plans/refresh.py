@@ -105,12 +105,16 @@ class AttributionStore:
         return sorted(r[BUCKET] for r in rows)
 
     def _replace(self, name: str, rows: DataFrame, buckets: list[int]) -> None:
-        """Overwrite whole buckets.  A key-less marker row keeps a bucket present when all its
-        rows are gone, which a dynamic overwrite would otherwise leave untouched."""
+        """Overwrite whole buckets.  ``rows`` may read the same table: a dynamic overwrite swaps
+        partitions only when the job commits.
+
+        A key-less marker row keeps a bucket present when all its rows are gone, which the
+        overwrite would otherwise leave untouched.
+        """
         if not buckets:
             return
         key = _KEYS[name]
-        body = work_table(rows.withColumn(BUCKET, self._bucket_of(key)), f"next-{name}")
+        body = rows.withColumn(BUCKET, self._bucket_of(key))
         markers = self.spark.createDataFrame([(b,) for b in buckets], f"{BUCKET} int")
         spread = F.pmod(F.hash(*[c for c in body.columns if c != BUCKET][:2]), F.lit(self.files_per_bucket))
         (
