@@ -24,8 +24,11 @@ def capture(text: Column, pattern: str) -> Column:
 
 
 def url_param(url: Column, name: str, decode: bool = False) -> Column:
-    """Value of one query parameter; case-sensitive, up to the next ``&``, '#' not special."""
-    value = capture(url, f"[?&]{name}=([^&]+)")
+    """Value of one query parameter; case-sensitive, up to the next ``&``, '#' not special.
+
+    Most URLs lack most parameters, and a substring test is far cheaper than a regex miss.
+    """
+    value = F.when(url.contains(f"{name}="), capture(url, f"[?&]{name}=([^&]+)"))
     return F.try_url_decode(value) if decode else value
 
 

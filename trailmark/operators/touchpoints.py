@@ -13,26 +13,32 @@ from trailmark.sources import staging
 COLUMNS = ["user_id", "session_id", "event_time", "week", "source", "medium", "campaign"]
 
 
+def classified_context(source_properties: DataFrame, cfg: AttributionConfig) -> DataFrame:
+    """(event_id, source, medium, campaign) of staged context rows."""
+    signals = {n: F.col(n) for n in traffic.CAMPAIGN_PARAMS}
+    referrer = F.col("referrer_host")
+    return source_properties.withColumns(traffic.campaign_params(F.col("full_url"))).select(
+        "event_id",
+        traffic.traffic_source(signals, referrer, cfg.strict_reference).alias("source"),
+        traffic.traffic_medium(signals, referrer).alias("medium"),
+        traffic.traffic_campaign(signals).alias("campaign"),
+    )
+
+
 def classified_events(
     events: DataFrame, source_properties: DataFrame, cfg: AttributionConfig
 ) -> DataFrame:
-    """Staged events inside the touchpoint lookback with their source, medium and campaign."""
+    """Staged events inside the touchpoint lookback with their source, medium and campaign.
+
+    Context rows are classified before the join, so URLs stay out of the shuffle and only the
+    three short labels travel.
+    """
     horizon = cfg.lookback_days + cfg.attribution_window_days
     recent = lambda t: since(t, cfg.now(), horizon)
     ev = staging.stage_events(events).filter(recent(F.col("event_time")))
     sp = staging.same_event_time(staging.stage_source_properties(source_properties), recent)
-    context = sp.select("event_id", "full_url", F.col("referrer_host").alias("referrer_domain"))
-    signals = {n: F.col(n) for n in traffic.CAMPAIGN_PARAMS}
-    return (
-        ev.select("event_id", "device_id", "session_id", "event_time").join(context, "event_id")
-        .withColumns(traffic.campaign_params(F.col("full_url")))
-        .select(
-            "event_id", "device_id", "session_id", "event_time",
-            traffic.traffic_source(signals, F.col("referrer_domain"), cfg.strict_reference).alias("source"),
-            traffic.traffic_medium(signals, F.col("referrer_domain")).alias("medium"),
-            traffic.traffic_campaign(signals).alias("campaign"),
-        )
-    )
+    labels = classified_context(sp, cfg)
+    return ev.select("event_id", "device_id", "session_id", "event_time").join(labels, "event_id")
 
 
 def with_identity(df: DataFrame, users: DataFrame) -> DataFrame:
