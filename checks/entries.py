@@ -1,579 +1,15 @@
-"""Registered Spark queries.  Each takes (spark, sf_dir) and returns a DataFrame."""
+"""All registered Spark queries."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from checks import attribution, behavior, jobs, operators, parity
+from checks.common import Query, query
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from trailmark.config import ALL_MODELS, AttributionConfig, prepare_session, work_table
-from trailmark.operators import attribution, conversions, counts, funnel, quality, touchpoints
-from trailmark.sources import staging
-from trailmark.sources.landing import AS_OF, Star, star
-
-Query = Callable[[SparkSession, str], DataFrame]
-
-TZ = "America/Denver"
-DAY = "2024-01-10"
-CFG = AttributionConfig(as_of=AS_OF)
-# A lookback short enough to cut rows off.
-SHORT = CFG.but(lookback_days=10, attribution_window_days=7)
-
-_PLAIN = {"int": "bigint", "smallint": "bigint", "tinyint": "bigint", "float": "double",
-          "timestamp": "timestamp_ntz", "date": "string"}
-
-
-def plain(df: DataFrame) -> DataFrame:
-    """Wide integers, doubles and naive UTC timestamps, so that types compare across engines."""
-    out = []
-    for f in df.schema:
-        kind = f.dataType.simpleString()
-        kind = "double" if kind.startswith("decimal") else _PLAIN.get(kind)
-        out.append(F.col(f.name).cast(kind).alias(f.name) if kind else F.col(f.name))
-    return df.select(*out)
-
-
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Fix floating sums, whose last bits depend on the order of addition."""
-    doubles = {f.name: F.round(F.col(f.name), digits) for f in df.schema if f.dataType.typeName() == "double"}
-    return df.withColumns(doubles) if doubles else df
-
-
-def query(fn: Callable[[Star], DataFrame]) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        prepare_session(spark)
-        return rounded(plain(fn(star(spark, sf_dir))))
-
-    run.__name__ = getattr(fn, "__name__", "query")
-    run.__doc__ = fn.__doc__
-    return run
-
-
-# --- product UI parity -------------------------------------------------------------------
-
-def k01(t: Star) -> DataFrame:
-    return counts.sessions_by_page(t["events"], t["source_properties"], t["page_definitions"], "404 Page", DAY, TZ)
-
-
-def k02(t: Star) -> DataFrame:
-    return counts.device_and_identified_counts(t["events"], t["users"], DAY, TZ)
-
-
-def k03(t: Star) -> DataFrame:
-    return counts.ui_user_count(t["events"], t["users"], DAY, TZ)
-
-
-def k04(t: Star) -> DataFrame:
-    return counts.property_id_count(t["events"], t["user_properties"], "enterprise_id", DAY, TZ)
-
-
-def hits(t: Star, day: str | None = None) -> DataFrame:
-    return funnel.step_hits(t["events"], t["source_properties"], t["page_definitions"], t["custom_events"],
-                            funnel.PURCHASE_FUNNEL, day, TZ)
-
-
-def k05(t: Star) -> DataFrame:
-    return funnel.first_touch_funnel(hits(t), 5)
-
-
-def k05_day(t: Star) -> DataFrame:
-    return funnel.first_touch_funnel(hits(t, DAY), 5)
-
-
-def k06(t: Star) -> DataFrame:
-    return funnel.chained_funnel(hits(t), 5)
-
-
-def k06_day(t: Star) -> DataFrame:
-    return funnel.chained_funnel(hits(t, DAY), 5)
-
-
-# --- attribution ---------------------------------------------------------------------------
-
-def points(t: Star, cfg: AttributionConfig = CFG) -> DataFrame:
-    return touchpoints.touchpoints(t["events"], t["source_properties"], t["users"], cfg)
-
-
-def convs(t: Star, cfg: AttributionConfig = CFG) -> DataFrame:
-    return conversions.conversions(t["custom_events"], t["users"], cfg)
-
-
-def stored(t: Star, cfg: AttributionConfig = CFG) -> tuple[DataFrame, DataFrame]:
-    """Touchpoints and conversions as materialised tables, which the mart reads."""
-    return work_table(points(t, cfg), "touchpoints"), work_table(convs(t, cfg), "conversions")
-
-
-def weights(t: Star, cfg: AttributionConfig = CFG) -> DataFrame:
-    return attribution.weighted_paths(*stored(t, cfg), cfg, extra=("conversion_index",))
-
-
-def mart(t: Star, cfg: AttributionConfig = CFG, models=ALL_MODELS) -> DataFrame:
-    return attribution.mart_from_weights(weights(t, cfg), models)
-
-
-def indexed_mart(t: Star) -> DataFrame:
-    return work_table(attribution.mart_from_weights(weights(t), extra=("conversion_index",)), "mart")
-
-
-def corrupted(m: DataFrame) -> DataFrame:
-    """A mart with planted faults: missing model rows, duplicates, shifted numbers, negative
-    revenue, unknown model names, missing channels, late touchpoints."""
-    pick = lambda n: F.pmod(F.length("session_id") + F.col("conversion_index") * 7 + F.dayofmonth("session_start_time"), F.lit(n))
-    linear = F.col("attribution_model") == "Linear"
-    kept = m.filter(~((F.col("attribution_model") == "Last Touch") & (pick(11) == 3)))
-    doubled = kept.unionByName(kept.filter((F.col("attribution_model") == "First Touch") & (pick(13) == 2)))
-    return doubled.select(
-        "user_id", "session_id",
-        F.when(linear & (pick(17) == 4), F.col("converted_at")).otherwise(F.col("session_start_time")).alias("session_start_time"),
-        "converted_at",
-        F.when(pick(19) == 1, None).otherwise(F.col("source")).alias("source"),
-        F.when(pick(23) == 1, None).otherwise(F.col("medium")).alias("medium"),
-        "campaign", "total_sessions_for_conversion",
-        F.when(linear & (pick(5) == 1), F.col("session_number") - 1)
-        .when(linear & (pick(5) == 2), F.col("session_number") + 1)
-        .otherwise(F.col("session_number")).alias("session_number"),
-        "is_conversion_session",
-        F.when((F.col("attribution_model") == "Full Credit") & (pick(29) == 5), "Half Credit")
-        .otherwise(F.col("attribution_model")).alias("attribution_model"),
-        F.when(pick(31) == 6, -F.col("attributed_revenue")).otherwise(F.col("attributed_revenue")).alias("attributed_revenue"),
-        "conversion_index",
-    )
-
-
-def broken_mart(t: Star) -> DataFrame:
-    return work_table(corrupted(indexed_mart(t)), "broken")
-
-
-def k07a(t: Star) -> DataFrame:
-    return touchpoints.classified_events(t["events"], t["source_properties"], CFG).select(
-        "event_id", "source", "medium", "campaign")
-
-
-def k07a_strict(t: Star) -> DataFrame:
-    strict = CFG.but(strict_reference=True)
-    return (touchpoints.classified_events(t["events"], t["source_properties"], strict)
-            .groupBy("source", "medium", "campaign").agg(F.count(F.lit(1)).alias("events")))
-
-
-def k07b(t: Star) -> DataFrame:
-    from trailmark.functions.traffic import campaign_params
-
-    return t["source_properties"].select(
-        "event_id", *[c.alias(n) for n, c in campaign_params(F.col("url_full_url")).items()])
-
-
-def k08_integer_price(t: Star) -> DataFrame:
-    return convs(t, SHORT.but(price_scale=0))
-
-
-def k09(t: Star) -> DataFrame:
-    return attribution.attributed_sessions(*stored(t), CFG)
-
-
-def j09(t: Star) -> DataFrame:
-    return attribution.interval_join(*stored(t), CFG)
-
-
-def k10(t: Star) -> DataFrame:
-    return attribution.path_metadata(work_table(attribution.attributed_sessions(*stored(t), CFG), "linked"))
-
-
-def one_model(model: str) -> Callable[[Star], DataFrame]:
-    return lambda t: mart(t, models=(model,))
-
-
-def k26(t: Star) -> DataFrame:
-    return attribution.channel_performance(mart(t))
-
-
-PARITY: dict[str, Callable[[Star], DataFrame]] = {
-    "k01_sessions_by_page": k01,
-    "k02_device_and_identified_counts": k02,
-    "k03_ui_user_count": k03,
-    "k04_property_id_count": k04,
-    "k05_funnel_first_touch": k05,
-    "k05_funnel_first_touch_local_day": k05_day,
-    "k06_funnel_chained": k06,
-    "k06_funnel_chained_local_day": k06_day,
-}
-
-ATTRIBUTION: dict[str, Callable[[Star], DataFrame]] = {
-    "k07_touchpoints": points,
-    "k07_touchpoints_short_lookback": lambda t: points(t, SHORT),
-    "k07a_traffic_classes": k07a,
-    "k07a_traffic_classes_strict": k07a_strict,
-    "k07b_url_parameters": k07b,
-    "k08_conversions": convs,
-    "k08_conversions_short_integer_price": k08_integer_price,
-    "k09_attributed_sessions": k09,
-    "j9_interval_join": j09,
-    "k10_path_metadata": k10,
-    "k11_first_touch": one_model("First Touch"),
-    "k12_last_touch": one_model("Last Touch"),
-    "k13_linear": one_model("Linear"),
-    "k14_u_shaped": one_model("40-20-40 U-Shaped"),
-    "k15_full_credit": one_model("Full Credit"),
-    "k15_full_credit_latest": lambda t: attribution.full_credit(weights(t), representative="latest").select(
-        *attribution.MART_COLUMNS),
-    "k16_attribution_mart": mart,
-    "k16_attribution_mart_short_windows": lambda t: mart(t, SHORT),
-    "k17_revenue_integrity": lambda t: quality.revenue_integrity(indexed_mart(t)),
-    "k17_revenue_integrity_broken": lambda t: quality.revenue_integrity(broken_mart(t)),
-    "k18_session_ordering": lambda t: quality.session_ordering(indexed_mart(t)),
-    "k18_session_ordering_broken": lambda t: quality.session_ordering(broken_mart(t)),
-    "k19_completeness": lambda t: quality.completeness(indexed_mart(t)),
-    "k19_completeness_broken": lambda t: quality.completeness(broken_mart(t)),
-    "k20_value_integrity": lambda t: quality.value_integrity(indexed_mart(t), points(t)),
-    "k20_value_integrity_broken": lambda t: quality.value_integrity(
-        broken_mart(t), points(t).withColumn("medium", F.nullif(F.col("medium"), F.lit("direct")))),
-    "k26_channel_performance": k26,
-}
-STAGING: dict[str, Callable[[Star], DataFrame]] = {
-    "s4_stage_events": lambda t: staging.stage_events(t["events"]),
-    "s5_stage_source_properties": lambda t: staging.stage_source_properties(t["source_properties"]).drop("event_time"),
-    "s6_stage_users": lambda t: staging.stage_users(t["users"]),
-    "s7_stage_custom_events": lambda t: staging.stage_custom_events(t["custom_events"]),
-}
-
-
-# --- metric layer and questions ----------------------------------------------------------
-
-from trailmark.plans.behavior import Analysis  # noqa: E402
-from trailmark.plans.metrics import EXTRA_METRICS, METRICS, SESSIONS, VISITORS, metric_query  # noqa: E402
-from trailmark.plans.questions import questions  # noqa: E402
-
-NOW = "2024-01-30 18:00:00"
-
-
-def analysis(t: Star) -> Analysis:
-    return Analysis(t, NOW, default_period="past month")
-
-
-def ask(name: str) -> Callable[[Star], DataFrame]:
-    return lambda t: questions(analysis(t))[name]()
-
-
-QUESTION_NAMES = list(questions(Analysis({}, NOW)))
-QUESTIONS = {name: ask(name) for name in QUESTION_NAMES}
-
-# The dimension each base is broken down by: context for event tables, own columns elsewhere.
-BASE_DIMENSION = {"users": {"known": "uid"}, "user_properties": {"tier": "loyalty_tier"},
-                  "source_properties": {"page": "page"}, "element_properties": {"page": "page"}}
-
-
-def _base_metrics() -> dict[str, Callable[[Star], DataFrame]]:
-    out = {}
-    for base in dict.fromkeys(m.base for m in (*METRICS, *EXTRA_METRICS)):
-        names = [m.name for m in (*METRICS, *EXTRA_METRICS) if m.base == base]
-        by = BASE_DIMENSION.get(base, {"page": "page"})
-        out[f"metric_{base}"] = lambda t, names=names, by=by: analysis(t).metrics(names, by, when="all")
-    return out
-
-
-METRIC_LAYER: dict[str, Callable[[Star], DataFrame]] = {
-    **_base_metrics(),
-    "k21_metrics_across_bases": lambda t: analysis(t).metrics(
-        [SESSIONS, "page_view_count", "rage_click_count", "crash_count", "p75_inp"],
-        {"page": "page", "day": "day", "device": "device type"}, where={"country": ["Japan", "Germany"]}),
-    "k21_metrics_by_synonym": lambda t: metric_query(
-        t, ["pvs", "average lcp", "5xx errors"], ["browser", "operating system"]),
-    "k21_metrics_by_definitions": lambda t: analysis(t).metrics(
-        ["event_count", VISITORS], {"element": "named element", "event": "named event"}),
-    "k21_metrics_by_user": lambda t: analysis(t).metrics(
-        ["click_count", "exception_event_count"], {"uid": "uid", "tier": "user_properties.loyalty_tier"}),
-}
-
-
-# --- exports, properties, refresh, streaming ----------------------------------------------
-
-from trailmark.config import work_path  # noqa: E402
-from trailmark.operators import export, properties  # noqa: E402
-from trailmark.plans.refresh import AttributionStore  # noqa: E402
-from trailmark.sources.landing import export_users  # noqa: E402
-from trailmark.sources.state import Cursor, SyncState  # noqa: E402
-from trailmark.streaming import jobs  # noqa: E402
-
-SPLIT = "2024-01-24 00:00:00"
-_ACCEPT = lambda payload: (200, "ok")
-
-
-def _reject_late(payload: str) -> tuple[int, str]:
-    """Refuses a batch that carries changes made in 2001 or later."""
-    return (503, "unavailable") if '"warehouse_synced_at":"2001-' in payload else (200, "ok")
-
-
-def _state(t: Star) -> SyncState:
-    return SyncState(t.spark, work_path(t.spark, "state"))
-
-
-def k23(t: Star) -> DataFrame:
-    """Outbox of the one-time export, users unpacked."""
-    bag = {"warehouse_synced": True, "warehouse_demo_cohort": "luxury_car_interest", "warehouse_synced_at": "2026-06-04"}
-    report, outbox = export.export_user_properties(export_users(t.spark, t.sf_dir), 250, bag, batch_size=100)
-    return outbox.crossJoin(report.select("status", "users_pushed"))
-
-
-def k24_outbox(t: Star) -> DataFrame:
-    _, outbox = export.export_updated_user_properties(export_users(t.spark, t.sf_dir), _state(t), batch_size=100)
-    return outbox
-
-
-def k24_report(t: Star) -> DataFrame:
-    report, _ = export.export_updated_user_properties(
-        export_users(t.spark, t.sf_dir), _state(t), batch_size=100, transport=_ACCEPT)
-    return report
-
-
-def k24_failed(t: Star) -> DataFrame:
-    """Two runs: the first stops at a refused chunk, the second finishes."""
-    state, users = _state(t), export_users(t.spark, t.sf_dir)
-    first, _ = export.export_updated_user_properties(users, state, batch_size=100, transport=_reject_late, wave=4)
-    second, _ = export.export_updated_user_properties(users, state, batch_size=100, transport=_ACCEPT, wave=4)
-    return first.withColumn("run", F.lit(1)).unionByName(second.withColumn("run", F.lit(2)))
-
-
-def r06(t: Star) -> DataFrame:
-    return export.after_cursor(export.exportable(export_users(t.spark, t.sf_dir)), Cursor("2001-01-01 00:00:00", "c3"))
-
-
-def r07(t: Star) -> DataFrame:
-    rows = export.exportable(export_users(t.spark, t.sf_dir))
-    return export.numbered_in_order(rows, ["updated_at", "uid"], "n").select(
-        "uid", "n", F.floor(F.col("n") / 1000).alias("chunk_id"))
-
-
-def s14(t: Star) -> DataFrame:
-    """State table after seeding one sync per loyalty tier twice, around an advance."""
-    state = _state(t)
-    tiers = [r[0] for r in t["user_properties"].select("loyalty_tier").distinct().collect()]
-    for tier in tiers:
-        state.seed(tier)
-    newest = export_users(t.spark, t.sf_dir).agg(F.max("updated_at").cast("string")).first()[0]
-    state.advance(min(tiers), Cursor(newest, "c1"))
-    for tier in tiers:
-        state.seed(tier)
-    return state.table().select("sync_name", "last_synced_at")
-
-
-def k22(t: Star) -> DataFrame:
-    return properties.property_profile({n: t[n] for n in properties.RESERVED}, exact=True)
-
-
-def k22_approx(t: Star) -> DataFrame:
-    """Estimated distinct counts, checked against the exact ones to within 10 percent."""
-    by = ["table_name", "column_name"]
-    approx = properties.property_profile({n: t[n] for n in properties.RESERVED}).withColumnRenamed("approx_distinct", "estimate")
-    close = F.abs(F.col("estimate") - F.col("approx_distinct")) <= F.greatest(F.lit(1.0), 0.1 * F.col("approx_distinct"))
-    return approx.join(k22(t).select(*by, "approx_distinct"), by).select(
-        *by, "data_type", "non_null_count", close.alias("close"))
-
-
-_STORES: dict[tuple[str, str, str], tuple[AttributionStore, DataFrame]] = {}
-
-
-def once(t: Star, kind: str, build: Callable[[Star], tuple[AttributionStore, DataFrame]]):
-    """The stored tables of one kind, built once per application: several queries read them."""
-    key = (t.spark.sparkContext.applicationId, t.sf_dir, kind)
-    if key not in _STORES:
-        _STORES[key] = build(t)
-    return _STORES[key]
-
-
-def two_batches(t: Star) -> tuple[AttributionStore, DataFrame]:
-    return once(t, "batches", store_in_two_batches)
-
-
-def store_in_two_batches(t: Star) -> tuple[AttributionStore, DataFrame]:
-    store = AttributionStore(t.spark, work_path(t.spark, "store"), CFG, buckets=8)
-    early, late = F.col("event_time") < SPLIT, F.col("event_time") >= SPLIT
-    # Devices with an id ending in 7 are identified only by the second batch.
-    unknown = t["users"].withColumn("uid", F.when(~F.col("id").endswith("7"), F.col("uid")))
-    store.refresh(t["events"].filter(early), t["source_properties"], t["custom_events"].filter(early), unknown)
-    report = store.refresh(t["events"].filter(late), t["source_properties"], t["custom_events"].filter(late), t["users"])
-    return store, report
-
-
-def streamed(t: Star) -> AttributionStore:
-    return once(t, "stream", lambda x: (streamed_store(x), x.base))[0]
-
-
-def streamed_store(t: Star) -> AttributionStore:
-    store = AttributionStore(t.spark, work_path(t.spark, "store"), CFG, buckets=8)
-    source = work_path(t.spark, "arrivals")
-    day = F.dayofmonth("event_time")
-    for i, cond in enumerate([day <= 12, (day > 12) & (day <= 22), day > 22]):
-        t["events"].filter(cond).coalesce(1).write.mode("append").parquet(source)
-    stream = t.spark.readStream.schema(t["events"].schema).option("maxFilesPerTrigger", 1).parquet(source)
-
-    def inputs(batch: DataFrame):
-        new = t["custom_events"].join(batch.select(F.col("id").alias("event_id")), "event_id", "left_semi")
-        return t["source_properties"], new, t["users"]
-
-    q = jobs.refresh_on_arrival(stream, store, inputs, work_path(t.spark, "checkpoint"), {"availableNow": True})
-    q.awaitTermination()
-    return store
-
-
-def _arrivals(t: Star, df: DataFrame, time: str) -> DataFrame:
-    """``df`` as a stream of three time-ordered files."""
-    path = work_path(t.spark, "arrivals")
-    day = F.dayofmonth(time)
-    for cond in (day <= 10, (day > 10) & (day <= 20), day > 20):
-        df.filter(cond).coalesce(1).write.mode("append").parquet(path)
-    return t.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
-
-
-def _drain(t: Star, stream: DataFrame, keys: list[str]) -> DataFrame:
-    log = work_path(t.spark, "updates")
-    jobs.append_updates(stream, log, work_path(t.spark, "checkpoint"), {"availableNow": True}).awaitTermination()
-    return jobs.latest(t.spark, log, keys, stream.schema)
-
-
-def rs1(t: Star) -> DataFrame:
-    from trailmark.functions.traffic import signal_rank
-
-    rows = touchpoints.with_identity(touchpoints.classified_events(t["events"], t["source_properties"], CFG), t["users"])
-    signals = rows.select("user_id", "session_id", "event_time", "event_id", "source", "medium", "campaign",
-                          signal_rank(F.col("medium")).alias("rank"))
-    stream = jobs.best_signal_per_session(_arrivals(t, signals, "event_time"), "40 days")
-    return _drain(t, stream, ["session_id", "user_id"])
-
-
-def rs3(t: Star) -> DataFrame:
-    tp, cv = stored(t)
-    linked = jobs.link_touchpoints(_arrivals(t, tp, "event_time"), _arrivals(t, cv, "converted_at"), CFG, "40 days")
-    out = work_path(t.spark, "linked")
-    q = (linked.writeStream.outputMode("append").format("parquet").option("path", out)
-         .option("checkpointLocation", work_path(t.spark, "checkpoint")).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return t.spark.read.schema(linked.schema).parquet(out)
-
-
-def rs4(t: Star) -> DataFrame:
-    stream = jobs.running_funnel(_arrivals(t, hits(t), "event_time"), 5, "40 days")
-    times = _drain(t, stream, ["user_id", "session_id"]).filter(F.col("stp1_time").isNotNull())
-    flags = funnel.reached(5)
-    counted = times.agg(F.countDistinct("session_id").alias("stp1_sessions"),
-                        *[F.count_if(f).alias(f"stp{i}_sessions") for i, f in enumerate(flags, 2)])
-    return funnel.with_rates(counted, 5)
-
-
-def rs5(t: Star) -> DataFrame:
-    stream = jobs.windowed_metrics(_arrivals(t, t["clicks"], "event_time"), ["click_count", "rage_click_count"],
-                                   "1 day", None, "40 days")
-    return _drain(t, stream, ["window_start", "window_end"])
-
-
-def rs5_sliding(t: Star) -> DataFrame:
-    stream = jobs.windowed_metrics(_arrivals(t, t["loads"], "event_time"), ["avg_lcp", "load_event_count"],
-                                   "6 hours", "3 hours", "40 days")
-    return _drain(t, stream, ["window_start", "window_end"])
-
-
-EXPORT: dict[str, Callable[[Star], DataFrame]] = {
-    "s14_sync_state": s14,
-    "r6_high_watermark_delta": r06,
-    "r7_ordered_chunks": r07,
-    "k22_property_profile": k22,
-    "k22_property_profile_estimates": k22_approx,
-    "k23_one_time_export": k23,
-    "k24_incremental_export_outbox": k24_outbox,
-    "k24_incremental_export_report": k24_report,
-    "k24_incremental_export_failed_and_resumed": k24_failed,
-}
-REFRESH: dict[str, Callable[[Star], DataFrame]] = {
-    "r1_incremental_touchpoints": lambda t: two_batches(t)[0].touchpoints(),
-    "r2_incremental_conversions": lambda t: two_batches(t)[0].conversions(),
-    "r3_incremental_mart": lambda t: two_batches(t)[0].mart(),
-    "k25_refresh_report": lambda t: two_batches(t)[1],
-    "rs1_streaming_touchpoints": rs1,
-    "rs2_streaming_conversions": lambda t: streamed(t).conversions(),
-    "rs2_streaming_mart": lambda t: streamed(t).mart(),
-    "rs3_streaming_interval_join": rs3,
-    "rs4_streaming_funnel": rs4,
-    "rs5_streaming_daily_metrics": rs5,
-    "rs5_streaming_sliding_metrics": rs5_sliding,
-}
-
-
-# --- behaviour templates and single operators --------------------------------------------
-
-from trailmark.functions.time import local_time, on_local_day  # noqa: E402
-from trailmark.functions.traffic import url_param  # noqa: E402
-from trailmark.operators.ordered import with_order  # noqa: E402
-
-TEMPLATES: dict[str, Callable[[Star], DataFrame]] = {
-    "b01_total_in_period": lambda t: analysis(t).metrics(["click_count", "rage_click_count", "crash_count"], when="last week"),
-    "b02_top_n_by_dimension": lambda t: analysis(t).metrics(
-        ["click_count"], {"city": "city"}, order_by="click_count", limit=7),
-    "b03_weekly_trend": lambda t: analysis(t).trend(["avg_inp", "poor_inp_count"], "week", "all"),
-    "b04_share_by_segment": lambda t: analysis(t).share(
-        "loads", F.col("time_to_first_byte_millis") < 800, {"device": "device type"}),
-    "b05_side_by_side": lambda t: analysis(t).side_by_side(
-        "page_view_count", "device type", "Mobile", "Desktop", {"country": "country"}),
-    "b06_change_by_segment": lambda t: analysis(t).period_over_period(["event_count"], "week", {"device": "device type"}),
-    "b07_session_averages": lambda t: analysis(t).session_averages("all"),
-    "b08_entities_over_threshold": lambda t: analysis(t).having(
-        ["event_count", SESSIONS], {"user_id": "user_id"}, F.col("event_count") >= 80, "all"),
-    "b09_entry_and_exit_pages": lambda t: analysis(t).page_edges("all"),
-    "b10_next_page": lambda t: analysis(t).next_pages("Search", "all"),
-    "b11_step_reach": lambda t: funnel.step_session_counts(hits(t)),
-    "b12_ratio_of_two_facts": lambda t: analysis(t).ratio_of("dead_click_count", "page_view_count", {"page": "page"}, when="all"),
-    "b13_frustration_score": lambda t: analysis(t).frustration({"session_id": "session_id", "user_id": "user_id"}, "all"),
-    "b14_signals_together": lambda t: analysis(t).frustrated_with_errors(["ProductPage", "Search", "Checkout Review"], "all"),
-    "b15_correlation": lambda t: analysis(t).correlation("event_count", "exception_event_count", {"user_id": "user_id"}, "all"),
-    "b16_anomaly_scores": lambda t: analysis(t).anomalies("event_count", "day", 5, {"device": "device type"}),
-    "b17_time_profile": lambda t: Analysis(t, NOW, TZ, "past month").time_profile(["event_count", SESSIONS], "hour_of_day"),
-    "b18_weekday_weekend": lambda t: analysis(t).metrics([VISITORS, "event_count"], {"is_weekend": "is_weekend"}, when="all"),
-    "b19_adoption": lambda t: analysis(t).adoption("clicks", {"page": "Search"}, "all"),
-    "b20_growth": lambda t: analysis(t).growth("day", "all"),
-}
-
-
-def s01(t: Star) -> DataFrame:
-    """Views over templated sources, queried by SQL."""
-    names = {"events": "events.parquet", "buyers": "customer.parquet"}
-    staging.Tables(t.spark, t.sf_dir + "/{}", names).register("raw_")
-    return t.spark.sql("""
-        SELECT event_type, count(*) AS events, (SELECT count(*) FROM raw_buyers) AS buyers
-        FROM raw_events GROUP BY event_type""")
-
-
-def s12(t: Star) -> DataFrame:
-    """Create a table from a query, append to it, read it."""
-    path = work_path(t.spark, "created")
-    t["clicks"].filter(F.col("event_time") < SPLIT).write.parquet(path)
-    t["clicks"].filter(F.col("event_time") >= SPLIT).write.mode("append").parquet(path)
-    return t.spark.read.parquet(path).select("event_id", "user_id", "event_time", "target_text")
-
-
-def w01(t: Star) -> DataFrame:
-    return with_order(
-        t["events"], ["user_id"], "event_time", ["id"], position="rn", size="n",
-        previous={"previous_time": "event_time"}, following={"next_type": "event_type"},
-    ).select("id", "rn", "n", "previous_time", "next_type")
-
-
-OPERATORS: dict[str, Callable[[Star], DataFrame]] = {
-    "s1_source_views": s01,
-    "s12_create_and_append": s12,
-    "s16_sampled_users": lambda t: export.exportable(export_users(t.spark, t.sf_dir)).orderBy("uid").limit(50),
-    "fx_sessions": lambda t: t.base.select("id", "session_id"),
-    "p1_local_day_rows": lambda t: t["events"].filter(on_local_day(F.col("event_time"), DAY, TZ)).select("id"),
-    "j10_after_session_mark": lambda t: funnel.after_session_mark(
-        hits(t).filter("step = 2"), hits(t).filter("step = 1"), "event_time").select("session_id", "event_time"),
-    "w1_w3_w4_user_order": w01,
-    "o3_latest_event_per_user": lambda t: t["events"].groupBy("user_id").agg(
-        F.max_by("event_type", F.struct("event_time", "id")).alias("event_type"), F.max("event_time").alias("event_time")),
-    "u1_funnel_hits": hits,
-    "x1_decoded_campaign": lambda t: t["source_properties"].select(
-        "event_id", url_param(F.col("url_full_url"), "utm_campaign", decode=True).alias("campaign")),
-    "x9_local_calendar": lambda t: t["events"].groupBy(
-        F.date_format(local_time(F.col("event_time"), TZ), "yyyy-MM-dd HH").alias("hour")).agg(F.count(F.lit(1)).alias("events")),
-}
+GROUPS = (
+    parity.PARITY, attribution.ATTRIBUTION, attribution.STAGING, behavior.METRIC_LAYER, behavior.TEMPLATES,
+    behavior.QUESTIONS, jobs.EXPORT, jobs.REFRESH, operators.OPERATORS,
+)
 
 
 def all_queries() -> dict[str, Query]:
-    groups = [PARITY, ATTRIBUTION, STAGING, METRIC_LAYER, TEMPLATES, QUESTIONS, EXPORT, REFRESH, OPERATORS]
-    return {name: query(fn) for group in groups for name, fn in group.items()}
+    return {name: query(build) for group in GROUPS for name, build in group.items()}

@@ -1,424 +1,13 @@
-"""Reference SQL per registered query, for DuckDB over the same Parquet tables."""
+"""Oracle SQL per registered query, for DuckDB over the same Parquet tables."""
 
 from __future__ import annotations
 
-from checks import behavior_sql
-from checks.fx import with_fx
+from checks import sql_attribution, sql_behavior, sql_jobs
 
-# Denver is UTC-7 throughout the data's month.
-LOCAL_DAY = "cast(event_time - INTERVAL 7 HOUR AS date) = date '2024-01-10'"
 
-AS_OF = "timestamp '2024-01-31 00:00:00'"
-
-
-def funnel_hits(where: str) -> str:
-    return f"""
-      SELECT e.user_id, e.session_id, e.event_time,
-             CASE WHEN pd.name IN ('ProductPage', 'Search') THEN 1 WHEN pd.name = 'Checkout Billing' THEN 2
-                  WHEN pd.name = 'Checkout Payment' THEN 3 WHEN pd.name = 'Checkout Review' THEN 4 END AS step
-      FROM fx_events e JOIN fx_source_properties sp ON e.id = sp.event_id
-      JOIN fx_page_definitions pd ON sp.page_definition_id = pd.id
-      WHERE {where.replace('event_time', 'e.event_time')}
-        AND pd.name IN ('ProductPage', 'Search', 'Checkout Billing', 'Checkout Payment', 'Checkout Review')
-      UNION ALL
-      SELECT e.user_id, e.session_id, e.event_time, 5
-      FROM fx_events e JOIN fx_custom_events ce ON e.id = ce.event_id
-      WHERE {where.replace('event_time', 'e.event_time')} AND ce.event_name = 'Checkout Success'"""
-
-
-def rates(n: int = 5) -> str:
-    pct = lambda a, b: f"round(s{a} / nullif(s{b}, 0) * 100, 1)"
-    cols = [f"s{i} AS stp{i}_sessions" for i in range(1, n + 1)]
-    cols += [f"{pct(i, i - 1)} AS stp{i - 1}_to_stp{i}_pct" for i in range(2, n + 1)]
-    return ", ".join(cols) + f", {pct(n, 1)} AS overall_pct"
-
-
-FIRST_TOUCH_FUNNEL = f"""
-  SELECT {rates()} FROM (
-    SELECT count(DISTINCT session_id) AS s1,
-           count(CASE WHEN t2 > t1 THEN 1 END) AS s2,
-           count(CASE WHEN t2 > t1 AND t3 > t2 THEN 1 END) AS s3,
-           count(CASE WHEN t2 > t1 AND t3 > t2 AND t4 > t3 THEN 1 END) AS s4,
-           count(CASE WHEN t2 > t1 AND t3 > t2 AND t4 > t3 AND t5 > t4 THEN 1 END) AS s5
-    FROM (SELECT user_id, session_id, min(CASE WHEN step = 1 THEN event_time END) AS t1,
-                 min(CASE WHEN step = 2 THEN event_time END) AS t2, min(CASE WHEN step = 3 THEN event_time END) AS t3,
-                 min(CASE WHEN step = 4 THEN event_time END) AS t4, min(CASE WHEN step = 5 THEN event_time END) AS t5
-          FROM hits GROUP BY user_id, session_id) x
-    WHERE t1 IS NOT NULL) y"""
-
-
-def chained_funnel(n: int = 5) -> str:
-    ctes = ["c1 AS (SELECT user_id, session_id, min(event_time) AS at FROM hits WHERE step = 1 GROUP BY ALL)"]
-    for i in range(2, n + 1):
-        ctes.append(
-            f"c{i} AS (SELECT user_id, session_id, min(event_time) AS at FROM hits h WHERE step = {i} AND EXISTS "
-            f"(SELECT 1 FROM c{i - 1} p WHERE p.session_id = h.session_id AND p.at < h.event_time) GROUP BY ALL)")
-    scalars = ", ".join(f"(SELECT count(DISTINCT session_id) FROM c{i}) AS s{i}" for i in range(1, n + 1))
-    return f"SELECT {rates(n)} FROM (WITH {', '.join(ctes)} SELECT {scalars}) z"
-
-
-def param(name: str) -> str:
-    return f"nullif(regexp_extract(url_full_url, '[?&]{name}=([^&]+)', 1), '')"
-
-
-PARAMS = """
-  SELECT event_id, event_time, initial_referrer_host AS ref, """ + ", ".join(
-    f"{param(n)} AS {n}" for n in ("utm_source", "utm_medium", "utm_campaign", "gclid", "fbclid", "cmpid")
-) + " FROM fx_source_properties"
-
-
-def traffic(strict: bool = False) -> str:
-    ref = "ref" if strict else "nullif(ref, '')"
-    return f"""
-      SELECT event_id,
-        CASE WHEN gclid IS NOT NULL OR fbclid IS NOT NULL THEN 'cpc' WHEN utm_medium IS NOT NULL THEN utm_medium
-             WHEN ref ILIKE '%google.%' OR ref ILIKE '%bing.%' THEN 'organic'
-             WHEN ref IS NOT NULL AND ref <> '' THEN 'referral' ELSE 'direct' END AS medium,
-        coalesce(CASE WHEN gclid IS NOT NULL THEN 'google' END, CASE WHEN fbclid IS NOT NULL THEN 'facebook' END,
-                 utm_source, {ref}, 'direct') AS source,
-        coalesce(utm_campaign, cmpid, 'organic/untracked') AS campaign
-      FROM params"""
-
-
-IDENTITY = "SELECT id AS device_id, uid FROM fx_users WHERE uid IS NOT NULL"
-
-
-def touchpoints(lookback: int = 90, window: int = 14) -> str:
-    return f"""
-      SELECT user_id, session_id, event_time, date_trunc('week', event_time) AS week, source, medium, campaign FROM (
-        SELECT coalesce(i.uid, e.user_id) AS user_id, e.session_id, e.event_time, t.source, t.medium, t.campaign,
-               row_number() OVER (PARTITION BY e.session_id, coalesce(i.uid, e.user_id) ORDER BY
-                 CASE WHEN t.medium NOT IN ('direct', 'organic', 'referral') THEN 1
-                      WHEN t.medium IN ('organic', 'referral') THEN 2 ELSE 3 END, e.event_time, e.id) AS rn
-        FROM fx_events e JOIN traffic t ON e.id = t.event_id LEFT JOIN identity i ON e.user_id = i.device_id
-        WHERE e.event_time >= {AS_OF} - INTERVAL {lookback + window} DAY) x WHERE rn = 1"""
-
-
-def conversions(lookback: int = 90, scale: int = 2) -> str:
-    return f"""
-      SELECT user_id, conversion_session_id, converted_at, conversion_revenue,
-             lag(converted_at) OVER w AS previous_conversion_at, row_number() OVER w AS conversion_index
-      FROM (SELECT coalesce(i.uid, ce.user_id) AS user_id, ce.session_id AS conversion_session_id,
-                   ce.event_time AS converted_at, ce.event_id,
-                   cast(try_cast(json_extract_string(ce.event_properties, '$.price') AS decimal(38,{scale})) AS double)
-                     AS conversion_revenue
-            FROM fx_custom_events ce LEFT JOIN identity i ON ce.user_id = i.device_id
-            WHERE ce.event_name = 'Checkout Success' AND ce.event_time >= {AS_OF} - INTERVAL {lookback} DAY) c
-      WINDOW w AS (PARTITION BY user_id ORDER BY converted_at, event_id)"""
-
-
-def linked(window: int = 14) -> str:
-    return f"""
-      SELECT t.user_id, t.session_id, t.event_time AS session_start_time, t.source, t.medium, t.campaign,
-             c.converted_at, c.conversion_revenue, c.conversion_index
-      FROM tp t JOIN cv c ON t.user_id = c.user_id AND t.event_time < c.converted_at
-       AND t.event_time >= c.converted_at - INTERVAL {window} DAY
-       AND t.event_time >= coalesce(c.previous_conversion_at, c.converted_at - INTERVAL {window} DAY)"""
-
-
-PATHS = """
-  SELECT *, session_number = total_sessions_for_conversion AS is_conversion_session FROM (
-    SELECT *, row_number() OVER (PARTITION BY user_id, converted_at ORDER BY session_start_time, session_id) AS session_number,
-           count(session_id) OVER (PARTITION BY user_id, converted_at) AS total_sessions_for_conversion
-    FROM linked) p"""
-
-SHARES = """
-  SELECT *,
-    CASE WHEN session_number = 1 THEN conversion_revenue ELSE 0.0 END AS ft,
-    CASE WHEN is_conversion_session THEN conversion_revenue ELSE 0.0 END AS lt,
-    (1.0::double / total_sessions_for_conversion) * conversion_revenue AS ln,
-    CASE WHEN total_sessions_for_conversion = 1 THEN conversion_revenue
-         WHEN total_sessions_for_conversion = 2 THEN 0.5::double * conversion_revenue
-         WHEN session_number = 1 OR is_conversion_session THEN 0.4::double * conversion_revenue
-         ELSE (0.2::double / (total_sessions_for_conversion - 2)) * conversion_revenue END AS us
-  FROM paths"""
-
-_IDS = ("user_id, session_id, session_start_time, converted_at, source, medium, campaign, "
-        "total_sessions_for_conversion, session_number, is_conversion_session")
-
-FULL = """
-  SELECT user_id, max(session_id) AS session_id, max(session_start_time) AS session_start_time, converted_at, source,
-         medium, campaign, max(total_sessions_for_conversion) AS total_sessions_for_conversion,
-         max(session_number) AS session_number, bool_or(is_conversion_session) AS is_conversion_session,
-         'Full Credit' AS attribution_model, conversion_revenue AS attributed_revenue, conversion_index
-  FROM shares GROUP BY user_id, source, medium, campaign, converted_at, conversion_revenue, conversion_index"""
-
-# Table aliases keep the shared CTE names apart from column names.
-MODEL_COLUMNS = {"First Touch": "ft", "Last Touch": "lt", "Linear": "ln", "40-20-40 U-Shaped": "us"}
-
-MART = " UNION ALL ".join(
-    f"SELECT {_IDS}, '{m}' AS attribution_model, {col} AS attributed_revenue, conversion_index FROM shares WHERE {col} > 0"
-    for m, col in MODEL_COLUMNS.items()
-) + f" UNION ALL SELECT {_IDS}, attribution_model, attributed_revenue, conversion_index FROM fullcredit"
-
-
-def pipeline(lookback: int = 90, window: int = 14, scale: int = 2, strict: bool = False) -> dict[str, str]:
-    return {
-        "params": PARAMS, "traffic": traffic(strict), "identity": IDENTITY,
-        "tp": touchpoints(lookback, window), "cv": conversions(lookback, scale),
-        "linked": linked(window), "paths": PATHS, "shares": SHARES, "fullcredit": FULL, "mart": MART,
-        "broken": BROKEN,
-    }
-
-
-def _pick(n: int) -> str:
-    return f"((length(session_id) + conversion_index * 7 + day(session_start_time)) % {n})"
-
-
-BROKEN = f"""
-  SELECT user_id, session_id,
-    CASE WHEN attribution_model = 'Linear' AND {_pick(17)} = 4 THEN converted_at ELSE session_start_time END AS session_start_time,
-    converted_at, CASE WHEN {_pick(19)} = 1 THEN NULL ELSE source END AS source,
-    CASE WHEN {_pick(23)} = 1 THEN NULL ELSE medium END AS medium, campaign, total_sessions_for_conversion,
-    CASE WHEN attribution_model = 'Linear' AND {_pick(5)} = 1 THEN session_number - 1
-         WHEN attribution_model = 'Linear' AND {_pick(5)} = 2 THEN session_number + 1 ELSE session_number END AS session_number,
-    is_conversion_session,
-    CASE WHEN attribution_model = 'Full Credit' AND {_pick(29)} = 5 THEN 'Half Credit' ELSE attribution_model END AS attribution_model,
-    CASE WHEN {_pick(31)} = 6 THEN -attributed_revenue ELSE attributed_revenue END AS attributed_revenue, conversion_index
-  FROM (SELECT * FROM mart WHERE NOT (attribution_model = 'Last Touch' AND {_pick(11)} = 3)
-        UNION ALL SELECT * FROM mart WHERE attribution_model = 'First Touch' AND {_pick(13)} = 2) m"""
-
-
-def revenue_check(table: str) -> str:
-    return f"""
-      SELECT a.user_id, a.converted_at, a.conversion_index, a.attribution_model AS model_a, a.r AS revenue_a,
-             b.attribution_model AS model_b, b.r AS revenue_b, 'Revenue mismatch between models' AS assertion
-      FROM sums a JOIN sums b ON a.user_id = b.user_id AND a.converted_at = b.converted_at
-       AND a.conversion_index = b.conversion_index AND a.attribution_model < b.attribution_model
-      WHERE abs(a.r - b.r) > 0.01""".replace("sums", f"""(
-        SELECT user_id, converted_at, conversion_index, attribution_model, round(sum(attributed_revenue), 2) AS r
-        FROM {table} WHERE attribution_model IN ('First Touch', 'Last Touch', 'Linear', '40-20-40 U-Shaped') GROUP BY ALL)""")
-
-
-MOMENT = "strftime(converted_at, '%Y-%m-%d %H:%M:%S')"
-
-
-def ordering_check(table: str) -> str:
-    lin = f"(SELECT * FROM {table} WHERE attribution_model = 'Linear')"
-    stats = f"""(SELECT user_id, converted_at, conversion_index, min(session_number) AS lo, max(session_number) AS hi,
-                 max(total_sessions_for_conversion) AS d FROM {lin} l GROUP BY ALL)"""
-    return f"""
-      SELECT user_id, session_id AS context, 'session_start_time >= converted_at' AS assertion FROM {lin} a
-      WHERE session_start_time >= converted_at
-      UNION ALL SELECT user_id, {MOMENT}, 'min(session_number)=' || lo || ', expected 1' FROM {stats} b WHERE lo <> 1
-      UNION ALL SELECT user_id, {MOMENT}, 'max(session_number)=' || hi || ' but total_sessions_for_conversion=' || d
-      FROM {stats} c WHERE hi <> d
-      UNION ALL SELECT user_id, session_id, 'session_number=' || session_number || ' > total_sessions=' || total_sessions_for_conversion
-      FROM {lin} e WHERE session_number > total_sessions_for_conversion"""
-
-
-def completeness_check(table: str) -> str:
-    return f"""
-      SELECT user_id, {MOMENT} AS context, 'only ' || n || ' of 5 attribution models present' AS assertion
-      FROM (SELECT user_id, converted_at, conversion_index, count(DISTINCT attribution_model) AS n FROM {table} GROUP BY ALL) a
-      WHERE n <> 5
-      UNION ALL SELECT user_id, session_id, 'duplicate row for model=' || attribution_model || ' converted_at=' || {MOMENT}
-      FROM {table} GROUP BY user_id, session_id, converted_at, attribution_model HAVING count(*) > 1
-      UNION ALL SELECT user_id, session_id, 'unexpected attribution_model value: "' || attribution_model || '"'
-      FROM {table} WHERE attribution_model NOT IN ('First Touch', 'Last Touch', 'Linear', '40-20-40 U-Shaped', 'Full Credit')"""
-
-
-def value_check(table: str, medium: str = "medium") -> str:
-    flag = "CASE WHEN is_conversion_session THEN 'true' ELSE 'false' END"
-    return f"""
-      SELECT user_id, session_id AS context,
-             'attributed_revenue is negative: ' || cast(cast(attributed_revenue AS decimal(38,2)) AS varchar) AS assertion
-      FROM {table} WHERE attributed_revenue < 0
-      UNION ALL SELECT user_id, session_id, 'session_number < 1: ' || session_number FROM {table} WHERE session_number < 1
-      UNION ALL SELECT user_id, session_id, 'total_sessions_for_conversion < 1: ' || total_sessions_for_conversion
-      FROM {table} WHERE total_sessions_for_conversion < 1
-      UNION ALL SELECT user_id, session_id, 'medium is NULL' FROM {table} WHERE medium IS NULL
-      UNION ALL SELECT user_id, session_id, 'source is NULL' FROM {table} WHERE source IS NULL
-      UNION ALL SELECT user_id, session_id, 'is_conversion_session flag inconsistent: flag=' || {flag} || ' session_number='
-        || session_number || ' total=' || total_sessions_for_conversion
-      FROM {table} WHERE is_conversion_session <> (session_number = total_sessions_for_conversion)
-      UNION ALL SELECT user_id, session_id, 'medium is NULL in touchpoints' FROM tp WHERE {medium} IS NULL
-      UNION ALL SELECT user_id, session_id, 'source is NULL in touchpoints' FROM tp WHERE source IS NULL"""
-
-
-MART_OUT = f"{_IDS}, attribution_model, round(attributed_revenue, 6) AS attributed_revenue"
-
-
-def parity() -> dict[str, str]:
-    every = "event_time IS NOT NULL"
-    return {
-        "k01_sessions_by_page": with_fx(f"""
-          SELECT count(DISTINCT e.session_id) AS sessions FROM fx_events e JOIN fx_source_properties sp ON e.id = sp.event_id
-          LEFT JOIN fx_page_definitions pd ON sp.page_definition_id = pd.id
-          WHERE pd.name = '404 Page' AND {LOCAL_DAY.replace('event_time', 'e.event_time')}"""),
-        "k02_device_and_identified_counts": with_fx(f"""
-          SELECT count(DISTINCT user_id) AS cnt_user_id, count(DISTINCT uid) AS cnt_uid
-          FROM fx_events e JOIN fx_users u ON e.user_id = u.id WHERE {LOCAL_DAY}"""),
-        "k03_ui_user_count": with_fx(f"""
-          SELECT count(DISTINCT coalesce(uid, user_id)) AS cnt_users FROM (
-            SELECT session_id, max(e.user_id) AS user_id, max(u.uid) AS uid
-            FROM fx_events e JOIN fx_users u ON e.user_id = u.id WHERE {LOCAL_DAY} GROUP BY session_id) s"""),
-        "k04_property_id_count": with_fx(f"""
-          SELECT count(DISTINCT up.enterprise_id) AS cnt_property_ids
-          FROM fx_events e JOIN fx_user_properties up ON e.user_id = up.user_id
-          WHERE up.enterprise_id IS NOT NULL AND {LOCAL_DAY}"""),
-        "k05_funnel_first_touch": with_fx(FIRST_TOUCH_FUNNEL, {"hits": funnel_hits(every)}),
-        "k05_funnel_first_touch_local_day": with_fx(FIRST_TOUCH_FUNNEL, {"hits": funnel_hits(LOCAL_DAY)}),
-        "k06_funnel_chained": with_fx(chained_funnel(), {"hits": funnel_hits(every)}),
-        "k06_funnel_chained_local_day": with_fx(chained_funnel(), {"hits": funnel_hits(LOCAL_DAY)}),
-    }
-
-
-def attribution() -> dict[str, str]:
-    p = pipeline()
-    short = pipeline(10, 7)
-    mart = lambda where="": with_fx(f"SELECT {MART_OUT} FROM mart {where}", p)
-    only = lambda m: mart(f"WHERE attribution_model = '{m}'")
-    return {
-        "k07_touchpoints": with_fx("SELECT * FROM tp", p),
-        "k07_touchpoints_short_lookback": with_fx("SELECT * FROM tp", short),
-        "k07a_traffic_classes": with_fx("SELECT event_id, source, medium, campaign FROM traffic", p),
-        "k07a_traffic_classes_strict": with_fx(
-            "SELECT source, medium, campaign, count(*) AS events FROM traffic GROUP BY ALL", pipeline(strict=True)),
-        "k07b_url_parameters": with_fx(
-            "SELECT event_id, utm_source, utm_medium, utm_campaign, gclid, fbclid, cmpid FROM params", p),
-        "k08_conversions": with_fx("SELECT * FROM cv", p),
-        "k08_conversions_short_integer_price": with_fx("SELECT * FROM cv", pipeline(10, 7, 0)),
-        "k09_attributed_sessions": with_fx("SELECT * EXCLUDE (conversion_index) FROM linked", p),
-        "j9_interval_join": with_fx("SELECT * EXCLUDE (conversion_index) FROM linked", p),
-        "k10_path_metadata": with_fx("SELECT * EXCLUDE (conversion_index) FROM paths", p),
-        "k11_first_touch": only("First Touch"),
-        "k12_last_touch": only("Last Touch"),
-        "k13_linear": only("Linear"),
-        "k14_u_shaped": only("40-20-40 U-Shaped"),
-        "k15_full_credit": only("Full Credit"),
-        "k15_full_credit_latest": with_fx(f"""
-          SELECT {_IDS}, 'Full Credit' AS attribution_model, conversion_revenue AS attributed_revenue FROM (
-            SELECT *, row_number() OVER (PARTITION BY user_id, source, medium, campaign, converted_at, conversion_revenue
-                                         ORDER BY session_number DESC) AS rn FROM shares) x WHERE rn = 1""", p),
-        "k16_attribution_mart": mart(),
-        "k16_attribution_mart_short_windows": with_fx(f"SELECT {MART_OUT} FROM mart", short),
-        "k17_revenue_integrity": with_fx(revenue_check("mart"), p),
-        "k17_revenue_integrity_broken": with_fx(revenue_check("broken"), p),
-        "k18_session_ordering": with_fx(ordering_check("mart"), p),
-        "k18_session_ordering_broken": with_fx(ordering_check("broken"), p),
-        "k19_completeness": with_fx(completeness_check("mart"), p),
-        "k19_completeness_broken": with_fx(completeness_check("broken"), p),
-        "k20_value_integrity": with_fx(value_check("mart"), p),
-        "k20_value_integrity_broken": with_fx(value_check("broken", "nullif(medium, 'direct')"), p),
-        "k26_channel_performance": with_fx("""
-          SELECT attribution_model, source, medium, campaign, date_trunc('week', converted_at) AS week,
-                 count(DISTINCT (user_id, converted_at)) AS conversions, round(sum(attributed_revenue), 6) AS revenue
-          FROM mart GROUP BY ALL""", p),
-    }
-
-
-def staging() -> dict[str, str]:
-    return {
-        "s4_stage_events": with_fx("""
-          SELECT id AS event_id, user_id AS device_id, session_id, event_time, event_type, processed_time FROM fx_events"""),
-        "s5_stage_source_properties": with_fx("""
-          SELECT event_id, url_full_url AS full_url, url_query, url_path, initial_referrer_host AS referrer_host,
-                 initial_referrer_full_url FROM fx_source_properties"""),
-        "s6_stage_users": with_fx("SELECT id AS device_id, uid AS user_id FROM fx_users WHERE uid IS NOT NULL"),
-        "s7_stage_custom_events": with_fx("""
-          SELECT event_id, user_id AS device_id, session_id, event_time, event_name, event_properties,
-                 cast(try_cast(json_extract_string(event_properties, '$.price') AS decimal(38,2)) AS double) AS price
-          FROM fx_custom_events"""),
-    }
-
-
-EXPORTABLE = "SELECT uid, loyalty_tier, updated_at FROM fx_export_users WHERE uid IS NOT NULL AND uid <> ''"
-
-
-def outbox(rows: str, properties: str, size: int = 100) -> str:
-    """Payload per chunk of ``size`` rows in (updated_at, uid) order."""
-    return f"""
-      SELECT n // {size} AS chunk_id, count(*) AS users, max(updated_at) AS updated_at, max_by(uid, n) AS uid,
-             '{{"requests":[' || string_agg('{{"uid":"' || uid || '","properties":' || {properties} || '}}', ',' ORDER BY n) || ']}}' AS payload
-      FROM (SELECT *, row_number() OVER (ORDER BY updated_at, uid) - 1 AS n FROM ({rows}) r) o GROUP BY 1"""
-
-
-def exports() -> dict[str, str]:
-    tier = """'{"loyalty_tier":"' || loyalty_tier || '","warehouse_synced_at":"' || strftime(updated_at, '%Y-%m-%d %H:%M:%S') || '"}'"""
-    bag = """'{"warehouse_synced":true,"warehouse_demo_cohort":"luxury_car_interest","warehouse_synced_at":"2026-06-04"}'"""
-    sample = "SELECT uid, NULL::timestamp AS updated_at FROM fx_export_users WHERE uid <> '' ORDER BY uid LIMIT 250"
-    prof = lambda table, col, kind: (
-        f"SELECT '{table}' AS table_name, '{col}' AS column_name, '{kind}' AS data_type, count({col}) AS non_null_count, "
-        f"count(DISTINCT {col}) AS approx_distinct FROM fx_{table}")
-    profile = " UNION ALL ".join([
-        prof("user_properties", "enterprise_id", "string"), prof("user_properties", "loyalty_tier", "string"),
-        prof("user_properties", "home_region", "int"), prof("page_properties", "session_id", "string"),
-        prof("page_properties", "user_id", "string"), prof("page_properties", "product_category", "string"),
-        prof("page_properties", "price_cents", "bigint"), prof("element_properties", "button_color", "string"),
-        prof("element_properties", "slot", "int")])
-    chunks = outbox(EXPORTABLE, tier)
-    epoch = "timestamp '1970-01-01 00:00:00'"
-    # The refused chunk is the first holding a change from 2001; the first run delivers those before it.
-    failed = f"""
-      WITH box AS ({chunks}), stop AS (
-        SELECT min(chunk_id) AS c, (SELECT max(chunk_id) FROM box) AS top FROM box WHERE payload LIKE '%"warehouse_synced_at":"2001-%'),
-      done AS (SELECT count(*) AS n, coalesce(sum(users), 0) AS u, max(updated_at) AS upto FROM box, stop WHERE chunk_id < c),
-      rest AS (SELECT count(*) AS n, sum(users) AS u, max(updated_at) AS upto FROM box, stop WHERE chunk_id >= c)
-      SELECT 1 AS run, CASE WHEN c = top AND (SELECT users FROM box WHERE chunk_id = top) < 100 THEN 'failed_on_final_chunk'
-               ELSE 'failed_mid_run' END AS status, n AS chunks_pushed, cast(u AS bigint) AS users_pushed, {epoch} AS previous_watermark,
-             coalesce(upto, {epoch}) AS new_watermark, 503 AS http_status, 'unavailable' AS response FROM done, stop
-      UNION ALL SELECT 2, 'ok', rest.n, cast(rest.u AS bigint), coalesce(done.upto, {epoch}), rest.upto, NULL, NULL FROM rest, done"""
-    return {
-        "s14_sync_state": with_fx(f"""
-          SELECT DISTINCT loyalty_tier AS sync_name, CASE WHEN loyalty_tier = (SELECT min(loyalty_tier) FROM fx_user_properties)
-            THEN (SELECT max(updated_at) FROM fx_export_users) ELSE {epoch} END AS last_synced_at FROM fx_user_properties"""),
-        "r6_high_watermark_delta": with_fx(
-            f"{EXPORTABLE} AND (updated_at, uid) > (timestamp '2001-01-01 00:00:00', 'c3')"),
-        "r7_ordered_chunks": with_fx(
-            f"SELECT uid, n, n // 1000 AS chunk_id FROM (SELECT uid, row_number() OVER (ORDER BY updated_at, uid) - 1 AS n FROM ({EXPORTABLE}) r) o"),
-        "k22_property_profile": with_fx(profile),
-        "k22_property_profile_estimates": with_fx(f"SELECT * EXCLUDE (approx_distinct), true AS close FROM ({profile}) p"),
-        "k23_one_time_export": with_fx(f"""
-          SELECT chunk_id, users, payload, 'ok' AS status, cast(sum(users) OVER () AS bigint) AS users_pushed FROM ({outbox(sample, bag)}) b"""),
-        "k24_incremental_export_outbox": with_fx(f"SELECT * FROM ({chunks}) b"),
-        "k24_incremental_export_report": with_fx(f"""
-          SELECT 'ok' AS status, count(*) AS chunks_pushed, cast(sum(users) AS bigint) AS users_pushed, {epoch} AS previous_watermark,
-                 max(updated_at) AS new_watermark, NULL::int AS http_status, NULL::varchar AS response FROM ({chunks}) b"""),
-        "k24_incremental_export_failed_and_resumed": with_fx(f"SELECT * FROM ({failed}) f"),
-    }
-
-
-def early_mart() -> str:
-    """The mart as it stood before the second batch: early rows, fewer identities."""
-    p = pipeline()
-    cut = "timestamp '2024-01-24 00:00:00'"
-    text = with_fx("SELECT * EXCLUDE (conversion_index) FROM mart", {**p,
-        "identity": "SELECT id AS device_id, uid FROM fx_users WHERE uid IS NOT NULL AND id NOT LIKE '%7'"})
-    return text.replace("FROM fx_events e JOIN traffic", f"FROM (SELECT * FROM fx_events WHERE event_time < {cut}) e JOIN traffic").replace(
-        "FROM fx_custom_events ce LEFT", f"FROM (SELECT * FROM fx_custom_events WHERE event_time < {cut}) ce LEFT")
-
-
-def refresh() -> dict[str, str]:
-    p = pipeline()
-    now = with_fx("SELECT * EXCLUDE (conversion_index) FROM mart", p)
-    keys = f"{_IDS}, attribution_model, attributed_revenue"
-    report = f"""
-      SELECT cast(coalesce(sum(greatest(n - o, 0)), 0) AS bigint) AS inserted_rows, cast(coalesce(sum(greatest(o - n, 0)), 0) AS bigint) AS deleted_rows,
-             cast(coalesce(sum(least(o, n)), 0) AS bigint) AS unchanged_rows FROM (
-        SELECT {keys}, sum(o) AS o, sum(n) AS n FROM (
-          SELECT {keys}, 1 AS o, 0 AS n FROM ({early_mart()}) a UNION ALL SELECT {keys}, 0, 1 FROM ({now}) b) u GROUP BY ALL) g"""
-    per_day = lambda base, select, width, slide: with_fx(f"""
-      SELECT window_start, window_start + INTERVAL {width} HOUR AS window_end, {select} FROM (
-        SELECT time_bucket(INTERVAL {slide} HOUR, event_time, timestamp '2024-01-01 00:00:00') - INTERVAL (s * {slide}) HOUR AS window_start, b.*
-        FROM fx_{base} b, range({width // slide}) r(s)) w GROUP BY 1""")
-    mart = with_fx(f"SELECT {MART_OUT} FROM mart", p)
+def all_oracles() -> dict[str, str]:
     return {
-        "r1_incremental_touchpoints": with_fx("SELECT * FROM tp", p),
-        "r2_incremental_conversions": with_fx("SELECT * FROM cv", p),
-        "r3_incremental_mart": mart,
-        "k25_refresh_report": report,
-        "rs1_streaming_touchpoints": with_fx("SELECT * EXCLUDE (week) FROM tp", p),
-        "rs2_streaming_conversions": with_fx("SELECT * FROM cv", p),
-        "rs2_streaming_mart": mart,
-        "rs3_streaming_interval_join": with_fx("SELECT * EXCLUDE (conversion_index) FROM linked", p),
-        "rs4_streaming_funnel": with_fx(FIRST_TOUCH_FUNNEL, {"hits": funnel_hits("event_time IS NOT NULL")}),
-        "rs5_streaming_daily_metrics": per_day("clicks", "count(*) AS click_count, cast(sum(fs_rage_count) AS bigint) AS rage_click_count", 24, 24),
-        "rs5_streaming_sliding_metrics": per_day(
-            "loads", "round(avg(largest_paint_time_millis), 6) AS avg_lcp, count(*) AS load_event_count", 6, 3),
+        **sql_attribution.parity(), **sql_attribution.attribution(), **sql_attribution.staging(),
+        **sql_behavior.metric_layer(), **sql_behavior.templates(), **sql_behavior.questions(),
+        **sql_behavior.operators(), **sql_jobs.exports(), **sql_jobs.refresh(),
     }
-
-
-def all_oracles() -> dict[str, str]:
-    return {**parity(), **attribution(), **staging(), **behavior_sql.metric_layer(), **behavior_sql.questions(),
-            **behavior_sql.templates(), **behavior_sql.operators(), **exports(), **refresh()}

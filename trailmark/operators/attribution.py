@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from trailmark import config as c
 from trailmark.config import AttributionConfig, work_table
+from trailmark.functions.combine import union_all
 from trailmark.functions.numbers import div0
 from trailmark.functions.time import days_before
 from trailmark.operators.ordered import DAY, time_bucket, with_following_match, with_order
@@ -171,10 +172,7 @@ def mart_from_weights(
         parts.append(distributed_credit(weights, spread).select(*columns))
     if c.FULL_CREDIT in models:
         parts.append(full_credit(weights, extra).select(*columns))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return union_all(parts)
 
 
 def attribution_mart(

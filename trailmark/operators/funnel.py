@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trailmark.config import work_table
+from trailmark.functions.combine import beside, union_all
 from trailmark.functions.numbers import safe_pct
 from trailmark.functions.time import on_local_day
 from trailmark.operators.counts import pages_of_events
@@ -64,8 +64,7 @@ def step_hits(
     hits = events.filter(in_range(F.col("event_time"))).select(
         F.col("id").alias("event_id"), "user_id", "session_id", "event_time"
     )
-    tagged = reduce(DataFrame.unionByName, tags)
-    return hits.join(tagged, "event_id").select("user_id", "session_id", "event_time", "step")
+    return hits.join(union_all(tags), "event_id").select("user_id", "session_id", "event_time", "step")
 
 
 def first_touch_times(hits: DataFrame, n_steps: int) -> DataFrame:
@@ -125,12 +124,12 @@ def chained_funnel(hits: DataFrame, n_steps: int) -> DataFrame:
     step = lambda i: hits.filter(F.col("step") == i)
     first = lambda rows: rows.groupBy("user_id", "session_id").agg(F.min("event_time").alias("at"))
     times = first(step(1))
-    counts = times.agg(F.countDistinct("session_id").alias("stp1_sessions"))
+    sessions = lambda i: times.agg(F.countDistinct("session_id").alias(f"stp{i}_sessions"))
+    counts = [sessions(1)]
     for i in range(2, n_steps + 1):
         times = first(after_session_mark(step(i), times, "at"))
-        # Both sides are one-row aggregates.
-        counts = counts.crossJoin(times.agg(F.countDistinct("session_id").alias(f"stp{i}_sessions")))
-    return with_rates(counts, n_steps)
+        counts.append(sessions(i))
+    return with_rates(beside(counts), n_steps)
 
 
 def step_session_counts(hits: DataFrame) -> DataFrame:

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trailmark.functions.combine import union_all
+
 # Columns every property table has by itself.
 RESERVED: dict[str, tuple[str, ...]] = {
     "user_properties": ("user_id", "last_updated_time", "processed_time", "updated_time"),
@@ -41,4 +42,4 @@ def property_profile(tables: Mapping[str, DataFrame], exact: bool = False) -> Da
                      F.col(f"n{i}").alias("non_null_count"), F.col(f"d{i}").alias("approx_distinct"))
             for i, c in enumerate(columns)])
         parts.append(df.agg(*aggs).select(F.lit(table).alias("table_name"), F.inline(cells)))
-    return reduce(DataFrame.unionByName, parts)
+    return union_all(parts)

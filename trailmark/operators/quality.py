@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trailmark import config as c
+from trailmark.functions.combine import union_all
 
 _CONVERSION = ["user_id", "converted_at", "conversion_index"]
 
@@ -25,10 +25,6 @@ def _violations(df: DataFrame, broken: Column, context: Column, assertion: Colum
     return df.filter(broken).select("user_id", context.alias("context"), assertion.alias("assertion"))
 
 
-def _all(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
-
-
 def revenue_integrity(mart: DataFrame, tolerance: float = 0.01) -> DataFrame:
     """Model pairs of a conversion whose totals differ.
 
@@ -66,7 +62,7 @@ def session_ordering(mart: DataFrame) -> DataFrame:
         F.min("session_number").alias("lo"), F.max("session_number").alias("hi"),
         F.max("total_sessions_for_conversion").alias("declared"),
     )
-    return _all([
+    return union_all([
         _violations(rows, F.col("session_start_time") >= F.col("converted_at"), F.col("session_id"),
                     F.lit("session_start_time >= converted_at")),
         _violations(stats, F.col("lo") != 1, _moment("converted_at"),
@@ -97,7 +93,7 @@ def completeness(
     if allow_unpaid:
         partial = partial & (F.col("top") > 0)
     repeats = mart.groupBy("user_id", "session_id", "converted_at", "attribution_model").count()
-    return _all([
+    return union_all([
         _violations(counts, partial, _moment("converted_at"),
                     F.concat(F.lit("only "), _text("found"), F.lit(f" of {expected} attribution models present"))),
         _violations(repeats, F.col("count") > 1, F.col("session_id"),

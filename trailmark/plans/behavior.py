@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trailmark.config import work_table
+from trailmark.functions.combine import beside
 from trailmark.functions.numbers import ratio
 from trailmark.functions.time import DEFAULT_PERIOD, Period, period
 from trailmark.operators.ordered import with_order
@@ -228,8 +228,7 @@ class Analysis:
         """Users who did something, all active users, and the share."""
         did = self.users_with(base, conditions, when).agg(F.count(F.lit(1)).alias("users"))
         everyone = self.rows("events", when=when).agg(F.countDistinct("user_id").alias("active_users"))
-        # Both sides are one-row aggregates.
-        return did.crossJoin(everyone).withColumn("share", ratio(F.col("users"), F.col("active_users")))
+        return beside([did, everyone]).withColumn("share", ratio(F.col("users"), F.col("active_users")))
 
     def frustrated_with_errors(self, pages: Sequence[str], when: str | Period | None = None) -> DataFrame:
         """Users frustrated on the given pages who also met an exception there."""
@@ -283,8 +282,4 @@ def with_z_score(series: DataFrame, measure: str, by: Sequence[str], history: in
     )
 
 
-def union_all(parts: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
-
-
 __all__ = ["Analysis", "SESSIONS", "VISITORS", "top", "with_change", "with_z_score"]

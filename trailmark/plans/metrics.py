@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trailmark.functions.combine import beside
 from trailmark.functions.time import Period, local_time
 from trailmark.plans.model import TABLES, find_column, route
 
@@ -252,13 +252,7 @@ def metric_query(
         mine = [m for m in chosen if m.base == base]
         grouped = rows.groupBy(*[f"_by_{x}" for x in labels]).agg(*[F.expr(m.sql).alias(m.name) for m in mine])
         parts.append(grouped.withColumnsRenamed({f"_by_{x}": x for x in labels}))
-    if len(parts) == 1:
-        out = parts[0]
-    else:
-        # One row per group and base: stacking and taking the only value present equals a full
-        # outer join that treats NULL dimensions as equal.
-        stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-        out = stacked.groupBy(*labels).agg(*[F.max(m.name).alias(m.name) for m in chosen])
+    out = parts[0] if len(parts) == 1 else beside(parts, list(labels))
     out = out.select(*labels, *[m.name for m in chosen])
     return top(out, order_by, list(labels), descending, limit) if order_by else out
 

@@ -48,10 +48,6 @@ def events_named(name: str) -> Metric:
     return Metric("named_event_count", "custom_events", f"count_if(event_name = '{name}')")
 
 
-def _below(fact: str, limit: float, **names: str) -> Column:
-    return F.col(fact) < limit
-
-
 def questions(a: Analysis, site: Site = Site()) -> dict[str, Callable[[], DataFrame]]:
     """Question name to a function building its answer."""
     converted, signed_up = events_named(site.conversion), events_named(site.signup)
@@ -79,11 +75,10 @@ def questions(a: Analysis, site: Site = Site()) -> dict[str, Callable[[], DataFr
         return seen.filter(F.col("n") > pages).agg(F.countDistinct("user_id").alias("users"))
 
     def mobile_share():
-        per_device = a.metrics([VISITORS], DEVICE, {"device type": "Mobile"})
-        everyone = a.metrics([Metric("all_visitors", "events", "count(distinct user_id)")])
-        # Both sides are one-row aggregates.
-        mobile = per_device.agg(F.coalesce(F.sum("visitors"), F.lit(0)).alias("mobile_users"))
-        return mobile.crossJoin(everyone).withColumn("share", ratio(F.col("mobile_users"), F.col("all_visitors")))
+        on_mobile = F.when(F.col("device") == "Mobile", F.col("user_id"))
+        return a.rows("events", DEVICE).agg(
+            F.countDistinct(on_mobile).alias("mobile_users"), F.countDistinct("user_id").alias("all_visitors"),
+        ).withColumn("share", ratio(F.col("mobile_users"), F.col("all_visitors")))
 
     def drop_off():
         counts = funnel.first_touch_funnel(hits(PURCHASE_FUNNEL), len(PURCHASE_FUNNEL))

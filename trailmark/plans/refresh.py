@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailmark.config import AttributionConfig, work_table
+from trailmark.functions.combine import beside
 from trailmark.functions.time import Period, days_before
 from trailmark.operators import attribution, conversions, touchpoints
 from trailmark.sources import staging
@@ -248,10 +249,9 @@ class AttributionStore:
         old = self.read("mart", touched)
         replaced = old.join(affected, "user_id", "left_semi")
         kept = old.join(affected, "user_id", "left_anti")
-        all_rows = self.read("mart").agg(F.count(F.lit(1)).alias("rows"))
+        everything = self.read("mart").agg(F.count(F.lit(1)).alias("rows"))
         gone = replaced.agg(F.count(F.lit(1)).alias("gone"))
-        # All three are one-row aggregates.
-        changes = row_changes(replaced.select(*new.columns), new).crossJoin(all_rows).crossJoin(gone)
+        changes = beside([row_changes(replaced.select(*new.columns), new), everything, gone])
         report = work_table(changes.select(
             "inserted_rows", "deleted_rows",
             (F.col("unchanged_rows") + F.col("rows") - F.col("gone")).alias("unchanged_rows")), "report")

@@ -11,6 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from trailmark.config import AttributionConfig
 from trailmark.functions.time import days_before
@@ -19,17 +20,17 @@ from trailmark.operators.ordered import DAY, time_bucket
 from trailmark.plans.metrics import Metric, metric
 from trailmark.plans.refresh import AttributionStore
 
-_BATCH = "_batch"
+_BATCH = "batch"
 
 
 def append_updates(stream: DataFrame, path: str, checkpoint: str, trigger: dict) -> StreamingQuery:
-    """Write update-mode output to a log of (row, batch).
+    """Write update-mode output to a log with one folder per micro-batch.
 
     A replayed batch overwrites its own folder, so restarts do not duplicate rows.
     """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/{_BATCH}={batch_id}")
+    def write(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{path}/{_BATCH}={batch_id}")
 
     return (
         stream.writeStream.outputMode("update").foreachBatch(write)
@@ -37,11 +38,10 @@ def append_updates(stream: DataFrame, path: str, checkpoint: str, trigger: dict)
     )
 
 
-def latest(spark: SparkSession, path: str, keys: Sequence[str], schema) -> DataFrame:
+def latest(spark: SparkSession, path: str, keys: Sequence[str], schema: StructType) -> DataFrame:
     """The newest version of each key in an update log."""
-    log = spark.read.schema(schema).option("basePath", path).parquet(path)
-    log = log.withColumn(_BATCH, F.regexp_extract(F.input_file_name(), f"{_BATCH}=([0-9]+)", 1).cast("long"))
-    values = [c for c in log.columns if c not in (*keys, _BATCH)]
+    log = spark.read.schema(StructType([*schema.fields, StructField(_BATCH, LongType())])).parquet(path)
+    values = [f.name for f in schema.fields if f.name not in keys]
     newest = log.groupBy(*keys).agg(F.max_by(F.struct(*values), _BATCH).alias("v"))
     return newest.select(*keys, "v.*")
 
