@@ -60,6 +60,7 @@ TEMPLATES: dict[str, Build] = {
     "b03_weekly_trend": lambda t: analysis(t).trend(["avg_inp", "poor_inp_count"], "week", "all"),
     "b04_share_by_segment": lambda t: analysis(t).share(
         "loads", F.col("time_to_first_byte_millis") < 800, {"device": "device type"}),
+    "b04_vital_ratings": lambda t: analysis(t).vital_ratings(("lcp", "cls score", "inp", "ttfb"), "all"),
     "b05_side_by_side": lambda t: analysis(t).side_by_side(
         "page_view_count", "device type", "Mobile", "Desktop", {"country": "country"}),
     "b06_change_by_segment": lambda t: analysis(t).period_over_period(["event_count"], "week", {"device": "device type"}),

@@ -47,7 +47,7 @@ def k24_outbox(t: Star) -> DataFrame:
 def k24_report(t: Star) -> DataFrame:
     report, _ = export.export_updated_user_properties(
         export_users(t.spark, t.sf_dir), _state(t), batch_size=100, transport=_ACCEPT)
-    return report
+    return report.drop("http_status", "response")
 
 
 def k24_failed(t: Star) -> DataFrame:
@@ -55,7 +55,8 @@ def k24_failed(t: Star) -> DataFrame:
     state, users = _state(t), export_users(t.spark, t.sf_dir)
     first, _ = export.export_updated_user_properties(users, state, batch_size=100, transport=_reject_late, wave=4)
     second, _ = export.export_updated_user_properties(users, state, batch_size=100, transport=_ACCEPT, wave=4)
-    return first.withColumn("run", F.lit(1)).unionByName(second.withColumn("run", F.lit(2)))
+    return first.withColumn("run", F.lit(1)).unionByName(second.withColumn("run", F.lit(2))).fillna(
+        {"http_status": 0, "response": ""})
 
 
 def r06(t: Star) -> DataFrame:

@@ -445,6 +445,14 @@ def templates() -> dict[str, str]:
         "b02_top_n_by_dimension": top("click_count", {"city": "city"}, 7),
         "b03_weekly_trend": m(["avg_inp", "poor_inp_count"], {"bucket": "week"}, when=ALL),
         "b04_share_by_segment": share("loads", "time_to_first_byte_millis < 800", D),
+        "b04_vital_ratings": " UNION ALL ".join(
+            f"SELECT '{v}' AS vital, count(*) AS readings, count(CASE WHEN {c} < {g} THEN 1 END) AS good, "
+            f"count(CASE WHEN {c} {p} THEN 1 END) AS poor, round(count(CASE WHEN {c} < {g} THEN 1 END) / count(*), 6) AS good_share FROM fx_{b}"
+            for v, b, c, g, p in [
+                ("lcp", "loads", "largest_paint_time_millis", 2500, ">= 2500"),
+                ("cls score", "cumulative_layout_shifts", "cumulative_layout_shift", 0.1, "> 0.25"),
+                ("inp", "interaction_to_next_paints", "interaction_to_next_paint_millis", 200, "> 500"),
+                ("ttfb", "loads", "time_to_first_byte_millis", 800, ">= 800")]),
         "b05_side_by_side": f"""SELECT country, max(CASE WHEN segment = 'Mobile' THEN page_view_count END) AS left_value,
             max(CASE WHEN segment = 'Desktop' THEN page_view_count END) AS right_value,
             max(CASE WHEN segment = 'Mobile' THEN page_view_count END) - max(CASE WHEN segment = 'Desktop' THEN page_view_count END) AS difference

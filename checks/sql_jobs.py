@@ -40,7 +40,7 @@ def exports() -> dict[str, str]:
       SELECT 1 AS run, CASE WHEN c = top AND (SELECT users FROM box WHERE chunk_id = top) < 100 THEN 'failed_on_final_chunk'
                ELSE 'failed_mid_run' END AS status, n AS chunks_pushed, cast(u AS bigint) AS users_pushed, {epoch} AS previous_watermark,
              coalesce(upto, {epoch}) AS new_watermark, 503 AS http_status, 'unavailable' AS response FROM done, stop
-      UNION ALL SELECT 2, 'ok', rest.n, cast(rest.u AS bigint), coalesce(done.upto, {epoch}), rest.upto, NULL, NULL FROM rest, done"""
+      UNION ALL SELECT 2, 'ok', rest.n, cast(rest.u AS bigint), coalesce(done.upto, {epoch}), rest.upto, 0, '' FROM rest, done"""
     return {
         "s14_sync_state": with_fx(f"""
           SELECT DISTINCT loyalty_tier AS sync_name, CASE WHEN loyalty_tier = (SELECT min(loyalty_tier) FROM fx_user_properties)
@@ -56,7 +56,7 @@ def exports() -> dict[str, str]:
         "k24_incremental_export_outbox": with_fx(f"SELECT * FROM ({chunks}) b"),
         "k24_incremental_export_report": with_fx(f"""
           SELECT 'ok' AS status, count(*) AS chunks_pushed, cast(sum(users) AS bigint) AS users_pushed, {epoch} AS previous_watermark,
-                 max(updated_at) AS new_watermark, NULL::int AS http_status, NULL::varchar AS response FROM ({chunks}) b"""),
+                 max(updated_at) AS new_watermark FROM ({chunks}) b"""),
         "k24_incremental_export_failed_and_resumed": with_fx(f"SELECT * FROM ({failed}) f"),
     }
 

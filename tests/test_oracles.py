@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
-from checks.compare import connect, duck_rows, spark_rows
+from checks.compare import connect, duck_rows, spark_rows, type_differences
 from tests.conftest import SF
 
 QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
@@ -21,7 +21,9 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", QUERIES)
 def test_matches_oracle(spark, duck, name):
-    assert spark_rows(QUERIES[name](spark, SF)) == duck_rows(duck, ORACLES[name])
+    df = QUERIES[name](spark, SF)
+    assert spark_rows(df) == duck_rows(duck, ORACLES[name])
+    assert not type_differences(df, duck, ORACLES[name])
 
 
 def test_entry(spark):

@@ -18,9 +18,6 @@ _RESPONSE_CHARS = 500
 # Delivers one JSON payload, returns (status code, response text).  Runs on executors.
 Transport = Callable[[str], tuple[int, str]]
 
-REPORT = ("status string, chunks_pushed long, users_pushed long, previous_watermark timestamp, "
-          "new_watermark timestamp, http_status int, response string")
-
 
 def exportable(users: DataFrame) -> DataFrame:
     return users.filter(F.col("uid").isNotNull() & (F.col("uid") != ""))
@@ -99,10 +96,12 @@ def export_updated_user_properties(
     users: DataFrame, state: SyncState, sync_name: str = "user_props",
     properties: Sequence[str] = ("loyalty_tier",), batch_size: int = BATCH_SIZE,
     transport: Transport | None = None, wave: int = 16, strict_timestamp: bool = False,
-    outbox_path: str | None = None,
+    outbox_path: str | None = None, log_path: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Export users changed since the watermark.  Returns (run report, outbox).
 
+    ``log_path`` collects the reports of all runs.
+
     Executors write all payloads to the outbox.  Without a transport that is the delivery and the
     watermark moves to its end.  With one, chunks go out in order in waves of ``wave``; the
     watermark follows the unbroken run of delivered chunks and the run stops at the first failure,
@@ -133,6 +132,8 @@ def export_updated_user_properties(
             F.lit(cursor.at).cast("timestamp").alias("previous_watermark"),
             F.lit(new).cast("timestamp").alias("new_watermark"), F.lit(code).cast("int").alias("http_status"),
             F.lit(text).cast("string").alias("response"))
+        if log_path:
+            row.withColumn("finished_at", F.current_timestamp()).write.mode("append").parquet(log_path)
         return row, outbox
 
     total, all_users, end = end_of(outbox)

@@ -9,12 +9,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trailmark.config import work_table
-from trailmark.functions.combine import beside
+from trailmark.functions.combine import beside, union_all
 from trailmark.functions.numbers import ratio
 from trailmark.functions.time import DEFAULT_PERIOD, Period, period
 from trailmark.operators.ordered import with_order
 from trailmark.plans.metrics import (
-    SESSIONS, VISITORS, Condition, Metric, _condition, base_rows, metric, metric_query, top,
+    FACTS, WEB_VITAL_THRESHOLDS, Condition, Metric, base_rows, metric, metric_query, satisfies, top,
 )
 
 Tables = Mapping[str, DataFrame]
@@ -72,6 +72,20 @@ class Analysis:
             ratio(F.count_if(condition), F.count(F.lit(1))).alias("share"),
         )
 
+    def vital_ratings(self, vitals: Sequence[str] = ("lcp", "cls score", "inp"), when: str | Period | None = None) -> DataFrame:
+        """Readings, good readings and poor readings per web vital.  Without a poor limit, anything
+        not good is poor."""
+        parts = []
+        for vital in vitals:
+            base, column = FACTS[vital]
+            good, poor = WEB_VITAL_THRESHOLDS[vital]
+            value = F.col(column)
+            bad = value >= good if poor is None else value > poor
+            parts.append(self.rows(base, when=when).filter(value.isNotNull()).agg(
+                F.count(F.lit(1)).alias("readings"), F.count_if(value < good).alias("good"),
+                F.count_if(bad).alias("poor")).withColumn("vital", F.lit(vital)))
+        return union_all(parts).withColumn("good_share", ratio(F.col("good"), F.col("readings")))
+
     def ratio_of(
         self, part: str | Metric, whole: str | Metric, by: Sequence[str] | Mapping[str, str] = (),
         where: Mapping[str, Condition] | None = None, when: str | Period | None = None, name: str = "rate",
@@ -219,7 +233,7 @@ class Analysis:
         dims = {f"_c{i}": name for i, name in enumerate(conditions or {})}
         rows = self.rows(base, dims, when)
         for label, wanted in zip(dims, (conditions or {}).values()):
-            rows = rows.filter(_condition(F.col(label), wanted))
+            rows = rows.filter(satisfies(F.col(label), wanted))
         return rows.select("user_id").distinct()
 
     def adoption(
@@ -280,6 +294,3 @@ def with_z_score(series: DataFrame, measure: str, by: Sequence[str], history: in
         .withColumn("z_score", F.try_divide(value - F.col("trailing_mean"), F.nullif(F.col("trailing_stddev"), F.lit(0.0))))
         .withColumn("ratio_to_mean", F.try_divide(value, F.nullif(F.col("trailing_mean"), F.lit(0.0))))
     )
-
-
-__all__ = ["Analysis", "SESSIONS", "VISITORS", "top", "with_change", "with_z_score"]

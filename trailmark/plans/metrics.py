@@ -127,9 +127,15 @@ WEB_VITAL_THRESHOLDS: dict[str, tuple[float, float | None]] = {
     "tbt": (200, None), "cls score": (0.1, 0.25), "fid": (100, None), "inp": (200, 500),
 }
 
+
+def distinct_count(name: str, base: str, column: str, approximate: bool = False) -> Metric:
+    """Distinct values of a column; the estimate keeps a fixed-size sketch per group."""
+    return Metric(name, base, f"approx_count_distinct({column})" if approximate else f"count(distinct {column})")
+
+
 # Distinct counts of the event table's own keys.
-SESSIONS = Metric("sessions", "events", "count(distinct session_id)")
-VISITORS = Metric("visitors", "events", "count(distinct user_id)")
+SESSIONS = distinct_count("sessions", "events", "session_id")
+VISITORS = distinct_count("visitors", "events", "user_id")
 
 _BY_NAME: dict[str, Metric] = {}
 for _metric in (*METRICS, *EXTRA_METRICS):
@@ -168,7 +174,8 @@ TIME_GRAINS: dict[str, Callable[[Column], Column]] = {
 Condition = Any
 
 
-def _condition(col: Column, wanted: Condition) -> Column:
+def satisfies(col: Column, wanted: Condition) -> Column:
+    """A value, a list of values, None for missing, or a function of the column."""
     if callable(wanted):
         return wanted(col)
     if isinstance(wanted, (list, tuple, set)):
@@ -248,7 +255,7 @@ def metric_query(
         dims |= {f"_where_{i}": name for i, name in enumerate(where)}
         rows = base_rows(tables, base, dims, period, tz)
         for i, wanted in enumerate(where.values()):
-            rows = rows.filter(_condition(F.col(f"_where_{i}"), wanted))
+            rows = rows.filter(satisfies(F.col(f"_where_{i}"), wanted))
         mine = [m for m in chosen if m.base == base]
         grouped = rows.groupBy(*[f"_by_{x}" for x in labels]).agg(*[F.expr(m.sql).alias(m.name) for m in mine])
         parts.append(grouped.withColumnsRenamed({f"_by_{x}": x for x in labels}))

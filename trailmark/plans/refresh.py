@@ -100,6 +100,11 @@ class AttributionStore:
             df = df.filter(F.col(BUCKET).isin(buckets))
         return df.filter(F.col(_KEYS[name]).isNotNull()).drop(BUCKET)
 
+    def _row_count(self, name: str) -> DataFrame:
+        """Stored rows without the one marker per bucket; reads file footers only."""
+        df = self.spark.read.schema(self._schema(name)).parquet(self._path(name))
+        return df.agg((F.count(F.lit(1)) - F.countDistinct(BUCKET)).alias("rows"))
+
     def _touched(self, keys: DataFrame, key: str) -> list[int]:
         """Bucket numbers of some keys; at most ``buckets`` integers."""
         rows = keys.select(self._bucket_of(key).alias(BUCKET)).distinct().collect()
@@ -249,7 +254,7 @@ class AttributionStore:
         old = self.read("mart", touched)
         replaced = old.join(affected, "user_id", "left_semi")
         kept = old.join(affected, "user_id", "left_anti")
-        everything = self.read("mart").agg(F.count(F.lit(1)).alias("rows"))
+        everything = self._row_count("mart")
         gone = replaced.agg(F.count(F.lit(1)).alias("gone"))
         changes = beside([row_changes(replaced.select(*new.columns), new), everything, gone])
         report = work_table(changes.select(
