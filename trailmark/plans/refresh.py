@@ -9,8 +9,9 @@ What is stored is split so that a batch never needs old events:
 
 The first two do not depend on who a device belongs to, so a late identification only re-maps
 small rows.  A refresh finds the users a batch touches (new rows, changed identity, rows that left
-the lookback), recomputes those users completely from the stored rows, and rewrites only the hash
-buckets they live in.  The result equals a full recomputation.  Re-running a batch is harmless.
+the lookback) and, per user, the earliest moment anything changed.  Conversions before it keep
+their paths; later ones are recomputed from the stored rows, and only the hash buckets of touched
+users are rewritten.  The result equals a full recomputation.  Re-running a batch is harmless.
 """
 
 from __future__ import annotations
@@ -157,20 +158,18 @@ class AttributionStore:
         ``as_of`` moves, sessions cut by the lookback are rebuilt from ``history`` (all events and
         their context rows).
         """
+        moved = as_of is not None or self.cfg.as_of is None
         if as_of is not None:
             self.cfg = self.cfg.but(as_of=as_of)
         sp = same_time_range(events, source_properties)
         fresh = work_table(touchpoints.device_touchpoints(events, sp, self.cfg), "fresh-touchpoints")
         sold = work_table(conversions.device_conversions(custom_events, self.cfg), "fresh-conversions")
-        expired, expired_sales = self._expired()
-        rebuilt = self._rebuilt(expired, history)
+        expired, expired_sales = self._expired(moved)
+        rebuilt = self._rebuilt(expired, history) if moved and history is not None else None
         identities = work_table(staging.stage_users(users), "identities")
-        changed = work_table(
-            self._identity_changes(identities), "identity-changes")
-        devices = work_table(
-            fresh.select("device_id").union(sold.select("device_id")).union(expired.select("device_id"))
-            .union(expired_sales.select("device_id")).union(changed.select("device_id")).distinct(), "devices")
-        affected = work_table(self._affected_users(devices, identities, changed), "affected")
+        changed = work_table(self._identity_changes(identities), "identity-changes")
+        affected = work_table(
+            self._affected_users(fresh, sold, expired, expired_sales, identities, changed), "affected")
 
         self._merge_touchpoints(fresh, expired, rebuilt)
         self._merge_conversions(sold, expired_sales)
@@ -183,17 +182,18 @@ class AttributionStore:
     def _sale_cutoff(self) -> Column:
         return days_before(self.cfg.now(), self.cfg.lookback_days)
 
-    def _expired(self) -> tuple[DataFrame, DataFrame]:
-        """Stored rows that left the lookback."""
-        old = self.read("device_touchpoints").filter(F.col("best.event_time") < self._touch_cutoff())
-        old_sales = self.read("device_conversions").filter(F.col("converted_at") < self._sale_cutoff())
-        return (work_table(old.select("session_id", "device_id"), "expired"),
-                work_table(old_sales.select("device_id", "event_id"), "expired-sales"))
-
-    def _rebuilt(self, expired: DataFrame, history: tuple[DataFrame, DataFrame] | None) -> DataFrame | None:
+    def _expired(self, moved: bool) -> tuple[DataFrame, DataFrame]:
+        """Stored rows that left the lookback; none while the lookback stands still."""
+        old = self.read("device_touchpoints").select("session_id", "device_id", "best")
+        old_sales = self.read("device_conversions").select("device_id", "event_id", "converted_at")
+        if not moved:
+            return old.drop("best").limit(0), old_sales.drop("converted_at").limit(0)
+        gone = old.filter(F.col("best.event_time") < self._touch_cutoff())
+        gone_sales = old_sales.filter(F.col("converted_at") < self._sale_cutoff())
+        return work_table(gone.drop("best"), "expired"), work_table(gone_sales.drop("converted_at"), "expired-sales")
+
+    def _rebuilt(self, expired: DataFrame, history: tuple[DataFrame, DataFrame]) -> DataFrame:
         """Expired sessions that go on after the cutoff, from their remaining events."""
-        if history is None:
-            return None
         events, sp = history
         keys = expired.withColumnRenamed("device_id", "user_id")
         left = Period(start=self._touch_cutoff()).holds(F.col("event_time"))
@@ -207,13 +207,31 @@ class AttributionStore:
         per_device = both.groupBy("device_id").agg(F.max("old").alias("old"), F.max("new").alias("new"))
         return per_device.filter(~F.col("old").eqNullSafe(F.col("new")))
 
-    def _affected_users(self, devices: DataFrame, identities: DataFrame, changed: DataFrame) -> DataFrame:
-        current = devices.join(identities, "device_id", "left").select(F.coalesce("user_id", "device_id").alias("user_id"))
-        return (
-            current.union(devices.select("device_id"))
-            .union(changed.filter(F.col("old").isNotNull()).select("old"))
-            .distinct()
+    def _affected_users(
+        self, fresh: DataFrame, sold: DataFrame, expired: DataFrame, expired_sales: DataFrame,
+        identities: DataFrame, changed: DataFrame,
+    ) -> DataFrame:
+        """(user_id, since): users whose paths may differ, and from which moment.
+
+        A touchpoint only bears on later conversions and a conversion on itself and later ones.  A
+        session's touchpoint may move, so its stored times count as well as the new one.
+        Expired rows and changed identities reopen the user's whole history.
+        """
+        always = F.lit("0001-01-01 00:00:00").cast("timestamp")
+        at = F.col("best.event_time").alias("since")
+        stored = self.read("device_touchpoints").join(fresh.select("session_id").distinct(), "session_id", "left_semi")
+        dated = (
+            fresh.select("device_id", at).union(stored.select("device_id", at))
+            .union(sold.select("device_id", F.col("converted_at").alias("since")))
+            .groupBy("device_id").agg(F.min("since").alias("since"))
         )
+        reopened = expired.select("device_id").union(expired_sales.select("device_id")).union(changed.select("device_id"))
+        devices = dated.union(reopened.distinct().select("device_id", always.alias("since")))
+        current = devices.join(identities, "device_id", "left").select(
+            F.coalesce("user_id", "device_id").alias("user_id"), "since")
+        # Rows of a device that has just been identified still stand under the device's own id.
+        former = changed.select(F.coalesce("old", "device_id").alias("user_id"), always.alias("since"))
+        return current.union(former).groupBy("user_id").agg(F.min("since").alias("since"))
 
     def _merge_touchpoints(self, fresh: DataFrame, expired: DataFrame, rebuilt: DataFrame | None) -> None:
         incoming = fresh if rebuilt is None else fresh.unionByName(rebuilt)
@@ -241,24 +259,32 @@ class AttributionStore:
             "members")
         buckets = self._touched(members, "device_id")
         users = identities.select(F.col("device_id").alias("id"), F.col("user_id").alias("uid"))
-        mine = lambda df: df.join(affected, "user_id", "left_semi")
-        tp = mine(touchpoints.identity_touchpoints(
-            self.read("device_touchpoints", buckets).join(members, "device_id", "left_semi"), users))
-        sales = mine(touchpoints.with_identity(
-            self.read("device_conversions", buckets).join(members, "device_id", "left_semi"), users))
-        cv = conversions.ordered_conversions(work_table(sales, "sales"))
-        new = work_table(attribution.attribution_mart(
-            work_table(tp, "touchpoints"), work_table(cv, "conversions"), self.cfg), "new-mart")
+        stored = lambda name: self.read(name, buckets).join(members, "device_id", "left_semi")
+        dated = lambda df: df.join(affected, "user_id")
+
+        # Touchpoints that can reach a conversion at or after ``since``.
+        reach = days_before(F.col("since"), self.cfg.attribution_window_days)
+        tp = dated(touchpoints.identity_touchpoints(stored("device_touchpoints"), users)).filter(
+            F.col("event_time") >= reach).drop("since")
+        # Conversions to recompute, and the one before them, which closes the first path.
+        sales = work_table(dated(touchpoints.with_identity(stored("device_conversions"), users)), "sales")
+        before = F.col("converted_at") < F.col("since")
+        last_before = sales.filter(before).groupBy("user_id").agg(F.max("converted_at").alias("converted_at"))
+        needed = sales.filter(~before).unionByName(sales.join(last_before, ["user_id", "converted_at"], "left_semi"))
+        cv = conversions.ordered_conversions(work_table(needed.drop("since"), "needed-sales"))
+        paths = attribution.attribution_mart(work_table(tp, "touchpoints"), work_table(cv, "conversions"), self.cfg)
+        open_again = F.col("converted_at") >= F.col("since")
+        new = work_table(dated(paths).filter(open_again).select(*paths.columns), "new-mart")
 
         touched = self._touched(affected, "user_id")
-        old = self.read("mart", touched)
-        replaced = old.join(affected, "user_id", "left_semi")
-        kept = old.join(affected, "user_id", "left_anti")
+        old = self.read("mart", touched).join(affected, "user_id", "left").withColumn(
+            "_again", F.coalesce(open_again, F.lit(False))).drop("since")
+        replaced, kept = old.filter("_again").drop("_again"), old.filter(~F.col("_again")).drop("_again")
         everything = self._row_count("mart")
         gone = replaced.agg(F.count(F.lit(1)).alias("gone"))
         changes = beside([row_changes(replaced.select(*new.columns), new), everything, gone])
         report = work_table(changes.select(
             "inserted_rows", "deleted_rows",
             (F.col("unchanged_rows") + F.col("rows") - F.col("gone")).alias("unchanged_rows")), "report")
-        self._replace("mart", kept.unionByName(new), touched)
+        self._replace("mart", kept.select(*new.columns).unionByName(new), touched)
         return report
