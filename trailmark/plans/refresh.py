@@ -271,7 +271,7 @@ class AttributionStore:
         before = F.col("converted_at") < F.col("since")
         last_before = sales.filter(before).groupBy("user_id").agg(F.max("converted_at").alias("converted_at"))
         needed = sales.filter(~before).unionByName(sales.join(last_before, ["user_id", "converted_at"], "left_semi"))
-        cv = conversions.ordered_conversions(work_table(needed.drop("since"), "needed-sales"))
+        cv = conversions.ordered_conversions(needed.drop("since"))
         paths = attribution.attribution_mart(work_table(tp, "touchpoints"), work_table(cv, "conversions"), self.cfg)
         open_again = F.col("converted_at") >= F.col("since")
         new = work_table(dated(paths).filter(open_again).select(*paths.columns), "new-mart")
