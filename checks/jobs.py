@@ -33,7 +33,7 @@ def _state(t: Star) -> SyncState:
 
 def k23(t: Star) -> DataFrame:
     """Outbox of the one-time export, users unpacked."""
-    bag = {"warehouse_synced": True, "warehouse_demo_cohort": "luxury_car_interest", "warehouse_synced_at": "2026-06-04"}
+    bag = {"warehouse_synced": True, "cohort": "spring", "warehouse_synced_at": "2024-01-30"}
     report, outbox = export.export_user_properties(export_users(t.spark, t.sf_dir), 250, bag, batch_size=100)
     done = report.first()
     return outbox.withColumns({"status": F.lit(done["status"]), "users_pushed": F.lit(done["users_pushed"])})

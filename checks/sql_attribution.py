@@ -10,19 +10,17 @@ LOCAL_DAY = "cast(event_time - INTERVAL 7 HOUR AS date) = date '2024-01-10'"
 AS_OF = "timestamp '2024-01-31 00:00:00'"
 
 
+STEP_NAMES = """(VALUES ('ProductPage', 1), ('Search', 1), ('Checkout Billing', 2), ('Checkout Payment', 3),
+  ('Checkout Review', 4)) st(name, step)"""
+
+
 def funnel_hits(where: str) -> str:
     return f"""
-      SELECT e.user_id, e.session_id, e.event_time,
-             CASE WHEN pd.name IN ('ProductPage', 'Search') THEN 1 WHEN pd.name = 'Checkout Billing' THEN 2
-                  WHEN pd.name = 'Checkout Payment' THEN 3 WHEN pd.name = 'Checkout Review' THEN 4 END AS step
-      FROM fx_events e JOIN fx_source_properties sp ON e.id = sp.event_id
-      JOIN fx_page_definitions pd ON sp.page_definition_id = pd.id
-      WHERE {where.replace('event_time', 'e.event_time')}
-        AND pd.name IN ('ProductPage', 'Search', 'Checkout Billing', 'Checkout Payment', 'Checkout Review')
-      UNION ALL
-      SELECT e.user_id, e.session_id, e.event_time, 5
-      FROM fx_events e JOIN fx_custom_events ce ON e.id = ce.event_id
-      WHERE {where.replace('event_time', 'e.event_time')} AND ce.event_name = 'Checkout Success'"""
+      SELECT e.user_id, e.session_id, e.event_time, tag.step
+      FROM (SELECT * FROM fx_events WHERE {where}) e JOIN (
+        SELECT sp.event_id, st.step FROM fx_source_properties sp
+        JOIN fx_page_definitions pd ON pd.id = sp.page_definition_id JOIN {STEP_NAMES} ON st.name = pd.name
+        UNION ALL SELECT event_id, 5 FROM fx_custom_events WHERE event_name = 'Checkout Success') tag ON tag.event_id = e.id"""
 
 
 def rates(n: int = 5) -> str:
@@ -70,11 +68,10 @@ def traffic(strict: bool = False) -> str:
     ref = "ref" if strict else "nullif(ref, '')"
     return f"""
       SELECT event_id,
-        CASE WHEN gclid IS NOT NULL OR fbclid IS NOT NULL THEN 'cpc' WHEN utm_medium IS NOT NULL THEN utm_medium
-             WHEN ref ILIKE '%google.%' OR ref ILIKE '%bing.%' THEN 'organic'
-             WHEN ref IS NOT NULL AND ref <> '' THEN 'referral' ELSE 'direct' END AS medium,
-        coalesce(CASE WHEN gclid IS NOT NULL THEN 'google' END, CASE WHEN fbclid IS NOT NULL THEN 'facebook' END,
-                 utm_source, {ref}, 'direct') AS source,
+        CASE WHEN coalesce(gclid, fbclid) IS NOT NULL THEN 'cpc' ELSE coalesce(utm_medium,
+          CASE WHEN regexp_matches(ref, '(google|bing)[.]', 'i') THEN 'organic' WHEN length(ref) > 0 THEN 'referral' END,
+          'direct') END AS medium,
+        coalesce(if(gclid IS NULL, NULL, 'google'), if(fbclid IS NULL, NULL, 'facebook'), utm_source, {ref}, 'direct') AS source,
         coalesce(utm_campaign, cmpid, 'organic/untracked') AS campaign
       FROM params"""
 
@@ -84,13 +81,13 @@ IDENTITY = "SELECT id AS device_id, uid FROM fx_users WHERE uid IS NOT NULL"
 
 def touchpoints(lookback: int = 90, window: int = 14) -> str:
     return f"""
-      SELECT user_id, session_id, event_time, date_trunc('week', event_time) AS week, source, medium, campaign FROM (
-        SELECT coalesce(i.uid, e.user_id) AS user_id, e.session_id, e.event_time, t.source, t.medium, t.campaign,
-               row_number() OVER (PARTITION BY e.session_id, coalesce(i.uid, e.user_id) ORDER BY
-                 CASE WHEN t.medium NOT IN ('direct', 'organic', 'referral') THEN 1
-                      WHEN t.medium IN ('organic', 'referral') THEN 2 ELSE 3 END, e.event_time, e.id) AS rn
+      SELECT user_id, session_id, best.at AS event_time, date_trunc('week', best.at) AS week, best.source, best.medium, best.campaign
+      FROM (
+        SELECT coalesce(i.uid, e.user_id) AS user_id, e.session_id, min({{
+          'rank': CASE t.medium WHEN 'direct' THEN 3 WHEN 'organic' THEN 2 WHEN 'referral' THEN 2 ELSE 1 END,
+          'at': e.event_time, 'id': e.id, 'source': t.source, 'medium': t.medium, 'campaign': t.campaign}}) AS best
         FROM fx_events e JOIN traffic t ON e.id = t.event_id LEFT JOIN identity i ON e.user_id = i.device_id
-        WHERE e.event_time >= {AS_OF} - INTERVAL {lookback + window} DAY) x WHERE rn = 1"""
+        WHERE e.event_time >= {AS_OF} - INTERVAL {lookback + window} DAY GROUP BY 1, 2) x"""
 
 
 def conversions(lookback: int = 90, scale: int = 2) -> str:
@@ -110,9 +107,8 @@ def linked(window: int = 14) -> str:
     return f"""
       SELECT t.user_id, t.session_id, t.event_time AS session_start_time, t.source, t.medium, t.campaign,
              c.converted_at, c.conversion_revenue, c.conversion_index
-      FROM tp t JOIN cv c ON t.user_id = c.user_id AND t.event_time < c.converted_at
-       AND t.event_time >= c.converted_at - INTERVAL {window} DAY
-       AND t.event_time >= coalesce(c.previous_conversion_at, c.converted_at - INTERVAL {window} DAY)"""
+      FROM tp t JOIN (SELECT *, greatest(previous_conversion_at, converted_at - INTERVAL {window} DAY) AS opens FROM cv) c
+        ON c.user_id = t.user_id AND t.event_time >= c.opens AND t.event_time < c.converted_at"""
 
 
 PATHS = """
@@ -122,14 +118,11 @@ PATHS = """
     FROM linked) p"""
 
 SHARES = """
-  SELECT *,
-    CASE WHEN session_number = 1 THEN conversion_revenue ELSE 0.0 END AS ft,
-    CASE WHEN is_conversion_session THEN conversion_revenue ELSE 0.0 END AS lt,
+  SELECT *, if(session_number = 1, conversion_revenue, 0.0) AS ft, if(is_conversion_session, conversion_revenue, 0.0) AS lt,
     (1.0::double / total_sessions_for_conversion) * conversion_revenue AS ln,
-    CASE WHEN total_sessions_for_conversion = 1 THEN conversion_revenue
-         WHEN total_sessions_for_conversion = 2 THEN 0.5::double * conversion_revenue
-         WHEN session_number = 1 OR is_conversion_session THEN 0.4::double * conversion_revenue
-         ELSE (0.2::double / (total_sessions_for_conversion - 2)) * conversion_revenue END AS us
+    CASE total_sessions_for_conversion WHEN 1 THEN 1.0::double WHEN 2 THEN 0.5::double
+      ELSE if(session_number = 1 OR is_conversion_session, 0.4::double, 0.2::double / (total_sessions_for_conversion - 2))
+    END * conversion_revenue AS us
   FROM paths"""
 
 _IDS = ("user_id, session_id, session_start_time, converted_at, source, medium, campaign, "

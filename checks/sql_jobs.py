@@ -18,7 +18,7 @@ def outbox(rows: str, properties: str, size: int = 100) -> str:
 
 def exports() -> dict[str, str]:
     tier = """'{"loyalty_tier":"' || loyalty_tier || '","warehouse_synced_at":"' || strftime(updated_at, '%Y-%m-%d %H:%M:%S') || '"}'"""
-    bag = """'{"warehouse_synced":true,"warehouse_demo_cohort":"luxury_car_interest","warehouse_synced_at":"2026-06-04"}'"""
+    bag = """'{"warehouse_synced":true,"cohort":"spring","warehouse_synced_at":"2024-01-30"}'"""
     sample = "SELECT uid, NULL::timestamp AS updated_at FROM fx_export_users WHERE uid <> '' ORDER BY uid LIMIT 250"
     prof = lambda table, col, kind: (
         f"SELECT '{table}' AS table_name, '{col}' AS column_name, '{kind}' AS data_type, count({col}) AS non_null_count, "

@@ -1,7 +1,6 @@
 from datetime import datetime as dt
 from decimal import Decimal
 
-import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF, rows, same
@@ -94,10 +93,9 @@ def test_moving_lookback_drops_and_rebuilds(spark):
     assert st.mart().filter("user_id = 'b'").isEmpty()
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_random_batches_equal_full_recomputation(spark, seed):
+def test_random_batches_equal_full_recomputation(spark):
     t = star(spark, SF)
-    part = F.pmod(F.hash("session_id", F.lit(seed)), F.lit(3))
+    part = F.pmod(F.hash("session_id", F.lit(1)), F.lit(3))
     st = store(spark)
     for i in range(3):
         # Arrival order has nothing to do with time.

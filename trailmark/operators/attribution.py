@@ -153,19 +153,22 @@ def full_credit(weights: DataFrame, extra: Sequence[str] = (), representative: s
 def weighted_paths(
     touchpoints: DataFrame, conversions: DataFrame, cfg: AttributionConfig, extra: Sequence[str] = ()
 ) -> DataFrame:
-    """Paths with model weights.
-
-    Linked sessions are written once because numbering reads them twice, and the result is written
-    once because the mart reads it for the distributing models and for Full Credit.
-    """
+    """Paths with model weights.  Linked sessions are written once: numbering reads them twice."""
     linked = work_table(attributed_sessions(touchpoints, conversions, cfg, extra), "linked")
-    return work_table(model_weights(path_metadata(linked)), "weights")
+    return model_weights(path_metadata(linked))
 
 
 def mart_from_weights(
     weights: DataFrame, models: Sequence[str] = c.ALL_MODELS, extra: Sequence[str] = ()
 ) -> DataFrame:
+    """The long fact from path weights.
+
+    The distributing models and Full Credit each read the weights, so these are written first when
+    both are wanted.
+    """
     columns = [*MART_COLUMNS, *extra]
+    if c.FULL_CREDIT in models and len(models) > 1:
+        weights = work_table(weights, "weights")
     spread = [m for m in models if m != c.FULL_CREDIT]
     parts = []
     if spread:
