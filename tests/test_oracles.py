@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as contract
+from checks.entries import all_queries
+from checks.oracles import all_oracles
 from checks.compare import connect, duck_rows, spark_rows, type_differences
 from tests.conftest import SF
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.fixture(scope="module")
