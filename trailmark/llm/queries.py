@@ -2,26 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from trailmark.config import prepare_session
-from trailmark.llm import decontaminate, licenses, sharding
+from trailmark.llm import decontaminate, licenses, pii, secrets, sharding
 from trailmark.llm.common import table
 
-
-def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prepare_session(spark)
-    return decontaminate.op3_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+Query = Callable[[SparkSession, str], DataFrame]
 
 
-def op6_sampled_splitter_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prepare_session(spark)
-    return sharding.op6_query(table(spark, sf_dir, "documents"))
+def over(digest: Callable[..., DataFrame], *tables: str) -> Query:
+    """A query that applies an operator's digest to whole tables."""
 
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prepare_session(spark)
+        return digest(*(table(spark, sf_dir, t) for t in tables))
 
-def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prepare_session(spark)
-    return licenses.op7_query(table(spark, sf_dir, "documents"))
+    run.__doc__ = digest.__doc__
+    return run
 
 
-QUERIES = {f.__name__: f for f in (op3_benchmark_decontamination, op6_sampled_splitter_shards, op7_license_scan)}
+QUERIES: dict[str, Query] = {
+    "op2_secret_scan": over(secrets.op2_query, "documents"),
+    "op3_benchmark_decontamination": over(decontaminate.op3_query, "documents", "benchmark"),
+    "op5_pii_anchors": over(pii.op5_query, "documents"),
+    "op6_sampled_splitter_shards": over(sharding.op6_query, "documents"),
+    "op7_license_scan": over(licenses.op7_query, "documents"),
+}
