@@ -16,7 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trailmark.llm.common import NOT_WORD, ascii_lower, row_key, words
+from trailmark.config import work_table
+from trailmark.llm.common import ascii_lower, row_key, words
 
 MAX_BROADCAST_WINDOWS = 200_000
 
@@ -67,7 +68,8 @@ def decontamination_report(
     A word inside any occurrence counts once.  Documents without hits have no row.
     """
     grams = benchmark_windows(benchmark, item_id, item_text, width)
-    hits = occurrences(docs, grams, doc_id, text, max_broadcast_windows)
+    # Read twice below; hits are few, scanning for them is not.
+    hits = work_table(occurrences(docs, grams, doc_id, text, max_broadcast_windows), "benchmark-hits")
     places = hits.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("pos", "len"))).alias("places"))
     place = F.struct(F.col("places.pos").getItem(0).alias("from"), (F.col("places.pos").getItem(0) + F.col("places.len").getItem(0)).alias("to"))
     none = F.array().cast("array<struct<from:int,to:int>>")
