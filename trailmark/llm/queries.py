@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from trailmark.config import prepare_session
-from trailmark.llm import decontaminate, licenses, mixing, pii, secrets, sharding
+from trailmark.llm import decontaminate, imatch, licenses, mixing, pii, secrets, sharding
 from trailmark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,4 +31,5 @@ QUERIES: dict[str, Query] = {
     "op6_sampled_splitter_shards": over(sharding.op6_query, "documents"),
     "op7_license_scan": over(licenses.op7_query, "documents"),
     "op9_budget_mix": over(mixing.op9_query, "documents"),
+    "op10_imatch_fingerprints": over(imatch.op10_query, "documents"),
 }
