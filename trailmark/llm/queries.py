@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from trailmark.config import prepare_session
-from trailmark.llm import decontaminate, imatch, licenses, mixing, pii, secrets, sharding
+from trailmark.llm import decontaminate, imatch, language, licenses, mixing, neardup, pii, secrets, sharding
 from trailmark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,9 +27,11 @@ def over(digest: Callable[..., DataFrame], *tables: str) -> Query:
 QUERIES: dict[str, Query] = {
     "op2_secret_scan": over(secrets.op2_query, "documents"),
     "op3_benchmark_decontamination": over(decontaminate.op3_query, "documents", "benchmark"),
+    "op4_language_id": over(language.op4_query, "documents"),
     "op5_pii_anchors": over(pii.op5_query, "documents"),
     "op6_sampled_splitter_shards": over(sharding.op6_query, "documents"),
     "op7_license_scan": over(licenses.op7_query, "documents"),
+    "op8_probminhash_classes": over(neardup.op8_query, "documents"),
     "op9_budget_mix": over(mixing.op9_query, "documents"),
     "op10_imatch_fingerprints": over(imatch.op10_query, "documents"),
 }
