@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from trailmark.config import prepare_session
-from trailmark.llm import decontaminate, imatch, language, licenses, mixing, neardup, pii, secrets, sharding
+from trailmark.llm import decontaminate, imatch, language, licenses, lm, mixing, neardup, pii, secrets, sharding
 from trailmark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,7 @@ def over(digest: Callable[..., DataFrame], *tables: str) -> Query:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_context_mixing": over(lm.op1_query, "documents"),
     "op2_secret_scan": over(secrets.op2_query, "documents"),
     "op3_benchmark_decontamination": over(decontaminate.op3_query, "documents", "benchmark"),
     "op4_language_id": over(language.op4_query, "documents"),
