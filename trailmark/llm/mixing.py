@@ -59,13 +59,14 @@ def targets(sizes: list[tuple[str | None, int]], weights: tuple[float, ...] = WE
 def fit_budget(lengths: list[int], counts: list[int], budget: int, window: int = WINDOW) -> list[int]:
     """How many documents of each length to take so that lengths sum to ``budget``, or as near below as can be.
 
-    A proportional share of every length comes first.  What is left is brought under ``window`` by taking long
-    documents, and spent by a bounded knapsack over the counts left (binary-split, one big integer as bit set).
+    Of what lies beyond half a ``window`` a proportional share of every length comes first.  What is left is brought under
+    the window by taking long documents, and spent by a bounded knapsack over the counts left (binary-split, one big
+    integer as bit set).  A budget within half a window is fitted by the knapsack alone, as well as can be.
     """
     total = sum(n * c for n, c in zip(lengths, counts, strict=True))
     if budget >= total:
         return list(counts)
-    taken = [c * budget // total for c in counts]
+    taken = [c * max(0, budget - window // 2) // total for c in counts]
     left = budget - sum(n * t for n, t in zip(lengths, taken, strict=True))
     for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
         if left <= window // 2:

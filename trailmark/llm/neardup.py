@@ -83,7 +83,7 @@ def signatures(row: np.ndarray, item: np.ndarray, weight: np.ndarray, rows: int,
     row, rate, step = row.copy(), weight.copy(), 0
     while len(item):
         step += 1
-        draw = scramble(seed + np.uint64(step) * np.uint64(0x9E3779B97F4A7C15))
+        draw = scramble(seed + np.uint64(step * 0x9E3779B97F4A7C15 % (1 << 64)))
         # High bits give the waiting time, low bits the register.
         time = time - np.log(((draw >> np.uint64(11)).astype(float) + 0.5) / 2.0**53) / rate
         spot = row * registers + (scramble(draw) % np.uint64(registers)).astype(np.int64)
