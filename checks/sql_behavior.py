@@ -49,7 +49,11 @@ def agg(base: str, select: str, by: dict[str, str] | None = None, where: str = "
     joins = [j for j in dict.fromkeys(joins) if j]
     if PD.format(key=key) in joins and SP.format(key=key) in joins:
         joins.remove(SP.format(key=key))
-    timed = "true" if base in ("users", "user_properties") else span(when)
+    timed = span(when)
+    if base in ("users", "user_properties"):
+        # Unique users in a period are those with an event in it.
+        own = {"users": "id", "user_properties": "user_id"}[base]
+        timed = "true" if when is None else f"b.{own} IN (SELECT e.user_id FROM fx_events e WHERE {span(when, 'e.event_time')})"
     group = f"GROUP BY {', '.join(str(i + 1) for i in range(len(by)))}" if by else ""
     comma = ", " if by else ""
     return f"SELECT {', '.join(exprs)}{comma}{select} FROM fx_{base} b {' '.join(joins)} WHERE {timed} AND ({where}) {group} {tail}"
@@ -281,7 +285,7 @@ def questions() -> dict[str, str]:
         "q021_average_cls": m("avg_cls"),
         "q022_loads_with_high_cls": share("cumulative_layout_shifts", "cumulative_layout_shift > 0.1"),
         "q023_worst_cls_pages": m("avg_cls", P),
-        "q024_poor_cls_pages": m(["avg_cls", "max_cls"], P, tail="HAVING max(cumulative_layout_shift) > 0.25"),
+        "q024_poor_cls_pages": m(["avg_cls", "max_cls"], P, tail="HAVING avg(cumulative_layout_shift) > 0.25"),
         "q025_average_inp": m("avg_inp"),
         "q026_good_inp_share": share("interaction_to_next_paints", "interaction_to_next_paint_millis < 200"),
         "q027_slowest_interaction_pages": m("avg_inp", P),
@@ -297,11 +301,11 @@ def questions() -> dict[str, str]:
         "q036_rage_rate_by_device": rate("rage_click_count", "click_count", D),
         "q037_dead_clicks_yesterday": m("dead_click_count", when=YESTERDAY),
         "q038_dead_clicks_by_page": m("dead_click_count", P),
-        "q039_top_dead_elements": top("dead_click_count", el, 3),
+        "q039_top_dead_elements": m("dead_click_count", el),
         "q040_dead_click_share": rate("dead_click_count", "click_count"),
         "q041_mouse_thrashes": m("mouse_thrash_count"),
         "q042_frustrating_pages": frustration(P),
-        "q043_frustrated_sessions": frustration({"session_id": "b.session_id"}, "score > 0"),
+        "q043_frustrated_sessions": frustration({"session_id": "b.session_id"}, "score >= 3"),
         "q044_form_abandons_last_week": m("form_abandon_count", when=WEEK),
         "q045_field_abandonment_rate": rate("form_abandon_count", "form_input_count", {"selector": "b.target_raw_selector"}),
         "q046_top_errors": top("total_exception_occurrences", {"message": "b.message"}, 10),
@@ -315,7 +319,7 @@ def questions() -> dict[str, str]:
         "q054_failed_response_time": agg("requests", r("avg(request_duration_millis)", "avg_request_duration")),
         "q055_server_and_client_errors": m(["server_error_count", "client_error_count"]),
         "q056_console_errors": m("console_message_count"),
-        "q057_top_console_messages": top("console_message_count", {"message": "b.message"}, 5),
+        "q057_top_console_messages": m("console_message_count", {"message": "b.message"}),
         "q058_console_warnings_by_page": m("console_message_count", P, where="console_message_level = 'warn'"),
         "q059_checkouts_today": m("converted", when=TODAY),
         "q060_signup_conversion_rate": rate("signups", "sessions"),
@@ -379,16 +383,18 @@ def questions() -> dict[str, str]:
         "q097_load_time_and_abandonment": f"""SELECT round(corr(avg_load_time, coalesce(form_abandon_count, 0)), 6) AS correlation, count(*) AS "groups"
             FROM ({unrounded(m(['avg_load_time', 'form_abandon_count'], P))}) t WHERE avg_load_time IS NOT NULL""",
         "q098_frustrated_mobile_users": f"SELECT user_id, score FROM ({frustration({'user_id': 'b.user_id', 'device': 'device'})}) f WHERE device = 'Mobile' AND score >= 2",
-        "q099_users_with_most_sessions": top("sessions", {"user_id": "b.user_id"}, 10),
+        "q099_users_with_most_sessions": m("sessions", {"user_id": "b.user_id"}),
         "q100_identified_users_with_errors": f"""SELECT u.uid, count(*) AS errors FROM fx_exceptions b JOIN fx_users u ON u.id = b.user_id
             WHERE u.uid IS NOT NULL AND {span(MONTH)} GROUP BY 1""",
         "q101_frequent_visitors": m("sessions", {"user_id": "b.user_id"}, tail="HAVING count(DISTINCT session_id) > 10"),
-        "q102_error_spikes": zscore(m("exception_event_count", {"bucket": "day"}, when=ALL), "exception_event_count"),
+        "q102_error_spikes": f"""SELECT *, coalesce(z_score > 2, false) AS is_spike FROM (
+            {zscore(m("exception_event_count", {"bucket": "day"}, when=ALL), "exception_event_count")}) t
+            WHERE bucket = TIMESTAMP '2024-01-30 00:00:00'""",
         "q103_traffic_drops": zscore(m("page_view_count", {"page": "page", "bucket": "day"}, when=ALL), "page_view_count", ["page"],
                                      where="page_view_count / trailing_mean < 0.5"),
-        "q104_conversion_anomalies": final(zscore(
+        "q104_conversion_anomalies": "SELECT * FROM (" + final(zscore(
             rate("converted", "sessions", {"bucket": "day"}, ALL).replace("round(CASE", "(CASE").replace(", 6) AS rate", ") AS rate"),
-            "rate"), ["rate"]),
+            "rate"), ["rate"]) + ") t WHERE abs(z_score) > 2",
         "role_product_feature_use": m("element_seen_count", {"element": "b.target_text"}),
         "role_product_engagement_trend": m(ENGAGEMENT, {"bucket": "week"}, when=ALL),
         "role_engineer_slow_pages": agg("loads", "round(avg(largest_paint_time_millis), 6) AS avg_lcp, round(avg(time_to_first_byte_millis), 6) AS avg_ttfb, "

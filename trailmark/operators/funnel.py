@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trailmark.config import work_table
-from trailmark.functions.combine import beside, union_all
+from trailmark.functions.combine import union_all
 from trailmark.functions.numbers import safe_pct
-from trailmark.functions.time import on_local_day
+from trailmark.functions.time import Period, on_local_day
 from trailmark.operators.counts import pages_of_events
 from trailmark.sources.staging import same_event_time
 
@@ -33,34 +33,38 @@ PURCHASE_FUNNEL = (
 )
 
 
-def _step_number(col: Column, wanted: list[tuple[int, tuple[str, ...]]]) -> Column:
-    tag = F.lit(None).cast("int")
-    for n, names in reversed(wanted):
-        tag = F.when(col.isin(list(names)), F.lit(n)).otherwise(tag)
-    return tag
+def _step_numbers(col: Column, wanted: list[tuple[int, tuple[str, ...]]]) -> Column:
+    """One row per step that the name belongs to; a name may serve several steps."""
+    return F.explode(F.array_compact(F.array(*[F.when(col.isin(list(names)), F.lit(n)) for n, names in wanted])))
 
 
 def step_hits(
     events: DataFrame, source_properties: DataFrame, page_definitions: DataFrame,
     custom_events: DataFrame, steps: tuple[Step, ...], day: str | None = None, tz: str = "UTC",
+    period: Period | None = None,
 ) -> DataFrame:
-    """(user_id, session_id, event_time, step), one row per event that matches a step.
+    """(user_id, session_id, event_time, step), one row per event and step that it matches.
 
-    Page tags and custom-event tags are built from their own narrow tables and unioned, so the
+    A local ``day`` or a ``period`` bounds the scans of events, context and custom events alike.  Page tags and custom-event tags are built from their own narrow tables and unioned, so the
     event table is scanned and joined once.
     """
     page_steps = [(i + 1, s.pages) for i, s in enumerate(steps) if s.pages]
     event_steps = [(i + 1, (s.event,)) for i, s in enumerate(steps) if s.event]
-    in_range = (lambda t: on_local_day(t, day, tz)) if day else (lambda t: t.isNotNull())
+    if day:
+        in_range = lambda t: on_local_day(t, day, tz)
+    elif period and (period.start is not None or period.end is not None):
+        in_range = period.holds
+    else:
+        in_range = lambda t: t.isNotNull()
     tags = []
     if page_steps:
         names = sorted({p for _, ps in page_steps for p in ps})
         pages = pages_of_events(same_event_time(source_properties, in_range), page_definitions, names)
-        tags.append(pages.select("event_id", _step_number(F.col("page"), page_steps).alias("step")))
+        tags.append(pages.select("event_id", _step_numbers(F.col("page"), page_steps).alias("step")))
     if event_steps:
         names = sorted({p for _, ps in event_steps for p in ps})
         named = same_event_time(custom_events, in_range).filter(F.col("event_name").isin(names))
-        tags.append(named.select("event_id", _step_number(F.col("event_name"), event_steps).alias("step")))
+        tags.append(named.select("event_id", _step_numbers(F.col("event_name"), event_steps).alias("step")))
     hits = events.filter(in_range(F.col("event_time"))).select(
         F.col("id").alias("event_id"), "user_id", "session_id", "event_time"
     )
@@ -118,18 +122,19 @@ def after_session_mark(rows: DataFrame, marks: DataFrame, at: str) -> DataFrame:
 def chained_funnel(hits: DataFrame, n_steps: int) -> DataFrame:
     """Each step's time is the first one after the session's previous step.
 
-    The tagged events are written once and each step scans only its own.
+    The tagged events are written once and each step scans only its own.  A session needs only its earliest
+    time per step, so one row per session takes up one step after the other, n - 1 joins in all, and a last
+    aggregation counts every step.
     """
-    hits = work_table(hits, "funnel-hits")
+    hits = work_table(hits.filter(F.col("session_id").isNotNull()).select("session_id", "event_time", "step"), "funnel-hits")
     step = lambda i: hits.filter(F.col("step") == i)
-    first = lambda rows: rows.groupBy("user_id", "session_id").agg(F.min("event_time").alias("at"))
-    times = first(step(1))
-    sessions = lambda i: times.agg(F.countDistinct("session_id").alias(f"stp{i}_sessions"))
-    counts = [sessions(1)]
+    line = step(1).groupBy("session_id").agg(F.min("event_time").alias("at_1"))
     for i in range(2, n_steps + 1):
-        times = first(after_session_mark(step(i), times, "at"))
-        counts.append(sessions(i))
-    return with_rates(beside(counts), n_steps)
+        later = F.min(F.when(F.col("event_time") > F.col(f"at_{i - 1}"), F.col("event_time"))).alias(f"at_{i}")
+        known = [f"at_{j}" for j in range(1, i)]
+        line = line.join(step(i).drop("step"), "session_id", "left").groupBy("session_id", *known).agg(later)
+    counts = line.agg(*[F.count(f"at_{i}").alias(f"stp{i}_sessions") for i in range(1, n_steps + 1)])
+    return with_rates(counts, n_steps)
 
 
 def step_session_counts(hits: DataFrame) -> DataFrame:

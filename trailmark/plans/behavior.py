@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from datetime import UTC, datetime, timedelta
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,6 +36,11 @@ class Analysis:
             return name
         return period(name or self.default_period, self.as_of, self.tz)
 
+    def local_day(self, offset: int = 0) -> str:
+        """The local calendar day of ``as_of``, or one some days off."""
+        moment = datetime.fromisoformat(self.as_of).replace(tzinfo=UTC).astimezone(ZoneInfo(self.tz))
+        return (moment.date() + timedelta(days=offset)).isoformat()
+
     def rows(self, base: str, dims: Mapping[str, str] | None = None, when: str | Period | None = None) -> DataFrame:
         return base_rows(self.tables, base, dims or {}, self.span(when), self.tz)
 

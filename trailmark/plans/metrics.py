@@ -195,8 +195,14 @@ def base_rows(
     """
     spec = TABLES[base]
     rows = tables[base]
-    if period is not None and spec.time:
+    bounded = period is not None and (period.start is not None or period.end is not None)
+    if bounded and spec.time:
         rows = rows.filter(period.holds(F.col(spec.time)))
+    elif bounded and base in ("users", "user_properties"):
+        # People have no time of their own: those with an event in the period count.
+        events = tables["events"]
+        active = events.filter(period.holds(F.col(TABLES["events"].time))).select(F.col("user_id").alias(spec.key)).distinct()
+        rows = rows.join(active, spec.key, "left_semi")
     grains = {k: v for k, v in dims.items() if v in TIME_GRAINS}
     columns = {k: find_column(tables, base, v) for k, v in dims.items() if v not in TIME_GRAINS}
     if grains:

@@ -39,13 +39,14 @@ class Site:
     experiment: str = "Experiment Viewed"
     banner: str = "banner"
     special_day: str = "2024-01-15"
-    today: str = "2024-01-30"
-    yesterday: str = "2024-01-29"
+    high_frustration: int = 3
+    spike: float = 2.0  # standard deviations
     search_funnel: tuple[Step, ...] = (Step(pages=("Home",)), Step(pages=("Search",)), Step(event="Checkout Success"))
 
 
 def events_named(name: str) -> Metric:
-    return Metric("named_event_count", "custom_events", f"count_if(event_name = '{name}')")
+    quoted = name.replace("\\", "\\\\").replace("'", "\\'")
+    return Metric("named_event_count", "custom_events", f"count_if(event_name = '{quoted}')")
 
 
 def questions(a: Analysis, site: Site = Site()) -> dict[str, Callable[[], DataFrame]]:
@@ -67,8 +68,8 @@ def questions(a: Analysis, site: Site = Site()) -> dict[str, Callable[[], DataFr
     def hits(steps):
         span = a.span()
         return funnel.step_hits(
-            a.tables["events"].filter(span.holds(F.col("event_time"))), a.tables["source_properties"],
-            a.tables["page_definitions"], a.tables["custom_events"], steps)
+            a.tables["events"], a.tables["source_properties"], a.tables["page_definitions"], a.tables["custom_events"],
+            steps, period=span)
 
     def busy_sessions(pages: int):
         seen = a.rows("page_views").groupBy("session_id", "user_id").agg(F.count(F.lit(1)).alias("n"))
@@ -136,7 +137,7 @@ def questions(a: Analysis, site: Site = Site()) -> dict[str, Callable[[], DataFr
         "q021_average_cls": lambda: a.metrics(["avg_cls"]),
         "q022_loads_with_high_cls": lambda: a.share("cumulative_layout_shifts", F.col(cls) > 0.1, value=F.col(cls)),
         "q023_worst_cls_pages": lambda: ranked("avg_cls", PAGE),
-        "q024_poor_cls_pages": lambda: a.having(["avg_cls", "max_cls"], PAGE, F.col("max_cls") > 0.25),
+        "q024_poor_cls_pages": lambda: a.having(["avg_cls", "max_cls"], PAGE, F.col("avg_cls") > 0.25),
         "q025_average_inp": lambda: a.metrics(["avg_inp"]),
         "q026_good_inp_share": lambda: a.share("interaction_to_next_paints", F.col(inp) < 200, value=F.col(inp)),
         "q027_slowest_interaction_pages": lambda: ranked("avg_inp", PAGE),
@@ -154,11 +155,12 @@ def questions(a: Analysis, site: Site = Site()) -> dict[str, Callable[[], DataFr
         "q037_dead_clicks_yesterday": lambda: a.metrics(["dead_click_count"], when="yesterday"),
         "q038_dead_clicks_by_page": lambda: ranked("dead_click_count", PAGE),
         "q039_top_dead_elements": lambda: ranked(
-            "dead_click_count", {"text": "target_text", "selector": "target_raw_selector"}, limit=3),
+            "dead_click_count", {"text": "target_text", "selector": "target_raw_selector"}),
         "q040_dead_click_share": lambda: a.ratio_of("dead_click_count", "click_count"),
         "q041_mouse_thrashes": lambda: a.metrics(["mouse_thrash_count"]),
         "q042_frustrating_pages": lambda: top(a.frustration(PAGE), "score", ["page"]),
-        "q043_frustrated_sessions": lambda: a.frustration({"session_id": "session_id"}).filter(F.col("score") > 0),
+        "q043_frustrated_sessions": lambda: top(
+            a.frustration({"session_id": "session_id"}).filter(F.col("score") >= site.high_frustration), "score", ["session_id"]),
         "q044_form_abandons_last_week": lambda: a.metrics(["form_abandon_count"], when="last week"),
         "q045_field_abandonment_rate": lambda: a.ratio_of(
             "form_abandon_count", "form_input_count", {"selector": "target_raw_selector"}),
@@ -173,7 +175,7 @@ def questions(a: Analysis, site: Site = Site()) -> dict[str, Callable[[], DataFr
         "q054_failed_response_time": lambda: a.metrics([response]),
         "q055_server_and_client_errors": lambda: a.metrics(["server_error_count", "client_error_count"]),
         "q056_console_errors": lambda: a.metrics(["console_message_count"]),
-        "q057_top_console_messages": lambda: ranked("console_message_count", {"message": "message"}, limit=5),
+        "q057_top_console_messages": lambda: ranked("console_message_count", {"message": "message"}),
         "q058_console_warnings_by_page": lambda: ranked(
             "console_message_count", PAGE, where={"console_message_level": "warn"}),
         "q059_checkouts_today": lambda: a.metrics([converted], when="today"),
@@ -212,20 +214,23 @@ def questions(a: Analysis, site: Site = Site()) -> dict[str, Callable[[], DataFr
         "q091_special_day": lambda: a.day_versus_rest(["event_count", "click_count"], site.special_day),
         "q092_last_24_hours": lambda: a.metrics(CORE, when="last 24 hours"),
         "q093_yesterday_afternoon": lambda: a.metrics(
-            CORE, when=clock_range(site.yesterday, "14:00:00", "16:00:00", a.tz)),
+            CORE, when=clock_range(a.local_day(-1), "14:00:00", "16:00:00", a.tz)),
         "q094_weekday_weekend": lambda: a.metrics(ENGAGEMENT, {"is_weekend": "is_weekend"}),
         "q095_frustrated_checkout_errors": lambda: a.frustrated_with_errors(site.checkout_pages),
         "q096_poor_lcp_and_rage": lambda: a.having(
             ["avg_lcp", "rage_click_count"], PAGE, (F.col("avg_lcp") > 2500) & (F.col("rage_click_count") > 0)),
         "q097_load_time_and_abandonment": lambda: a.correlation("avg_load_time", "form_abandon_count", PAGE),
         "q098_frustrated_mobile_users": lambda: mobile_frustrated(2),
-        "q099_users_with_most_sessions": lambda: ranked(SESSIONS, {"user_id": "user_id"}, limit=10),
+        "q099_users_with_most_sessions": lambda: ranked(SESSIONS, {"user_id": "user_id"}),
         "q100_identified_users_with_errors": identified_with_errors,
         "q101_frequent_visitors": lambda: a.having(
             [SESSIONS], {"user_id": "user_id"}, F.col("sessions") > 10, "past month"),
-        "q102_error_spikes": lambda: a.anomalies("exception_event_count", "day"),
+        "q102_error_spikes": lambda: a.anomalies("exception_event_count", "day").filter(
+            F.col("bucket") == F.lit(a.local_day()).cast("timestamp")).withColumn(
+            "is_spike", F.coalesce(F.col("z_score") > site.spike, F.lit(False))),
         "q103_traffic_drops": lambda: a.anomalies("page_view_count", "day", 7, PAGE).filter(F.col("ratio_to_mean") < 0.5),
-        "q104_conversion_anomalies": lambda: with_z_score(conversion_rate({"bucket": "day"}, "all"), "rate", [], 7),
+        "q104_conversion_anomalies": lambda: with_z_score(
+            conversion_rate({"bucket": "day"}, "all"), "rate", [], 7).filter(F.abs("z_score") > site.spike),
         "role_product_feature_use": lambda: ranked("element_seen_count", {"element": "elements_seen.target_text"}),
         "role_product_engagement_trend": lambda: a.trend(ENGAGEMENT, "week", "all"),
         "role_engineer_slow_pages": lambda: a.metrics(
