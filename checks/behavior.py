@@ -8,7 +8,7 @@ from checks.common import TZ, Build
 from checks.parity import hits
 from trailmark.operators import funnel
 from trailmark.plans.behavior import Analysis
-from trailmark.plans.metrics import EXTRA_METRICS, METRICS, SESSIONS, VISITORS, metric_query
+from trailmark.plans.metrics import EXTRA_METRICS, METRICS, SESSIONS, VISITORS, fact_aggregate, metric_query
 from trailmark.plans.questions import questions
 from trailmark.sources.landing import Star
 
@@ -31,6 +31,12 @@ BASE_DIMENSION = {"users": {"known": "uid"}, "user_properties": {"tier": "loyalt
                   "source_properties": {"page": "page"}, "element_properties": {"page": "page"}}
 
 
+# Facts used ad hoc, by the table that has them.
+VIEW_FACTS = ("active_duration_millis", "inactive_duration_millis", "duration_millis", "max_scroll_depth")
+LOAD_FACTS = ("first_paint_time_millis", "dom_content_time_millis", "time_to_interactive_millis", "total_blocking_time_millis")
+OTHER_FACTS = ("first_input_delay_millis", "element_render_duration_millis", "element_visible_duration_millis")
+
+
 def _base_metrics() -> dict[str, Build]:
     out = {}
     for base in dict.fromkeys(m.base for m in (*METRICS, *EXTRA_METRICS)):
@@ -45,6 +51,13 @@ METRIC_LAYER: dict[str, Build] = {
     "k21_metrics_across_bases": lambda t: analysis(t).metrics(
         [SESSIONS, "page_view_count", "rage_click_count", "crash_count", "p75_inp"],
         {"page": "page", "day": "day", "device": "device type"}, where={"country": ["Japan", "Germany"]}),
+    "k21_user_count_last_week": lambda t: analysis(t).metrics(["user_count", "identified_user_count"], when="last week"),
+    "k21_facts_of_views": lambda t: analysis(t).metrics(
+        [fact_aggregate(f"max_{f}", f, "max({})") for f in VIEW_FACTS], {"page": "page"}, when="all"),
+    "k21_facts_of_loads": lambda t: analysis(t).metrics(
+        [fact_aggregate(f"sum_{f}", f, "sum({})") for f in LOAD_FACTS], {"page": "page"}, when="all"),
+    "k21_facts_of_inputs_and_elements": lambda t: analysis(t).metrics(
+        [fact_aggregate(f"min_{f}", f, "min({})") for f in OTHER_FACTS], {"page": "page"}, when="all"),
     "k21_metrics_by_synonym": lambda t: metric_query(
         t, ["pvs", "average lcp", "5xx errors"], ["browser", "operating system"]),
     "k21_metrics_by_definitions": lambda t: analysis(t).metrics(

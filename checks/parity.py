@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from checks.common import DAY, TZ, Build
+from trailmark.functions.time import period
 from trailmark.operators import counts, funnel
-from trailmark.sources.landing import Star
+from trailmark.sources.landing import AS_OF, Star
 
 
 def k01(t: Star) -> DataFrame:
@@ -46,6 +47,21 @@ def k06_day(t: Star) -> DataFrame:
     return funnel.chained_funnel(hits(t, DAY), 5)
 
 
+BACK_TO_SEARCH = (funnel.Step(pages=("Search",)), funnel.Step(pages=("ProductPage",)), funnel.Step(pages=("Search",)))
+
+
+def repeated_page(t: Star) -> DataFrame:
+    """A funnel whose first and last step are the same page."""
+    return funnel.chained_funnel(funnel.step_hits(
+        t["events"], t["source_properties"], t["page_definitions"], t["custom_events"], BACK_TO_SEARCH), 3)
+
+
+def k05_week(t: Star) -> DataFrame:
+    week = period("last week", AS_OF)
+    return funnel.first_touch_funnel(funnel.step_hits(
+        t["events"], t["source_properties"], t["page_definitions"], t["custom_events"], funnel.PURCHASE_FUNNEL, period=week), 5)
+
+
 PARITY: dict[str, Build] = {
     "k01_sessions_by_page": k01,
     "k02_device_and_identified_counts": k02,
@@ -53,6 +69,8 @@ PARITY: dict[str, Build] = {
     "k04_property_id_count": k04,
     "k05_funnel_first_touch": k05,
     "k05_funnel_first_touch_local_day": k05_day,
+    "k05_funnel_first_touch_week": k05_week,
     "k06_funnel_chained": k06,
+    "k06_funnel_repeated_page": repeated_page,
     "k06_funnel_chained_local_day": k06_day,
 }

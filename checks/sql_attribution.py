@@ -14,12 +14,15 @@ STEP_NAMES = """(VALUES ('ProductPage', 1), ('Search', 1), ('Checkout Billing',
   ('Checkout Review', 4)) st(name, step)"""
 
 
-def funnel_hits(where: str) -> str:
+BACK_TO_SEARCH = "(VALUES ('Search', 1), ('ProductPage', 2), ('Search', 3)) st(name, step)"
+
+
+def funnel_hits(where: str, names: str = STEP_NAMES) -> str:
     return f"""
       SELECT e.user_id, e.session_id, e.event_time, tag.step
       FROM (SELECT * FROM fx_events WHERE {where}) e JOIN (
         SELECT sp.event_id, st.step FROM fx_source_properties sp
-        JOIN fx_page_definitions pd ON pd.id = sp.page_definition_id JOIN {STEP_NAMES} ON st.name = pd.name
+        JOIN fx_page_definitions pd ON pd.id = sp.page_definition_id JOIN {names} ON st.name = pd.name
         UNION ALL SELECT event_id, 5 FROM fx_custom_events WHERE event_name = 'Checkout Success') tag ON tag.event_id = e.id"""
 
 
@@ -251,6 +254,9 @@ def parity() -> dict[str, str]:
           WHERE up.enterprise_id IS NOT NULL AND {LOCAL_DAY}"""),
         "k05_funnel_first_touch": with_fx(FIRST_TOUCH_FUNNEL, {"hits": funnel_hits(every)}),
         "k05_funnel_first_touch_local_day": with_fx(FIRST_TOUCH_FUNNEL, {"hits": funnel_hits(LOCAL_DAY)}),
+        "k05_funnel_first_touch_week": with_fx(FIRST_TOUCH_FUNNEL, {"hits": funnel_hits(
+            f"event_time >= {AS_OF} - INTERVAL 7 DAY AND event_time < {AS_OF}")}),
+        "k06_funnel_repeated_page": with_fx(chained_funnel(3), {"hits": funnel_hits(every, BACK_TO_SEARCH)}),
         "k06_funnel_chained": with_fx(chained_funnel(), {"hits": funnel_hits(every)}),
         "k06_funnel_chained_local_day": with_fx(chained_funnel(), {"hits": funnel_hits(LOCAL_DAY)}),
     }

@@ -428,6 +428,19 @@ def metric_layer() -> dict[str, str]:
     out["k21_metrics_across_bases"] = m(
         ["sessions", "page_view_count", "rage_click_count", "crash_count", "p75_inp"], cells,
         where="{country} IN ('Japan', 'Germany')")
+    out["k21_user_count_last_week"] = m(["user_count", "identified_user_count"], when=WEEK)
+    page = {"page": "page"}
+    each = lambda fn, facts: ", ".join(f"{fn}(b.{f}) AS {fn}_{f}" for f in facts)
+    out["k21_facts_of_views"] = agg("page_views", each("max", (
+        "active_duration_millis", "inactive_duration_millis", "duration_millis", "max_scroll_depth")), page, when=ALL)
+    out["k21_facts_of_loads"] = agg("loads", each("sum", (
+        "first_paint_time_millis", "dom_content_time_millis", "time_to_interactive_millis", "total_blocking_time_millis")), page, when=ALL)
+    delays = agg("first_input_delays", each("min", ("first_input_delay_millis",)), page, when=ALL)
+    drawn = agg("elements_seen", each("min", ("element_render_duration_millis", "element_visible_duration_millis")), page, when=ALL)
+    out["k21_facts_of_inputs_and_elements"] = f"""SELECT page, any_value(min_first_input_delay_millis) AS min_first_input_delay_millis,
+      any_value(min_element_render_duration_millis) AS min_element_render_duration_millis,
+      any_value(min_element_visible_duration_millis) AS min_element_visible_duration_millis
+      FROM ({delays} UNION ALL BY NAME {drawn}) u GROUP BY page"""
     out["k21_metrics_by_synonym"] = m(
         ["page_view_count", "avg_lcp", "server_error_count"], {"browser": "browser", "operating_system": "os"}, when=ALL)
     out["k21_metrics_by_definitions"] = f"""

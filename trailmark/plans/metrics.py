@@ -155,8 +155,9 @@ def metric(name: str | Metric) -> Metric:
 
 
 def fact_aggregate(name: str, fact: str, sql_function: str) -> Metric:
-    """Ad-hoc metric over a declared numeric column, e.g. ``fact_aggregate("p90", "lcp", "percentile({}, 0.9)")``."""
-    base, column = FACTS[fact]
+    """Ad-hoc metric over a declared numeric column, by its name or column, e.g. ``fact_aggregate("p90", "lcp", "percentile({}, 0.9)")``."""
+    by_column = {column: (base, column) for base, column in FACTS.values()}
+    base, column = FACTS.get(fact) or by_column[fact]
     return Metric(name, base, sql_function.format(column))
 
 
