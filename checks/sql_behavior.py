@@ -430,7 +430,7 @@ def metric_layer() -> dict[str, str]:
         where="{country} IN ('Japan', 'Germany')")
     out["k21_user_count_last_week"] = m(["user_count", "identified_user_count"], when=WEEK)
     page = {"page": "page"}
-    each = lambda fn, facts: ", ".join(f"{fn}(b.{f}) AS {fn}_{f}" for f in facts)
+    each = lambda fn, facts: ", ".join(f"{fn}(b.{f}){'::BIGINT' if fn == 'sum' else ''} AS {fn}_{f}" for f in facts)
     out["k21_facts_of_views"] = agg("page_views", each("max", (
         "active_duration_millis", "inactive_duration_millis", "duration_millis", "max_scroll_depth")), page, when=ALL)
     out["k21_facts_of_loads"] = agg("loads", each("sum", (
