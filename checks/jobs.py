@@ -19,6 +19,7 @@ from trailmark.sources.state import Cursor, SyncState
 from trailmark.streaming import jobs
 
 SPLIT = "2024-01-24 00:00:00"
+FILES_PER_ARRIVAL = 4
 _ACCEPT = lambda payload: (200, "ok")
 
 
@@ -72,13 +73,11 @@ def r07(t: Star) -> DataFrame:
 def s14(t: Star) -> DataFrame:
     """State table after seeding one sync per loyalty tier twice, around an advance."""
     state = _state(t)
-    tiers = [r[0] for r in t["user_properties"].select("loyalty_tier").distinct().collect()]
-    for tier in tiers:
-        state.seed(tier)
+    tiers = t["user_properties"].select(F.col("loyalty_tier").alias("sync_name"))
+    state.seed_all(tiers)
     newest = export_users(t.spark, t.sf_dir).agg(F.max("updated_at").cast("string")).first()[0]
-    state.advance(min(tiers), Cursor(newest, "c1"))
-    for tier in tiers:
-        state.seed(tier)
+    state.advance(tiers.agg(F.min("sync_name")).first()[0], Cursor(newest, "c1"))
+    state.seed_all(tiers)
     return state.table().select("sync_name", "last_synced_at")
 
 
@@ -128,9 +127,9 @@ def streamed_store(t: Star) -> AttributionStore:
     store = AttributionStore(t.spark, work_path(t.spark, "store"), CFG, buckets=8)
     source = work_path(t.spark, "arrivals")
     day = F.dayofmonth("event_time")
-    for i, cond in enumerate([day <= 12, (day > 12) & (day <= 22), day > 22]):
-        t["events"].filter(cond).coalesce(1).write.mode("append").parquet(source)
-    stream = t.spark.readStream.schema(t["events"].schema).option("maxFilesPerTrigger", 1).parquet(source)
+    for cond in (day <= 12, (day > 12) & (day <= 22), day > 22):
+        t["events"].filter(cond).repartition(FILES_PER_ARRIVAL).write.mode("append").parquet(source)
+    stream = t.spark.readStream.schema(t["events"].schema).option("maxFilesPerTrigger", FILES_PER_ARRIVAL).parquet(source)
 
     def inputs(batch: DataFrame):
         new = t["custom_events"].join(batch.select(F.col("id").alias("event_id")), "event_id", "left_semi")
@@ -142,12 +141,12 @@ def streamed_store(t: Star) -> AttributionStore:
 
 
 def _arrivals(t: Star, df: DataFrame, time: str) -> DataFrame:
-    """``df`` as a stream of three time-ordered files."""
+    """``df`` as a stream of three time-ordered arrivals of several files each."""
     path = work_path(t.spark, "arrivals")
     day = F.dayofmonth(time)
     for cond in (day <= 10, (day > 10) & (day <= 20), day > 20):
-        df.filter(cond).coalesce(1).write.mode("append").parquet(path)
-    return t.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        df.filter(cond).repartition(FILES_PER_ARRIVAL).write.mode("append").parquet(path)
+    return t.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", FILES_PER_ARRIVAL).parquet(path)
 
 
 def _drain(t: Star, stream: DataFrame, keys: list[str]) -> DataFrame:
@@ -161,7 +160,7 @@ def rs1(t: Star) -> DataFrame:
     signals = rows.select("user_id", "session_id", "event_time", "event_id", "source", "medium", "campaign",
                           signal_rank(F.col("medium")).alias("rank"))
     stream = jobs.best_signal_per_session(_arrivals(t, signals, "event_time"), "40 days")
-    return _drain(t, stream, ["session_id", "user_id"])
+    return jobs.best_of_slices(_drain(t, stream, ["session_id", "user_id", "slice"]))
 
 
 def rs3(t: Star) -> DataFrame:
@@ -176,7 +175,8 @@ def rs3(t: Star) -> DataFrame:
 
 def rs4(t: Star) -> DataFrame:
     stream = jobs.running_funnel(_arrivals(t, hits(t), "event_time"), 5, "40 days")
-    times = _drain(t, stream, ["user_id", "session_id"]).filter(F.col("stp1_time").isNotNull())
+    slices = _drain(t, stream, ["user_id", "session_id", "slice"])
+    times = jobs.first_of_slices(slices, 5).filter(F.col("stp1_time").isNotNull())
     flags = funnel.reached(5)
     counted = times.agg(F.countDistinct("session_id").alias("stp1_sessions"),
                         *[F.count_if(f).alias(f"stp{i}_sessions") for i, f in enumerate(flags, 2)])

@@ -1,12 +1,13 @@
 from datetime import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF, rows, same
 from trailmark.config import AttributionConfig, work_path, work_table
 from trailmark.operators import attribution, conversions, touchpoints
-from trailmark.plans.refresh import AttributionStore, row_changes
+from trailmark.plans.refresh import AttributionStore, row_changes, same_time_range
 from trailmark.sources.landing import star
 
 CFG = AttributionConfig(as_of="2024-01-31 00:00:00")
@@ -120,3 +121,58 @@ def test_price_keeps_cents(spark):
     st = store(spark)
     st.refresh(ev, sp, sold, spark.createDataFrame([], USERS))
     assert st.conversions().first()["conversion_revenue"] == Decimal("12.99")
+
+
+def small(spark):
+    ev, sp = visits(spark, [(1, "d1", "s1", dt(2024, 1, 1)), (2, "d2", "s2", dt(2024, 1, 5)), (3, "d3", "s3", dt(2024, 1, 6))])
+    sold = sales(spark, [(10, "d2", "s9", dt(2024, 1, 8)), (11, "d3", "s9", dt(2024, 1, 9))])
+    return ev, sp, sold
+
+
+@pytest.mark.parametrize("step", ["_merge_conversions", "_rebuild_mart"])
+def test_run_after_a_crash_takes_up_what_was_left(spark, monkeypatch, step):
+    ev, sp, sold = small(spark)
+    st = store(spark)
+    st.refresh(ev, sp, sold, spark.createDataFrame([("d2", "anna")], USERS))
+    both = spark.createDataFrame([("d1", "anna"), ("d2", "anna")], USERS)
+    more = sales(spark, [(12, "d1", "s8", dt(2024, 1, 3))])
+
+    def crash(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(st, step, crash)
+        with pytest.raises(RuntimeError):
+            st.refresh(ev.limit(0), sp, more, both)
+    # The same batch again, or only the next one.
+    st.refresh(ev.limit(0), sp, more, both)
+    same(st.mart(), full(ev, sp, sold.union(more), both))
+    assert rows(st.refresh(ev.limit(0), sp, more.limit(0), both))[0][:2] == (0, 0)
+
+
+def test_crash_before_the_mart_is_mended_by_an_empty_batch(spark, monkeypatch):
+    ev, sp, sold = small(spark)
+    st, nobody = store(spark), spark.createDataFrame([], USERS)
+    with monkeypatch.context() as broken:
+        broken.setattr(st, "_rebuild_mart", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            st.refresh(ev, sp, sold, nobody)
+    assert st.mart().count() == 0
+    st.refresh(ev.limit(0), sp, sold.limit(0), nobody)
+    same(st.mart(), full(ev, sp, sold, nobody))
+
+
+def test_open_as_of_needs_history(spark):
+    ev, sp, sold = small(spark)
+    st, nobody = store(spark, AttributionConfig(lookback_days=36500)), spark.createDataFrame([], USERS)
+    with pytest.raises(ValueError, match="history"):
+        st.refresh(ev, sp, sold, nobody)
+    st.refresh(ev, sp, sold, nobody, history=(ev, sp))
+    assert st.cfg.as_of is None
+    same(st.mart(), full(ev, sp, sold, nobody, AttributionConfig(lookback_days=36500)))
+
+
+def test_late_event_opens_only_its_day(spark):
+    ev, sp = visits(spark, [(i, "d", f"s{i}", dt(2024, 1, 1 + i)) for i in range(10)])
+    batch = ev.filter("id in (0, 8, 9)")
+    assert rows(same_time_range(batch, sp).select("event_id"), "event_id") == [(0,), (8,), (9,)]

@@ -11,12 +11,19 @@ The first two do not depend on who a device belongs to, so a late identification
 small rows.  A refresh finds the users a batch touches (new rows, changed identity, rows that left
 the lookback) and, per user, the earliest moment anything changed.  Conversions before it keep
 their paths; later ones are recomputed from the stored rows, and only the hash buckets of touched
-users are rewritten.  The result equals a full recomputation.  Re-running a batch is harmless.
+users are rewritten.  The result equals a full recomputation.
+
+The tables commit one after the other.  What a refresh is about to recompute is noted in ``pending`` before the
+first commit and struck out after the last, so a run that follows a crash takes up what was left, whether it
+brings the same batch again or another.  The clock is read once per refresh.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date, timedelta
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,14 +66,23 @@ def row_changes(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def same_time_range(batch: DataFrame, context: DataFrame) -> DataFrame:
-    """Cut a per-event table to the batch's time span, so the scan skips the rest."""
+    """Cut a per-event table to the batch's days, so the scan skips the rest.
+
+    Neighbouring days become one range; a single late event opens its own day and not all days since.
+    """
     if "event_time" not in context.columns:
         return context
-    span = batch.agg(F.min("event_time").cast("string").alias("lo"), F.max("event_time").cast("string").alias("hi")).first()
-    if span["lo"] is None:
+    found = batch.select(F.to_date("event_time").alias("day")).filter("day is not null").distinct().orderBy("day").collect()
+    if not found:
         return context.limit(0)
-    at = F.col("event_time")
-    return context.filter((at >= F.lit(span["lo"]).cast("timestamp")) & (at <= F.lit(span["hi"]).cast("timestamp")))
+    ranges: list[list[date]] = []
+    for (day,) in found:  # as many rows as the batch has days
+        if ranges and day == ranges[-1][1]:
+            ranges[-1][1] = day + timedelta(days=1)
+        else:
+            ranges.append([day, day + timedelta(days=1)])
+    at, moment = F.col("event_time"), lambda d: F.lit(d.isoformat()).cast("timestamp")
+    return context.filter(reduce(or_, [(at >= moment(a)) & (at < moment(b)) for a, b in ranges]))
 
 
 @dataclass
@@ -84,6 +100,10 @@ class AttributionStore:
         for name in _SCHEMAS:
             # Creates the folder so that the first read finds an empty table.
             self.spark.createDataFrame([], self._schema(name)).write.mode("append").partitionBy(BUCKET).parquet(self._path(name))
+        self._none_pending().write.mode("append").parquet(self._path("pending"))
+
+    def _none_pending(self) -> DataFrame:
+        return self.spark.createDataFrame([], "user_id string, since timestamp")
 
     def _path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -154,27 +174,49 @@ class AttributionStore:
         """Fold a batch in and return inserted, deleted and unchanged mart rows.
 
         ``events`` and ``custom_events`` are the new rows; ``source_properties`` may be the whole
-        table, it is cut to the batch's time span.  ``users`` is the current user table.  When
-        ``as_of`` moves, sessions cut by the lookback are rebuilt from ``history`` (all events and
-        their context rows).
+        table, it is cut to the batch's days.  ``users`` is the current user table.  Where the lookback can
+        move (``as_of`` is given, or the store's own is open and means now), sessions cut by it are
+        rebuilt from ``history`` (all events and their context rows), which is then required.
         """
-        moved = as_of is not None or self.cfg.as_of is None
+        configured = self.cfg
+        moved = as_of is not None or configured.as_of is None
+        if moved and history is None:
+            raise ValueError("the lookback can move: pass history, or sessions it cuts would lose their later events")
         if as_of is not None:
-            self.cfg = self.cfg.but(as_of=as_of)
+            configured = configured.but(as_of=as_of)
+        if configured.as_of is None:
+            # One reading of the clock for all jobs of this refresh.
+            now = self.spark.range(1).select(F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
+            self.cfg = configured.but(as_of=now)
+        else:
+            self.cfg = configured
+        try:
+            return self._refresh(events, source_properties, custom_events, users, history, moved)
+        finally:
+            self.cfg = configured
+
+    def _refresh(
+        self, events: DataFrame, source_properties: DataFrame, custom_events: DataFrame, users: DataFrame,
+        history: tuple[DataFrame, DataFrame] | None, moved: bool,
+    ) -> DataFrame:
         sp = same_time_range(events, source_properties)
         fresh = work_table(touchpoints.device_touchpoints(events, sp, self.cfg), "fresh-touchpoints")
         sold = work_table(conversions.device_conversions(custom_events, self.cfg), "fresh-conversions")
         expired, expired_sales = self._expired(moved)
-        rebuilt = self._rebuilt(expired, history) if moved and history is not None else None
+        rebuilt = self._rebuilt(expired, history) if history is not None else None
         identities = work_table(staging.stage_users(users), "identities")
         changed = work_table(self._identity_changes(identities), "identity-changes")
-        affected = work_table(
-            self._affected_users(fresh, sold, expired, expired_sales, identities, changed), "affected")
+        noted = self.spark.read.schema("user_id string, since timestamp").parquet(self._path("pending"))
+        found = self._affected_users(fresh, sold, expired, expired_sales, identities, changed)
+        affected = work_table(found.union(noted).groupBy("user_id").agg(F.min("since").alias("since")), "affected")
+        affected.write.mode("append").parquet(self._path("pending"))
 
         self._merge_touchpoints(fresh, expired, rebuilt)
         self._merge_conversions(sold, expired_sales)
         self._replace_identities(identities, changed)
-        return self._rebuild_mart(affected, identities)
+        report = self._rebuild_mart(affected, identities)
+        self._none_pending().write.mode("overwrite").parquet(self._path("pending"))
+        return report
 
     def _touch_cutoff(self) -> Column:
         return days_before(self.cfg.now(), self.cfg.lookback_days + self.cfg.attribution_window_days)

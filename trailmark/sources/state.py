@@ -42,6 +42,14 @@ class SyncState:
         wanted = self._row(sync_name, Cursor(at, None), F.lit(0))
         wanted.join(self._log(), "sync_name", "left_anti").write.mode("append").parquet(self._path)
 
+    def seed_all(self, names: DataFrame, at: str = EPOCH) -> None:
+        """Insert a starting row for every ``sync_name`` of a DataFrame that has none, in one job."""
+        new = names.select("sync_name").filter("sync_name is not null").distinct().join(self._log(), "sync_name", "left_anti")
+        new.select(
+            "sync_name", F.lit(at).cast("timestamp").alias("last_synced_at"), F.lit(None).cast("string").alias("last_uid"),
+            F.lit(0).cast("long").alias("version"),
+        ).write.mode("append").parquet(self._path)
+
     def _row(self, sync_name: str, cursor: Cursor, version) -> DataFrame:
         return self._spark.range(1).select(
             F.lit(sync_name).alias("sync_name"), F.lit(cursor.at).cast("timestamp").alias("last_synced_at"),

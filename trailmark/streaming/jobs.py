@@ -15,12 +15,13 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from trailmark.config import AttributionConfig
 from trailmark.functions.time import days_before
-from trailmark.operators import funnel
 from trailmark.operators.ordered import DAY, time_bucket
 from trailmark.plans.metrics import Metric, metric
 from trailmark.plans.refresh import AttributionStore
 
 _BATCH = "batch"
+# Length of the time slices that bound streaming state.
+SLICE = "1 day"
 
 
 def append_updates(stream: DataFrame, path: str, checkpoint: str, trigger: dict) -> StreamingQuery:
@@ -46,33 +47,42 @@ def latest(spark: SparkSession, path: str, keys: Sequence[str], schema: StructTy
     return newest.select(*keys, "v.*")
 
 
-def best_signal_per_session(signals: DataFrame, watermark: str) -> DataFrame:
-    """Running best touchpoint per (session, user) from classified rows
-    (user_id, session_id, event_time, event_id, source, medium, campaign, rank)."""
+def best_signal_per_session(signals: DataFrame, watermark: str, slice_length: str = SLICE) -> DataFrame:
+    """Running best touchpoint per (session, user, time slice) from classified rows
+    (user_id, session_id, event_time, event_id, source, medium, campaign, rank).
+
+    The slice belongs to the key so that the watermark drops state of slices that are over; ``best_of_slices``
+    puts a session's slices together.
+    """
     best = F.struct("rank", "event_time", "event_id", "source", "medium", "campaign")
-    return (
-        signals.withWatermark("event_time", watermark)
-        .groupBy("session_id", "user_id").agg(F.min(best).alias("best"))
-        .select("session_id", "user_id", "best.event_time", "best.source", "best.medium", "best.campaign")
-    )
+    sliced = signals.withWatermark("event_time", watermark).groupBy(F.window("event_time", slice_length).alias("w"), "session_id", "user_id")
+    return sliced.agg(F.min(best).alias("best")).select("session_id", "user_id", F.col("w.start").alias("slice"), "best.*")
+
+
+def best_of_slices(slices: DataFrame) -> DataFrame:
+    """One best touchpoint per (session, user) from the newest version of every slice."""
+    best = F.struct("rank", "event_time", "event_id", "source", "medium", "campaign")
+    return slices.groupBy("session_id", "user_id").agg(F.min(best).alias("best")).select(
+        "session_id", "user_id", "best.event_time", "best.source", "best.medium", "best.campaign")
 
 
 def refresh_on_arrival(
     events: DataFrame, store: AttributionStore,
     inputs: Callable[[DataFrame], tuple[DataFrame, DataFrame, DataFrame]],
-    checkpoint: str, trigger: dict,
+    checkpoint: str, trigger: dict, history: Callable[[], tuple[DataFrame, DataFrame]] | None = None,
 ) -> StreamingQuery:
     """Keyed refresh of touchpoints, conversions and mart for every micro-batch of events.
 
     ``inputs`` returns the context rows, new custom events and users for a batch.  Users touched by
     a batch are recomputed whole, so late and out-of-order events end up exactly where a batch run
-    would put them, which a purely stateful ``lag`` cannot do.
+    would put them, which a purely stateful ``lag`` cannot do.  ``history`` (all events and their context
+    rows so far) is needed unless the store's ``as_of`` is fixed.
     """
 
     def fold(batch: DataFrame, _: int) -> None:
         batch = batch.persist()
         try:
-            store.refresh(batch, *inputs(batch))
+            store.refresh(batch, *inputs(batch), history=history() if history else None)
         finally:
             batch.unpersist()
 
@@ -110,9 +120,20 @@ def link_touchpoints(
         "converted_at", "conversion_revenue")
 
 
-def running_funnel(hits: DataFrame, n_steps: int, watermark: str) -> DataFrame:
-    """First time of every step per (user, session) as events arrive; ``funnel.reached`` reads it."""
-    return funnel.first_touch_times(hits.withWatermark("event_time", watermark), n_steps)
+def running_funnel(hits: DataFrame, n_steps: int, watermark: str, slice_length: str = SLICE) -> DataFrame:
+    """First time of every step per (user, session, time slice) as events arrive.
+
+    State of slices behind the watermark is dropped; ``first_of_slices`` puts a session's slices together.
+    """
+    sliced = hits.withWatermark("event_time", watermark).groupBy(F.window("event_time", slice_length).alias("w"), "user_id", "session_id")
+    steps = range(1, n_steps + 1)
+    firsts = sliced.agg(*[F.min(F.when(F.col("step") == i, F.col("event_time"))).alias(f"stp{i}_time") for i in steps])
+    return firsts.select("user_id", "session_id", F.col("w.start").alias("slice"), *[f"stp{i}_time" for i in steps])
+
+
+def first_of_slices(slices: DataFrame, n_steps: int) -> DataFrame:
+    """First time of every step per (user, session); ``funnel.reached`` reads it."""
+    return slices.groupBy("user_id", "session_id").agg(*[F.min(f"stp{i}_time").alias(f"stp{i}_time") for i in range(1, n_steps + 1)])
 
 
 def windowed_metrics(
