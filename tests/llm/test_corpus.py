@@ -179,10 +179,11 @@ def test_near_duplicates_equal_brute_force(frame):
     assert [got.at[i, "class_size"] for i in range(len(texts))] == [size[c] for c in want]
 
 
-@pytest.mark.parametrize("budget", [0, 20])
-def test_large_near_group_is_one_class(frame, monkeypatch, budget):
-    """With and without the last round over all pairs left."""
-    monkeypatch.setattr(neardup, "PAIRS_PER_NODE", budget)
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_large_near_group_is_one_class(frame, monkeypatch, rounds):
+    """By pivots first, and by pairs within blocks alone."""
+    monkeypatch.setattr(neardup, "PIVOT_ROUNDS", rounds)
+    monkeypatch.setattr(neardup, "BLOCK", 40)
     rng = random.Random(7)
     base, texts = [f"v{i}" for i in range(120)], []
     for i in range(250):

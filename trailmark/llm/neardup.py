@@ -6,10 +6,11 @@ shingle stops as soon as its next arrival lies beyond all registers of the text
 with the probability Jaccard similarity of the texts.  Bands of registers propose candidates, and candidates are verified by the
 exact Jaccard similarity of their shingle sets, at least ``SIMILARITY``.
 
-Texts with equal word sequences are one node.  Within a band's bucket nodes are compared with one pivot a round instead of with
-each other; verified links merge nodes into classes, and only nodes of different classes need more rounds.
-When few enough pairs across classes are left (linear in the rows), all of them are verified, so no proposed link is lost,
-though links inside a class need never be spelled out.
+Texts with equal word sequences are one node.  In each of ``PIVOT_ROUNDS`` rounds the nodes of a bucket are compared with one
+pivot instead of with each other, and verified links give nodes common labels.  What is left, pairs of a bucket with
+different labels, is then compared by signature inside the tasks that hold the bucket's blocks, and only pairs that can
+reach the threshold leave them to be verified.  So no proposed link between classes is lost, though links
+inside a class need never be spelled out.
 
 With 24 bands of 4 registers a pair at similarity 0.8 is missed with a chance of about 3 in a million.
 
@@ -21,8 +22,10 @@ table gives no rows.  Columns other than id and text are never looked at.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -37,9 +40,11 @@ SIMILARITY = 0.8
 BANDS = 24
 ROWS = 4
 REGISTERS = BANDS * ROWS
-# A signature estimate this far below the threshold (five standard deviations) is not verified further.
-ESTIMATE_SLACK = 0.2
-PAIRS_PER_NODE = 20
+# Pairs with fewer equal registers (five standard deviations below the threshold) are not verified further.
+LEAST_EQUAL = int((SIMILARITY - 0.2) * REGISTERS)
+PIVOT_ROUNDS = 2
+BLOCK = 1000
+BROADCAST_ROWS = 1_000_000  # of two or three numbers each
 
 _PLACES = scramble(np.arange(1, SHINGLE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
@@ -127,34 +132,85 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp) of every node in ``edges`` (a, b): the least node it is linked to over any number of links.
 
-    Each round takes the least label among neighbours and then follows labels once (pointer jumping).
+    Each round takes the least of the neighbours' labels and of the own label's label (pointer jumping).
     """
     both = work_table(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "near-links")
     labels = work_table(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("comp")), "near-labels")
+    total = F.sum(F.col("comp").cast("decimal(38,0)"))
+    before = labels.agg(total).first()[0]
     while True:
-        near = both.join(labels, both["b"] == labels["node"]).groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("seen"))
-        lower = labels.join(near, "node").select("node", F.col("comp").alias("old"), F.least("comp", "seen").alias("comp"))
-        lower = work_table(lower, "near-lower")
-        jump = lower.select(F.col("node").alias("comp"), F.col("comp").alias("further"))
-        new = lower.join(jump, "comp", "left").select("node", "old", F.least("comp", F.coalesce("further", "comp")).alias("comp"))
-        new = work_table(new, "near-labels")
-        if not new.filter("old <> comp").limit(1).count():
-            return new.select("node", "comp")
-        labels = new.select("node", "comp")
+        near = both.join(labels, both["b"] == labels["node"]).select(F.col("a").alias("node"), "comp")
+        jump = labels.select(F.col("node").alias("to"), F.col("comp").alias("further"))
+        own = labels.join(jump, F.col("comp") == F.col("to")).select("node", F.col("further").alias("comp"))
+        labels = work_table(near.union(own).groupBy("node").agg(F.min("comp").alias("comp")), "near-labels")
+        # Labels only ever fall, so an unchanged sum means that none did.
+        after = labels.agg(total).first()[0]
+        if after == before:
+            return labels
+        before = after
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """A written table of narrow rows, broadcast while it has at most ``BROADCAST_ROWS`` of them."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def _both_sides(pairs: DataFrame, signed: DataFrame, column: str) -> DataFrame:
+    """``pairs`` (a, b) with ``sides``, the column's values of both nodes.
+
+    The narrow pairs go to the wide rows, and each wide row travels once per pair.
+    """
+    ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("node"))
+    found = signed.select("node", column).join(_small(work_table(ends, "near-ends")), "node")
+    return found.groupBy("a", "b").agg(F.collect_list(column).alias("sides"))
+
+
+def _alike(pairs: DataFrame, signed: DataFrame) -> DataFrame:
+    """The ``pairs`` whose signatures do not rule them out."""
+    one, other = F.col("sides").getItem(0), F.col("sides").getItem(1)
+    equal = F.aggregate(F.zip_with(one, other, lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
+    return _both_sides(pairs, signed, "sig").filter(equal >= F.lit(LEAST_EQUAL)).select("a", "b")
 
 
 def verify(pairs: DataFrame, signed: DataFrame, similarity: float) -> DataFrame:
-    """The distinct ``pairs`` (a, b) whose shingle sets are similar enough."""
-    side = lambda name, col: signed.select(F.col("node").alias(name), F.col(col).alias(f"{col}_{name}"))
-    hopeful = pairs.join(side("a", "sig"), "a").join(side("b", "sig"), "b")
-    equal = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    hopeful = work_table(hopeful.filter(equal >= F.lit((similarity - ESTIMATE_SLACK) * REGISTERS)).select("a", "b"), "near-hopeful")
-    used = hopeful.select(F.col("a").alias("node")).union(hopeful.select(F.col("b").alias("node"))).distinct()
-    sets = work_table(signed.select("node", "items").join(used, "node", "left_semi"), "near-sets")
-    side = lambda name: sets.select(F.col("node").alias(name), F.col("items").alias(f"items_{name}"))
-    full = hopeful.join(side("a"), "a").join(side("b"), "b")
-    common = F.size(F.array_intersect("items_a", "items_b"))
-    return full.filter(common >= F.lit(similarity) * (F.size("items_a") + F.size("items_b") - common)).select("a", "b")
+    """The ``pairs`` (a, b) whose shingle sets are similar enough."""
+    one, other = F.col("sides").getItem(0), F.col("sides").getItem(1)
+    common = F.size(F.array_intersect(one, other))
+    full = _both_sides(pairs, signed, "items")
+    return full.filter(common >= F.lit(similarity) * (F.size(one) + F.size(other) - common)).select("a", "b")
+
+
+def _pairs_in_block(group: pd.DataFrame) -> pd.DataFrame:
+    """Pairs of a bucket's block with different labels and enough equal registers; no others leave the task."""
+    sig = np.stack(group["sig"].to_numpy()).astype(np.int16)
+    node, label, side = group["node"].to_numpy(), group["label"].to_numpy(), group["block"].to_numpy()
+    within = group["low"].iloc[0] == group["high"].iloc[0]
+    a, b = [], []
+    for i in range(len(node) - 1):
+        rest = slice(i + 1, None)
+        may = (label[rest] != label[i]) & (within | (side[rest] != side[i]))
+        some = np.flatnonzero(may) + i + 1
+        if len(some):
+            hit = some[(sig[some] == sig[i]).sum(axis=1) >= LEAST_EQUAL]
+            a += np.minimum(node[hit], node[i]).tolist()
+            b += np.maximum(node[hit], node[i]).tolist()
+    return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+
+
+def all_pairs_left(held: DataFrame, signed: DataFrame) -> DataFrame:
+    """Every pair of a bucket with different labels whose signatures allow it.
+
+    ``held`` has (bucket, node, label).  A bucket of more than ``BLOCK`` nodes is cut into blocks, and every two blocks
+    meet in a task of their own, so no task holds more than two blocks.
+    """
+    sizes = held.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
+    sizes = sizes.select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
+    rows = held.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
+    rows = rows.select("bucket", "node", "label", "block", other)
+    rows = rows.select("bucket", "node", "label", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    rows = rows.join(signed.select("node", "sig"), "node")
+    return rows.groupBy("bucket", "low", "high").applyInPandas(_pairs_in_block, "a bigint, b bigint").distinct()
 
 
 def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -163,45 +219,28 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", si
     kind = docs.schema[doc_id].dataType.simpleString()
     schema = f"doc {kind}, h bigint, node bigint, bands array<bigint>, sig array<smallint>, items array<int>"
     signed_rows = work_table(rows.mapInArrow(_sign, schema), "near-signed")
-    # One row per node: copies have equal signatures, so any of them will do.
-    first = signed_rows.groupBy("node").agg(F.min(F.struct("doc", "h")).alias("who"))
-    signed = signed_rows.withColumn("who", F.struct("doc", "h")).join(first, ["node", "who"]).select("node", "bands", "sig", "items")
     members = signed_rows.select("node", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high")
     members = work_table(members.join(shared.select("bucket"), "bucket", "left_semi").distinct(), "near-members")
-    # Repeated rows make `signed` hold a node twice; that only repeats candidates, which are made distinct.
-    nodes = members.select("node").distinct()
-    signed = work_table(signed.join(nodes, "node", "left_semi").dropDuplicates(["node"]), "near-nodes")
-    size = signed.count()
-    comp = work_table(signed.select("node", F.col("node").alias("comp")), "near-comp")
-    cross_before = None
-    for turn in range(64):
-        held = members.join(comp, "node")
-        per = held.groupBy("bucket", "comp").agg(F.count("*").alias("n")).groupBy("bucket")
-        per = per.agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("sq"), F.count("*").alias("comps")).filter("comps > 1")
-        live = work_table(per.select("bucket", ((F.col("n") * F.col("n") - F.col("sq")) / 2).alias("cross")), "near-live")
-        cross = live.agg(F.sum("cross")).first()[0] or 0
-        if not cross:
-            break
-        held = work_table(held.join(live.select("bucket"), "bucket", "left_semi"), "near-held")
-        last = cross <= PAIRS_PER_NODE * size or (cross_before is not None and cross > 0.9 * cross_before)
-        if last:
-            # Few pairs are left across classes (or pivots no longer help): verify all of them.
-            other = held.select("bucket", F.col("node").alias("b"), F.col("comp").alias("comp_b"))
-            pairs = held.withColumnRenamed("node", "a").join(other, "bucket").filter("a < b and comp <> comp_b").select("a", "b").distinct()
-        else:
-            by = F.struct(F.xxhash64(F.lit(turn), "node").alias("o"), "node", "comp")
-            pivot = held.groupBy("bucket").agg(F.min(by).alias("p"))
-            met = held.join(pivot, "bucket").filter(F.col("comp") != F.col("p.comp"))
-            pairs = met.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
-        links = work_table(verify(pairs, signed, similarity), "near-verified")
-        ends = lambda c: comp.select(F.col("node").alias(c), F.col("comp").alias(f"comp_{c}"))
-        merged = links.join(ends("a"), "a").join(ends("b"), "b").select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")).filter("a <> b").distinct()
-        renamed = components(merged).select(F.col("node").alias("comp"), F.col("comp").alias("to"))
-        comp = work_table(comp.join(renamed, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")), "near-comp")
-        if last:
-            break
-        cross_before = cross
+    # Of the wide columns only those of candidates move.  Copies have equal signatures, so any of a node's rows will do.
+    nodes = work_table(members.select("node").distinct(), "near-candidates")
+    signed = signed_rows.select("node", "sig", "items").join(_small(nodes), "node", "left_semi")
+    signed = work_table(signed.groupBy("node").agg(F.first("sig").alias("sig"), F.first("items").alias("items")), "near-nodes")
+    labels, links = nodes.select("node", F.col("node").alias("label")), []
+    for turn in range(PIVOT_ROUNDS):
+        held = members.join(labels, "node")
+        pivot = held.groupBy("bucket").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("o"), "node", "label")).alias("p"))
+        met = held.join(pivot, "bucket").filter(F.col("label") != F.col("p.label"))
+        pairs = met.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
+        found = work_table(verify(_alike(work_table(pairs, "near-pairs"), signed), signed, similarity), "near-verified")
+        links.append(found)
+        end = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"label_{c}"))  # noqa: B023
+        met = found.join(end("a"), "a").join(end("b"), "b").select(F.explode(F.array("label_a", "label_b")).alias("label"), F.least("label_a", "label_b").alias("to"))
+        lower = met.groupBy("label").agg(F.min("to").alias("to"))
+        labels = work_table(labels.join(lower, "label", "left").select("node", F.coalesce("to", "label").alias("label")), "near-labels")
+    left = work_table(all_pairs_left(members.join(labels, "node"), signed), "near-left")
+    links.append(verify(left, signed, similarity))
+    comp = components(reduce(DataFrame.union, links))
     return signed_rows.select("doc", "h", "node").join(comp, "node", "left").select("doc", "h", "node", F.coalesce("comp", "node").alias("comp"))
 
 
