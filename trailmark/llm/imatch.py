@@ -116,7 +116,7 @@ def _count(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBa
     for whole in batches:
         for batch in slices(whole, text):
             waiting.append(distinct_terms(*text_bytes(batch.column(text)), None)[1])
-            if sum(map(len, waiting)) > 2_000_000:
+            if sum(map(len, waiting)) > 500_000:
                 terms, counts = merged(terms, counts)
                 waiting.clear()
     if waiting:

@@ -103,7 +103,7 @@ def signatures(row: np.ndarray, item: np.ndarray, weight: np.ndarray, rows: int,
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole_batch in batches:
-        for batch in slices(whole_batch, "text", 2 << 20):
+        for batch in slices(whole_batch, "text"):
             raw, at = text_bytes(batch.column("text"))
             row, item, count, whole = shingles(raw, at)
             rows = batch.num_rows

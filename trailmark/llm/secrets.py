@@ -94,7 +94,7 @@ def _scan(machine: Automaton, batches: Iterator[pa.RecordBatch], id_name: str, t
     kinds = [rule[0] for rule in RULES]
     base = {name: i for i, (name, *_) in enumerate(BASE_RULES)}
     for whole in batches:
-        for batch in slices(whole, text):
+        for batch in slices(whole, text, 4 << 20):
             raw, at = text_bytes(batch.column(text))
             found = find_spans(machine, raw, at)
             counts = np.zeros((len(base), batch.num_rows), np.int64)
