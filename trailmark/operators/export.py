@@ -184,15 +184,14 @@ def export_user_properties(
     elif transport is None:
         status, code, text, sent, count = "ok", None, None, total["n"], total["u"]
     else:
-        answers = push_chunks(outbox, 0, total["n"], transport)
-        failed = answers.filter((F.col("http_status") < 200) | (F.col("http_status") >= 300))
-        worst = failed.orderBy("chunk_id").limit(1)
-        first = worst.first()
-        if first is None:
-            status, code, text, sent, count = "ok", 200, None, total["n"], total["u"]
-        else:
-            status, code, text = "failed", first["http_status"], first["response"]
-            sent, count = 0, 0
+        # Written, so that reading the answers again does not send again.
+        answers = work_table(push_chunks(outbox, 0, total["n"], transport), "answers")
+        good = (F.col("http_status") >= 200) & (F.col("http_status") < 300)
+        first = answers.filter(~good).orderBy("chunk_id").limit(1).first()
+        delivered = outbox.join(answers.filter(good).select("chunk_id"), "chunk_id", "left_semi").agg(
+            F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("users"), F.lit(0)).alias("u")).first()
+        sent, count = delivered["n"], delivered["u"]
+        status, code, text = ("ok", 200, None) if first is None else ("failed", first["http_status"], first["response"])
     report = spark.range(1).select(
         F.lit(status).alias("status"), F.lit(sent).cast("long").alias("chunks_pushed"),
         F.lit(count).cast("long").alias("users_pushed"), F.lit(code).cast("int").alias("http_status"),
