@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from checks import entries
 from checks.common import CFG
-from trailmark.config import prepare_session, work_path
+from trailmark.config import clean_work, prepare_session, work_path
 from trailmark.plans.refresh import AttributionStore
 from trailmark.sources.landing import star
 
@@ -66,6 +66,7 @@ def main() -> None:
     for name in HEADLINE:
         seconds[name] = min(timed(lambda: queries[name](spark, sf_dir)) for _ in range(REPEATS))
     seconds.update(refresh_times(spark, sf_dir))
+    clean_work(spark)
     print(json.dumps({
         "metric": "headline queries, total", "value": round(sum(seconds.values()), 3), "unit": "sec",
         "queries": {k: round(v, 3) for k, v in seconds.items()}, "landing": round(landing, 3),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from dataclasses import dataclass, replace
@@ -62,13 +63,14 @@ _LOCAL_WORK: dict[str, str] = {}
 def work_dir(spark: SparkSession) -> str:
     """The shared folder for written intermediates: the cluster's ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder; on a cluster a machine-local path
-    would vanish with its executor.
+    Only a local master (``local`` or ``local[...]``, one machine) may fall back to a temporary folder; on a
+    cluster a machine-local path would vanish with its executor.  A ``file:`` path is taken as given, since
+    clusters mount shared folders that way.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_WORK:
@@ -76,8 +78,19 @@ def work_dir(spark: SparkSession) -> str:
     return _LOCAL_WORK[app]
 
 
+def run_dir(spark: SparkSession) -> str:
+    """This application's own folder in the work area."""
+    return f"{work_dir(spark)}/trailmark-{spark.sparkContext.applicationId}"
+
+
 def work_path(spark: SparkSession, name: str) -> str:
-    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{run_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clean_work(spark: SparkSession) -> bool:
+    """Remove all intermediates of this application; call it when no result that reads them is needed any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def work_table(df: DataFrame, name: str) -> DataFrame:
