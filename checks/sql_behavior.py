@@ -10,6 +10,7 @@ WEEK = (f"{NOW} - INTERVAL 7 DAY", NOW)
 DAY24 = (f"{NOW} - INTERVAL 1 DAY", NOW)
 TODAY = ("timestamp '2024-01-30 00:00:00'", NOW)
 YESTERDAY = ("timestamp '2024-01-29 00:00:00'", "timestamp '2024-01-30 00:00:00'")
+THIS_MONTH = ("timestamp '2024-01-01 00:00:00'", NOW)
 ALL = None
 
 # Dimension expressions and the joins they need.
@@ -314,8 +315,8 @@ def questions() -> dict[str, str]:
         "q049_error_trend": m("exception_event_count", {"bucket": "day"}),
         "q050_users_with_errors": adoption("exceptions"),
         "q051_status_500_today": agg("requests", "count(CASE WHEN request_status = '500' THEN 1 END) AS status_500_count", when=TODAY),
-        "q052_failing_endpoints": m("total_failed_requests", {"endpoint": "b.request_url_path"}),
-        "q053_client_errors_by_endpoint": m("client_error_count", {"endpoint": "b.request_url_path"}),
+        "q052_failing_endpoints": m("total_failed_requests", {"endpoint": "b.request_url_full_url"}),
+        "q053_client_errors_by_endpoint": m("client_error_count", {"endpoint": "b.request_url_full_url"}),
         "q054_failed_response_time": agg("requests", r("avg(request_duration_millis)", "avg_request_duration")),
         "q055_server_and_client_errors": m(["server_error_count", "client_error_count"]),
         "q056_console_errors": m("console_message_count"),
@@ -386,7 +387,7 @@ def questions() -> dict[str, str]:
         "q099_users_with_most_sessions": m("sessions", {"user_id": "b.user_id"}),
         "q100_identified_users_with_errors": f"""SELECT u.uid, count(*) AS errors FROM fx_exceptions b JOIN fx_users u ON u.id = b.user_id
             WHERE u.uid IS NOT NULL AND {span(MONTH)} GROUP BY 1""",
-        "q101_frequent_visitors": m("sessions", {"user_id": "b.user_id"}, tail="HAVING count(DISTINCT session_id) > 10"),
+        "q101_frequent_visitors": m("sessions", {"user_id": "b.user_id"}, when=THIS_MONTH, tail="HAVING count(DISTINCT session_id) > 10"),
         "q102_error_spikes": f"""SELECT *, coalesce(z_score > 2, false) AS is_spike FROM (
             {zscore(m("exception_event_count", {"bucket": "day"}, when=ALL), "exception_event_count")}) t
             WHERE bucket = TIMESTAMP '2024-01-30 00:00:00'""",

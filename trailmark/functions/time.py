@@ -72,7 +72,8 @@ DEFAULT_PERIOD = "last week"
 def period(name: str, as_of: str, tz: str = "UTC") -> Period:
     """Resolve a period name against ``as_of`` (a UTC timestamp text).
 
-    ``today`` runs from local midnight to ``as_of``; ``yesterday`` is the local day before;
+    ``today``, ``this week`` (from Monday) and ``this month`` run from their local beginning to ``as_of``;
+    ``yesterday`` is the local day before;
     rolling names count whole days back; ``all`` is unbounded.
     """
     now = ts(as_of)
@@ -81,6 +82,9 @@ def period(name: str, as_of: str, tz: str = "UTC") -> Period:
         return Period()
     if name == "today":
         return Period(midnight, now)
+    if name in ("this week", "this month"):
+        begin = F.date_trunc(name.split()[1], F.from_utc_timestamp(now, tz))
+        return Period(F.to_utc_timestamp(begin, tz), now)
     if name == "yesterday":
         before = F.to_utc_timestamp(F.date_trunc("day", F.from_utc_timestamp(now, tz)) - days(1), tz)
         return Period(before, midnight)

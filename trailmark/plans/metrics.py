@@ -105,19 +105,36 @@ FACTS: dict[str, tuple[str, str]] = {
     "active time": ("page_views", "active_duration_millis"),
     "engagement time": ("page_views", "active_duration_millis"),
     "idle time": ("page_views", "inactive_duration_millis"),
+    "inactive time": ("page_views", "inactive_duration_millis"),
     "time on page": ("page_views", "duration_millis"),
+    "total page time": ("page_views", "duration_millis"),
     "scroll depth": ("page_views", "max_scroll_depth"),
+    "scroll percentage": ("page_views", "max_scroll_depth"),
     "fcp": ("loads", "first_paint_time_millis"),
+    "first contentful paint": ("loads", "first_paint_time_millis"),
     "lcp": ("loads", "largest_paint_time_millis"),
+    "largest contentful paint": ("loads", "largest_paint_time_millis"),
     "ttfb": ("loads", "time_to_first_byte_millis"),
+    "server response time": ("loads", "time_to_first_byte_millis"),
     "page load time": ("loads", "load_time_millis"),
+    "full load time": ("loads", "load_time_millis"),
     "dom ready": ("loads", "dom_content_time_millis"),
+    "dom content loaded": ("loads", "dom_content_time_millis"),
     "tti": ("loads", "time_to_interactive_millis"),
+    "time to interactive": ("loads", "time_to_interactive_millis"),
     "tbt": ("loads", "total_blocking_time_millis"),
+    "blocking time": ("loads", "total_blocking_time_millis"),
     "cls score": ("cumulative_layout_shifts", "cumulative_layout_shift"),
+    "layout shift score": ("cumulative_layout_shifts", "cumulative_layout_shift"),
+    "visual stability": ("cumulative_layout_shifts", "cumulative_layout_shift"),
     "fid": ("first_input_delays", "first_input_delay_millis"),
+    "first input delay": ("first_input_delays", "first_input_delay_millis"),
     "inp": ("interaction_to_next_paints", "interaction_to_next_paint_millis"),
+    "interaction to next paint": ("interaction_to_next_paints", "interaction_to_next_paint_millis"),
+    "responsiveness": ("interaction_to_next_paints", "interaction_to_next_paint_millis"),
     "render time": ("elements_seen", "element_render_duration_millis"),
+    "time to render": ("elements_seen", "element_render_duration_millis"),
+    "visibility duration": ("elements_seen", "element_visible_duration_millis"),
     "time visible": ("elements_seen", "element_visible_duration_millis"),
 }
 

@@ -138,8 +138,6 @@ DIMENSION_NAMES: dict[str, str] = {
     "status code": "requests.request_status",
     "http status": "requests.request_status",
     "api url": "requests.request_url_full_url",
-    "endpoint": "requests.request_url_path",
-    "endpoint path": "requests.request_url_path",
     "api host": "requests.request_url_host",
     "app user id": "users.uid",
     "customer user id": "users.uid",
@@ -147,6 +145,106 @@ DIMENSION_NAMES: dict[str, str] = {
     "display name": "users.user_display_name",
 }
 
+# The names declared for columns, by table and column.
+ALIASES: dict[str, dict[str, tuple[str, ...]]] = {
+    "events": {
+        "element_definition_id": ("element definition id", "named element id"),
+        "event_definition_id": ("event definition id", "defined event id"),
+        "event_type": ("event category", "type of event"), "id": ("event id", "event identifier"),
+        "session_id": ("session id", "session identifier"), "user_id": ("user id", "user identifier"),
+        "event_time": ("event timestamp", "time of event"),
+    },
+    "clicks": {
+        "event_id": ("click id",), "fs_dead_count": ("dead count", "dead clicks"), "fs_rage_count": ("rage count", "rage clicks"),
+        "fs_error_kind": ("click error type", "error kind"), "is_click_long": ("long press", "long click"),
+        "is_click_unhandled": ("unhandled click",), "target_text": ("button text", "element text", "clicked text"),
+        "target_raw_selector": ("click selector", "element selector"), "event_time": ("click time",),
+    },
+    "page_views": {
+        "page_name": ("page title", "screen name"), "start_time": ("page load timestamp",),
+        "end_time": ("page unload timestamp", "page exit time"),
+    },
+    "interaction_to_next_paints": {
+        "event_name": ("inp trigger", "interaction type"), "target_text": ("inp element text",),
+        "target_raw_selector": ("inp element selector",),
+    },
+    "exceptions": {
+        "event_id": ("exception id",), "exception_count": ("burst count",), "exception_source_file": ("file path", "source file"),
+        "is_exception_handled": ("caught", "handled"), "message": ("error text", "exception message", "error message"),
+    },
+    "console_messages": {
+        "console_message_level": ("log level", "console level"), "message": ("console error text", "console log text"),
+    },
+    "navigates": {"navigate_reason": ("navigation type", "nav reason")},
+    "form_abandons": {
+        "target_raw_selector": ("form field selector", "abandoned field selector"), "target_text": ("abandoned field text",),
+    },
+    "form_input_changes": {"target_raw_selector": ("input field selector",)},
+    "elements_seen": {
+        "element_type": ("watched element type",), "element_start_type": ("element state", "element visibility state"),
+        "target_text": ("watched element text",), "target_raw_selector": ("watched element selector",),
+    },
+    "custom_events": {
+        "event_name": ("action name", "custom event name", "conversion event name"),
+        "event_properties": ("attributes", "payload", "custom properties"),
+    },
+    "requests": {
+        "request_duration_millis": ("latency", "api latency", "request latency"), "request_method": ("http method", "verb"),
+        "request_status": ("error code", "http status", "status code"), "request_url_full_url": ("endpoint", "full url", "api url"),
+        "request_url_host": ("api host", "request host"), "request_url_path": ("api path", "request path", "endpoint path"),
+        "request_url_query": ("query string", "request query params"),
+    },
+    "consents": {
+        "is_consent_given": ("consent granted", "user consented"), "consent_scope": ("consent type", "consent category"),
+        "consent_action_type": ("consent action", "consent event type"),
+    },
+    "source_properties": {
+        "title": ("html title", "document title"), "url_full_url": ("current url", "page url", "full url"),
+        "url_host": ("domain", "hostname"), "url_path": ("page path", "url path"),
+        "page_definition_id": ("named page id", "defined page id"),
+        "initial_referrer_full_url": ("referrer url", "referring url", "traffic source url"),
+        "initial_referrer_host": ("referrer host", "referring domain", "traffic source domain"),
+        "initial_referrer_path": ("referrer path",), "location_city": ("city",), "location_country": ("country",),
+        "location_region": ("region", "state", "province"), "location_lat_long": ("coordinates", "lat long", "geo coordinates"),
+        "user_agent_browser": ("browser", "browser name"), "user_agent_browser_version": ("browser version",),
+        "user_agent_device": ("device type", "form factor"), "user_agent_operating_system": ("operating system", "os", "platform"),
+        "device_manufacturer": ("manufacturer", "device brand"), "device_model": ("model", "phone model", "device model"),
+        "device_screen_width": ("screen width",), "device_screen_height": ("screen height",),
+        "device_viewport_width": ("viewport width", "browser width"), "device_viewport_height": ("viewport height", "browser height"),
+        "device_operating_system": ("device os",), "app_name": ("mobile app name", "application name"),
+        "app_version": ("app build", "mobile app version"), "app_package_name": ("bundle id", "package name"),
+        "entrypoint": ("event origin", "capture method"), "origin": ("capture origin", "event source origin"),
+        "integration": ("sdk integration", "capture integration"),
+    },
+    "users": {
+        "uid": ("app user id", "customer user id", "external id", "identified user id"),
+        "user_display_name": ("display name", "name", "username"), "user_email": ("email", "email address"),
+        "last_updated_time": ("last active", "last seen", "last updated"),
+    },
+    "page_definitions": {"name": ("named page", "page definition name", "defined page name"), "state": ("page definition status",)},
+    "element_definitions": {
+        "name": ("named element", "element definition name", "defined element name"), "state": ("element definition status",),
+    },
+    "event_definitions": {
+        "name": ("defined event", "event definition name", "named event"), "state": ("event definition status",),
+    },
+    "user_properties": {"user_id": ("user identifier",)},
+}
+
+
+def declared(base: str, name: str) -> tuple[str, str] | None:
+    """The column a declared name stands for: of the base first, else of the one table that declares it."""
+    found = [(t, c) for t, columns in ALIASES.items() for c, names in columns.items() if name in names]
+    own = [x for x in found if x[0] == base]
+    shared = [x for x in found if x[0] in ("events", *_SHARED)]
+    for choice in (own, found if len(found) == 1 else [], shared):
+        if len(choice) == 1:
+            return choice[0]
+    if found:
+        raise KeyError(f"{name!r} is ambiguous: {', '.join('.'.join(x) for x in found)}")
+    return None
+
+
 # Prefixes a user leaves out: "browser" means user_agent_browser.
 _PREFIXES = ("user_agent_", "location_", "device_", "app_", "url_", "initial_", "user_", "request_", "is_")
 _SHARED = ("source_properties", "users")
@@ -163,6 +261,8 @@ def find_column(tables: Mapping[str, DataFrame], base: str, name: str) -> tuple[
     own = {c.replace("_", " "): c for c in tables[base].columns}
     if plain in own:
         return base, own[plain]
+    if alias := declared(base, plain):
+        return alias
     if plain in DIMENSION_NAMES:
         table, column = DIMENSION_NAMES[plain].split(".")
         return table, column

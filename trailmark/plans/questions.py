@@ -224,7 +224,7 @@ def questions(a: Analysis, site: Site = Site()) -> dict[str, Callable[[], DataFr
         "q099_users_with_most_sessions": lambda: ranked(SESSIONS, {"user_id": "user_id"}),
         "q100_identified_users_with_errors": identified_with_errors,
         "q101_frequent_visitors": lambda: a.having(
-            [SESSIONS], {"user_id": "user_id"}, F.col("sessions") > 10, "past month"),
+            [SESSIONS], {"user_id": "user_id"}, F.col("sessions") > 10, "this month"),
         "q102_error_spikes": lambda: a.anomalies("exception_event_count", "day").filter(
             F.col("bucket") == F.lit(a.local_day()).cast("timestamp")).withColumn(
             "is_spike", F.coalesce(F.col("z_score") > site.spike, F.lit(False))),
