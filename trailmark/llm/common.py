@@ -68,11 +68,5 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator
         start = end
 
 
-def code_points_before(raw: np.ndarray) -> np.ndarray:
-    """For each byte offset, the number of code points that begin before it."""
-    starts = np.concatenate(([0], np.cumsum((raw & 0xC0) != 0x80)))
-    return starts
-
-
 def spans_text(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)

@@ -60,9 +60,8 @@ def _lower_and_kind() -> tuple[np.ndarray, np.ndarray]:
 
 
 _LOWER, _TERM = _lower_and_kind()
-_PRIME = np.uint64(1099511628211)
 # Powers of the hash base by place in the term; longer terms wrap around the table.
-_POWERS = np.cumprod(np.full(256, 0x100000001B3 | 1, np.uint64), dtype=np.uint64)
+_POWERS = np.cumprod(np.full(256, 0x100000001B3, np.uint64), dtype=np.uint64)
 
 
 def term_hashes(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
