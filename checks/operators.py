@@ -11,7 +11,7 @@ from checks.parity import hits
 from trailmark.config import work_path
 from trailmark.functions.time import local_time, on_local_day
 from trailmark.functions.traffic import url_param
-from trailmark.operators import export, funnel
+from trailmark.operators import export, funnel, quality
 from trailmark.operators.ordered import with_order
 from trailmark.sources import staging
 from trailmark.sources.landing import Star, export_users
@@ -52,6 +52,10 @@ OPERATORS: dict[str, Build] = {
     "w1_w3_w4_user_order": w01,
     "o3_latest_event_per_user": lambda t: t["events"].groupBy("user_id").agg(
         F.max_by("event_type", F.struct("event_time", "id")).alias("event_type"), F.max("event_time").alias("event_time")),
+    "p15_unexpected_clicks": lambda t: quality.unexpected(t["clicks"].select("event_id", "fs_rage_count", "fs_dead_count"), [
+        {"fs_rage_count": 0, "fs_dead_count": 0}, {"fs_rage_count": 0, "fs_dead_count": 1}]),
+    "g11_absent_kinds": lambda t: quality.absent(
+        {kind: t["events"].filter(F.col("event_type") == kind) for kind in ("click", "purchase", "refund", "view", "chat")}),
     "u1_funnel_hits": hits,
     "x1_decoded_campaign": lambda t: t["source_properties"].select(
         "event_id", url_param(F.col("url_full_url"), "utm_campaign", decode=True).alias("campaign")),

@@ -519,6 +519,10 @@ def operators() -> dict[str, str]:
         "w1_w3_w4_user_order": f"""SELECT id, row_number() OVER {w} AS rn, count(*) OVER (PARTITION BY user_id) AS n,
             lag(event_time) OVER {w} AS previous_time, lead(event_type) OVER {w} AS next_type FROM fx_events""",
         "o3_latest_event_per_user": "SELECT user_id, arg_max(event_type, event_time) AS event_type, max(event_time) AS event_time FROM fx_events GROUP BY 1",
+        "p15_unexpected_clicks": """SELECT event_id, fs_rage_count, fs_dead_count FROM fx_clicks WHERE NOT (
+            (fs_rage_count = 0 AND fs_dead_count = 0) OR (fs_rage_count = 0 AND fs_dead_count = 1))""",
+        "g11_absent_kinds": """SELECT kind AS absent FROM (VALUES ('click'), ('purchase'), ('refund'), ('view'), ('chat')) k(kind)
+            WHERE (SELECT count(*) FROM fx_events e WHERE e.event_type = kind) = 0""",
         "u1_funnel_hits": hits,
         "x1_decoded_campaign": """SELECT event_id, url_decode(nullif(regexp_extract(url_full_url, '[?&]utm_campaign=([^&]+)', 1), '')) AS campaign
             FROM fx_source_properties""",

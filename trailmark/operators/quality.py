@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_, or_
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,6 +58,17 @@ def revenue_integrity(mart: DataFrame, tolerance: float = 0.01) -> DataFrame:
     )
 
 
+def unexpected(rows: DataFrame, expected: Sequence[Mapping[str, Any]]) -> DataFrame:
+    """Rows that equal none of the expected value tuples; NULL equals NULL."""
+    tuples = [reduce(and_, [F.col(c).eqNullSafe(v) for c, v in one.items()]) for one in expected]
+    return rows.filter(~reduce(or_, tuples)) if tuples else rows
+
+
+def absent(sets: Mapping[str, DataFrame]) -> DataFrame:
+    """Names of the sets that hold no row, each counted as a scalar."""
+    return union_all([df.agg(F.count(F.lit(1)).alias("n")).filter("n = 0").select(F.lit(name).alias("absent")) for name, df in sets.items()])
+
+
 def session_ordering(mart: DataFrame) -> DataFrame:
     """Touchpoints precede conversions and session numbers run from 1 to the path length."""
     rows = mart.filter(F.col("attribution_model") == c.LINEAR)
