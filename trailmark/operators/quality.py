@@ -76,18 +76,18 @@ def session_ordering(mart: DataFrame) -> DataFrame:
         F.min("session_number").alias("lo"), F.max("session_number").alias("hi"),
         F.max("total_sessions_for_conversion").alias("declared"),
     )
-    return union_all([
-        _violations(rows, F.col("session_start_time") >= F.col("converted_at"), F.col("session_id"),
-                    F.lit("session_start_time >= converted_at")),
-        _violations(stats, F.col("lo") != 1, _moment("converted_at"),
-                    F.concat(F.lit("min(session_number)="), _text("lo"), F.lit(", expected 1"))),
-        _violations(stats, F.col("hi") != F.col("declared"), _moment("converted_at"),
-                    F.concat(F.lit("max(session_number)="), _text("hi"),
-                             F.lit(" but total_sessions_for_conversion="), _text("declared"))),
-        _violations(rows, F.col("session_number") > F.col("total_sessions_for_conversion"), F.col("session_id"),
-                    F.concat(F.lit("session_number="), _text("session_number"), F.lit(" > total_sessions="),
-                             _text("total_sessions_for_conversion"))),
-    ])
+    row_checks = [
+        (F.col("session_start_time") >= F.col("converted_at"), F.lit("session_start_time >= converted_at")),
+        (F.col("session_number") > F.col("total_sessions_for_conversion"),
+         F.concat(F.lit("session_number="), _text("session_number"), F.lit(" > total_sessions="),
+                  _text("total_sessions_for_conversion"))),
+    ]
+    path_checks = [
+        (F.col("lo") != 1, F.concat(F.lit("min(session_number)="), _text("lo"), F.lit(", expected 1"))),
+        (F.col("hi") != F.col("declared"),
+         F.concat(F.lit("max(session_number)="), _text("hi"), F.lit(" but total_sessions_for_conversion="), _text("declared"))),
+    ]
+    return _broken(rows, row_checks).unionByName(_broken(stats, path_checks, _moment("converted_at")))
 
 
 def completeness(
@@ -141,6 +141,7 @@ def value_integrity(mart: DataFrame, touchpoints: DataFrame) -> DataFrame:
     return _broken(mart, checks).unionByName(_broken(touchpoints, point_checks))
 
 
-def _broken(df: DataFrame, checks: list[tuple[Column, Column]]) -> DataFrame:
+def _broken(df: DataFrame, checks: list[tuple[Column, Column]], context: Column | None = None) -> DataFrame:
     found = F.filter(F.array(*[F.when(bad, text) for bad, text in checks]), lambda x: x.isNotNull())
-    return df.select("user_id", F.col("session_id").alias("context"), F.explode(found).alias("assertion"))
+    at = F.col("session_id") if context is None else context
+    return df.select("user_id", at.alias("context"), F.explode(found).alias("assertion"))
