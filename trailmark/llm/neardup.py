@@ -12,7 +12,8 @@ different labels, is then compared by signature inside the tasks that hold the b
 reach the threshold leave them to be verified.  So no proposed link between classes is lost, though links
 inside a class need never be spelled out.
 
-With 24 bands of 4 registers a pair at similarity 0.8 is missed with a chance of about 3 in a million.
+With 24 bands of 4 registers a pair at similarity 0.8 is proposed by no band with a chance of about 3 in a million, and
+has too few equal registers with one of about 3 in ten thousand; both fall steeply above 0.8.
 
 Defined cases: a text of fewer than five words, but not none, has one shingle of all its words; texts without words are alike only
 if they are equal (null counts as empty); null ids are documents like any other; repeated rows are copies; an empty
@@ -40,9 +41,9 @@ SIMILARITY = 0.8
 BANDS = 24
 ROWS = 4
 REGISTERS = BANDS * ROWS
-# Pairs with fewer equal registers (five standard deviations below the threshold) are not verified further.
-LEAST_EQUAL = int((SIMILARITY - 0.2) * REGISTERS)
-PIVOT_ROUNDS = 2
+# Pairs with fewer equal registers (3.4 standard deviations below the threshold) are not verified further.
+LEAST_EQUAL = int((SIMILARITY - 0.14) * REGISTERS)
+PIVOT_ROUNDS = 3
 BLOCK = 1000
 BROADCAST_ROWS = 1_000_000  # of two or three numbers each
 
@@ -229,7 +230,10 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", si
     labels, links = nodes.select("node", F.col("node").alias("label")), []
     for turn in range(PIVOT_ROUNDS):
         held = members.join(labels, "node")
-        pivot = held.groupBy("bucket").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("o"), "node", "label")).alias("p"))
+        # First one order for all buckets, so that a class meets few pivots; then one of each bucket's own, so that what
+        # the first pivots did not link meets many.
+        order = F.xxhash64(F.lit(turn), "node") if turn == 0 else F.xxhash64(F.lit(turn), "bucket", "node")
+        pivot = held.groupBy("bucket").agg(F.min(F.struct(order.alias("o"), "node", "label")).alias("p"))
         met = held.join(pivot, "bucket").filter(F.col("label") != F.col("p.label"))
         pairs = met.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
         found = work_table(verify(_alike(work_table(pairs, "near-pairs"), signed), signed, similarity), "near-verified")
