@@ -213,3 +213,13 @@ def test_register_collisions_estimate_probability_jaccard():
     sig = neardup.signatures(row, items[[*a, *b]], np.array([*a.values(), *b.values()]), 2, 8192)
     want = sum(1 / sum(max(a.get(j, 0) / a[i], b.get(j, 0) / b[i]) for j in a.keys() | b.keys()) for i in a.keys() & b.keys())
     assert abs((sig[0] == sig[1]).mean() - want) < 0.03
+
+
+def test_near_copies_that_differ_in_repeats(frame):
+    """Equal or nearly equal shingle sets whose counts differ by up to a hundred times."""
+    texts = []
+    for i in range(30):
+        head, cycle = [f"h{i}x{j}" for j in range(40)], [f"c{i}x{j}" for j in range(8 + i % 3)]
+        texts += [" ".join(head + cycle * 2), " ".join(head + cycle * (100 + 6 * i))]
+    got = neardup.op8_query(frame([doc(i, t) for i, t in enumerate(texts)])).toPandas().set_index("doc_id")
+    assert [got.at[i, "class_id"] for i in range(len(texts))] == brute_classes(texts)

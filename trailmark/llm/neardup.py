@@ -4,16 +4,19 @@ A text is a weighted set of shingles of ``SHINGLE`` words; a shingle seen f time
 process whose rate is its weight: its arrivals hit random registers, each register keeps the earliest arrival, and a
 shingle stops as soon as its next arrival lies beyond all registers of the text (early termination).  Two registers are equal
 with the probability Jaccard similarity of the texts.  Bands of registers propose candidates, and candidates are verified by the
-exact Jaccard similarity of their shingle sets, at least ``SIMILARITY``.
+exact Jaccard similarity of their shingle sets, at least ``SIMILARITY``.  A second signature with weight 1 for every
+shingle, whose registers are equal with just that similarity, proposes texts that differ in how often shingles repeat;
+it is the first one again where nothing repeats.
 
 Texts with equal word sequences are one node.  In each of ``PIVOT_ROUNDS`` rounds the nodes of a bucket are compared with one
 pivot instead of with each other, and verified links give nodes common labels.  What is left, pairs of a bucket with
-different labels, is then compared by signature inside the tasks that hold the bucket's blocks, and only pairs that can
+different labels, is then compared by tallies inside the tasks that hold the bucket's blocks, and only pairs that can
 reach the threshold leave them to be verified.  So no proposed link between classes is lost, though links
-inside a class need never be spelled out.
+inside a class need never be spelled out.  What spares pairs the verification is an upper bound of their similarity: shingles
+are tallied in ``CELLS`` cells, and two texts share at most the lesser count of every cell.
 
-With 24 bands of 4 registers a pair at similarity 0.8 is proposed by no band with a chance of about 3 in a million, and
-has too few equal registers with one of about 3 in ten thousand; both fall steeply above 0.8.
+With 24 bands of 4 registers a pair at similarity 0.8 is proposed by no band with a chance of about 3 in a million, which
+falls steeply above 0.8.
 
 Defined cases: a text of fewer than five words, but not none, has one shingle of all its words; texts without words are alike only
 if they are equal (null counts as empty); null ids are documents like any other; repeated rows are copies; an empty
@@ -41,8 +44,7 @@ SIMILARITY = 0.8
 BANDS = 24
 ROWS = 4
 REGISTERS = BANDS * ROWS
-# Pairs with fewer equal registers (3.4 standard deviations below the threshold) are not verified further.
-LEAST_EQUAL = int((SIMILARITY - 0.14) * REGISTERS)
+CELLS = 128
 PIVOT_ROUNDS = 3
 BLOCK = 1000
 BROADCAST_ROWS = 1_000_000  # of two or three numbers each
@@ -102,31 +104,44 @@ def signatures(row: np.ndarray, item: np.ndarray, weight: np.ndarray, rows: int,
     return winner.reshape(rows, registers)
 
 
+def _bands(sig: np.ndarray) -> np.ndarray:
+    """(rows, bands): hashes of each band's registers."""
+    rows = len(sig)
+    band = np.zeros((rows, BANDS), np.uint64)
+    for j in range(ROWS):
+        band = scramble(band + sig.reshape(rows, BANDS, ROWS)[:, :, j] * _PLACES[j])
+    return scramble(band + np.arange(BANDS, dtype=np.uint64))
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole_batch in batches:
         for batch in slices(whole_batch, "text"):
             raw, at = text_bytes(batch.column("text"))
             row, item, count, whole = shingles(raw, at)
             rows = batch.num_rows
-            sig = signatures(row, item, 1 + np.log(count), rows)
-            band = np.zeros((rows, BANDS), np.uint64)
-            for j in range(ROWS):
-                band = scramble(band + sig.reshape(rows, BANDS, ROWS)[:, :, j] * _PLACES[j])
-            band = scramble(band + np.arange(BANDS, dtype=np.uint64))
-            n = np.bincount(row, minlength=rows)
-            some = n > 0
-            each = np.concatenate(([0], np.cumsum(np.where(some, BANDS, 0)))).astype(np.int32)
-            short = np.concatenate(([0], np.cumsum(np.where(some, REGISTERS, 0)))).astype(np.int32)
-            small = (scramble(sig) >> np.uint64(48)).astype(np.uint16).view(np.int16)
-            sets = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
+            some = np.bincount(row, minlength=rows) > 0
+            repeats = np.bincount(row[count > 1], minlength=rows) > 0
+            band = np.concatenate([_bands(signatures(row, item, np.ones(len(item)), rows)), np.zeros((rows, BANDS), np.uint64)], axis=1)
+            # Where no shingle repeats, the weighted signature is the same.
+            again = repeats[row]
+            number = np.cumsum(repeats) - 1
+            band[repeats, BANDS:] = _bands(signatures(number[row[again]], item[again], 1 + np.log(count[again]), int(repeats.sum())))
+            there = np.repeat(np.stack([some, repeats], axis=1), BANDS, axis=1)
+            each = np.concatenate(([0], np.cumsum(there.sum(axis=1)))).astype(np.int32)
+            small = (item >> np.uint64(32)).astype(np.uint32)
+            new = np.ones(len(small), bool)
+            new[1:] = (small[1:] != small[:-1]) | (row[1:] != row[:-1])
+            row, small = row[new], small[new]
+            sets = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=rows)))).astype(np.int32)
+            tally = np.bincount(row * CELLS + small % CELLS, minlength=rows * CELLS).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc"), batch.column("h"), pa.array(whole.view(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(each), pa.array(band[some].ravel().view(np.int64))),
-                    pa.ListArray.from_arrays(pa.array(short), pa.array(small[some].ravel())),
-                    pa.ListArray.from_arrays(pa.array(sets), pa.array((item >> np.uint64(32)).astype(np.uint32).view(np.int32))),
+                    pa.ListArray.from_arrays(pa.array(each), pa.array(band[there].view(np.int64))),
+                    pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * CELLS), pa.array(tally)),
+                    pa.ListArray.from_arrays(pa.array(sets), pa.array(small.view(np.int32))),
                 ],
-                names=["doc", "h", "node", "bands", "sig", "items"],
+                names=["doc", "h", "node", "bands", "tally", "items"],
             )
 
 
@@ -166,11 +181,13 @@ def _both_sides(pairs: DataFrame, signed: DataFrame, column: str) -> DataFrame:
     return found.groupBy("a", "b").agg(F.collect_list(column).alias("sides"))
 
 
-def _alike(pairs: DataFrame, signed: DataFrame) -> DataFrame:
-    """The ``pairs`` whose signatures do not rule them out."""
+def _alike(pairs: DataFrame, signed: DataFrame, similarity: float) -> DataFrame:
+    """The ``pairs`` whose tallies do not rule them out."""
     one, other = F.col("sides").getItem(0), F.col("sides").getItem(1)
-    equal = F.aggregate(F.zip_with(one, other, lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    return _both_sides(pairs, signed, "sig").filter(equal >= F.lit(LEAST_EQUAL)).select("a", "b")
+    most = F.aggregate(F.zip_with(one, other, lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
+    total = lambda side: F.aggregate(side, F.lit(0), lambda s, x: s + x)
+    both = _both_sides(pairs, signed, "tally").select("a", "b", most.alias("most"), (total(one) + total(other)).alias("total"))
+    return both.filter(F.col("most") >= F.lit(similarity) * (F.col("total") - F.col("most"))).select("a", "b")
 
 
 def verify(pairs: DataFrame, signed: DataFrame, similarity: float) -> DataFrame:
@@ -181,9 +198,10 @@ def verify(pairs: DataFrame, signed: DataFrame, similarity: float) -> DataFrame:
     return full.filter(common >= F.lit(similarity) * (F.size(one) + F.size(other) - common)).select("a", "b")
 
 
-def _pairs_in_block(group: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of a bucket's block with different labels and enough equal registers; no others leave the task."""
-    sig = np.stack(group["sig"].to_numpy()).astype(np.int16)
+def _pairs_in_block(group: pd.DataFrame, similarity: float) -> pd.DataFrame:
+    """Pairs of a bucket's block with different labels whose tallies do not rule them out; no others leave the task."""
+    tally = np.stack(group["tally"].to_numpy()).astype(np.int32)
+    size = tally.sum(axis=1)
     node, label, side = group["node"].to_numpy(), group["label"].to_numpy(), group["block"].to_numpy()
     within = group["low"].iloc[0] == group["high"].iloc[0]
     a, b = [], []
@@ -192,14 +210,15 @@ def _pairs_in_block(group: pd.DataFrame) -> pd.DataFrame:
         may = (label[rest] != label[i]) & (within | (side[rest] != side[i]))
         some = np.flatnonzero(may) + i + 1
         if len(some):
-            hit = some[(sig[some] == sig[i]).sum(axis=1) >= LEAST_EQUAL]
+            most = np.minimum(tally[some], tally[i]).sum(axis=1)
+            hit = some[most >= similarity * (size[some] + size[i] - most)]
             a += np.minimum(node[hit], node[i]).tolist()
             b += np.maximum(node[hit], node[i]).tolist()
     return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
 
-def all_pairs_left(held: DataFrame, signed: DataFrame) -> DataFrame:
-    """Every pair of a bucket with different labels whose signatures allow it.
+def all_pairs_left(held: DataFrame, signed: DataFrame, similarity: float) -> DataFrame:
+    """Every pair of a bucket with different labels whose tallies allow it.
 
     ``held`` has (bucket, node, label).  A bucket of more than ``BLOCK`` nodes is cut into blocks, and every two blocks
     meet in a task of their own, so no task holds more than two blocks.
@@ -210,23 +229,24 @@ def all_pairs_left(held: DataFrame, signed: DataFrame) -> DataFrame:
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
     rows = rows.select("bucket", "node", "label", "block", other)
     rows = rows.select("bucket", "node", "label", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    rows = rows.join(signed.select("node", "sig"), "node")
-    return rows.groupBy("bucket", "low", "high").applyInPandas(_pairs_in_block, "a bigint, b bigint").distinct()
+    rows = rows.join(signed.select("node", "tally"), "node")
+    found = rows.groupBy("bucket", "low", "high").applyInPandas(lambda group: _pairs_in_block(group, similarity), "a bigint, b bigint")
+    return found.distinct()
 
 
 def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """(doc, h, node, comp): every row with its class; ``h`` is a hash of the text."""
     rows = docs.select(F.col(doc_id).alias("doc"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("text"))
     kind = docs.schema[doc_id].dataType.simpleString()
-    schema = f"doc {kind}, h bigint, node bigint, bands array<bigint>, sig array<smallint>, items array<int>"
+    schema = f"doc {kind}, h bigint, node bigint, bands array<bigint>, tally array<int>, items array<int>"
     signed_rows = work_table(rows.mapInArrow(_sign, schema), "near-signed")
     members = signed_rows.select("node", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high")
     members = work_table(members.join(shared.select("bucket"), "bucket", "left_semi").distinct(), "near-members")
     # Of the wide columns only those of candidates move.  Copies have equal signatures, so any of a node's rows will do.
     nodes = work_table(members.select("node").distinct(), "near-candidates")
-    signed = signed_rows.select("node", "sig", "items").join(_small(nodes), "node", "left_semi")
-    signed = work_table(signed.groupBy("node").agg(F.first("sig").alias("sig"), F.first("items").alias("items")), "near-nodes")
+    signed = signed_rows.select("node", "tally", "items").join(_small(nodes), "node", "left_semi")
+    signed = work_table(signed.groupBy("node").agg(F.first("tally").alias("tally"), F.first("items").alias("items")), "near-nodes")
     labels, links = nodes.select("node", F.col("node").alias("label")), []
     for turn in range(PIVOT_ROUNDS):
         held = members.join(labels, "node")
@@ -236,13 +256,13 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", si
         pivot = held.groupBy("bucket").agg(F.min(F.struct(order.alias("o"), "node", "label")).alias("p"))
         met = held.join(pivot, "bucket").filter(F.col("label") != F.col("p.label"))
         pairs = met.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
-        found = work_table(verify(_alike(work_table(pairs, "near-pairs"), signed), signed, similarity), "near-verified")
+        found = work_table(verify(_alike(work_table(pairs, "near-pairs"), signed, similarity), signed, similarity), "near-verified")
         links.append(found)
         end = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"label_{c}"))  # noqa: B023
         met = found.join(end("a"), "a").join(end("b"), "b").select(F.explode(F.array("label_a", "label_b")).alias("label"), F.least("label_a", "label_b").alias("to"))
         lower = met.groupBy("label").agg(F.min("to").alias("to"))
         labels = work_table(labels.join(lower, "label", "left").select("node", F.coalesce("to", "label").alias("label")), "near-labels")
-    left = work_table(all_pairs_left(members.join(labels, "node"), signed), "near-left")
+    left = work_table(all_pairs_left(members.join(labels, "node"), signed, similarity), "near-left")
     links.append(verify(left, signed, similarity))
     comp = components(reduce(DataFrame.union, links))
     return signed_rows.select("doc", "h", "node").join(comp, "node", "left").select("doc", "h", "node", F.coalesce("comp", "node").alias("comp"))
