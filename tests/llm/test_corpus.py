@@ -223,3 +223,28 @@ def test_near_copies_that_differ_in_repeats(frame):
         texts += [" ".join(head + cycle * 2), " ".join(head + cycle * (100 + 6 * i))]
     got = neardup.op8_query(frame([doc(i, t) for i, t in enumerate(texts)])).toPandas().set_index("doc_id")
     assert [got.at[i, "class_id"] for i in range(len(texts))] == brute_classes(texts)
+
+
+def test_bands_follow_the_threshold(frame):
+    """Pairs just above a threshold of 0.6 or 0.9 are classes, pairs just below are not."""
+    for similarity, kept, less in ((0.6, 81, 77), (0.9, 100, 96)):
+        texts = []
+        for i in range(40):
+            base = [f"b{i}x{j}" for j in range(104)]
+            for same in (kept, less):
+                texts += [" ".join(f"{w}y{same}" for w in base), " ".join([f"{w}y{same}" for w in base[:same]] + [f"n{i}x{j}y{same}" for j in range(104 - same)])]
+        got = neardup.near_duplicates(frame([doc(i, t) for i, t in enumerate(texts)]), similarity=similarity).toPandas().set_index("doc_id")
+        assert [got.at[i, "class_id"] for i in range(len(texts))] == [i - 1 if i % 4 == 1 else i for i in range(len(texts))]
+    assert neardup.banding(0.8) == (24, 4)
+
+
+def test_links_of_a_block_are_a_spanning_set():
+    import pandas as pd
+
+    items = [np.arange(k, k + 100, dtype=np.int32) for k in range(0, 120, 2)] + [np.arange(5000, 5100, dtype=np.int32)]
+    tally = [np.bincount(v % neardup.CELLS, minlength=neardup.CELLS) for v in items]
+    n = len(items)
+    group = pd.DataFrame({"node": np.arange(n), "label": np.arange(n), "block": 0, "low": 0, "high": 0, "tally": tally, "items": items})
+    links = neardup._links_in_block(group, 0.8)
+    assert len(links) == n - 2 and set(links["a"]) | set(links["b"]) == set(range(n - 1))
+    assert (links["b"] - links["a"]).max() <= 5  # 90 of 110 shingles; one more step leaves 88 of 112

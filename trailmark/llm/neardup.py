@@ -10,13 +10,13 @@ it is the first one again where nothing repeats.
 
 Texts with equal word sequences are one node.  In each of ``PIVOT_ROUNDS`` rounds the nodes of a bucket are compared with one
 pivot instead of with each other, and verified links give nodes common labels.  What is left, pairs of a bucket with
-different labels, is then compared by tallies inside the tasks that hold the bucket's blocks, and only pairs that can
-reach the threshold leave them to be verified.  So no proposed link between classes is lost, though links
-inside a class need never be spelled out.  What spares pairs the verification is an upper bound of their similarity: shingles
+different labels, is then verified and linked inside the tasks that hold the bucket's blocks, so that only a spanning set
+of links leaves them.  So no proposed link between classes is lost, though links inside a class need never be spelled
+out.  What spares pairs the verification is an upper bound of their similarity: shingles
 are tallied in ``CELLS`` cells, and two texts share at most the lesser count of every cell.
 
-With 24 bands of 4 registers a pair at similarity 0.8 is proposed by no band with a chance of about 3 in a million, which
-falls steeply above 0.8.
+The bands follow from the threshold: a pair just at it is proposed by no band with a chance of at most ``MISS``, about 3 in
+a million, which falls steeply above it.  For 0.8 these are 24 bands of 4 registers.
 
 Defined cases: a text of fewer than five words, but not none, has one shingle of all its words; texts without words are alike only
 if they are equal (null counts as empty); null ids are documents like any other; repeated rows are copies; an empty
@@ -25,6 +25,7 @@ table gives no rows.  Columns other than id and text are never looked at.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -41,17 +42,30 @@ from trailmark.llm.imatch import scramble, term_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS = 24
-ROWS = 4
-REGISTERS = BANDS * ROWS
+MISS = 3.3e-6
+ROWS = 4  # registers of a band, fewer where that takes over MOST_BANDS bands
+MOST_BANDS = 64
 CELLS = 128
 PIVOT_ROUNDS = 3
 BLOCK = 1000
+BLOCK_ITEMS = 4_000_000  # shingles of a block
 BROADCAST_ROWS = 1_000_000  # of two or three numbers each
 
 _PLACES = scramble(np.arange(1, SHINGLE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
+def banding(similarity: float) -> tuple[int, int]:
+    """(bands, registers of a band) that lose a pair at ``similarity`` with chance ``MISS`` at most."""
+    if not 0 < similarity <= 1:
+        raise ValueError("similarity must be above 0 and at most 1")
+    for rows in range(ROWS, 0, -1):
+        hit = similarity**rows
+        bands = math.ceil(math.log(MISS) / math.log1p(-hit)) if hit < 1 else 1
+        if bands <= MOST_BANDS:
+            break
+    return bands, rows
+
+
 def shingles(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (row, shingle) with their counts, sorted; and a hash of each row's word sequence."""
     rows = len(at) - 1
@@ -83,7 +97,7 @@ def shingles(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return at_row[first], value[first], np.diff(np.append(first, len(value))), whole
 
 
-def signatures(row: np.ndarray, item: np.ndarray, weight: np.ndarray, rows: int, registers: int = REGISTERS) -> np.ndarray:
+def signatures(row: np.ndarray, item: np.ndarray, weight: np.ndarray, rows: int, registers: int) -> np.ndarray:
     """(rows, registers) of winning items; a row without items has zeros."""
     earliest = np.full(rows * registers, np.inf)
     winner = np.zeros(rows * registers, np.uint64)
@@ -104,16 +118,17 @@ def signatures(row: np.ndarray, item: np.ndarray, weight: np.ndarray, rows: int,
     return winner.reshape(rows, registers)
 
 
-def _bands(sig: np.ndarray) -> np.ndarray:
+def _bands(row: np.ndarray, item: np.ndarray, weight: np.ndarray, rows: int, bands: int, deep: int) -> np.ndarray:
     """(rows, bands): hashes of each band's registers."""
-    rows = len(sig)
-    band = np.zeros((rows, BANDS), np.uint64)
-    for j in range(ROWS):
-        band = scramble(band + sig.reshape(rows, BANDS, ROWS)[:, :, j] * _PLACES[j])
-    return scramble(band + np.arange(BANDS, dtype=np.uint64))
+    sig = signatures(row, item, weight, rows, bands * deep).reshape(rows, bands, deep)
+    band = np.zeros((rows, bands), np.uint64)
+    for j in range(deep):
+        band = scramble(band + sig[:, :, j] * _PLACES[j])
+    return scramble(band + np.arange(bands, dtype=np.uint64))
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sign(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    bands, deep = banding(similarity)
     for whole_batch in batches:
         for batch in slices(whole_batch, "text"):
             raw, at = text_bytes(batch.column("text"))
@@ -121,12 +136,12 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = batch.num_rows
             some = np.bincount(row, minlength=rows) > 0
             repeats = np.bincount(row[count > 1], minlength=rows) > 0
-            band = np.concatenate([_bands(signatures(row, item, np.ones(len(item)), rows)), np.zeros((rows, BANDS), np.uint64)], axis=1)
+            band = np.concatenate([_bands(row, item, np.ones(len(item)), rows, bands, deep), np.zeros((rows, bands), np.uint64)], axis=1)
             # Where no shingle repeats, the weighted signature is the same.
             again = repeats[row]
             number = np.cumsum(repeats) - 1
-            band[repeats, BANDS:] = _bands(signatures(number[row[again]], item[again], 1 + np.log(count[again]), int(repeats.sum())))
-            there = np.repeat(np.stack([some, repeats], axis=1), BANDS, axis=1)
+            band[repeats, bands:] = _bands(number[row[again]], item[again], 1 + np.log(count[again]), int(repeats.sum()), bands, deep)
+            there = np.repeat(np.stack([some, repeats], axis=1), bands, axis=1)
             each = np.concatenate(([0], np.cumsum(there.sum(axis=1)))).astype(np.int32)
             small = (item >> np.uint64(32)).astype(np.uint32)
             new = np.ones(len(small), bool)
@@ -198,39 +213,68 @@ def verify(pairs: DataFrame, signed: DataFrame, similarity: float) -> DataFrame:
     return full.filter(common >= F.lit(similarity) * (F.size(one) + F.size(other) - common)).select("a", "b")
 
 
-def _pairs_in_block(group: pd.DataFrame, similarity: float) -> pd.DataFrame:
-    """Pairs of a bucket's block with different labels whose tallies do not rule them out; no others leave the task."""
+def _links_in_block(group: pd.DataFrame, similarity: float) -> pd.DataFrame:
+    """Verified links between different labels of a bucket's block, fewer than there are labels.
+
+    Every pair is either under one label by then, ruled out by its tallies, or verified.
+    """
     tally = np.stack(group["tally"].to_numpy()).astype(np.int32)
-    size = tally.sum(axis=1)
-    node, label, side = group["node"].to_numpy(), group["label"].to_numpy(), group["block"].to_numpy()
+    node, side = group["node"].to_numpy(), group["block"].to_numpy()
     within = group["low"].iloc[0] == group["high"].iloc[0]
-    a, b = [], []
+    label = np.unique(group["label"].to_numpy(), return_inverse=True)[1]
+    size = group["items"].map(len).to_numpy()
+    distinct, item = np.unique(np.concatenate(group["items"].to_numpy()), return_inverse=True)
+    begin = np.cumsum(size) - size
+    own, a, b = np.zeros(len(distinct), bool), [], []
     for i in range(len(node) - 1):
         rest = slice(i + 1, None)
-        may = (label[rest] != label[i]) & (within | (side[rest] != side[i]))
-        some = np.flatnonzero(may) + i + 1
-        if len(some):
-            most = np.minimum(tally[some], tally[i]).sum(axis=1)
-            hit = some[most >= similarity * (size[some] + size[i] - most)]
-            a += np.minimum(node[hit], node[i]).tolist()
-            b += np.maximum(node[hit], node[i]).tolist()
+        some = np.flatnonzero((label[rest] != label[i]) & (within | (side[rest] != side[i]))) + i + 1
+        if not len(some):
+            continue
+        most = np.minimum(tally[some], tally[i]).sum(axis=1)
+        some = some[most >= similarity * (size[some] + size[i] - most)]
+        if not len(some):
+            continue
+        mine = item[begin[i]:begin[i] + size[i]]
+        own[mine] = True
+        n = size[some]
+        first = np.cumsum(n) - n
+        common = np.add.reduceat(own[item[np.arange(n.sum()) + np.repeat(begin[some] - first, n)]].astype(np.int64), first)
+        own[mine] = False
+        for j in some[common >= similarity * (n + size[i] - common)].tolist():
+            if label[j] != label[i]:
+                a.append(min(node[i], node[j]))
+                b.append(max(node[i], node[j]))
+                label[label == label[j]] = label[i]
     return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
 
-def all_pairs_left(held: DataFrame, signed: DataFrame, similarity: float) -> DataFrame:
-    """Every pair of a bucket with different labels whose tallies allow it.
+def links_left(held: DataFrame, signed: DataFrame, similarity: float) -> DataFrame:
+    """Verified links (a, b) that join what pairs of a bucket with different labels join.
 
-    ``held`` has (bucket, node, label).  A bucket of more than ``BLOCK`` nodes is cut into blocks, and every two blocks
-    meet in a task of their own, so no task holds more than two blocks.
+    ``held`` has (bucket, node, label).  A bucket of more than ``BLOCK`` nodes or ``BLOCK_ITEMS`` shingles is cut into blocks.
+    Nodes of its most frequent label need not meet each other, so they have blocks of their own (the last ones), and
+    every other block meets itself and all blocks in a task each; no task holds more than two blocks.
     """
-    sizes = held.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
-    sizes = sizes.select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
-    rows = held.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
+    kinds = held.join(_small(work_table(signed.select("node", F.size("items").alias("size")), "near-sizes")), "node")
+    kinds = kinds.groupBy("bucket", "label").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    n, size = F.col("n"), F.col("size")
+    sizes = kinds.groupBy("bucket").agg(F.max(F.struct("n", "label", "size")).alias("main"), F.count("*").alias("labels"), F.sum("n").alias("n"), F.sum("size").alias("size"))
+    # The two nodes of a bucket have met in the first pivot round.
+    sizes = sizes.filter((F.col("labels") > 1) & (n > F.lit(2 if PIVOT_ROUNDS else 1)))
+    cut = lambda n, size: F.greatest(F.ceil(n / BLOCK), F.ceil(size / BLOCK_ITEMS)).cast("int")
+    whole = cut(n, size) <= 1
+    odd = F.when(whole, 1).otherwise(cut(n - F.col("main.n"), size - F.col("main.size")))
+    main = F.when(whole, 0).otherwise(cut(F.col("main.n"), F.col("main.size")))
+    sizes = sizes.select("bucket", F.col("main.label").alias("main_label"), odd.alias("odd"), main.alias("main"))
+    mains = (F.col("label") == F.col("main_label")) & (F.col("main") > 0)
+    part = lambda of: F.pmod(F.xxhash64("node"), F.col(of)).cast("int")
+    rows = held.join(sizes, "bucket").withColumn("block", F.when(mains, F.col("odd") + part("main")).otherwise(part("odd")))
+    other = F.explode(F.sequence(F.lit(0), F.when(mains, F.col("odd")).otherwise(F.col("odd") + F.col("main")) - 1)).alias("other")
     rows = rows.select("bucket", "node", "label", "block", other)
     rows = rows.select("bucket", "node", "label", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    rows = rows.join(signed.select("node", "tally"), "node")
-    found = rows.groupBy("bucket", "low", "high").applyInPandas(lambda group: _pairs_in_block(group, similarity), "a bigint, b bigint")
+    rows = rows.join(signed, "node")
+    found = rows.groupBy("bucket", "low", "high").applyInPandas(lambda group: _links_in_block(group, similarity), "a bigint, b bigint")
     return found.distinct()
 
 
@@ -239,7 +283,7 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", si
     rows = docs.select(F.col(doc_id).alias("doc"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("text"))
     kind = docs.schema[doc_id].dataType.simpleString()
     schema = f"doc {kind}, h bigint, node bigint, bands array<bigint>, tally array<int>, items array<int>"
-    signed_rows = work_table(rows.mapInArrow(_sign, schema), "near-signed")
+    signed_rows = work_table(rows.mapInArrow(lambda it: _sign(it, similarity), schema), "near-signed")
     members = signed_rows.select("node", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high")
     members = work_table(members.join(shared.select("bucket"), "bucket", "left_semi").distinct(), "near-members")
@@ -262,8 +306,7 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", si
         met = found.join(end("a"), "a").join(end("b"), "b").select(F.explode(F.array("label_a", "label_b")).alias("label"), F.least("label_a", "label_b").alias("to"))
         lower = met.groupBy("label").agg(F.min("to").alias("to"))
         labels = work_table(labels.join(lower, "label", "left").select("node", F.coalesce("to", "label").alias("label")), "near-labels")
-    left = work_table(all_pairs_left(members.join(labels, "node"), signed, similarity), "near-left")
-    links.append(verify(left, signed, similarity))
+    links.append(work_table(links_left(members.join(labels, "node"), signed, similarity), "near-left"))
     comp = components(reduce(DataFrame.union, links))
     return signed_rows.select("doc", "h", "node").join(comp, "node", "left").select("doc", "h", "node", F.coalesce("comp", "node").alias("comp"))
 
