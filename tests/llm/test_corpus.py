@@ -248,3 +248,16 @@ def test_links_of_a_block_are_a_spanning_set():
     links = neardup._links_in_block(group, 0.8)
     assert len(links) == n - 2 and set(links["a"]) | set(links["b"]) == set(range(n - 1))
     assert (links["b"] - links["a"]).max() <= 5  # 90 of 110 shingles; one more step leaves 88 of 112
+
+
+def test_terms_of_a_large_copied_text_count_once(frame):
+    """Copies, and near copies whose terms all lie beyond the band, are still like their edits."""
+    texts = varied(200, 9)
+    copied = " ".join(f"copied{i}" for i in range(80))
+    lex = imatch.lexicon(frame([doc(i, t) for i, t in enumerate(texts + [copied] * 200)]))
+    own = imatch.distinct_terms(*imatch.text_bytes(__import__("pyarrow").array([copied])), None)[1]
+    assert np.isin(own, lex).all()
+    near = [" ".join(f"near{i}" for i in range(80) if i != k % 80) for k in range(160)]
+    got = imatch.op10_query(frame([doc(i, t) for i, t in enumerate(texts + [f"{t} near{k % 80}" for k, t in enumerate(near)])])).toPandas().set_index("doc_id")
+    assert not got["fingerprint"].str.startswith("=").any()
+    assert got["near_next"][200:359].mean() > 0.5

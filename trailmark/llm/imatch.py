@@ -1,8 +1,8 @@
 """Document fingerprints by I-Match over randomised lexicons.
 
-Document frequencies of all terms are counted over all documents.  The lexicon keeps terms whose inverse document
-frequency lies in a band: no term in more than ``max_share`` and none in fewer than ``min_share`` of the documents.
-A document keeps its distinct lexicon terms; each of ``SUBSETS`` randomised lexicon subsets hashes
+Document frequencies of all terms are counted over all distinct texts.  The lexicon keeps terms whose inverse document
+frequency lies in a band: no term in more than ``max_share`` and none in fewer than ``min_share`` of the texts.
+A document keeps its distinct lexicon terms, or all its distinct terms where none is in the lexicon; each of ``SUBSETS`` randomised lexicon subsets hashes
 the sorted distinct terms of the document that fall into it.  Two documents are alike to the share of equal subset hashes
 among the subsets in which either has terms.
 
@@ -13,7 +13,7 @@ edit changes some of the hashes and not all, for short and long texts alike.
 The lexicon has at most (mean distinct terms per document) / min_share entries, whatever the corpus size, since every entry
 accounts for min_share of the documents; it is collected as 64-bit hashes and broadcast.
 
-Defined cases: a null text counts as empty; a text without lexicon terms is fingerprinted by a hash of its characters,
+Defined cases: a null text counts as empty; a text without terms is fingerprinted by a hash of its characters,
 like only to itself; equal texts have equal fingerprints; ids sort nulls first and ties by text; an
 empty table gives no rows.
 """
@@ -34,6 +34,8 @@ from trailmark.llm.common import slices, text_bytes
 MIN_SHARE = 0.0005
 MAX_SHARE = 0.25
 SUBSETS = 32
+WHOLE = 1 << 32  # what a text counts; its copies share it
+BROADCAST_ROWS = 1_000_000  # of two numbers each
 MAX_LEVEL = 8
 SEED = np.uint64(0x9E3779B97F4A7C15)
 
@@ -102,20 +104,21 @@ def distinct_terms(raw: np.ndarray, at: np.ndarray, lexicon: np.ndarray | None)
 
 
 def _count(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
-    """Document frequencies within a task, merged as they grow."""
+    """Document frequencies within a task, by the rows' shares, merged as they grow."""
     terms, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    waiting: list[np.ndarray] = []
+    waiting: list[tuple[np.ndarray, np.ndarray]] = []
 
     def merged(terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        new, n = np.unique(np.concatenate(waiting), return_counts=True)
-        both = np.concatenate([terms, new])
-        out, where = np.unique(both, return_inverse=True)
-        return out, np.bincount(where, np.concatenate([counts, n])).astype(np.int64)
+        out, where = np.unique(np.concatenate([terms, *(t for t, _ in waiting)]), return_inverse=True)
+        total = np.zeros(len(out), np.int64)
+        np.add.at(total, where, np.concatenate([counts, *(c for _, c in waiting)]))
+        return out, total
 
     for whole in batches:
         for batch in slices(whole, text):
-            waiting.append(distinct_terms(*text_bytes(batch.column(text)), None)[1])
-            if sum(map(len, waiting)) > 500_000:
+            row, term = distinct_terms(*text_bytes(batch.column(text)), None)
+            waiting.append((term, batch.column("share").to_numpy()[row]))
+            if sum(len(t) for t, _ in waiting) > 500_000:
                 terms, counts = merged(terms, counts)
                 waiting.clear()
     if waiting:
@@ -126,8 +129,14 @@ def _count(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBa
 
 def lexicon(docs: DataFrame, text: str = "text", min_share: float = MIN_SHARE, max_share: float = MAX_SHARE) -> np.ndarray:
     """Sorted hashes of the terms inside the band."""
-    n = docs.count()
-    df = docs.select(text).mapInArrow(lambda it: _count(it, text), "term bigint, df bigint").groupBy("term").agg(F.sum("df").alias("df"))
+    # Copies share one count, so that the texts themselves need not be brought together.
+    h = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    kinds = work_table(docs.groupBy(h.alias("h")).agg(F.count("*").alias("copies")), "imatch-copies")
+    n, copied = kinds.count(), kinds.filter("copies > 1")
+    copied = F.broadcast(copied) if copied.count() <= BROADCAST_ROWS else copied
+    rows = docs.select(F.col(text), h.alias("h")).join(copied, "h", "left")
+    rows = rows.select(text, F.floor(F.lit(WHOLE) / F.coalesce("copies", F.lit(1))).cast("bigint").alias("share"))
+    df = rows.mapInArrow(lambda it: _count(it, text), "term bigint, df bigint").groupBy("term").agg(F.round(F.sum("df") / F.lit(WHOLE)).alias("df"))
     band = df.filter((F.col("df") >= F.lit(min_share * n)) & ((F.col("df") <= F.lit(max_share * n)) | F.lit(n < 20)))
     return np.sort(band.select("term").toPandas()["term"].to_numpy(np.int64).view(np.uint64))
 
@@ -135,7 +144,11 @@ def lexicon(docs: DataFrame, text: str = "text", min_share: float = MIN_SHARE, m
 def fingerprints(raw: np.ndarray, at: np.ndarray, lex: np.ndarray, subsets: int = SUBSETS) -> list[str]:
     """One string per row: level, then 16-bit hashes of the subsets at that level and the next; '----' where a subset is empty."""
     rows = len(at) - 1
-    row, term = distinct_terms(raw, at, lex)
+    row, term = distinct_terms(raw, at, None)
+    if len(lex):
+        known = lex[np.minimum(np.searchsorted(lex, term), len(lex) - 1)] == term
+        kept = known | (np.bincount(row[known], minlength=rows) == 0)[row]
+        row, term = row[kept], term[kept]
     count = np.bincount(row, minlength=rows)
     level = np.clip(np.floor(np.log2(2 * np.maximum(count, 1)) / 2).astype(np.int64), 0, MAX_LEVEL)
     out = np.zeros((rows, 2 * subsets), np.uint64)
