@@ -86,6 +86,16 @@ def test_pii_equals_plain_matching(spark, frame, odd, empty):
     assert pii.op5_query(odd).count() == odd.count() and pii.op5_query(empty).count() == 0
 
 
+def test_identifier_cues_in_any_case():
+    iban, built = "DE89 3704 0044 0532 0130 00", pii.machine()
+    for text, kind, value in [
+        ("Account Number: 12345678", "account", "12345678"), ("İ Konto 12345678", "account", "12345678"), ("COMPTE NR. 12345678", "account", "12345678"),
+        (f"iban {iban}", "iban", iban), (f"Iban: {iban}", "iban", iban), (f"IBAN {iban}", "iban", iban),
+    ]:
+        at = text.index(value)
+        assert (kind, at, at + len(value)) in pii.find_spans(built, text), text
+
+
 def test_spans_are_code_points():
     raw, at = text_bytes(__import__("pyarrow").array(["éé token=abcdefgh"]))
     assert len(raw) == 19 and at.tolist() == [0, 19]

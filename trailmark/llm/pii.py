@@ -30,7 +30,7 @@ EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-ACCOUNT = re.compile(r"(?:account|acct|konto|cuenta|compte)(?: (?:no|number|nr))?[.:#]? ?([0-9][0-9 -]{6,28}[0-9])")
+ACCOUNT = re.compile(r"(?:account|acct|konto|cuenta|compte)(?: (?:no|number|nr))?[.:#]? ?([0-9][0-9 -]{6,28}[0-9])", re.IGNORECASE | re.ASCII)
 IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?")
 URL_USER = re.compile(r"://([A-Za-z0-9._-]+)@")
 
@@ -43,6 +43,7 @@ RUN_OF = {
     "card": frozenset(DIGITS + " -"),
     "phone": frozenset(DIGITS + " ().+-"),
 }
+_LOWER = str.maketrans(LETTERS[26:], LETTERS[:26])  # anchors are found in any case, at the same offsets
 CUES = ("account", "acct", "konto", "cuenta", "compte")
 
 
@@ -57,7 +58,7 @@ def anchors() -> dict[str, tuple[str, ...]]:
                 found[a + between + b] = ("card",)
     for cue in CUES:
         found[cue] = ("account",)
-    found["IBAN"] = ("iban",)
+    found["iban"] = ("iban",)
     return found
 
 
@@ -113,7 +114,7 @@ def find_spans(automaton, text: str) -> list[tuple[str, int, int]]:
     """All valid spans of all kinds, unordered."""
     out: list[tuple[str, int, int]] = []
     done = dict.fromkeys(BASE_KINDS + METHOD_KINDS, 0)
-    for last, (size, kinds) in automaton.iter(text):
+    for last, (size, kinds) in automaton.iter(text.translate(_LOWER)):
         start, end = last + 1 - size, last + 1
         for kind in kinds:
             if start < done[kind]:
