@@ -261,3 +261,9 @@ def test_terms_of_a_large_copied_text_count_once(frame):
     got = imatch.op10_query(frame([doc(i, t) for i, t in enumerate(texts + [f"{t} near{k % 80}" for k, t in enumerate(near)])])).toPandas().set_index("doc_id")
     assert not got["fingerprint"].str.startswith("=").any()
     assert got["near_next"][200:359].mean() > 0.5
+
+
+def test_band_holds_for_small_tables(frame):
+    lex = imatch.lexicon(frame([doc(i, f"common own{i}") for i in range(10)]))
+    own = imatch.distinct_terms(*imatch.text_bytes(__import__("pyarrow").array(["common", "own3"])), None)
+    assert {r: bool(np.isin(t, lex)) for r, t in zip(*own, strict=True)} == {0: False, 1: True}

@@ -137,7 +137,7 @@ def lexicon(docs: DataFrame, text: str = "text", min_share: float = MIN_SHARE, m
     rows = docs.select(F.col(text), h.alias("h")).join(copied, "h", "left")
     rows = rows.select(text, F.floor(F.lit(WHOLE) / F.coalesce("copies", F.lit(1))).cast("bigint").alias("share"))
     df = rows.mapInArrow(lambda it: _count(it, text), "term bigint, df bigint").groupBy("term").agg(F.round(F.sum("df") / F.lit(WHOLE)).alias("df"))
-    band = df.filter((F.col("df") >= F.lit(min_share * n)) & ((F.col("df") <= F.lit(max_share * n)) | F.lit(n < 20)))
+    band = df.filter((F.col("df") >= F.lit(min_share * n)) & (F.col("df") <= F.lit(max_share * n)))
     return np.sort(band.select("term").toPandas()["term"].to_numpy(np.int64).view(np.uint64))
 
 
