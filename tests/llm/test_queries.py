@@ -12,7 +12,7 @@ from trailmark.llm.sql import oracle_sql
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
-    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", oracle_sql())

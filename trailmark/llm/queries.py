@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from trailmark.config import prepare_session
-from trailmark.llm import decontaminate, imatch, language, licenses, lm, mixing, neardup, pii, secrets, sharding
+from trailmark.llm import decontaminate, imatch, language, licenses, lm, mixing, neardup, periodic, pii, secrets, sharding
 from trailmark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,4 +35,5 @@ QUERIES: dict[str, Query] = {
     "op8_probminhash_classes": over(neardup.op8_query, "documents"),
     "op9_budget_mix": over(mixing.op9_query, "documents"),
     "op10_imatch_fingerprints": over(imatch.op10_query, "documents"),
+    "op11_periodic_runs": over(periodic.op11_query, "documents"),
 }
