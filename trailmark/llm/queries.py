@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from trailmark.config import prepare_session
-from trailmark.llm import decontaminate, imatch, language, licenses, lm, mixing, neardup, periodic, pii, secrets, sharding, whitening
+from trailmark.llm import decontaminate, imatch, language, licenses, lm, mixing, neardup, periodic, pii, quality, secrets, sharding, whitening
 from trailmark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,4 +37,5 @@ QUERIES: dict[str, Query] = {
     "op10_imatch_fingerprints": over(imatch.op10_query, "documents"),
     "op11_periodic_runs": over(periodic.op11_query, "documents"),
     "op12_jacobi_davidson_whitening": over(whitening.op12_query, "embeddings"),
+    "op13_fourier_quality": over(quality.op13_query, "documents", "labels"),
 }
