@@ -37,7 +37,7 @@ from trailmark.llm.common import SPACE, slices
 
 LEAST = 12  # words in a run
 WIDEST = 1 << 15  # words in a block; beyond, more windows follow it
-CELLS = 1 << 14  # numbers transformed at a time
+CELLS = 1 << 16  # numbers transformed at a time
 TOGETHER = 1 << 20  # bytes of texts taken together
 
 # The prime 2^16 + 1 and a generator of its units.
