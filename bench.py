@@ -41,7 +41,7 @@ def timed(run) -> float:
 def refresh_times(spark: SparkSession, sf_dir: str) -> dict[str, float]:
     """Building the attribution tables at once against folding in the last day."""
     t = star(spark, sf_dir)
-    store = AttributionStore(spark, work_path(spark, "bench-store"), CFG, buckets=8)
+    store = AttributionStore(spark, work_path(spark, "bench-store"), CFG, buckets=8, users_by_cursor=True)
     at, last_day = F.col("event_time"), F.lit("2024-01-30").cast("timestamp")
     part = lambda cond: (t["events"].filter(cond), t["source_properties"], t["custom_events"].filter(cond), t["users"])
     return {

@@ -119,6 +119,26 @@ def store_in_two_batches(t: Star) -> tuple[AttributionStore, DataFrame]:
     return store, report
 
 
+def store_by_cursor(t: Star) -> tuple[AttributionStore, DataFrame]:
+    """Users come as changes: some devices are identified late, some wrongly at first, some only for a while."""
+    store = AttributionStore(t.spark, work_path(t.spark, "store"), CFG, buckets=8, users_by_cursor=True)
+    early, late = F.col("event_time") < SPLIT, F.col("event_time") >= SPLIT
+    ends = lambda digit: F.col("id").endswith(digit)
+    at = F.col("last_updated_time")
+    first = t["users"].withColumns({
+        "uid": F.when(ends("7"), F.lit(None)).when(ends("5"), F.lit("nobody")).when(ends("3") & F.col("uid").isNull(), F.lit("guest")).otherwise(F.col("uid")),
+        "deleted": F.lit(False)})
+    moved = ends("7") | ends("5") | ends("3")
+    gone = ends("3") & F.col("uid").isNull()
+    second = t["users"].withColumns({
+        "last_updated_time": F.when(moved, F.greatest(at, F.lit("2030-01-01").cast("timestamp"))).otherwise(at),
+        "uid": F.when(gone, F.lit("guest")).otherwise(F.col("uid")), "deleted": gone})
+    store.refresh(t["events"].filter(early), t["source_properties"], t["custom_events"].filter(early), first)
+    report = store.refresh(t["events"].filter(late), t["source_properties"], t["custom_events"].filter(late), second)
+    store.vacuum(keep=1)
+    return store, report
+
+
 def streamed(t: Star) -> AttributionStore:
     return once(t, "stream", lambda x: (streamed_store(x), x.base))[0]
 
@@ -210,6 +230,7 @@ REFRESH: dict[str, Build] = {
     "r1_incremental_touchpoints": lambda t: two_batches(t)[0].touchpoints(),
     "r2_incremental_conversions": lambda t: two_batches(t)[0].conversions(),
     "r3_incremental_mart": lambda t: two_batches(t)[0].mart(),
+    "r4_mart_with_user_changes": lambda t: once(t, "cursor", store_by_cursor)[0].mart(),
     "k25_refresh_report": lambda t: two_batches(t)[1],
     "rs1_streaming_touchpoints": rs1,
     "rs2_streaming_conversions": lambda t: streamed(t).conversions(),

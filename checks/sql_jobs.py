@@ -89,6 +89,7 @@ def refresh() -> dict[str, str]:
         "r1_incremental_touchpoints": with_fx("SELECT * FROM tp", p),
         "r2_incremental_conversions": with_fx("SELECT * FROM cv", p),
         "r3_incremental_mart": mart,
+        "r4_mart_with_user_changes": mart,
         "k25_refresh_report": report,
         "rs1_streaming_touchpoints": with_fx("SELECT * EXCLUDE (week) FROM tp", p),
         "rs2_streaming_conversions": with_fx("SELECT * FROM cv", p),

@@ -9,6 +9,7 @@ from trailmark.config import AttributionConfig, work_path, work_table
 from trailmark.operators import attribution, conversions, touchpoints
 from trailmark.plans.refresh import AttributionStore, row_changes, same_time_range
 from trailmark.sources.landing import star
+from trailmark.sources.versions import Conflict
 
 CFG = AttributionConfig(as_of="2024-01-31 00:00:00")
 EVENTS = "id bigint, user_id string, session_id string, event_time timestamp, event_type string, processed_time timestamp"
@@ -176,3 +177,139 @@ def test_late_event_opens_only_its_day(spark):
     ev, sp = visits(spark, [(i, "d", f"s{i}", dt(2024, 1, 1 + i)) for i in range(10)])
     batch = ev.filter("id in (0, 8, 9)")
     assert rows(same_time_range(batch, sp).select("event_id"), "event_id") == [(0,), (8,), (9,)]
+
+
+def stored_rows(st):
+    return {n: sorted(map(repr, st.read(n).collect())) for n in ("device_touchpoints", "device_conversions", "identities", "mart")}
+
+
+class Lost(RuntimeError):
+    pass
+
+
+@pytest.mark.parametrize("table", ["identities", "device_touchpoints", "device_conversions", "mart", None])
+def test_crash_inside_the_commit_shows_nothing_of_it(spark, monkeypatch, table):
+    """Stopped after a table's new files are written, or after all are and before the swap."""
+    ev, sp, sold = small(spark)
+    st = store(spark)
+    st.refresh(ev, sp, sold, spark.createDataFrame([("d2", "anna")], USERS))
+    both = spark.createDataFrame([("d1", "anna"), ("d3", "ben")], USERS)
+    more, late = sales(spark, [(12, "d1", "s8", dt(2024, 1, 8))]), visits(spark, [(4, "d1", "s1", dt(2024, 1, 7))])[0]
+    sp2 = sp.unionByName(visits(spark, [(4, "d1", "s1", dt(2024, 1, 7))])[1])
+    before = stored_rows(st)
+    write, commit, commits = st.tables.write, st.tables.commit, []
+
+    def written(name, *args, **kw):
+        out = write(name, *args, **kw)
+        if name == table:
+            raise Lost
+        return out
+
+    def committed(snapshot):
+        commits.append(snapshot)
+        if table is None and len(commits) == 2:
+            raise Lost
+        return commit(snapshot)
+
+    with monkeypatch.context() as broken:
+        broken.setattr(st.tables, "write", written)
+        broken.setattr(st.tables, "commit", committed)
+        with pytest.raises(Lost):
+            st.refresh(late, sp2, more, both)
+    assert stored_rows(st) == before
+    # A new process finds the noted batch; what was written for nothing goes with the next vacuum.
+    again = AttributionStore(spark, st.root, CFG, buckets=4)
+    again.refresh(late.limit(0), sp2, more.limit(0), both)
+    same(again.mart(), full(ev.union(late), sp2, sold.union(more), both))
+    assert again.vacuum(keep=1) > 0
+    same(again.mart(), full(ev.union(late), sp2, sold.union(more), both))
+
+
+def test_reader_keeps_its_version_and_a_second_writer_is_refused(spark):
+    ev, sp, sold = small(spark)
+    st, nobody = store(spark), spark.createDataFrame([], USERS)
+    st.refresh(ev, sp, sold, nobody)
+    old = st.tables.snapshot()
+    reader, wanted = st.read("mart", old), rows(st.mart(), "user_id", "converted_at", "attribution_model")
+    st.refresh(ev.limit(0), sp, sales(spark, [(12, "d1", "s8", dt(2024, 1, 3))]), nobody)
+    assert rows(reader, "user_id", "converted_at", "attribution_model") == wanted != rows(st.mart(), "user_id", "converted_at", "attribution_model")
+    with pytest.raises(Conflict):
+        st.tables.commit(old)
+
+
+def test_a_days_batch_writes_touched_days_only(spark):
+    days = range(1, 11)
+    ev, sp = visits(spark, [(i, f"d{i % 3}", f"s{i}", dt(2024, 1, i, 9)) for i in days])
+    sold = sales(spark, [(100 + i, f"d{i % 3}", f"s{i}", dt(2024, 1, i, 12)) for i in days])
+    nobody = spark.createDataFrame([], USERS)
+    st = store(spark)
+    st.refresh(ev, sp, sold, nobody)
+    before = st.tables.snapshot()
+    new_ev, new_sp = visits(spark, [(50, "d1", "s50", dt(2024, 1, 11, 9))])
+    st.refresh(new_ev, sp.unionByName(new_sp), sales(spark, [(150, "d1", "s50", dt(2024, 1, 11, 12))]), nobody)
+    after = st.tables.snapshot()
+    for name in ("device_touchpoints", "device_conversions", "mart"):
+        changed = {p for p in {**before.parts(name), **after.parts(name)} if before.parts(name).get(p) != after.parts(name).get(p)}
+        assert changed == {"2024-01-11"}, name
+    # A batch that brings nothing new writes no day at all.
+    st.refresh(new_ev, sp.unionByName(new_sp), new_ev.limit(0).selectExpr("id event_id", "user_id", "session_id", "event_time", "'' event_name", "'' event_properties"), nobody)
+    again = st.tables.snapshot()
+    assert again.parts("mart") == after.parts("mart")
+    same(st.mart(), full(ev.union(new_ev), sp.unionByName(new_sp), sold.union(sales(spark, [(150, "d1", "s50", dt(2024, 1, 11, 12))])), nobody))
+
+
+def test_expiry_drops_days_without_reading_the_rest(spark):
+    cfg = AttributionConfig(lookback_days=10, attribution_window_days=5, as_of="2024-01-20 06:00:00")
+    ev, sp = visits(spark, [(i, "ab"[i % 2], f"s{i // 2}", dt(2024, 1, 3 + i // 2, 3 + i % 20)) for i in range(34)])
+    sold = sales(spark, [(100 + i, "ab"[i % 2], f"s{i}", dt(2024, 1, 9 + i, 4 + i)) for i in range(11)])
+    nobody = spark.createDataFrame([], USERS)
+    st = store(spark, cfg)
+    st.refresh(ev, sp, sold, nobody)
+    before = st.tables.snapshot()
+    later = cfg.but(as_of="2024-01-22 08:30:00")
+    st.refresh(ev.limit(0), sp, sold.limit(0), nobody, history=(ev, sp), as_of=later.as_of)
+    after = st.tables.snapshot()
+    same(st.touchpoints(), touchpoints.touchpoints(ev, sp, nobody, later))
+    same(st.conversions(), conversions.conversions(sold, nobody, later))
+    same(st.mart(), full(ev, sp, sold, nobody, later))
+    kept = [d for d in after.parts("device_touchpoints") if d > "2024-01-07"]
+    assert min(after.parts("device_touchpoints")) == "2024-01-07"
+    assert all(after.parts("device_touchpoints")[d] == before.parts("device_touchpoints")[d] for d in kept)
+    assert all(after.parts("device_conversions")[d] == before.parts("device_conversions")[d] for d in after.parts("device_conversions") if d > "2024-01-12")
+
+
+CHANGING = "id string, uid string, last_updated_time timestamp, deleted boolean"
+
+
+def test_users_by_cursor(spark):
+    """Only rows changed since the last refresh are noted; the result is that of a full build."""
+    ev, sp, sold = small(spark)
+    st = AttributionStore(spark, work_path(spark, "store"), CFG, buckets=4, users_by_cursor=True)
+    people = [("d1", None, dt(2024, 1, 1), False), ("d2", "anna", dt(2024, 1, 2), False), ("d3", "ben", dt(2024, 1, 3), None), (None, "x", dt(2024, 1, 3), False)]
+    users = spark.createDataFrame(people, CHANGING)
+    st.refresh(ev, sp, sold, users)
+    same(st.mart(), full(ev, sp, sold, users.filter("id is not null")))
+    assert st.tables.snapshot().notes["users_seen"].startswith("2024-01-03")
+    noted, write = [], st.tables.write
+
+    def counting(name, frame, *args, **kw):
+        if name == "noted_users":
+            noted.append(sorted(r["device_id"] for r in frame.collect()))
+        return write(name, frame, *args, **kw)
+
+    st.tables.write = counting
+    # d1 is identified, d2 moves, d3 is deleted; d2's old row stands beside the new one.
+    people += [("d1", "anna", dt(2024, 1, 4), False), ("d2", "ben", dt(2024, 1, 5), False), ("d3", "ben", dt(2024, 1, 6), True)]
+    st.refresh(ev.limit(0), sp, sold.limit(0), spark.createDataFrame(people, CHANGING))
+    same(st.mart(), full(ev, sp, sold, spark.createDataFrame([("d1", "anna"), ("d2", "ben")], USERS)))
+    st.refresh(ev.limit(0), sp, sold.limit(0), spark.createDataFrame(people, CHANGING))
+    assert noted == [["d1", "d2", "d3"], ["d3"]]
+    same(st.mart(), full(ev, sp, sold, spark.createDataFrame([("d1", "anna"), ("d2", "ben")], USERS)))
+
+
+def test_bounded_sessions_give_the_same(spark):
+    t = star(spark, SF)
+    st = AttributionStore(spark, work_path(spark, "store"), CFG, buckets=4, session_days=40)
+    for cond in (F.dayofmonth("event_time") <= 20, F.dayofmonth("event_time") > 20):
+        st.refresh(t["events"].filter(cond), t["source_properties"], t["custom_events"].filter(cond), t["users"])
+    same(st.mart(), full(t["events"], t["source_properties"], t["custom_events"], t["users"]))
