@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from trailmark.functions.combine import beside
 from trailmark.functions.time import Period, local_time
+from trailmark.operators.quantiles import exact_percentiles
 from trailmark.plans.model import TABLES, find_column, route
 
 
@@ -20,12 +21,18 @@ class Metric:
     base: str
     sql: str
     synonyms: tuple[str, ...] = ()
+    # Column and fraction of an exact percentile, which is found by rank selection instead of ``sql``.
+    percentile: tuple[str, float] | None = None
 
 
 def _m(base: str, name: str, sql: str, *synonyms: str) -> Metric:
     return Metric(name, base, sql, synonyms)
 
 
+def _p(base: str, name: str, column: str, fraction: float) -> Metric:
+    return Metric(name, base, f"percentile({column}, {fraction})", percentile=(column, fraction))
+
+
 # Metric names, definitions and the names users call them by.
 METRICS: tuple[Metric, ...] = (
     _m("events", "event_count", "count(id)", "number of events", "total events", "event volume"),
@@ -57,7 +64,7 @@ METRICS: tuple[Metric, ...] = (
     _m("interaction_to_next_paints", "inp_event_count", "count(event_id)"),
     _m("interaction_to_next_paints", "poor_inp_count", "count_if(interaction_to_next_paint_millis > 500)",
        "slow interactions", "poor responsiveness count"),
-    _m("interaction_to_next_paints", "p75_inp", "percentile(interaction_to_next_paint_millis, 0.75)"),
+    _p("interaction_to_next_paints", "p75_inp", "interaction_to_next_paint_millis", 0.75),
     _m("mouse_thrashes", "mouse_thrash_count", "count(event_id)", "thrash count", "total mouse thrashes",
        "erratic mouse events"),
     _m("form_abandons", "form_abandon_count", "count(event_id)", "abandonments", "total form abandons",
@@ -178,6 +185,12 @@ def fact_aggregate(name: str, fact: str, sql_function: str) -> Metric:
     return Metric(name, base, sql_function.format(column))
 
 
+def fact_percentile(name: str, fact: str, fraction: float) -> Metric:
+    """Exact percentile of a declared numeric column, however large a group is."""
+    column = fact_aggregate(name, fact, "{}")
+    return _p(column.base, name, column.sql, fraction)
+
+
 TIME_GRAINS: dict[str, Callable[[Column], Column]] = {
     "minute": lambda t: F.date_trunc("minute", t),
     "hour": lambda t: F.date_trunc("hour", t),
@@ -281,8 +294,13 @@ def metric_query(
         for i, wanted in enumerate(where.values()):
             rows = rows.filter(satisfies(F.col(f"_where_{i}"), wanted))
         mine = [m for m in chosen if m.base == base]
-        grouped = rows.groupBy(*[f"_by_{x}" for x in labels]).agg(*[F.expr(m.sql).alias(m.name) for m in mine])
-        parts.append(grouped.withColumnsRenamed({f"_by_{x}": x for x in labels}))
+        plain = [F.expr(m.sql).alias(m.name) for m in mine if not m.percentile]
+        keys = [f"_by_{x}" for x in labels]
+        grouped = [rows.groupBy(*keys).agg(*plain)] if plain else []
+        for column in dict.fromkeys(m.percentile[0] for m in mine if m.percentile):
+            wanted = {m.name: m.percentile[1] for m in mine if m.percentile and m.percentile[0] == column}
+            grouped.append(exact_percentiles(rows, keys, column, wanted))
+        parts += [g.withColumnsRenamed({f"_by_{x}": x for x in labels}) for g in grouped]
     out = parts[0] if len(parts) == 1 else beside(parts, list(labels))
     out = out.select(*labels, *[m.name for m in chosen])
     return top(out, order_by, list(labels), descending, limit) if order_by else out

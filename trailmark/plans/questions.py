@@ -17,7 +17,7 @@ from trailmark.functions.time import clock_range
 from trailmark.operators import funnel
 from trailmark.operators.funnel import PURCHASE_FUNNEL, Step
 from trailmark.plans.behavior import Analysis, with_change, with_z_score
-from trailmark.plans.metrics import SESSIONS, VISITORS, Metric, fact_aggregate, top
+from trailmark.plans.metrics import SESSIONS, VISITORS, Metric, fact_percentile, top
 
 PAGE = {"page": "page"}
 DEVICE = {"device": "device type"}
@@ -234,7 +234,7 @@ def questions(a: Analysis, site: Site = Site()) -> dict[str, Callable[[], DataFr
         "role_product_feature_use": lambda: ranked("element_seen_count", {"element": "elements_seen.target_text"}),
         "role_product_engagement_trend": lambda: a.trend(ENGAGEMENT, "week", "all"),
         "role_engineer_slow_pages": lambda: a.metrics(
-            ["avg_lcp", "avg_ttfb", fact_aggregate("p95_load_time", "page load time", "percentile({}, 0.95)")], PAGE),
+            ["avg_lcp", "avg_ttfb", fact_percentile("p95_load_time", "page load time", 0.95)], PAGE),
         "role_designer_dead_elements": lambda: ranked("dead_click_count", {"element": "named element"}),
         "role_designer_scroll_stops": scroll_histogram,
         "role_analyst_conversion_drivers": contribution,
