@@ -97,6 +97,42 @@ def _valid(kind: str, found: str) -> bool:
 
 
 PARSER = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE}
+DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
+
+
+def _emails(text: str, begin: int, stop: int) -> Iterator[tuple[int, int]]:
+    """The matches of EMAIL inside a run: each at-sign has a name on its left and a domain on its right, or no match."""
+    after, at = begin, text.find("@", begin, stop)
+    while at >= 0:
+        name = at - after - len(text[after:at].rstrip(LETTERS + DIGITS + "._%+-"))
+        domain = DOMAIN.match(text, at + 1, stop) if name else None
+        if domain:
+            yield at - name, domain.end()
+        after = domain.end() if domain else at + 1
+        at = text.find("@", after, stop)
+
+
+def _addresses(text: str, begin: int, stop: int) -> Iterator[tuple[int, int]]:
+    """The matches of IP inside a run of digits and dots: four numbers in a row, then the next four."""
+    numbers: list[int] = []
+    at = begin
+    for number in text[begin:stop].split("."):
+        numbers = [*numbers, at] if number else []
+        at += len(number) + 1
+        if len(numbers) == 4:
+            yield numbers[0], at - 1
+            numbers = []
+
+
+def _matches(kind: str, text: str, begin: int, stop: int) -> Iterator[tuple[int, int]]:
+    """Matches of a base kind inside a run, in one reading."""
+    if kind == "email":
+        yield from _emails(text, begin, stop)
+    elif kind == "ip":
+        yield from _addresses(text, begin, stop)
+    else:
+        for m in PARSER[kind].finditer(text, begin, stop):
+            yield m.start(), m.end()
 
 
 def _run(text: str, kind: str, at: int, end: int, after: int) -> tuple[int, int]:
@@ -122,9 +158,7 @@ def find_spans(automaton, text: str) -> list[tuple[str, int, int]]:
             if kind in PARSER:
                 begin, stop = _run(text, kind, start, end, done[kind])
                 done[kind] = stop
-                for m in PARSER[kind].finditer(text, begin, stop):
-                    if _valid(kind, m.group()):
-                        out.append((kind, m.start(), m.end()))
+                out += [(kind, a, b) for a, b in _matches(kind, text, begin, stop) if _valid(kind, text[a:b])]
             elif kind == "account" and (m := ACCOUNT.match(text, start)):
                 out.append((kind, m.start(1), m.end(1)))
                 done[kind] = m.end()
