@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -161,3 +162,36 @@ def test_licenses(frame, odd, empty):
     counts = [(r["doc_id"], len(words(r["text"]))) for r in odd.collect()]
     assert by_row(licenses.op7_query(odd), "doc_id", "n_words") == sorted(counts, key=repr)
     assert licenses.op7_query(empty).count() == 0
+
+
+def test_pii_matches_in_one_reading():
+    """Base kinds equal the expressions on strings made of their own characters, and long hopeless tokens cost little."""
+    rng, built = random.Random(9), pii.machine()
+    for _ in range(3000):
+        t = "".join(rng.choice("a@.-b1 +@.2.3") for _ in range(rng.randint(0, 40)))
+        want = sorted((k, m.start(), m.end()) for k in ("email", "ip") for m in pii.PARSER[k].finditer(t) if pii._valid(k, m.group()))
+        assert sorted(s for s in pii.find_spans(built, t) if s[0] in ("email", "ip")) == want, t
+    for t in ("a" * 1_000_000 + "@", "a" * 1_000_000 + "@b", "a@" * 500_000, "1" * 1_000_000 + ".5", "1." * 500_000, "+1" * 500_000):
+        start = time.perf_counter()
+        pii.find_spans(built, t)
+        assert time.perf_counter() - start < 5, t[:5]
+
+
+def test_secret_tokens_in_one_reading():
+    machine = secrets.build()
+    rng = random.Random(4)
+    plain = re.compile(rb"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
+    kind = [r[0] for r in secrets.RULES].index("web_token")
+    for _ in range(1500):
+        t = "".join(rng.choice(["eyJ", "eyJ", "a", "bcdefgh", "12345678", ".", ".", " "]) for _ in range(rng.randint(0, 25))).encode()
+        raw = np.frombuffer(t, np.uint8)
+        got = sorted((a, b) for r, a, b in secrets.find_spans(machine, raw, np.array([0, len(raw)])).get(0, []) if r == kind)
+        assert got == [m.span() for m in plain.finditer(t)], t
+    long = np.frombuffer(b"eyJ" * 350_000, np.uint8)
+    start = time.perf_counter()
+    secrets.find_spans(machine, long, np.array([0, len(long)]))
+    assert time.perf_counter() - start < 5
+
+
+def test_secrets_of_an_empty_table(empty):
+    assert secrets.op2_query(empty).count() == 0

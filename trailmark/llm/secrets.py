@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from dataclasses import astuple
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,11 @@ METHOD_RULES = [
     ("url_login", r"://[A-Za-z0-9._-]+:[A-Za-z0-9._-]+@", False, rb"://[A-Za-z0-9._-]+:[A-Za-z0-9._-]+@", 0),
 ]
 RULES = BASE_RULES + METHOD_RULES
+# Where a web token fails, so does every later start before the next dot: the group ``passed`` takes these at once, or a
+# long stretch would be read again from each of them.  The matches are those of the rule's expression.
+IN_ONE_READING = {
+    "web_token": rb"eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+|(?P<passed>eyJ[A-Za-z0-9_-]*+)",
+}
 BETWEEN_ROWS = 10  # a line feed is in no rule
 
 
@@ -75,7 +81,7 @@ def find_spans(machine: Automaton, raw: np.ndarray, at: np.ndarray) -> dict[int,
     begins = at[:-1] + np.arange(rows)
     states = run(machine, joined)
     found: dict[int, list[tuple[int, int, int]]] = {}
-    exact = [re.compile(rule[3]) for rule in RULES]
+    exact = [re.compile(IN_ONE_READING.get(rule[0], rule[3])) for rule in RULES]
     for begin, end, mask in _candidates(machine, states):
         row = int(np.searchsorted(begins, begin, "right")) - 1
         piece = joined[begin:end].tobytes()
@@ -83,6 +89,8 @@ def find_spans(machine: Automaton, raw: np.ndarray, at: np.ndarray) -> dict[int,
             if not mask >> r & 1:
                 continue
             for m in exact[r].finditer(piece):
+                if m.lastgroup == "passed":
+                    continue
                 group = m.lastindex or 0
                 if m.end(group) - m.start(group) >= least:
                     shift = begin - int(begins[row])
@@ -119,10 +127,11 @@ def _scan(machine: Automaton, batches: Iterator[pa.RecordBatch], id_name: str, t
 def scan_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: counts of the base kinds, their digest, and all spans as text."""
     spark: SparkSession = docs.sparkSession
-    machine = spark.sparkContext.broadcast(build())
+    # Plain arrays: a broadcast is unpickled without what cloudpickle would carry along.
+    machine = spark.sparkContext.broadcast(astuple(build()))
     kind = docs.schema[doc_id].dataType.simpleString()
     schema = f"`{doc_id}` {kind}, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string"
-    return docs.select(doc_id, text).mapInArrow(lambda it: _scan(machine.value, it, doc_id, text), schema)
+    return docs.select(doc_id, text).mapInArrow(lambda it: _scan(Automaton(*machine.value), it, doc_id, text), schema)
 
 
 def op2_query(docs: DataFrame) -> DataFrame:
