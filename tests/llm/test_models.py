@@ -154,3 +154,20 @@ def test_probabilities_of_all_bytes_sum_to_one():
         spent = lm.Layout(words.byte[:1], words.place[:1], words.unit[:1], words.starts, words.contexts[:, :1])
         bits.append(scorer.unit_bits(spent)[0])
     assert abs(np.exp2(-np.array(bits)).sum() - 1) < 1e-3
+
+
+def test_a_rare_label_does_not_let_junk_through(corpus, frame):
+    """One mistyped label draws what no language explains, and is judged like the others."""
+    rows, docs = corpus
+    rng = random.Random(5)
+    junk = [doc(1000 + i, " ".join("".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(9)) for _ in range(30)), None) for i in range(8)]
+    rare = [doc(2000, rows[0][1] + " zq", "enn"), doc(2001, rows[1][1], "xx")]
+    got = language.identify(docs.union(frame(junk + rare)), F.col("lang").isNotNull()).select("row.doc_id", "found.rejected").collect()
+    assert {r["doc_id"] for r in got if r["rejected"]} == set(range(1000, 1008))
+
+
+def test_rejection_limits():
+    lang, ce = np.array([0] * 200 + [1] * 2), np.concatenate([np.linspace(1.9, 2.1, 200), [3.0, 3.2]])
+    limits = language.rejection_limits(lang, ce, 3)
+    assert abs(limits[0, 0] - 2) < 0.01 and 2 < limits[1, 0] < 2.5 and abs(limits[2, 0] - ce.mean()) < 1e-9
+    assert (limits[:, 1] >= language.FLOOR).all() and (limits[:, 1] < 1).all()

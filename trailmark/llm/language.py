@@ -35,6 +35,8 @@ DISCOUNT = 0.75
 UNIVERSE = 2000  # characters the uniform distribution spreads over
 CHUNK = 1 << 20  # characters handled at once
 LIMIT_SIGMAS = 10.0
+FLOOR = 0.3  # bits a character, the least spread
+POOLED = 5  # texts of all languages that each language's limits are pulled towards
 UNKNOWN = "und"
 
 _A = np.uint64(0x9E3779B97F4A7C15)
@@ -216,6 +218,23 @@ def predict(models: Models, texts: list[str | None]) -> pd.DataFrame:
     return pd.DataFrame({"lang_pred": lang, "score": score, "rejected": rejected})
 
 
+def rejection_limits(lang: np.ndarray, ce: np.ndarray, langs: int) -> np.ndarray:
+    """(mean, spread) per language of the cross-entropy of held-out texts.
+
+    Each language is pulled towards all languages together as if it had ``POOLED`` more texts like theirs, so a label with few texts or
+    none is judged like the others and never accepts everything.  The floor leaves room for texts that change language or spelling on
+    the way; short texts get their allowance in ``predict``.
+    """
+    if not len(ce):
+        return np.tile([np.log2(UNIVERSE), FLOOR], (langs, 1))  # nothing is known: all that has letters is accepted
+    n = np.bincount(lang, minlength=langs) + POOLED
+    mean = (np.bincount(lang, weights=ce, minlength=langs) + POOLED * ce.mean()) / n
+    # The pooled part spreads as texts do about their own language's mean.
+    own = (ce - mean[lang]) ** 2
+    spread = np.sqrt((np.bincount(lang, weights=own, minlength=langs) + POOLED * own.mean()) / n)
+    return np.stack([mean, np.maximum(FLOOR, spread)], 1)
+
+
 def fit(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", sample: int = SAMPLE) -> Models:
     """Models of all languages among the labelled rows where ``learn`` holds.
 
@@ -245,26 +264,22 @@ def fit(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang",
                 yield pd.DataFrame({"lang": own[a:b], "n": n, "ce": ce[np.arange(b - a), own[a:b]]})
 
     seen = drawn.filter(held).select("lang", "text").mapInPandas(bits, "lang int, n bigint, ce double").filter("n > 0").toPandas()
-    limits = np.tile([20.0, 10.0], (len(langs), 1))
-    for i, own in seen.groupby("lang"):
-        if len(own) >= 5:
-            # Spread about the mean at about 100 characters and more; short texts get their allowance in predict().
-            # The floor leaves room for texts that change language or spelling on the way.
-            limits[i] = own["ce"].mean(), max(0.3, float((own["ce"] - own["ce"].mean()).std()))
-    return Models(models.langs, models.gram, models.p, models.ctx, models.rest, limits)
+    return Models(models.langs, models.gram, models.p, models.ctx, models.rest, rejection_limits(seen["lang"].to_numpy(), seen["ce"].to_numpy(), len(langs)))
 
 
 def identify(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", sample: int = SAMPLE) -> DataFrame:
     """``docs`` with a struct ``found`` (lang_pred, score, rejected) per row; the row itself is in ``row``."""
     models = fit(docs, learn, text, lang, doc_id, sample)
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+    # Plain lists and arrays: a broadcast is unpickled without what cloudpickle would carry along.
+    shared = docs.sparkSession.sparkContext.broadcast((models.langs, models.gram, models.p, models.ctx, models.rest, models.limits))
 
     @F.pandas_udf("lang_pred string, score double, rejected boolean")
     def found(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        known = Models(*shared.value)
         for series in texts:
             values = [t if isinstance(t, str) else None for t in series.tolist()]
-            if shared.value.langs:
-                yield predict(shared.value, values)
+            if known.langs:
+                yield predict(known, values)
             else:
                 yield pd.DataFrame({"lang_pred": UNKNOWN, "score": 0.0, "rejected": True}, index=range(len(values)))
 

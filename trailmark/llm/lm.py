@@ -362,7 +362,7 @@ def score_units(units: DataFrame, common, tables, mixer, prior: np.ndarray, show
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = None
         for whole in batches:
-            scorer = scorer or Scorer(common.value, tables.value, mixer.value)
+            scorer = scorer or Scorer(common.value, tables.value, Mixer(*mixer.value))
             for batch in slices(whole, "body", CHUNK):
                 kind = batch.column("kind").to_numpy()
                 counts = np.stack([batch.column(f"c{i}").to_numpy() for i in range(k)], axis=1)
@@ -491,7 +491,9 @@ def score_documents(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text
     chance = F.least(F.lit(1.0), F.col("c") * F.lit(SAMPLE / mass))
     draw = F.xxhash64(F.lit("mixer"), "body", "kind", "klass").bitwiseAND((1 << 40) - 1) / float(1 << 40)
     sample = trained.filter(draw < chance).select("body", "kind", "klass", (F.col("c") / chance).alias("weight"))
-    mixer = spark.sparkContext.broadcast(train_mixer(sample.repartition(SAMPLE_TASKS, "body", "kind", "klass").sortWithinPartitions(F.xxhash64("klass", "body", "kind")), common, tables))
+    mixer = train_mixer(sample.repartition(SAMPLE_TASKS, "body", "kind", "klass").sortWithinPartitions(F.xxhash64("klass", "body", "kind")), common, tables)
+    # Plain arrays: a broadcast is unpickled without what cloudpickle would carry along.
+    mixer = spark.sparkContext.broadcast((mixer.weights, mixer.power, mixer.ones, mixer.seen))
     of_class = {r["klass"]: r["n"] for r in trained.filter(F.col("kind") == WORD).groupBy("klass").agg(F.sum("c").alias("n")).collect()}
     scored = work_table(score_units(units, common, tables, mixer, prior, np.array([of_class.get(i, 0) for i in range(k)], float)), "lm-scores")
     totals = scored.filter("word").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"), F.count(F.when(F.col("c") > 0, 1)).alias("kinds")).first()

@@ -25,7 +25,6 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import count
 
 import numpy as np
@@ -46,15 +45,20 @@ _INVERSE = np.uint64(pow(PRIME, -1, 1 << 64))  # times a multiple of the prime g
 _QUOTIENTS = np.uint64(((1 << 64) - 1) // PRIME)
 
 
-@lru_cache(maxsize=64)
+_KNOWN: dict[tuple[int, bool], np.ndarray] = {}
+
+
 def _twiddles(half: int, inverse: bool) -> np.ndarray:
     """The first ``half`` powers of a root of unity of order ``2 * half``."""
+    if (half, inverse) in _KNOWN:
+        return _KNOWN[half, inverse]
     root = pow(ROOT, (PRIME - 1) // (2 * half), PRIME)
     if inverse:
         root = pow(root, PRIME - 2, PRIME)
     out = np.ones(1, np.int64)
     while len(out) < half:
         out = np.concatenate([out, out * pow(root, len(out), PRIME) % PRIME])
+    _KNOWN[half, inverse] = out
     return out
 
 
