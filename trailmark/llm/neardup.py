@@ -314,16 +314,24 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", si
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """(id, class_id, class_size) per row: the least id of its class and the number of rows in it."""
     found = work_table(near_classes(docs, doc_id, text, similarity), "near-classes")
-    classes = found.groupBy("comp").agg(F.min("doc").alias("class_id"), F.count("*").alias("class_size"))
-    return found.join(classes, "comp").select(F.col("doc").alias(doc_id), "class_id", "class_size")
+    classes = found.groupBy("comp").agg(F.min("doc").alias("class_id"), F.count("*").alias("class_size")).filter("class_size > 1")
+    own = found.join(_small(work_table(classes, "near-sizes")), "comp", "left")
+    return own.select(F.col("doc").alias(doc_id), F.when(F.col("class_size").isNull(), F.col("doc")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("class_size", F.lit(1).cast("bigint")).alias("class_size"))
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with one row of every class: the least by (id, text hash); of repeated rows any one."""
-    found = near_classes(docs, doc_id, text, similarity)
-    keep = found.groupBy("comp").agg(F.min(F.struct(F.col("doc").alias("id"), "h")).alias("key")).select("key")
-    rows = docs.select(F.struct("*").alias("row"), row_key(F.col(doc_id), F.col(text)).alias("key")).join(keep, "key")
-    return rows.withColumn("i", F.row_number().over(W.partitionBy("key").orderBy("key"))).filter("i = 1").select("row.*")
+    found = work_table(near_classes(docs, doc_id, text, similarity).select("doc", "h", "comp"), "near-classes")
+    key = F.struct(F.col("doc").alias("id"), "h")
+    classes = found.groupBy("comp").agg(F.min(key).alias("keep"), F.count("*").alias("n")).filter("n > 1")
+    # Only narrow keys move: of what goes, and of what stays and stands there more than once.
+    in_class = found.join(_small(work_table(classes.select("comp", "keep"), "near-kept")), "comp").select(key.alias("key"), "keep")
+    keys = work_table(in_class.groupBy("key", F.col("key").eqNullSafe(F.col("keep")).alias("kept")).agg(F.count("*").alias("n")), "near-keys")
+    gone, again = keys.filter("not kept or n > 1").select("key"), keys.filter("kept and n > 1").select("key")
+    rows = docs.select(F.struct("*").alias("row"), row_key(F.col(doc_id), F.col(text)).alias("key"))
+    left = rows.join(_small(gone), "key", "left_anti").select("row.*")
+    one = rows.join(_small(again), "key", "left_semi").groupBy("key").agg(F.first("row").alias("row")).select("row.*")
+    return left.unionByName(one)
 
 
 def op8_query(docs: DataFrame) -> DataFrame:
