@@ -20,6 +20,7 @@ from trailmark.config import work_table
 from trailmark.llm.common import ascii_lower, row_key, words
 
 MAX_BROADCAST_WINDOWS = 200_000
+BROADCAST_KEYS = 1_000_000  # of an id and a hash each
 
 
 def _windows(tokens: Column, width: int) -> Column:
@@ -94,18 +95,29 @@ def decontamination_report(
     return spans.join(items, "key", "left")
 
 
+def hit_keys(
+    docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
+    item_text: str = "text", width: int = 10, max_broadcast_windows: int = MAX_BROADCAST_WINDOWS,
+) -> DataFrame:
+    """Keys of the documents with a hit, each once."""
+    grams = benchmark_windows(benchmark, item_id, item_text, width)
+    return occurrences(docs, grams, doc_id, text, max_broadcast_windows).select("key").distinct()
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` without contaminated documents, or with the hit spans cut out of their texts.
 
     Removing spans keeps the text before the first and after the last word of each span, in the
     original spelling; untouched documents keep their text byte for byte.
     """
-    report = decontamination_report(docs, benchmark, doc_id, text, **options)
+    if remove not in ("documents", "spans"):
+        raise ValueError("remove must be 'documents' or 'spans'")
     rows = docs.select(F.struct("*").alias("row"), row_key(F.col(doc_id), F.col(text)).alias("key"))
     if remove == "documents":
-        return rows.join(report.select("key"), "key", "left_anti").select("row.*")
-    if remove != "spans":
-        raise ValueError("remove must be 'documents' or 'spans'")
+        # Only the keys of hit documents are needed, and while they are few the texts need not move.
+        keys = work_table(hit_keys(docs, benchmark, doc_id, text, **options), "benchmark-keys")
+        return rows.join(F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys, "key", "left_anti").select("row.*")
+    report = decontamination_report(docs, benchmark, doc_id, text, **options)
     t = F.col(f"row.`{text}`")
     # Words and the stretches between them alternate; stretch i stands before word i.
     lower = ascii_lower(t)
