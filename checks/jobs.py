@@ -12,11 +12,11 @@ from checks.common import CFG, Build
 from checks.parity import hits
 from trailmark.config import work_path
 from trailmark.functions.traffic import signal_rank
-from trailmark.operators import export, funnel, properties, touchpoints
+from trailmark.operators import conversions, export, funnel, properties, touchpoints
 from trailmark.plans.refresh import AttributionStore
 from trailmark.sources.landing import Star, export_users
 from trailmark.sources.state import Cursor, SyncState
-from trailmark.streaming import jobs
+from trailmark.streaming import jobs, stateful
 
 SPLIT = "2024-01-24 00:00:00"
 FILES_PER_ARRIVAL = 4
@@ -160,6 +160,29 @@ def streamed_store(t: Star) -> AttributionStore:
     return store
 
 
+def rs2_stateful(t: Star) -> DataFrame:
+    """Conversions in shuffled arrivals, put in order by state per user; a last row of a user of its own moves the watermark past all."""
+    columns = ["user_id", "conversion_session_id", "converted_at", "conversion_revenue", "event_id"]
+    found = touchpoints.with_identity(conversions.device_conversions(t["custom_events"], CFG), t["users"]).select(*columns)
+    path = work_path(t.spark, "arrivals")
+    for i in range(3):
+        found.filter(F.pmod(F.hash("event_id"), F.lit(3)) == i).repartition(FILES_PER_ARRIVAL).write.mode("append").parquet(path)
+    end = found.limit(1).select(F.lit("\x7fend").alias("user_id"), *columns[1:2], F.lit("2030-01-01").cast("timestamp").alias("converted_at"), *columns[3:])
+    end.coalesce(1).write.mode("append").parquet(path)
+    stateful.use_rocksdb(t.spark)
+    try:
+        stream = t.spark.readStream.schema(found.schema).option("maxFilesPerTrigger", FILES_PER_ARRIVAL).parquet(path)
+        ordered = stateful.conversions_in_order(stream, "40 days")
+        out = work_path(t.spark, "ordered")
+        q = (ordered.writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", work_path(t.spark, "checkpoint")).trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        t.spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    rows = t.spark.read.schema(ordered.schema).parquet(out).filter(F.col("user_id") != "\x7fend")
+    return rows.filter(~F.col("late")).select(*conversions.COLUMNS)
+
+
 def _arrivals(t: Star, df: DataFrame, time: str) -> DataFrame:
     """``df`` as a stream of three time-ordered arrivals of several files each."""
     path = work_path(t.spark, "arrivals")
@@ -234,6 +257,7 @@ REFRESH: dict[str, Build] = {
     "k25_refresh_report": lambda t: two_batches(t)[1],
     "rs1_streaming_touchpoints": rs1,
     "rs2_streaming_conversions": lambda t: streamed(t).conversions(),
+    "rs2_stateful_conversions": rs2_stateful,
     "rs2_streaming_mart": lambda t: streamed(t).mart(),
     "rs3_streaming_interval_join": rs3,
     "rs4_streaming_funnel": rs4,

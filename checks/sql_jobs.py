@@ -93,6 +93,7 @@ def refresh() -> dict[str, str]:
         "k25_refresh_report": report,
         "rs1_streaming_touchpoints": with_fx("SELECT * EXCLUDE (week) FROM tp", p),
         "rs2_streaming_conversions": with_fx("SELECT * FROM cv", p),
+        "rs2_stateful_conversions": with_fx("SELECT * FROM cv", p),
         "rs2_streaming_mart": mart,
         "rs3_streaming_interval_join": with_fx("SELECT * EXCLUDE (conversion_index) FROM linked", p),
         "rs4_streaming_funnel": with_fx(FIRST_TOUCH_FUNNEL, {"hits": funnel_hits("event_time IS NOT NULL")}),
