@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from trailmark.config import work_path
 from trailmark.operators.export import (
-    chunked_payloads, export_updated_user_properties, export_user_properties, exportable, numbered_in_order,
+    chunked_payloads, export_updated_user_properties, export_user_properties, exportable, numbered_in_order, wave_of, write_outbox,
 )
 from trailmark.operators.properties import custom_columns, property_profile
 from trailmark.sources.state import Cursor, SyncState
@@ -126,3 +126,39 @@ def test_property_discovery(spark):
     assert custom_columns("element_properties", df) == ["color", "slot"]
     got = sorted(rows(property_profile({"element_properties": df}, exact=True)))
     assert got == [("element_properties", "color", "string", 1, 1), ("element_properties", "slot", "int", 2, 1)]
+
+
+def test_a_wave_opens_only_its_own_files(spark):
+    chunks = chunked_payloads(exportable(users(spark, 60)), F.struct("loyalty_tier"), 4)
+    stored = write_outbox(chunks, work_path(spark, "outbox"), 3)
+    assert rows(stored.drop("wave"), "chunk_id") == rows(chunks, "chunk_id")
+    seen = []
+    for number in range(5):
+        one = wave_of(stored, number)
+        read = one.select(F.col("chunk_id"), F.input_file_name().alias("file")).collect()
+        assert sorted(r["chunk_id"] for r in read) == list(range(3 * number, 3 * number + 3))
+        assert all(f"wave={number}/" in r["file"] for r in read)
+        plan = one._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(wave" in plan
+        seen += [r["chunk_id"] for r in read]
+    assert sorted(seen) == list(range(15))
+
+
+def test_each_payload_is_sent_once(spark, tmp_path):
+    """Every payload leaves a file of its own; a second one for the same chunk would be refused."""
+    folder = str(tmp_path)
+
+    def note(payload):
+        import hashlib
+        import os
+
+        os.close(os.open(f"{folder}/{hashlib.sha256(payload.encode()).hexdigest()}", os.O_CREAT | os.O_EXCL))
+        return 200, "ok"
+
+    report, _ = run(spark, state(spark), users(spark, 50), note, wave=3)
+    assert (report["status"], report["chunks_pushed"], len(list(tmp_path.iterdir()))) == ("ok", 13, 13)
+    sent = tmp_path / "once"
+    sent.mkdir()
+    folder = str(sent)
+    report, _ = export_user_properties(users(spark, 50), 30, {"a": 1}, transport=note, batch_size=4)
+    assert report.first()["chunks_pushed"] == 8 and len(list(sent.iterdir())) == 8

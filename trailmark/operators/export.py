@@ -14,6 +14,7 @@ from trailmark.sources.state import Cursor, SyncState
 
 BATCH_SIZE = 1000
 _RESPONSE_CHARS = 500
+_WAVE = "wave"
 
 # Delivers one JSON payload, returns (status code, response text).  Runs on executors.
 Transport = Callable[[str], tuple[int, str]]
@@ -73,23 +74,36 @@ def chunked_payloads(users: DataFrame, properties: Column, batch_size: int = BAT
     )
 
 
-def _sender(transport: Transport) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+def write_outbox(chunks: DataFrame, path: str, wave: int) -> DataFrame:
+    """Write chunks in order, ``wave`` to a folder, and return the outbox as a reader sees it.
+
+    The folder's name says which chunks it holds, so a wave opens its own folder and no other.
+    """
+    in_waves = chunks.withColumn(_WAVE, F.floor(F.col("chunk_id") / F.lit(wave)).cast("long"))
+    in_waves.repartitionByRange(_WAVE).sortWithinPartitions("chunk_id").write.partitionBy(_WAVE).parquet(path)
+    return chunks.sparkSession.read.schema(in_waves.schema).parquet(path)
+
+
+def wave_of(outbox: DataFrame, number: int) -> DataFrame:
+    """The chunks of one wave; a filter on the folder, so only its files are read."""
+    return outbox.filter(F.col(_WAVE) == number)
+
+
+def _sender(transport: Transport, kept: Sequence[str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             answers = [transport(p) for p in batch["payload"]]
-            yield pd.DataFrame({
-                "chunk_id": batch["chunk_id"], "http_status": [a[0] for a in answers],
-                "response": [a[1][:_RESPONSE_CHARS] for a in answers],
-            })
+            yield batch[list(kept)].assign(http_status=[a[0] for a in answers], response=[a[1][:_RESPONSE_CHARS] for a in answers])
 
     return send
 
 
-def push_chunks(outbox: DataFrame, first: int, last: int, transport: Transport) -> DataFrame:
-    """Send chunks ``first`` up to ``last`` from executors; one status row per chunk."""
-    part = outbox.filter((F.col("chunk_id") >= first) & (F.col("chunk_id") < last))
-    spread = part.select("chunk_id", "payload").repartitionByRange(last - first, "chunk_id")
-    return spread.mapInPandas(_sender(transport), "chunk_id long, http_status int, response string")
+def push_chunks(chunks: DataFrame, transport: Transport, tasks: int) -> DataFrame:
+    """Send chunks from executors; one status row per chunk, with what it held and where it ended."""
+    kept = ["chunk_id", "users", *[c for c in ("at", "uid") if c in chunks.columns]]
+    spread = chunks.select(*kept, "payload").repartitionByRange(tasks, "chunk_id")
+    schema = "chunk_id long, users long, " + "".join(f"{c} string, " for c in kept[2:]) + "http_status int, response string"
+    return spread.mapInPandas(_sender(transport, kept), schema)
 
 
 def export_updated_user_properties(
@@ -106,7 +120,7 @@ def export_updated_user_properties(
     watermark moves to its end.  With one, chunks go out in order in waves of ``wave``; the
     watermark follows the unbroken run of delivered chunks and the run stops at the first failure,
     so the next run resumes there.  A chunk may be sent twice after a failure, never skipped.
-    Only chunk statuses reach the driver, ``wave`` at a time.
+    Each payload is read once, by its wave; only chunk statuses reach the driver, ``wave`` at a time.
     """
     spark = users.sparkSession
     state.seed(sync_name)
@@ -114,8 +128,8 @@ def export_updated_user_properties(
     delta = after_cursor(exportable(users), cursor, strict_timestamp).select("uid", "updated_at", *properties)
     bag = F.struct(*properties, F.col("updated_at").cast("string").alias("warehouse_synced_at"))
     path = outbox_path or work_path(spark, "outbox")
-    chunked_payloads(delta, bag, batch_size).write.parquet(path)
-    outbox = spark.read.parquet(path)
+    stored = write_outbox(chunked_payloads(delta, bag, batch_size), path, wave)
+    outbox = stored.drop(_WAVE)
 
     def end_of(chunks: DataFrame) -> tuple[int, int, Cursor]:
         end = F.max(F.struct("updated_at", "uid"))
@@ -143,41 +157,41 @@ def export_updated_user_properties(
         state.advance(sync_name, end)
         return report("ok", total, all_users, end.at)
 
+    at = F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at")
     pushed, sent, reached = 0, 0, cursor
-    while pushed < total:
-        upto = min(pushed + wave, total)
-        # At most ``wave`` small rows.
-        statuses = push_chunks(outbox, pushed, upto, transport).orderBy("chunk_id").collect()
+    for number in range(-(-total // wave)):
+        mine = wave_of(stored, number).select("chunk_id", "users", at, "uid", "payload")
+        # At most ``wave`` small rows, sorted here: a distributed sort samples its input, and would send everything twice.
+        statuses = sorted(push_chunks(mine, transport, wave).collect(), key=lambda s: s["chunk_id"])
         failed = next((s for s in statuses if not 200 <= s["http_status"] < 300), None)
-        good = upto if failed is None else failed["chunk_id"]
-        if good > pushed:
-            delivered = outbox.filter((F.col("chunk_id") >= pushed) & (F.col("chunk_id") < good))
-            _, count, reached = end_of(delivered)
+        good = statuses if failed is None else [s for s in statuses if s["chunk_id"] < failed["chunk_id"]]
+        if good:
+            reached = Cursor(good[-1]["at"], good[-1]["uid"])
             state.advance(sync_name, reached)
-            sent += count
-        pushed = good
+            sent += sum(s["users"] for s in good)
+            pushed += len(good)
         if failed is not None:
-            final = outbox.filter((F.col("chunk_id") == good) & (F.col("users") < batch_size))
-            status = "failed_on_final_chunk" if good == total - 1 and not final.isEmpty() else "failed_mid_run"
+            last = failed["chunk_id"] == total - 1 and failed["users"] < batch_size
+            status = "failed_on_final_chunk" if last else "failed_mid_run"
             return report(status, pushed, sent, reached.at, failed["http_status"], failed["response"])
     return report("ok", pushed, sent, end.at)
 
 
 def export_user_properties(
     users: DataFrame, limit: int, properties: Mapping[str, Any], transport: Transport | None = None,
-    batch_size: int = BATCH_SIZE, outbox_path: str | None = None,
+    batch_size: int = BATCH_SIZE, outbox_path: str | None = None, wave: int = 16,
 ) -> tuple[DataFrame, DataFrame]:
     """One-time push of a fixed property bag to the first ``limit`` users by uid.
 
     ``limit`` is the caller's sample size.  Returns (run report, outbox).
     """
     spark = users.sparkSession
-    sample = exportable(users).select("uid").orderBy("uid").limit(limit)
+    # Numbered over range partitions: a large limit does not end in one task.
+    sample = numbered_in_order(exportable(users).select("uid"), ["uid"], "place").filter(F.col("place") < limit).select("uid")
     bag = F.struct(*[F.lit(v).alias(k) for k, v in properties.items()])
     path = outbox_path or work_path(spark, "outbox")
     rows = sample.withColumn("updated_at", F.lit(None).cast("timestamp"))
-    chunked_payloads(rows, bag, batch_size).select("chunk_id", "users", "payload").write.parquet(path)
-    outbox = spark.read.parquet(path)
+    outbox = write_outbox(chunked_payloads(rows, bag, batch_size).select("chunk_id", "users", "payload"), path, wave).drop(_WAVE)
     total = outbox.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("users"), F.lit(0)).alias("u")).first()
     if total["n"] == 0:
         status, code, text, sent, count = "no_users_found", None, None, 0, 0
@@ -185,10 +199,10 @@ def export_user_properties(
         status, code, text, sent, count = "ok", None, None, total["n"], total["u"]
     else:
         # Written, so that reading the answers again does not send again.
-        answers = work_table(push_chunks(outbox, 0, total["n"], transport), "answers")
+        answers = work_table(push_chunks(outbox, transport, total["n"]), "answers")
         good = (F.col("http_status") >= 200) & (F.col("http_status") < 300)
         first = answers.filter(~good).orderBy("chunk_id").limit(1).first()
-        delivered = outbox.join(answers.filter(good).select("chunk_id"), "chunk_id", "left_semi").agg(
+        delivered = answers.filter(good).agg(
             F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("users"), F.lit(0)).alias("u")).first()
         sent, count = delivered["n"], delivered["u"]
         status, code, text = ("ok", 200, None) if first is None else ("failed", first["http_status"], first["response"])
