@@ -194,7 +194,7 @@ def _arrivals(t: Star, df: DataFrame, time: str) -> DataFrame:
 
 def _drain(t: Star, stream: DataFrame, keys: list[str]) -> DataFrame:
     log = work_path(t.spark, "updates")
-    jobs.append_updates(stream, log, work_path(t.spark, "checkpoint"), {"availableNow": True}).awaitTermination()
+    jobs.append_updates(stream, log, work_path(t.spark, "checkpoint"), {"availableNow": True}, keys, fold_every=2).awaitTermination()
     return jobs.latest(t.spark, log, keys, stream.schema)
 
 

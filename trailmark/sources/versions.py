@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 PART = "part"
 _VERSIONS = "_versions"
@@ -67,6 +68,14 @@ class VersionedTables:
         path = self._path(folder)
         return sorted(s.getPath().getName() for s in self._fs.listStatus(path)) if self._fs.exists(path) else []
 
+    def names_above(self) -> list[str]:
+        """What stands beside the store's own folder."""
+        return sorted(s.getPath().getName() for s in self._fs.listStatus(self._path("").getParent()))
+
+    def remove_above(self, name: str) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self._path("").getParent(), name)
+        self._fs.delete(path, True)
+
     def versions(self) -> list[int]:
         return [int(n.removesuffix(".json")) for n in self._names(_VERSIONS) if n.endswith(".json") and not n.startswith(".")]
 
@@ -86,7 +95,7 @@ class VersionedTables:
         tables = {t: {p: Part(*v) for p, v in parts.items()} for t, parts in body["tables"].items()}
         return Snapshot(number, tables, body["notes"])
 
-    def read(self, snapshot: Snapshot, table: str, schema: str, parts: Iterable[str] | None = None) -> DataFrame:
+    def read(self, snapshot: Snapshot, table: str, schema: str | StructType, parts: Iterable[str] | None = None) -> DataFrame:
         """Rows of a table in a version, of some parts only if given; parts that are not there are empty."""
         held = snapshot.parts(table)
         wanted = held if parts is None else [p for p in parts if p in held]

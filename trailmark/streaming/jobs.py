@@ -1,7 +1,7 @@
 """Structured Streaming forms of the main tables.
 
 Update-mode results are appended to a Parquet log with their batch number; ``latest`` reads the
-newest row per key.  That keeps sinks append-only, restartable and off the driver.
+newest row per key.  That keeps sinks append-only, restartable and off the driver.  ``UpdateLog.fold`` keeps the log short.
 """
 
 from __future__ import annotations
@@ -18,20 +18,84 @@ from trailmark.functions.time import days_before
 from trailmark.operators.ordered import DAY, time_bucket
 from trailmark.plans.metrics import Metric, metric
 from trailmark.plans.refresh import AttributionStore
+from trailmark.sources.versions import PART, VersionedTables
 
 _BATCH = "batch"
 # Length of the time slices that bound streaming state.
 SLICE = "1 day"
 
 
-def append_updates(stream: DataFrame, path: str, checkpoint: str, trigger: dict) -> StreamingQuery:
-    """Write update-mode output to a log with one folder per micro-batch.
+class UpdateLog:
+    """Update-mode rows under ``path``, one folder a micro-batch, and what has been folded of them.
 
-    A replayed batch overwrites its own folder, so restarts do not duplicate rows.
+    ``fold`` merges batches that can no longer be replayed (all but the newest) into one file per time slice, keeping the newest
+    version of each key; slices the batches do not touch stay as they are.  The fold is a version of its own store, swapped in
+    at once, and says up to which batch it reaches.  Folders of batches go one fold later, so a reader that began with
+    the former version still finds them.  The writer only ever adds newer folders, so both can run at the same time.
     """
 
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], schema: StructType):
+        self.spark, self.path, self.keys = spark, path, list(keys)
+        self.schema = StructType([*schema.fields, StructField(_BATCH, LongType())])
+        self.names = [f.name for f in schema.fields]
+        # Slices by the first time among the keys; without one there is one slice.
+        times = [f.name for f in schema.fields if f.name in self.keys and f.dataType.typeName().startswith("timestamp")]
+        self.slice = F.date_format(times[0], "yyyy-MM-dd") if times else F.lit("all")
+        self.folded = VersionedTables(spark, f"{path}/_folded")
+
+    def write(self, rows: DataFrame, batch_id: int) -> None:
+        """A replayed batch overwrites its own folder, so restarts do not duplicate rows."""
+        rows.write.mode("overwrite").parquet(f"{self.path}/{_BATCH}={batch_id}")
+
+    def _batches(self, after: int, upto: int | None = None) -> DataFrame:
+        rows = self.spark.read.schema(self.schema).parquet(self.path).filter(F.col(_BATCH) > after)
+        return rows if upto is None else rows.filter(F.col(_BATCH) <= upto)
+
+    def _newest(self, rows: DataFrame) -> DataFrame:
+        values = [n for n in (*self.names, _BATCH) if n not in self.keys]
+        newest = rows.groupBy(*self.keys).agg(F.max_by(F.struct(*values), _BATCH).alias("v"))
+        return newest.select(*self.keys, "v.*").select(*self.names, _BATCH)
+
+    def latest(self) -> DataFrame:
+        """The newest version of each key: the fold and the batches behind it."""
+        now = self.folded.snapshot()
+        upto = now.notes.get("upto", -1)
+        rows = self._batches(upto)
+        if now.parts("rows"):
+            rows = rows.unionByName(self.folded.read(now, "rows", self.schema))
+        return self._newest(rows).drop(_BATCH)
+
+    def fold(self) -> int:
+        """Fold closed batches; returns how many.  One folder at a time may be folding."""
+        now = self.folded.snapshot()
+        upto = now.notes.get("upto", -1)
+        ids = sorted(int(n.removeprefix(f"{_BATCH}=")) for n in self.folded.names_above() if n.startswith(f"{_BATCH}="))
+        closed = [i for i in ids[:-1] if i > upto]
+        if not closed:
+            return 0
+        new = self._batches(upto, closed[-1])
+        # As many rows as there are slices.
+        touched = [r[PART] for r in new.select(self.slice.alias(PART)).distinct().collect()]
+        merged = self._newest(new.unionByName(self.folded.read(now, "rows", self.schema, touched))) if touched else None
+        written = self.folded.write("rows", merged.withColumn(PART, self.slice)) if touched else {}
+        self.folded.commit(now.but("rows", written).noting(upto=closed[-1]))
+        self.folded.vacuum(keep=2)
+        for i in ids:
+            if i <= upto:
+                self.folded.remove_above(f"{_BATCH}={i}")
+        return len(closed)
+
+
+def append_updates(
+    stream: DataFrame, path: str, checkpoint: str, trigger: dict, keys: Sequence[str] = (), fold_every: int | None = None,
+) -> StreamingQuery:
+    """Write update-mode output to a log with one folder per micro-batch, folded every so many batches if ``keys`` are given."""
+    log = UpdateLog(stream.sparkSession, path, keys, stream.schema)
+
     def write(rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{path}/{_BATCH}={batch_id}")
+        log.write(rows, batch_id)
+        if keys and fold_every and batch_id % fold_every == fold_every - 1:
+            log.fold()
 
     return (
         stream.writeStream.outputMode("update").foreachBatch(write)
@@ -41,10 +105,7 @@ def append_updates(stream: DataFrame, path: str, checkpoint: str, trigger: dict)
 
 def latest(spark: SparkSession, path: str, keys: Sequence[str], schema: StructType) -> DataFrame:
     """The newest version of each key in an update log."""
-    log = spark.read.schema(StructType([*schema.fields, StructField(_BATCH, LongType())])).parquet(path)
-    values = [f.name for f in schema.fields if f.name not in keys]
-    newest = log.groupBy(*keys).agg(F.max_by(F.struct(*values), _BATCH).alias("v"))
-    return newest.select(*keys, "v.*")
+    return UpdateLog(spark, path, keys, schema).latest()
 
 
 def best_signal_per_session(signals: DataFrame, watermark: str, slice_length: str = SLICE) -> DataFrame:
