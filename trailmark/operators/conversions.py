@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trailmark.config import AttributionConfig
+from trailmark.config import AttributionConfig, work_table
 from trailmark.functions.time import since
 from trailmark.operators.ordered import with_order
 from trailmark.operators.touchpoints import with_identity
@@ -30,11 +30,13 @@ def conversions(custom_events: DataFrame, users: DataFrame, cfg: AttributionConf
     """Adds the previous conversion's time and a running index per identity.
 
     Both look only at conversions inside the lookback: the first one there has no predecessor.
+    The identified conversions are written once, since ordering reads them twice.
     """
-    return ordered_conversions(with_identity(device_conversions(custom_events, cfg), users))
+    return ordered_conversions(work_table(with_identity(device_conversions(custom_events, cfg), users), "identified-conversions"))
 
 
 def ordered_conversions(found: DataFrame) -> DataFrame:
+    """``found`` (a scan or ``work_table`` output) with each conversion's predecessor and number per user."""
     return with_order(
         found, ["user_id"], "converted_at", ["event_id"], position="conversion_index",
         previous={"previous_conversion_at": "converted_at"},
