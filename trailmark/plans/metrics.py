@@ -9,6 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trailmark.config import work_table
 from trailmark.functions.combine import beside
 from trailmark.functions.time import Period, local_time
 from trailmark.operators.quantiles import exact_percentiles
@@ -299,7 +300,9 @@ def metric_query(
         grouped = [rows.groupBy(*keys).agg(*plain)] if plain else []
         for column in dict.fromkeys(m.percentile[0] for m in mine if m.percentile):
             wanted = {m.name: m.percentile[1] for m in mine if m.percentile and m.percentile[0] == column}
-            grouped.append(exact_percentiles(rows, keys, column, wanted))
+            # Read several times: the joins of the dimensions are done once.
+            narrow = work_table(rows.select(*keys, column), "percentile-rows")
+            grouped.append(exact_percentiles(narrow, keys, column, wanted))
         parts += [g.withColumnsRenamed({f"_by_{x}": x for x in labels}) for g in grouped]
     out = parts[0] if len(parts) == 1 else beside(parts, list(labels))
     out = out.select(*labels, *[m.name for m in chosen])
