@@ -123,37 +123,105 @@ def test_scores_of_odd_rows(odd, empty):
     assert lm.op1_query(empty).count() == 0
 
 
-def test_units_rebuild_the_text_structure():
-    texts = ["a b.\nc", "", "  x ", "\n", "a", "b. c  d."]
+def test_words_have_hashes_of_their_own():
+    texts = ["a b.\nc", "", "  x ", "\n", "a", "abba baab abba", "w" * 9000, "w" * 9001]
     raw, at = lm.text_bytes(pa.array(texts))
-    row, key, words = lm.tokens(raw, at)
-    assert words.tolist() == [3, 0, 1, 0, 1, 3]
-    # leading, words, separators between, and what ends the text
-    assert np.bincount(row).tolist() == [7, 2, 4, 2, 3, 7]
+    row, key = lm.tokens(raw, at)
+    assert row.tolist() == [0, 0, 0, 2, 4, 5, 5, 5, 6, 7]
+    assert key[0] == key[4] and key[5] == key[7] and len(set(key.tolist())) == 8
 
-    def unit(body, kind):
-        b = np.frombuffer(body.encode(), np.uint8)
-        return lm._unit_key(lm.word_hash(b, np.zeros(1, np.int64), np.array([len(b)])), np.array([kind]))[0]
 
-    want = [("", lm.LEADING), ("a", 0), (" ", lm.AFTER), ("b.", 0), ("\n", lm.AFTER_STOP), ("c", 0), ("", lm.AFTER)]
-    assert sorted(key[row == 0].tolist()) == sorted(int(unit(*u)) for u in want)
-    assert sorted(key[row == 2].tolist()) == sorted(int(unit(*u)) for u in [("  ", lm.LEADING), ("x", 0), (" ", lm.AFTER), ("", 0)])
+def random_model(bits=14, seed=1):
+    rng = np.random.default_rng(seed)
+    table = lm.nodes(rng.integers(0, 5, lm.INPUTS << bits))
+    mixer = lm.Mixer.fresh()
+    mixer.weights = rng.uniform(0, 0.5, mixer.weights.shape)
+    return table, mixer
 
 
 def test_probabilities_of_all_bytes_sum_to_one():
     """One byte after a given beginning: the model is a distribution."""
-    common = np.ones(lm.INPUTS << lm.FILTER_BITS, bool)
-    tables = np.zeros(((lm.INPUTS << lm.TABLE_BITS) + 16, 2), np.uint16)
-    rng = np.random.default_rng(1)
-    tables[:-16] = rng.integers(0, 5, (lm.INPUTS << lm.TABLE_BITS, 2))
-    scorer = lm.Scorer(common, tables, lm.Mixer.fresh())
-    bits = []
-    for b in range(256):
-        words = lm.lay_out(pa.array(["x"]), np.zeros(1, np.int64), np.zeros(1, np.int64))
-        words.byte[0] = b
-        spent = lm.Layout(words.byte[:1], words.place[:1], words.unit[:1], words.starts, words.contexts[:, :1])
-        bits.append(scorer.unit_bits(spent)[0])
-    assert abs(np.exp2(-np.array(bits)).sum() - 1) < 1e-3
+    scorer = lm.Scorer(random_model()[0], 14, lm.Mixer.fresh())
+    found = lm.contexts(np.frombuffer(b"the x", np.uint8))[:, -1:]
+    bits = [scorer.spent(found, np.array([b], np.uint8))[0] for b in range(256)]
+    assert abs(np.exp2(-np.array(bits, float)).sum() - 1) < 1e-3
+
+
+def plain_bits(text, table, bits, mixer):
+    """Bits of a text, one bit at a time, from the definition of the contexts."""
+    wrap, k1, k2 = (1 << 64) - 1, int(lm._K), int(lm._K2)
+    scrambled = lambda x: int(lm.scramble(np.array([x & wrap], np.uint64))[0])
+    data = [lm.START] * lm.LEAD + list(text.encode()) + [lm.END]
+    spaces = {9, 10, 11, 12, 13, 32, lm.START}
+    word_hash = lambda w: sum(int(lm._LETTER[b]) * (int(lm._PLACE[i & 4095]) + (i >> 12) * k1) for i, b in enumerate(w)) & wrap
+    total = 0.0
+    for i in range(lm.LEAD, len(data)):
+        start = i
+        while data[start - 1] not in spaces:
+            start -= 1
+        end = start - 1
+        while data[end] in spaces and data[end] != lm.START and data[end - 1] in spaces:
+            end -= 1
+        begin = end
+        while data[end] != lm.START and data[begin - 1] not in spaces:
+            begin -= 1
+        so_far, prior = word_hash(data[start:i]), word_hash(data[begin:end])
+        values = [sum(data[i - back] << 8 * (back - 1) for back in range(1, order + 1)) for order in lm.ORDERS]
+        values += [so_far, so_far + scrambled(prior + k1) * k2]
+        hashes = [(v + (j + 1) * k1) * k1 & wrap for j, v in enumerate(values)]
+        hashes = [h ^ h >> 29 for h in hashes]
+        for nibble in (0, 1):
+            salt = 1 if nibble == 0 else ((data[i] >> 4) + 17) * k2 & wrap
+            line = [((((h ^ salt) * k2 & wrap) >> (64 - (bits - 4))) << 4) + (j << bits) for j, h in enumerate(hashes)]
+            known = [int(table[x]) for x in line]
+            gate = ((known[lm.WORD_PAIR] * lm.CONFIDENCES + known[lm.WORD_SO_FAR]) * 3 + min(known[len(lm.ORDERS) - 1], 2)) * 2 + nibble
+            node = 1
+            for shift in (3, 2, 1, 0):
+                bit = (data[i] >> (4 if nibble == 0 else 0) & 15) >> shift & 1
+                odds = sum(int(table[x + node]) * lm.UNIT * w for x, w in zip(line, mixer.weights[gate], strict=True))
+                p = mixer.refined(np.array([gate]), np.array([odds]))[0]
+                total -= math.log2(p if bit else 1 - p)
+                node = node << 1 | bit
+    return total
+
+
+def test_bits_equal_the_definition_bit_by_bit():
+    table, mixer = random_model()
+    texts = ["the keeper  of the\n\nlight, the", "", " é x", "\t漢字 aa"]
+    got = lm.Scorer(table, 14, mixer).text_bits(pa.array(texts))
+    want = [plain_bits(t, table, 14, mixer) for t in texts]
+    assert np.allclose(got, want, rtol=2e-3, atol=0.02)
+
+
+def test_long_texts_in_pieces(monkeypatch):
+    table, mixer = random_model()
+    text = pa.array([" ".join(f"word{i % 97}" for i in range(900))])
+    scorer = lm.Scorer(table, 14, mixer)
+    whole = scorer.text_bits(text)
+    monkeypatch.setattr(lm, "PIECE", 500)
+    assert np.allclose(scorer.text_bits(text), whole)
+
+
+def test_order_of_words_and_more_text_count(frame):
+    """Texts in which every word fixes the next: shuffled words score worse, and more training text scores better."""
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(60)]
+
+    def chain(at, n=60):
+        return [words[(at + i) % len(words)] for i in range(n)]
+
+    rows = [doc(i, " ".join(chain(rng.randrange(60)))) for i in range(200)]
+    plain = chain(7)
+    mixed = plain[:]
+    rng.shuffle(mixed)
+    tests = [doc(1000, " ".join(plain)), doc(1001, " ".join(mixed))]
+
+    def score(n):
+        got = lm.score_documents(frame(rows[:n] + tests), F.col("doc_id") < 1000)
+        return {r["doc"]: r["score"] for r in got.collect()}
+
+    many, few = score(200), score(20)
+    assert many[1000] > 0.5 * many[1001] and many[1000] > few[1000]
 
 
 def test_a_rare_label_does_not_let_junk_through(corpus, frame):

@@ -1,30 +1,25 @@
 """Language-model scoring by online logistic context mixing over hashed contexts.
 
-A text is coded as separator, word, separator, ..., word, separator.  An empty separator after a word ends the text, and
-so does an empty word.  Every word and separator is coded byte by byte and bit by bit, ended by a byte that UTF-8 never uses.  For each bit, predictors for the last 1, 2, 3, 4 and 6 bytes and for the whole
-word so far look up counts in hashed tables; their log odds are combined with weights chosen by a gate (how well known
-the word so far and the last three bytes are), trained online by gradient steps after each prediction; an adaptive
-probability map per gate refines the mixed prediction.  Bits add up to bits per byte and to the log10 probability of the text.
-
-Contexts are kept apart by class of text (for example its language, known for training texts only).  A text's class is not
-given when it is scored: its probability is the mixture over classes, which adapts along the text as its words tell
-the class.  Within a class each word has the chance ``OTHER`` of coming from any class, so texts may change class, and
-the share ``WHOLE`` of being drawn as a whole from the words of the class.
-
-Contexts never reach beyond a word, so a word's probability depends on the word and the class alone.  Words are therefore
-counted once over the whole corpus, the model is trained on (word, class, count) and each distinct word is scored once, however
-often it occurs; a word's own occurrence is taken out of the counts while the weights are trained on it.
-
-What grows with the corpus stays in Spark: the word counts, and the word scores, which are joined back to the documents.
-The commonest words (at most ``HEAD`` of them, each at least 1/HEAD of all words) are broadcast, so no frequent
-word is ever a join key; the others are joined on a 64-bit hash, and are rare by construction.  The hashed tables have
-a fixed size of 6 * 2**TABLE_BITS slots; a context enters them if all training words together show it at least
-1/CONTEXTS of the time, so they do not overflow however many words there are.  Counts cover all training words; only
-the few weights of the mixer are fitted on a sample of about ``SAMPLE`` words, drawn in proportion to their counts.
-
-Defined cases: a null text counts as empty (an empty separator and the end); null ids count as held in (crc32 of an empty
-text); texts without a class, or of a class beyond the ``CLASSES`` commonest, form a class of their own; repeated rows each get
-the same scores; without training texts every count is 0 and the model is uniform; an empty table gives no rows.
+A text is coded as its UTF-8 bytes and an end byte, bit by bit.  For each bit, predictors for the last 1, 2, 3 and 5 bytes, for
+the word so far, and for the word so far behind the whole word before it look up what followed the same context in
+hashed tables.  Their log odds are combined with weights chosen by a gate (how well known the two word contexts and the last five
+bytes are, and which half of the byte it is); an adaptive probability map per gate refines the mixed prediction.  Bits
+add up to bits per byte and to the log10 probability of the text.  Contexts run across separators, so the order of words counts.
+
+Training is prequential.  One in ``TUNE`` distinct training texts is kept apart: the tables are counted over all others, the
+weights and maps are trained online on the texts kept apart, predicting each bit before learning from it, and only
+then are these texts counted as well.  Every task trains on its own texts; states are merged by sums in Spark.
+
+Sizes.  Everything is counted over all training texts.  The tables have INPUTS * 2**bits slots, ``bits`` growing with the
+bytes of the corpus up to ``TABLE_BITS``, where tables, a byte a slot when scoring, are broadcast; beyond that contexts share slots, which the
+gates learn to trust less.  A counting task reads some ``TASK_BYTES`` of text, so that its table is no larger than its
+text, and tables are added up in groups of at most ``FAN``.  Word counts for the base score grow with the corpus
+and stay in Spark: the commonest words (at most ``HEAD`` of them, each at least 1/HEAD of all words) are broadcast, so
+no frequent word is ever a join key; the others are joined on a 64-bit hash, and are rare by construction.
+
+Defined cases: a null text counts as empty (the end byte alone); null ids count as held in (crc32 of an empty text); a text of
+over ``PIECE`` bytes is coded in pieces which look back ``LOOK`` bytes; repeated rows each get the same scores; without
+training texts every count is 0 and the model is uniform; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -35,129 +30,143 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trailmark.config import work_table
-from trailmark.llm.common import SPACE, held_out, slices, text_bytes
+from trailmark.llm.common import held_out, slices, text_bytes
 from trailmark.llm.imatch import scramble
 
-ORDERS = (1, 2, 3, 4, 6)
-INPUTS = len(ORDERS) + 1  # and the whole word so far
-TABLE_BITS = 21
-FILTER_BITS = 20
-CONTEXTS = 1 << 17
-CLASSES = 7
-OTHER = 0.02
-WHOLE = 0.5
-SAMPLE = 200_000
-SAMPLE_TASKS = 4
-BLOCK = 4096  # slots sent together
-HEAD = 1 << 18
-UNITS_PER_TASK = 1_000_000
-CHUNK = 1 << 17  # bytes of words handled at once
-STEP = 1 << 12  # bytes of words between two steps of online learning
-END_BYTE = 255
-# What a unit is: a word (the empty one is the end), or a separator after a full stop, after anything else, or before all words.
-WORD, AFTER, AFTER_STOP, LEADING = range(4)
-STOP = 46
+ORDERS = (1, 2, 3, 5)
+WORD_SO_FAR, WORD_PAIR = len(ORDERS), len(ORDERS) + 1
+INPUTS = len(ORDERS) + 2
+TABLE_BITS = 22
+LEAST_BITS = 14
+TUNE = 16
+TASK_BYTES = 1 << 27
+FAN = 256
+HEAD = 1 << 20
+BLOCK = 1 << 14  # slots sent together
+CHUNK = 1 << 15  # bytes handled at once
+STEP = 1 << 12  # bytes between two steps of online learning
+PIECE, LOOK = 1 << 18, 256
+WORDS_HELD = 1 << 22  # words counted before a task passes them on
+
+# UTF-8 never uses these bytes.
+START, END = 254, 255
+LEAD = max(ORDERS) + 1
 
 PRIOR = 0.05
-GATES = 32
+CONFIDENCES = 5
+GATES = CONFIDENCES * CONFIDENCES * 3 * 2
 BUCKETS = 33
 REACH = 8.0
+UNIT = REACH / 127  # log odds of one step of a table's byte
 RATE = 0.05
 FLOOR = 1e-6
+LEVELS = 1024
 
 _K = np.uint64(0x9E3779B97F4A7C15)
-_LINE = np.uint64(TABLE_BITS - 4)
-EMPTY_LINE = INPUTS << TABLE_BITS
-
-
-def word_hash(raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """64-bit hash of each stretch of ``raw``; the empty one has the hash of nothing."""
-    out = np.zeros(len(starts), np.uint64)
-    some = np.flatnonzero(lengths)
-    if len(some):
-        size = lengths[some]
-        first = np.concatenate(([0], np.cumsum(size)[:-1]))
-        place = np.arange(int(size.sum())) - np.repeat(first, size)
-        chars = raw[np.repeat(starts[some], size) + place].astype(np.uint64) + np.uint64(1)
-        out[some] = np.add.reduceat(chars * (scramble(place.astype(np.uint64) + _K) | np.uint64(1)), first)
-    return scramble(out ^ (lengths.astype(np.uint64) * _K))
-
-
-@dataclass(frozen=True)
-class Layout:
-    """Bytes of all units with their ends, and per byte the place in its unit and the unit's number."""
-
-    byte: np.ndarray
-    place: np.ndarray
-    unit: np.ndarray
-    starts: np.ndarray
-    contexts: np.ndarray
-
-
-def lay_out(bodies: pa.Array, kind: np.ndarray, klass: np.ndarray) -> Layout:
-    raw, at = text_bytes(bodies)
-    n = len(at) - 1
-    lengths = np.diff(at) + 1
-    ends = np.cumsum(lengths)
-    starts = ends - lengths
-    byte = np.full(int(ends[-1]) if n else 0, END_BYTE, np.uint8)
-    unit = np.repeat(np.arange(n), lengths)
-    place = np.arange(len(byte)) - starts[unit]
-    byte[np.arange(len(raw)) + np.repeat(np.arange(n), lengths - 1)] = raw
-    # 256 and more mark the beginning of a unit by its kind, 260 what lies before it.
-    mark = 256 + kind.astype(np.int64)[unit]
-    own = scramble(klass.astype(np.uint64) + _K)[unit]
-    contexts = np.empty((INPUTS, len(byte)), np.uint64)
-    h, saved = np.zeros(len(byte), np.uint64), 0
-    spot = np.arange(len(byte))
+_K2 = np.uint64(0xD1B54A32D192ED03)
+_LETTER = scramble(np.arange(1, 257, dtype=np.uint64) * _K)
+_PLACE = scramble(np.arange(1, 4097, dtype=np.uint64) * _K2) | np.uint64(1)
+_SPACE = np.isin(np.arange(256), [*range(9, 14), 32, START])
+
+
+def streams(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(byte, row, own): texts one after the other, each led by start bytes and ended by the end byte; ``own`` marks what is coded."""
+    raw, at = text_bytes(texts)
+    n, lengths = len(at) - 1, np.diff(at)
+    ends = np.cumsum(lengths + LEAD + 1)
+    starts = ends - lengths - LEAD - 1
+    byte = np.full(int(ends[-1]) if n else 0, END, np.uint8)
+    own = np.ones(len(byte), bool)
+    lead = (starts[:, None] + np.arange(LEAD)).ravel()
+    byte[lead], own[lead] = START, False
+    byte[np.arange(len(raw)) + np.repeat(starts + LEAD - at[:-1], lengths)] = raw
+    row = np.repeat(np.arange(n), lengths + LEAD + 1)
+    if n != 1 or len(byte) <= PIECE + LEAD:
+        yield byte, row, own
+        return
+    for cut in range(LEAD, len(byte), PIECE):
+        low = max(0, cut - LOOK)
+        part = own[low:cut + PIECE].copy()
+        part[:cut - low] = False
+        yield byte[low:cut + PIECE], row[low:cut + PIECE], part
+
+
+def _letters(byte: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """What a byte at a place of a word adds to the word's hash."""
+    return _LETTER[byte] * (_PLACE[place & 4095] + (place >> 12).astype(np.uint64) * _K)
+
+
+def contexts(byte: np.ndarray) -> np.ndarray:
+    """Hash of each input's context before every byte (INPUTS, bytes)."""
+    n = len(byte)
+    out = np.empty((INPUTS, n), np.uint64)
+    wide, last = byte.astype(np.uint64), np.zeros(n, np.uint64)
     for back in range(1, max(ORDERS) + 1):
-        prev = np.where(place >= back, byte[np.maximum(spot - back, 0)], np.where(place == back - 1, mark, 260))
-        h = scramble(h + prev.astype(np.uint64) * _K + np.uint64(back))
+        last[back:] |= wide[:n - back] << np.uint64(8 * (back - 1))
         if back in ORDERS:
-            contexts[saved] = scramble(h ^ own)
-            saved += 1
-    value = scramble((byte.astype(np.uint64) + np.uint64(1)) * _K + place.astype(np.uint64))
-    before = np.concatenate((np.zeros(1, np.uint64), np.cumsum(value, dtype=np.uint64)))
-    contexts[saved] = scramble(scramble(before[:-1] - before[starts][unit] + mark.astype(np.uint64)) ^ own)
-    return Layout(byte, place, unit, starts, contexts)
-
-
-def filter_slots(words: Layout) -> np.ndarray:
-    """Where each context is counted as a whole (INPUTS, bytes)."""
-    return (words.contexts >> np.uint64(64 - FILTER_BITS)).astype(np.int64) + (np.arange(INPUTS, dtype=np.int64) << FILTER_BITS)[:, None]
-
-
-def each_bit(words: Layout, common: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For the 8 bits of all bytes: table slots (INPUTS, bytes), and the bits.
-
-    The slots of one context and nibble lie in one line of 16.  Contexts that are not ``common`` share the last line, which stays empty.
+            out[ORDERS.index(back)] = last
+    space = _SPACE[byte]
+    opens = np.ones(n, bool)
+    opens[1:] = space[:-1]
+    spot = np.arange(n)
+    start = np.maximum.accumulate(np.where(opens, spot, 0))
+    before = np.zeros(n + 1, np.uint64)
+    np.cumsum(_letters(byte, spot - start), dtype=np.uint64, out=before[1:])
+    word = before[:-1] - before[start]
+    # Where a word has ended; a text's start bytes end nothing and hide what lies before them.
+    leads = byte == START
+    ended = np.maximum.accumulate(np.where((space & ~opens) | leads, spot, -1))
+    word = np.where(leads, np.uint64(0), word)
+    at = np.where(start > 0, ended[np.maximum(start - 1, 0)], -1)
+    out[WORD_SO_FAR] = word
+    out[WORD_PAIR] = word + scramble(np.where(at >= 0, word[np.maximum(at, 0)], np.uint64(0)) + _K) * _K2
+    out += np.arange(1, INPUTS + 1, dtype=np.uint64)[:, None] * _K
+    out *= _K
+    out ^= out >> np.uint64(29)
+    return out
+
+
+def lines(found: np.ndarray, byte: np.ndarray, nibble: int, bits: int) -> np.ndarray:
+    """First of the 16 slots of each context and half byte (INPUTS, bytes)."""
+    salt = np.uint64(1) if nibble == 0 else ((byte >> 4).astype(np.uint64) + np.uint64(17)) * _K2
+    line = ((found ^ salt) * _K2 >> np.uint64(64 - (bits - 4))).astype(np.int64) << 4
+    return line + (np.arange(INPUTS, dtype=np.int64) << bits)[:, None]
+
+
+def nodes(leaves: np.ndarray) -> np.ndarray:
+    """A table's bytes from how often each half byte followed.
+
+    Of a line's 16 slots the first holds how well known the context is, the others the log odds at the 15 places of the path.
     """
-    table = (np.arange(INPUTS, dtype=np.int64) << TABLE_BITS)[:, None]
-    b = words.byte.astype(np.int64)
-    for nibble in (0, 1):
-        salt = np.uint64(1) if nibble == 0 else ((b >> 4) + 17).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)
-        line = table + ((scramble(words.contexts + salt) >> (np.uint64(64) - _LINE)).astype(np.int64) << 4)
-        line = np.where(common, line, EMPTY_LINE)
-        value = b >> 4 if nibble == 0 else b & 15
-        node = np.ones(len(b), np.int64)
-        for shift in (3, 2, 1, 0):
-            bit = value >> shift & 1
-            yield line + node, bit
-            node = node << 1 | bit
+    level = leaves.reshape(-1, 16).astype(float)
+    out = np.empty((len(level), 16), np.int8)
+    for width in (8, 4, 2, 1):
+        zero, one = level[:, 0::2], level[:, 1::2]
+        odds = np.log((one + PRIOR) / (zero + PRIOR)) / UNIT
+        out[:, width:2 * width] = np.rint(np.clip(odds, -127, 127))
+        level = zero + one
+    out[:, 0] = np.searchsorted([1, 2, 4, 16], level[:, 0], "right")
+    return out.ravel()
 
 
-def _buckets() -> tuple[np.ndarray, np.ndarray]:
-    """Count to confidence: eight levels for the word so far, four for three bytes."""
-    n = np.arange(1 << 16)
-    long = np.searchsorted([0, 1, 2, 4, 8, 32, 256], n, "left").astype(np.int64)
-    return long, np.searchsorted([0, 2, 16], n, "left").astype(np.int64)
+def gates(known: list[np.ndarray], nibble: int) -> np.ndarray:
+    """Gate from how well known the inputs' contexts are."""
+    return ((known[WORD_PAIR].astype(np.int64) * CONFIDENCES + known[WORD_SO_FAR]) * 3 + np.minimum(known[len(ORDERS) - 1], 2)) * 2 + nibble
 
 
-_LONG, _MID = _buckets()
+def half_bytes(byte: np.ndarray, nibble: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Place on the path and bit, for the four bits of a half byte."""
+    value = (byte >> 4 if nibble == 0 else byte & 15).astype(np.int64)
+    node = np.ones(len(byte), np.int64)
+    for shift in (3, 2, 1, 0):
+        bit = value >> shift & 1
+        yield node, bit
+        node = node << 1 | bit
 
 
 @dataclass
@@ -165,27 +174,13 @@ class Mixer:
     """Weights per gate, and the adaptive probability map as counts per gate and bucket."""
 
     weights: np.ndarray
-    power: np.ndarray
     ones: np.ndarray
     seen: np.ndarray
 
     @staticmethod
     def fresh() -> Mixer:
         centre = 1 / (1 + np.exp(-np.linspace(-REACH, REACH, BUCKETS)))
-        return Mixer(np.full((GATES, INPUTS), 0.35), np.full((GATES, INPUTS), 1e-3), np.tile(centre * 20, (GATES, 1)), np.full((GATES, BUCKETS), 20.0))
-
-    def odds(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Inputs, gate and mixed log odds from counts (INPUTS, events, 2)."""
-        inputs = np.log((counts[:, :, 1] + PRIOR) / (counts[:, :, 0] + PRIOR))
-        known = np.minimum(counts.sum(axis=2), 65535).astype(np.int64)
-        gate = _LONG[known[-1]] * 4 + _MID[known[2]]
-        return inputs, gate, np.einsum("ie,ei->e", inputs, self.weights[gate])
-
-    def costs(self, levels: int) -> np.ndarray:
-        """Bits of a zero and of a one by (gate, level of the odds, bit)."""
-        odds = np.tile(np.linspace(-REACH, REACH, levels), GATES)
-        p = self.refined(np.repeat(np.arange(GATES), levels), odds)
-        return -np.log2(np.stack([1 - p, p], axis=1)).reshape(-1).astype(np.float32)
+        return Mixer(np.full((GATES, INPUTS), 0.3), np.tile(centre * 20, (GATES, 1)), np.full((GATES, BUCKETS), 20.0))
 
     def refined(self, gate: np.ndarray, odds: np.ndarray) -> np.ndarray:
         """Probability of a one: the mixed one and the map's, interpolated between buckets, averaged."""
@@ -197,334 +192,245 @@ class Mixer:
         mixed = 1 / (1 + np.exp(-np.clip(odds, -20, 20)))
         return np.clip((mixed + mapped) / 2, FLOOR, 1 - FLOOR)
 
-    def learn(self, inputs: np.ndarray, gate: np.ndarray, odds: np.ndarray, bit: np.ndarray, weight: np.ndarray) -> None:
-        """One step after a prediction: weights by gradient, the map by counting."""
-        error = (bit - 1 / (1 + np.exp(-np.clip(odds, -20, 20)))) * weight
-        mass = np.maximum(np.bincount(gate, weight, GATES), 1e-9)
-        step = np.stack([np.bincount(gate, error * inputs[i], GATES) for i in range(INPUTS)], axis=1) / mass[:, None]
-        self.power += step**2
-        self.weights += RATE * step / np.sqrt(self.power)
+    def costs(self) -> np.ndarray:
+        """Bits of a zero and of a one by (gate, level of the odds, bit)."""
+        odds = np.tile(np.linspace(-REACH, REACH, LEVELS), GATES)
+        p = self.refined(np.repeat(np.arange(GATES), LEVELS), odds)
+        return -np.log2(np.stack([1 - p, p], axis=1)).reshape(-1).astype(np.float32)
+
+    def learn(self, power: np.ndarray, inputs: np.ndarray, gate: np.ndarray, bit: np.ndarray) -> None:
+        """Predict, then one step: weights by gradient, the map by counting."""
+        odds = np.einsum("ie,ei->e", inputs, self.weights[gate])
+        error = bit - 1 / (1 + np.exp(-np.clip(odds, -20, 20)))
+        mass = np.maximum(np.bincount(gate, minlength=GATES), 1)
+        step = np.stack([np.bincount(gate, error * x, GATES) for x in inputs], axis=1) / mass[:, None]
+        power += step**2
+        self.weights += RATE * step / np.sqrt(power)
         at = np.rint((np.clip(odds, -REACH, REACH) + REACH) * ((BUCKETS - 1) / (2 * REACH))).astype(np.int64)
         cell = gate * BUCKETS + at
-        self.seen += np.bincount(cell, weight, GATES * BUCKETS).reshape(GATES, BUCKETS)
-        self.ones += np.bincount(cell, weight * bit, GATES * BUCKETS).reshape(GATES, BUCKETS)
+        self.seen += np.bincount(cell, minlength=GATES * BUCKETS).reshape(GATES, BUCKETS)
+        self.ones += np.bincount(cell, bit, GATES * BUCKETS).reshape(GATES, BUCKETS)
 
 
-def _units(batches: Iterator[pa.RecordBatch], limit: int = CHUNK) -> Iterator[tuple[pa.RecordBatch, Layout]]:
+def _coded(batches: Iterator[pa.RecordBatch], limit: int = CHUNK) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(contexts, byte) of what is coded."""
     for whole in batches:
-        for batch in slices(whole, "body", limit):
-            for at in range(0, batch.num_rows, limit // 8):
-                part = batch.slice(at, limit // 8)
-                yield part, lay_out(part.column("body"), part.column("kind").to_numpy(), part.column("klass").to_numpy())
-
-
-def _blocks(slots: np.ndarray) -> Iterator[pa.RecordBatch]:
-    blocks = slots.reshape(-1, BLOCK)
-    used = np.flatnonzero(blocks.any(axis=1))
-    for i in range(0, len(used), 256):
-        some = used[i:i + 256]
-        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int64)), pa.array([blocks[k].tobytes() for k in some], pa.binary())], names=["block", "counts"])
-
-
-def _count_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How often the units of one task show each context."""
-    slots = np.zeros(INPUTS << FILTER_BITS, np.uint32)
-    for part, words in _units(batches):
-        c = part.column("c").to_numpy()[words.unit].astype(np.uint32)
-        for row in filter_slots(words):
-            np.add.at(slots, row, c)
-    yield from _blocks(slots)
+        for batch in slices(whole, "text", limit):
+            for byte, _, own in streams(batch.column("text")):
+                spot = np.flatnonzero(own)
+                yield contexts(byte).take(spot, axis=1), byte.take(spot)
 
 
 def _merge(group: pd.DataFrame) -> pd.DataFrame:
     total = np.zeros(BLOCK, np.uint64)
     for part in group["counts"]:
-        total += np.frombuffer(part, np.uint32)
-    return pd.DataFrame({"block": [int(group["block"].iloc[0])], "counts": [np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes()]})
+        total += np.frombuffer(part, np.uint64)
+    return pd.DataFrame({"tune": [group["tune"].iloc[0]], "block": [group["block"].iloc[0]], "part": [group["part"].iloc[0] // FAN], "counts": [total.tobytes()]})
 
 
-def common_contexts(trained: DataFrame, least: float) -> np.ndarray:
-    """Which filter slots are shown at least ``least`` times; a slot holds the sum of its contexts."""
-    parts = trained.select("body", "kind", "klass", "c").mapInArrow(_count_contexts, "block bigint, counts binary")
-    found = np.zeros((INPUTS << FILTER_BITS) // BLOCK * BLOCK, bool).reshape(-1, BLOCK)
-    for r in parts.groupBy("block").applyInPandas(_merge, "block bigint, counts binary").toLocalIterator():
-        found[r["block"]] = np.frombuffer(r["counts"], np.uint32) >= least
-    return found.ravel()
+def _finish(group: pd.DataFrame) -> pd.DataFrame:
+    """A block of the table before and after the texts kept apart are counted."""
+    total = np.zeros((2, BLOCK), np.uint64)
+    for tune, part in zip(group["tune"], group["counts"], strict=True):
+        total[int(tune)] += np.frombuffer(part, np.uint64)
+    return pd.DataFrame({"block": [group["block"].iloc[0]], "early": [nodes(total[0]).tobytes()], "full": [nodes(total.sum(axis=0)).tobytes()]})
 
 
-def _merge_pairs(group: pd.DataFrame) -> pd.DataFrame:
-    total = np.zeros(BLOCK, np.uint64)
-    for part in group["counts"]:
-        total += np.frombuffer(part, np.uint32)
-    pair = total.reshape(-1, 2).astype(float)
-    # Sixteen bits per count; larger pairs keep their ratio.
-    pair /= np.maximum(pair.max(axis=1, keepdims=True) / 65535, 1)
-    return pd.DataFrame({"block": [int(group["block"].iloc[0])], "counts": [np.rint(pair).astype(np.uint16).tobytes()]})
+def train_tables(texts: DataFrame, bits: int, tasks: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tables over the texts not kept apart, and over all; ``texts`` has (text, tune)."""
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slots = [None, None]
+        for whole in batches:
+            tune = whole.column("tune").to_numpy(zero_copy_only=False)
+            for kept in (0, 1):
+                some = whole.filter(pa.array(tune == bool(kept)))
+                for found, byte in _coded([some]):
+                    if slots[kept] is None:
+                        slots[kept] = np.zeros(INPUTS << bits, np.uint32)
+                    for nibble in (0, 1):
+                        value = (byte >> 4 if nibble == 0 else byte & 15).astype(np.int64)
+                        for line in lines(found, byte, nibble, bits):
+                            np.add.at(slots[kept], line + value, np.uint32(1))
+        part = TaskContext.get().partitionId()
+        for kept in (0, 1):
+            if slots[kept] is None:
+                continue
+            blocks = slots[kept].reshape(-1, BLOCK)
+            for k in np.flatnonzero(blocks.any(axis=1)):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([bool(kept)]), pa.array([int(k)], pa.int64()), pa.array([part], pa.int64()), pa.array([blocks[k].astype(np.uint64).tobytes()], pa.binary())],
+                    names=["tune", "block", "part", "counts"],
+                )
 
-def train_tables(trained: DataFrame, common) -> np.ndarray:
-    """(slots, 2) counts of zeros and ones over all training words.  ``trained`` has (body, kind, klass, c)."""
-
-    def count_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slots = np.zeros((INPUTS << TABLE_BITS) * 2, np.uint32)
-        for part, words in _units(batches):
-            c = part.column("c").to_numpy()[words.unit].astype(np.uint32)
-            known = common.value[filter_slots(words)]
-            for slot, bit in each_bit(words, known):
-                for row, own in zip(slot, known, strict=True):
-                    np.add.at(slots, (row * 2 + bit)[own], c[own])
-        yield from _blocks(slots)
-
-    parts = trained.select("body", "kind", "klass", "c").mapInArrow(count_bits, "block bigint, counts binary")
-    table = np.zeros(((INPUTS << TABLE_BITS) * 2 // BLOCK, BLOCK), np.uint16)
-    for r in parts.groupBy("block").applyInPandas(_merge_pairs, "block bigint, counts binary").toLocalIterator():
-        table[r["block"]] = np.frombuffer(r["counts"], np.uint16)
-    return np.concatenate([table.reshape(-1, 2), np.zeros((16, 2), np.uint16)])
+    schema = "tune boolean, block bigint, part bigint, counts binary"
+    counted = texts.coalesce(tasks).mapInArrow(count, schema)
+    left = tasks
+    while left > FAN:
+        counted = counted.groupBy("tune", "block", (F.col("part") / FAN).cast("bigint").alias("of")).applyInPandas(lambda _, g: _merge(g), schema)
+        left = -(-left // FAN)
+    early, full = (np.zeros((INPUTS << bits) // BLOCK * BLOCK, np.int8).reshape(-1, BLOCK) for _ in range(2))
+    for r in counted.groupBy("block").applyInPandas(_finish, "block bigint, early binary, full binary").toLocalIterator():
+        early[r["block"]] = np.frombuffer(r["early"], np.int8)
+        full[r["block"]] = np.frombuffer(r["full"], np.int8)
+    return early.ravel(), full.ravel()
 
 
-def train_mixer(sample: DataFrame, common, tables) -> Mixer:
-    """Every task trains online on its part of the sample (body, kind, klass, weight), predicting before learning.
+def train_mixer(texts: DataFrame, table, bits: int, tasks: int) -> Mixer:
+    """Every task trains online on its own texts, predicting before learning.
 
     The tasks' weights are averaged by what they saw, their probability maps added up.
     """
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixer, mass = Mixer.fresh(), np.zeros(GATES)
-        for part, words in _units(batches, STEP):
-            weight = part.column("weight").to_numpy()[words.unit]
-            for slot, bit in each_bit(words, common.value[filter_slots(words)]):
-                counts = tables.value[slot].astype(np.float32)
-                # Without the occurrence that is being predicted.
-                spot = np.arange(len(bit))
-                for i in range(INPUTS):
-                    counts[i, spot, bit] = np.maximum(counts[i, spot, bit] - 1, 0)
-                inputs, gate, odds = mixer.odds(counts)
-                mixer.learn(inputs, gate, odds, bit, weight)
-                mass += np.bincount(gate, weight, GATES)
-        state = np.concatenate([mass[:, None], mixer.weights, mixer.ones, mixer.seen], axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array([state.tobytes()], pa.binary())], names=["state"])
+        mixer, fresh, mass, power = Mixer.fresh(), Mixer.fresh(), np.zeros((GATES, 1)), np.full((GATES, INPUTS), 1e-3)
+        for found, byte in _coded(batches, STEP):
+            for nibble in (0, 1):
+                line = lines(found, byte, nibble, bits)
+                gate = gates([table.value[x] for x in line], nibble)
+                mass[:, 0] += 4 * np.bincount(gate, minlength=GATES)
+                for node, bit in half_bytes(byte, nibble):
+                    mixer.learn(power, table.value[line + node] * UNIT, gate, bit)
+        state = np.concatenate([mass, mixer.weights * mass, mixer.ones - fresh.ones, mixer.seen - fresh.seen], axis=1).ravel()
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(state))), pa.array(state)], names=["at", "value"])
 
     mixer = Mixer.fresh()
-    total, weights = np.full(GATES, 1e-9), mixer.weights * 1e-9
-    base_ones, base_seen = mixer.ones.copy(), mixer.seen.copy()
-    for r in sample.mapInArrow(learn, "state binary").toLocalIterator():
-        state = np.frombuffer(r["state"], float).reshape(GATES, -1)
-        mass, own, ones, seen = np.split(state, [1, 1 + INPUTS, 1 + INPUTS + BUCKETS], axis=1)
-        total += mass[:, 0]
-        weights += mass * own
-        mixer.ones += ones - base_ones
-        mixer.seen += seen - base_seen
-    mixer.weights = weights / total[:, None]
+    width = 1 + INPUTS + 2 * BUCKETS
+    state = np.zeros(GATES * width)
+    for r in texts.coalesce(tasks).mapInArrow(learn, "at bigint, value double").groupBy("at").agg(F.sum("value").alias("value")).collect():
+        state[r["at"]] = r["value"]
+    mass, weights, ones, seen = np.split(state.reshape(GATES, width), [1, 1 + INPUTS, 1 + INPUTS + BUCKETS], axis=1)
+    mixer.weights = np.round(np.where(mass > 0, weights / np.maximum(mass, 1), mixer.weights), 6)
+    mixer.ones += ones
+    mixer.seen += seen
     return mixer
 
 
-LEVELS = 4096
-
-
 class Scorer:
-    """The trained model laid out for scoring: log odds and confidences per slot, bits per gate and mixed odds."""
-
-    def __init__(self, common: np.ndarray, tables: np.ndarray, mixer: Mixer) -> None:
-        log = np.log(np.arange(1 << 16) + PRIOR).astype(np.float32)
-        self.common = common
-        self.odds = log[tables[:, 1]] - log[tables[:, 0]]
-        self.long, self.mid = np.zeros(len(tables), np.uint8), np.zeros(len(tables), np.uint8)
-        for first, confidence, level in (((INPUTS - 1) << TABLE_BITS, self.long, _LONG * 4), (2 << TABLE_BITS, self.mid, _MID)):
-            own = slice(first, first + (1 << TABLE_BITS))
-            confidence[own] = level[np.minimum(tables[own].astype(np.int64).sum(axis=1), 65535)]
-        self.weights = np.ascontiguousarray(mixer.weights.T.astype(np.float32))
-        self.bits = mixer.costs(LEVELS)
-
-    def unit_bits(self, words: Layout) -> np.ndarray:
-        """Bits of every unit."""
-        if not len(words.starts):
-            return np.zeros(0)
-        spent = np.zeros(len(words.byte), np.float32)
-        for slot, bit in each_bit(words, self.common[filter_slots(words)]):
-            gate = (self.long[slot[-1]] + self.mid[slot[2]]).astype(np.int64)
-            odds = self.odds[slot[0]] * self.weights[0][gate]
-            for i in range(1, INPUTS):
-                odds += self.odds[slot[i]] * self.weights[i][gate]
-            level = np.rint((np.clip(odds, -REACH, REACH) + np.float32(REACH)) * np.float32((LEVELS - 1) / (2 * REACH))).astype(np.int64)
-            spent += self.bits[(gate * LEVELS + level) * 2 + bit]
-        return np.add.reduceat(spent.astype(float), words.starts)
-
-
-def score_units(units: DataFrame, common, tables, mixer, prior: np.ndarray, shown: np.ndarray) -> DataFrame:
-    """(unit, word, c, n, lp0, lp1, ...): log10 probability in every class; ``unit`` is the 64-bit hash of the word or separator.
-
-    ``prior`` has the classes' shares of the training texts, ``shown`` the number of their words.
-    A word is scored in the classes whose training texts have it, and an unknown word in all.  In another class it
-    counts as coming from elsewhere, which bounds its probability from below.
-    """
-    k = len(prior)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = None
-        for whole in batches:
-            scorer = scorer or Scorer(common.value, tables.value, Mixer(*mixer.value))
-            for batch in slices(whole, "body", CHUNK):
-                kind = batch.column("kind").to_numpy()
-                counts = np.stack([batch.column(f"c{i}").to_numpy() for i in range(k)], axis=1)
-                total = counts.sum(axis=1)
-                log2p = np.full((batch.num_rows, k), -np.inf)
-                for i in range(k):
-                    own = np.flatnonzero((counts[:, i] > 0) | (total == 0))
-                    part = batch.column("body").take(pa.array(own))
-                    log2p[own, i] = -scorer.unit_bits(lay_out(part, kind[own], np.full(len(own), i)))
-                whole = np.where((kind == WORD)[:, None], counts / np.maximum(shown, 1), 0.0)
-                with np.errstate(divide="ignore"):
-                    log2p = np.where((kind == WORD)[:, None], np.logaddexp2(log2p + np.log2(1 - WHOLE), np.log2(WHOLE * whole)), log2p)
-                top = log2p.max(axis=1, keepdims=True)
-                p = np.exp2(log2p - top)
-                mixed = (1 - OTHER) * p + OTHER * (p @ prior)[:, None]
-                lp = (np.log2(mixed) + top) * np.log10(2)
-                raw, at = text_bytes(batch.column("body"))
-                key = _unit_key(word_hash(raw, at[:-1], np.diff(at)), kind)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array((kind == WORD) & (np.diff(at) > 0)), pa.array(total), batch.column("n"), *[pa.array(lp[:, i].astype(np.float32)) for i in range(k)]],
-                    names=["unit", "word", "c", "n", *[f"lp{i}" for i in range(k)]],
-                )
-
-    schema = "unit bigint, word boolean, c bigint, n bigint, " + ", ".join(f"lp{i} float" for i in range(k))
-    return units.mapInArrow(score, schema)
-
-
-def _unit_key(hashes: np.ndarray, kind: np.ndarray) -> np.ndarray:
-    """Units of different kinds never share a key."""
-    return scramble(hashes + kind.astype(np.uint64) * _K)
+    """The trained model laid out for scoring: weights in levels of the odds, bits per gate and level."""
+
+    def __init__(self, table: np.ndarray, bits: int, mixer: Mixer) -> None:
+        self.table, self.width = table, bits
+        self.weights = np.ascontiguousarray(mixer.weights.T * (UNIT * (LEVELS - 1) / (2 * REACH))).astype(np.float32)
+        self.bits = mixer.costs()
+
+    def spent(self, found: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        """Bits of every byte."""
+        out = np.zeros(len(byte), np.float32)
+        for nibble in (0, 1):
+            line = lines(found, byte, nibble, self.width)
+            # The 16 slots of each line side by side, so that one place serves all inputs.
+            near = [self.table.reshape(-1, 16).take(x >> 4, axis=0).ravel() for x in line]
+            gate = gates([x[::16] for x in near], nibble)
+            weights = [w.take(gate) for w in self.weights]
+            spot, at = np.arange(len(byte)) << 4, gate * (2 * LEVELS)
+            for node, bit in half_bytes(byte, nibble):
+                place = spot + node
+                odds = near[0].take(place) * weights[0]
+                for i in range(1, INPUTS):
+                    odds += near[i].take(place) * weights[i]
+                odds += np.float32(LEVELS / 2)
+                level = np.clip(odds, 0, LEVELS - 1, out=odds).astype(np.int64)
+                level <<= 1
+                level += at
+                level += bit
+                out += self.bits.take(level)
+        return out
+
+    def text_bits(self, texts: pa.Array) -> np.ndarray:
+        total = np.zeros(len(texts))
+        for byte, row, own in streams(texts):
+            spot = np.flatnonzero(own)
+            total += np.bincount(row.take(spot), self.spent(contexts(byte).take(spot, axis=1), byte.take(spot)), len(texts))
+        return total
+
+
+def tokens(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, 64-bit hash) of every word."""
+    n = len(raw)
+    space = (raw == 32) | ((raw >= 9) & (raw <= 13))
+    cut = np.ones(n, bool)
+    cut[1:] = space[:-1]
+    cut[at[:-1][at[:-1] < n]] = True
+    start = np.flatnonzero(cut & ~space)
+    if not len(start):
+        return start, np.zeros(0, np.uint64)
+    spot = np.arange(n)
+    value = np.where(space, np.uint64(0), _letters(raw, spot - np.maximum.accumulate(np.where(cut, spot, 0))))
+    return np.searchsorted(at, start, "right") - 1, scramble(np.add.reduceat(value, start))
 
 
-def count_units(docs: DataFrame, learn: Column, klass: Column, classes: int, text: str) -> DataFrame:
-    """(body, kind, c0, c1, ..., n) of all distinct words and separators; c counts by class where ``learn`` holds.
+def count_words(docs: DataFrame) -> DataFrame:
+    """(unit, c, n) of all distinct words: how often training texts, and all texts, have them; ``docs`` has (text, learn)."""
 
-    Words stand for themselves; a separator is shown as a space, its kind and itself, which no word can be.
-    """
-    t = F.coalesce(F.col(text), F.lit(""))
-    words = F.array_remove(F.split(t, SPACE), "")
-    tag = lambda kind, x: F.concat(F.lit(f" {kind}"), x)
-    # Separators but single spaces, each with the character before it.
-    wide = F.regexp_extract_all(t, F.lit(r"[^\x20\x09-\x0D](?:[\x09-\x0D]|\x20[\x20\x09-\x0D])[\x20\x09-\x0D]*"), F.lit(0))
-    wide = F.transform(wide, lambda x: F.when(x.startswith("."), tag(AFTER_STOP, F.substring(x, 2, 1 << 30))).otherwise(tag(AFTER, F.substring(x, 2, 1 << 30))))
-    leading = F.regexp_extract(t, r"^[\x20\x09-\x0D]*", 0)
-    last = F.substring(t, -1, 1)
-    ends_in_space = (t == "") | last.rlike(r"[\x20\x09-\x0D]")
-    end = F.when(ends_in_space, F.lit(f" {WORD}")).when(last == ".", F.lit(f" {AFTER_STOP}")).otherwise(F.lit(f" {AFTER}"))
-    # Single spaces are most separators, so they are counted by row: all between words, less the wide ones.
-    stops = ((F.length(t) - F.length(F.replace(t, F.lit(". "), F.lit("")))) / 2).cast("bigint")
-    at = F.when(learn, klass).otherwise(F.lit(-1)).alias("at")
-    rows = docs.select(at, words.alias("w"), wide.alias("s"), F.array(tag(LEADING, leading), end).alias("ends"), stops.alias("stops"))
-    rows = rows.withColumn("spaces", F.greatest(F.size("w") - 1 - F.size("s"), F.lit(0)).cast("bigint"))
-    shown = rows.select("at", F.explode(F.concat("w", "s", "ends")).alias("unit"))
-    names = [f"c{i}" for i in range(classes)]
-    counted = shown.groupBy("unit").agg(*[F.count(F.when(F.col("at") == i, 1)).alias(c) for i, c in enumerate(names)], F.count("*").alias("n"))
-    none = F.lit(0).cast("bigint")
-    single = ((AFTER_STOP, F.least("stops", "spaces")), (AFTER, F.greatest(F.col("spaces") - F.col("stops"), F.lit(0))))
-    sums = [F.struct(
-        F.lit(f" {kind} ").alias("unit"), *[F.coalesce(F.sum(F.when(F.col("at") == i, many)), none).alias(c) for i, c in enumerate(names)],
-        F.coalesce(F.sum(many), none).alias("n"),
-    ) for kind, many in single]
-    counted = counted.unionByName(rows.agg(F.explode(F.array(*sums)).alias("x")).select("x.*"))
-    other = F.col("unit").startswith(" ")
-    return counted.select(
-        F.when(other, F.substring("unit", 3, 1 << 30)).otherwise(F.col("unit")).alias("body"),
-        F.when(other, F.substring("unit", 2, 1).try_cast("int")).otherwise(F.lit(WORD)).alias("kind"), *names, "n",
-    )
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
 
+        def tell() -> pa.RecordBatch:
+            units, spot, n = np.unique(np.concatenate([u for u, _ in held]), return_inverse=True, return_counts=True)
+            c = np.bincount(spot, np.concatenate([x for _, x in held]), len(units)).astype(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(units.view(np.int64)), pa.array(c), pa.array(n)], names=["unit", "c", "n"])
 
-def tokens(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, key) of every unit; words per row."""
-    n, rows = len(raw), len(at) - 1
-    space = (raw == 32) | ((raw >= 9) & (raw <= 13))
-    # Runs of words and separators, cut where rows begin.
-    cut = np.ones(n, bool)
-    cut[1:] = space[1:] != space[:-1]
-    cut[at[:-1][at[:-1] < n]] = True
-    start = np.flatnonzero(cut)
-    row = np.searchsorted(at, start, "right") - 1
-    between = space[start] if n else np.zeros(0, bool)
-    kind = np.where(between, np.where(start == at[row], LEADING, np.where(raw[np.maximum(start - 1, 0)] == STOP, AFTER_STOP, AFTER)), WORD) if n else start
-    key = _unit_key(word_hash(raw, start, np.diff(np.append(start, n))), kind)
-    # What begins and ends a row without a separator.
-    some = np.diff(at) > 0
-    first, last = np.minimum(at[:-1], max(0, n - 1)), np.maximum(at[1:] - 1, 0)
-    starts_plain = np.flatnonzero(~(some & space[first])) if n else np.arange(rows)
-    end = np.where(some & ~space[last], np.where(raw[last] == STOP, AFTER_STOP, AFTER), WORD) if n else np.zeros(rows, np.int64)
-    nothing = word_hash(raw, np.zeros(1, np.int64), np.zeros(1, np.int64))
-    return (
-        np.concatenate([row, starts_plain, np.arange(rows)]),
-        np.concatenate([key, np.repeat(_unit_key(nothing, np.array([LEADING])), len(starts_plain)), _unit_key(np.repeat(nothing, rows), end)]),
-        np.bincount(row[~between], minlength=rows),
-    )
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                row, unit = tokens(*text_bytes(batch.column("text")))
+                held.append((unit, batch.column("learn").to_numpy(zero_copy_only=False)[row]))
+                size += len(unit)
+                if size >= WORDS_HELD:
+                    yield tell()
+                    held, size = [], 0
+        if held:
+            yield tell()
 
+    return docs.mapInArrow(count, "unit bigint, c bigint, n bigint").groupBy("unit").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
 
-def score_documents(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text", label: str | None = "lang", head: int = HEAD) -> DataFrame:
-    """(doc, learn, n_bytes, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte) per row.
 
-    ``label`` names a column whose commonest values among training rows are the classes; it is not looked at in scoring.
-    """
+def score_documents(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text", head: int = HEAD) -> DataFrame:
+    """(doc, learn, n_bytes, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte) per row."""
     spark = docs.sparkSession
-    if label:
-        seen = docs.filter(learn & F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n"))
-        found = [(r[0], r["n"]) for r in seen.orderBy(F.desc("n"), label).limit(CLASSES).collect()]
-    else:
-        found = []
-    texts = docs.filter(learn).count()
-    others = texts - sum(n for _, n in found)
-    sizes = [n for _, n in found] + ([others] if others or not found else [])
-    klass = F.lit(len(found))
-    for i, (value, _) in enumerate(found):
-        klass = F.when(F.col(label) == F.lit(value), i).otherwise(klass)
-    k = len(sizes)
-    prior = (np.array(sizes, float) + 1) / (sum(sizes) + k)
-    names = [f"c{i}" for i in range(k)]
-
-    units = work_table(count_units(docs, learn, klass, k, text), "lm-units")
-    each = F.explode(F.array(*[F.struct(F.lit(i).alias("klass"), F.col(c).alias("c")) for i, c in enumerate(names)])).alias("x")
-    shown = units.select("body", "kind", each).select("body", "kind", "x.klass", "x.c").filter("c > 0")
-    size = units.agg(F.count("*").alias("v"), F.sum("n").alias("n")).first()
-    # Wide tasks, since each carries a whole table; the table's size is fixed.
-    trained = work_table(shown.repartition(max(1, -(-size["v"] // UNITS_PER_TASK))), "lm-trained")
-    mass = trained.agg(F.sum("c")).first()[0] or 1
-    common = spark.sparkContext.broadcast(common_contexts(trained, max(2.0, mass / CONTEXTS)))
-    tables = spark.sparkContext.broadcast(train_tables(trained, common))
-    chance = F.least(F.lit(1.0), F.col("c") * F.lit(SAMPLE / mass))
-    draw = F.xxhash64(F.lit("mixer"), "body", "kind", "klass").bitwiseAND((1 << 40) - 1) / float(1 << 40)
-    sample = trained.filter(draw < chance).select("body", "kind", "klass", (F.col("c") / chance).alias("weight"))
-    mixer = train_mixer(sample.repartition(SAMPLE_TASKS, "body", "kind", "klass").sortWithinPartitions(F.xxhash64("klass", "body", "kind")), common, tables)
+    rows = docs.select(F.xxhash64(F.col(doc_id), F.col(text)).alias("h"), F.col(doc_id).alias("doc"), learn.alias("learn"), F.col(text).alias("text"))
+    tune = F.xxhash64(F.lit("tune"), "text") % TUNE == 0
+    length = F.octet_length("text")
+    sizes = rows.filter("learn").agg(F.count("*").alias("texts"), F.sum(length).alias("all"), F.sum(F.when(tune, length)).alias("tune")).first()
+    texts, n_bytes = sizes["texts"], sizes["all"] or 0
+    bits = int(np.clip(int(n_bytes).bit_length() + 2, LEAST_BITS, TABLE_BITS))
+    trained = rows.filter("learn").select("text", tune.alias("tune"))
+    early, full = train_tables(trained, bits, max(1, -(-n_bytes // TASK_BYTES)))
+    early = spark.sparkContext.broadcast(early)
+    mixer = train_mixer(trained.filter("tune"), early, bits, max(1, TUNE * (sizes["tune"] or 0) // TASK_BYTES))
     # Plain arrays: a broadcast is unpickled without what cloudpickle would carry along.
-    mixer = spark.sparkContext.broadcast((mixer.weights, mixer.power, mixer.ones, mixer.seen))
-    of_class = {r["klass"]: r["n"] for r in trained.filter(F.col("kind") == WORD).groupBy("klass").agg(F.sum("c").alias("n")).collect()}
-    scored = work_table(score_units(units, common, tables, mixer, prior, np.array([of_class.get(i, 0) for i in range(k)], float)), "lm-scores")
-    totals = scored.filter("word").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"), F.count(F.when(F.col("c") > 0, 1)).alias("kinds")).first()
+    model = spark.sparkContext.broadcast((full, mixer.weights, mixer.ones, mixer.seen))
+
+    words = work_table(count_words(rows.select("text", "learn")), "lm-words")
+    totals = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"), F.count(F.when(F.col("c") > 0, 1)).alias("kinds"), F.sum("n").alias("n")).first()
     # Every training text has one end, which counts as a token.
     n_train, kinds = totals["tokens"] + texts, totals["kinds"] + (texts > 0)
-    lps = [f"lp{i}" for i in range(k)]
-
-    least = max(1.0, (size["n"] or 1) / head)
-    top = scored.filter(F.col("n") >= F.lit(least)).toPandas().sort_values("unit", key=lambda u: u.to_numpy(np.int64).view(np.uint64))
-    shared = spark.sparkContext.broadcast({
-        "unit": top["unit"].to_numpy(np.int64).view(np.uint64), "n_known": ((top["c"] > 0) & top["word"]).to_numpy(float),
-        "log10c": np.where(top["word"], np.log10(top["c"] + 1.0), 0.0), **{lp: top[lp].to_numpy(float) for lp in lps},
-    })
-    sums = ["n_known", "log10c", *lps]
-    out_names = ["h", "doc", "learn", "unit", "times", "n_bytes", "n_tokens", *sums]
+    least = max(1.0, (totals["n"] or 1) / head)
+    top = words.filter(F.col("n") >= F.lit(least)).select("unit", "c").toPandas().sort_values("unit", key=lambda u: u.to_numpy(np.int64).view(np.uint64))
+    common = spark.sparkContext.broadcast((top["unit"].to_numpy(np.int64).view(np.uint64), (top["c"] > 0).to_numpy(float), np.log10(top["c"].to_numpy(float) + 1)))
+    sums = ["n_known", "log10c"]
+    out_names = ["h", "doc", "learn", "unit", "times", "n_bytes", "n_tokens", *sums, "bits"]
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """One row per document with what its common units add up to, and one per (document, rare unit)."""
-        known_units = shared.value
+        """One row per document with its bits and what its common words add up to, and one per (document, rare word)."""
+        units, *values = common.value
+        scorer = None
         for whole in batches:
-            for batch in slices(whole, "text"):
+            scorer = scorer or Scorer(model.value[0], bits, Mixer(*model.value[1:]))
+            for batch in slices(whole, "text", CHUNK):
                 raw, at = text_bytes(batch.column("text"))
-                rows = batch.num_rows
-                row, key, n_words = tokens(raw, at)
-                spot = np.minimum(np.searchsorted(known_units["unit"], key), max(0, len(known_units["unit"]) - 1))
-                known = known_units["unit"][spot] == key if len(known_units["unit"]) else np.zeros(len(key), bool)
-                at_row, at_spot = row[known], spot[known]
+                n = batch.num_rows
+                row, key = tokens(raw, at)
+                spot = np.minimum(np.searchsorted(units, key), max(0, len(units) - 1))
+                known = units[spot] == key if len(units) else np.zeros(len(key), bool)
                 h, doc, held = batch.column("h"), batch.column("doc"), batch.column("learn")
-                none = pa.nulls(rows, pa.int64())
-                added = [pa.array(np.bincount(at_row, known_units[name][at_spot], rows)) for name in sums]
-                yield pa.RecordBatch.from_arrays([h, doc, held, none, none, pa.array(np.diff(at)), pa.array(n_words + 1), *added], names=out_names)
+                none = pa.nulls(n, pa.int64())
+                added = [pa.array(np.bincount(row[known], value[spot[known]], n).astype(float)) for value in values]
+                yield pa.RecordBatch.from_arrays(
+                    [h, doc, held, none, none, pa.array(np.diff(at)), pa.array(np.bincount(row, minlength=n) + 1), *added, pa.array(scorer.text_bits(batch.column("text")))],
+                    names=out_names,
+                )
                 far_row, far_key = row[~known], key[~known]
                 order = np.lexsort((far_key, far_row))
                 far_row, far_key = far_row[order], far_key[order]
@@ -534,32 +440,25 @@ def score_documents(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text
                 m, times = len(begin), np.diff(np.append(begin, len(far_row)))
                 yield pa.RecordBatch.from_arrays(
                     [h.take(pa.array(far_row[begin])), pa.nulls(m, doc.type), pa.nulls(m, pa.bool_()), pa.array(far_key[begin].view(np.int64)), pa.array(times),
-                     pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), *[pa.nulls(m, pa.float64())] * len(sums)],
+                     pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), *[pa.nulls(m, pa.float64())] * 3],
                     names=out_names,
                 )
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    rows = docs.select(F.xxhash64(F.col(doc_id), F.col(text)).alias("h"), F.col(doc_id).alias("doc"), learn.alias("learn"), F.col(text).alias("text"))
-    schema = f"h bigint, doc {kind}, learn boolean, unit bigint, times bigint, n_bytes bigint, n_tokens bigint, " + ", ".join(f"{c} double" for c in sums)
+    schema = f"h bigint, doc {kind}, learn boolean, unit bigint, times bigint, n_bytes bigint, n_tokens bigint, n_known double, log10c double, bits double"
     parts = work_table(rows.mapInArrow(split, schema), "lm-parts")
-    log10c = F.when(F.col("word"), F.log10(F.col("c") + 1.0)).otherwise(0.0)
-    rare = scored.filter(F.col("n") < F.lit(least)).select("unit", ((F.col("c") > 0) & F.col("word")).cast("double").alias("n_known"), log10c.alias("log10c"), *lps)
+    rare = words.filter(F.col("n") < F.lit(least)).select("unit", (F.col("c") > 0).cast("double").alias("n_known"), F.log10(F.col("c") + 1.0).alias("log10c"))
     far = parts.filter("unit is not null").select("h", "unit", "times").join(rare, "unit")
     far = far.groupBy("h").agg(*[F.sum(F.col("times") * F.col(c)).alias(f"far_{c}") for c in sums])
     # Repeated rows share h: their sums are made together and dealt out evenly.
-    near = parts.filter("unit is null").groupBy("h").agg(F.count("*").alias("rows"), *[F.first(c).alias(c) for c in ("doc", "learn", "n_bytes", "n_tokens", *sums)])
+    near = parts.filter("unit is null").groupBy("h").agg(F.count("*").alias("rows"), *[F.first(c).alias(c) for c in ("doc", "learn", "n_bytes", "n_tokens", *sums, "bits")])
     both = near.join(far, "h", "left")
     for c in sums:
         both = both.withColumn(c, F.col(c) + F.coalesce(F.col(f"far_{c}"), F.lit(0.0)) / F.col("rows"))
-    # The mixture over classes, in log10.
-    in_class = [F.col(lp) + F.lit(float(np.log10(q))) for lp, q in zip(lps, prior, strict=True)]
-    best = F.greatest(*in_class) if k > 1 else in_class[0]
-    both = both.withColumn("best", best)
-    spread = sum((F.pow(F.lit(10.0), x - F.col("best")) for x in in_class), F.lit(0.0))
     out = both.select(
         "doc", "learn", "n_bytes", "n_tokens", (F.round("n_known") + F.lit(int(texts > 0))).cast("bigint").alias("n_known"), F.lit(int(n_train)).cast("bigint").alias("train_tokens"),
         F.round(F.col("log10c") + F.lit(float(np.log10(texts + 1))) - F.col("n_tokens") * F.lit(float(np.log10(n_train + kinds + 1))), 9).alias("base_score"),
-        F.round(F.col("best") + F.log10(spread), 9).alias("score"), F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("copy"),
+        F.round(F.col("bits") * F.lit(-float(np.log10(2))), 9).alias("score"), F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("copy"),
     )
     return out.drop("copy").withColumn("bits_per_byte", -F.col("score") * F.lit(float(1 / np.log10(2))) / F.greatest(F.col("n_bytes"), F.lit(1)))
 
