@@ -12,7 +12,7 @@ from checks.common import CFG, Build
 from checks.parity import hits
 from trailmark.config import work_path
 from trailmark.functions.traffic import signal_rank
-from trailmark.operators import conversions, export, funnel, properties, touchpoints
+from trailmark.operators import conversions, export, funnel, properties, sketches, touchpoints
 from trailmark.plans.refresh import AttributionStore
 from trailmark.sources.landing import Star, export_users
 from trailmark.sources.state import Cursor, SyncState
@@ -238,6 +238,27 @@ def rs5_sliding(t: Star) -> DataFrame:
     return _drain(t, stream, ["window_start", "window_end"])
 
 
+def rs5_sketches(t: Star) -> DataFrame:
+    """Devices by week, month and seven-day window from day sketches kept by a stream, checked against the exact counts."""
+    path = work_path(t.spark, "sketches")
+    events = t["events"].select("user_id", "event_time")
+    jobs.sketch_on_arrival(_arrivals(t, events, "event_time"), "user_id", "event_time", path, work_path(t.spark, "checkpoint"),
+                           {"availableNow": True}).awaitTermination()
+    days = t.spark.read.parquet(path)
+    kinds = {"week": sketches.per_period(days, "week"), "month": sketches.per_period(days, "month"), "7 days": sketches.sliding(days, 7)}
+    day = F.to_date("event_time")
+    periods = {"week": F.to_date(F.date_trunc("week", "event_time")), "month": F.to_date(F.date_trunc("month", "event_time"))}
+    active = events.select("user_id", day.alias("day"), F.lit("7 days").alias("kind")).distinct().select(
+        "kind", F.explode(F.sequence("day", F.date_add("day", 6))).alias("period"), "user_id")
+    out = []
+    for kind, estimated in kinds.items():
+        rows = active if kind == "7 days" else events.select(F.lit(kind).alias("kind"), periods[kind].alias("period"), "user_id")
+        exact = rows.groupBy("kind", "period").agg(F.countDistinct("user_id").alias("exact"))
+        close = F.abs(F.col("visitors") - F.col("exact")) <= F.greatest(F.lit(1.0), sketches.relative_error() * F.col("exact"))
+        out.append(exact.join(estimated, "period", "full").select("kind", "period", F.col("exact").alias("visitors"), close.alias("close")))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 EXPORT: dict[str, Build] = {
     "s14_sync_state": s14,
     "r6_high_watermark_delta": r06,
@@ -263,4 +284,5 @@ REFRESH: dict[str, Build] = {
     "rs4_streaming_funnel": rs4,
     "rs5_streaming_daily_metrics": rs5,
     "rs5_streaming_sliding_metrics": rs5_sliding,
+    "rs5_visitor_sketches": rs5_sketches,
 }

@@ -100,4 +100,11 @@ def refresh() -> dict[str, str]:
         "rs5_streaming_daily_metrics": per_day("clicks", "count(*) AS click_count, cast(sum(fs_rage_count) AS bigint) AS rage_click_count", 24, 24),
         "rs5_streaming_sliding_metrics": per_day(
             "loads", "round(avg(largest_paint_time_millis), 6) AS avg_lcp, count(*) AS load_event_count", 6, 3),
+        "rs5_visitor_sketches": with_fx("""
+          SELECT * FROM (WITH e AS (SELECT DISTINCT user_id, cast(event_time AS date) AS d FROM fx_events),
+          spread AS (
+            SELECT 'week' AS kind, cast(date_trunc('week', d) AS date) AS period, user_id FROM e
+            UNION ALL SELECT 'month', cast(date_trunc('month', d) AS date), user_id FROM e
+            UNION ALL SELECT '7 days', d + cast(i AS integer), user_id FROM e, range(7) r(i))
+          SELECT kind, cast(period AS varchar) AS period, count(DISTINCT user_id) AS visitors, true AS close FROM spread GROUP BY kind, period) v"""),
     }

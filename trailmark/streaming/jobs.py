@@ -16,6 +16,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from trailmark.config import AttributionConfig
 from trailmark.functions.time import days_before
 from trailmark.operators.ordered import DAY, time_bucket
+from trailmark.operators.sketches import LG_K, daily_sketches
 from trailmark.plans.metrics import Metric, metric
 from trailmark.plans.refresh import AttributionStore
 from trailmark.sources.versions import PART, VersionedTables
@@ -211,3 +212,18 @@ def windowed_metrics(
         *[F.expr(m.sql).alias(m.name) for m in chosen])
     return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by,
                       *[m.name for m in chosen])
+
+
+def sketch_on_arrival(
+    stream: DataFrame, who: str, time: str, path: str, checkpoint: str, trigger: dict, by: Sequence[str] = (), lg_k: int = LG_K,
+) -> StreamingQuery:
+    """Keep day sketches of ``who`` under ``path``, a few rows a micro-batch, for ``operators.sketches`` to merge.
+
+    No state and no watermark are needed: a day's late events come as one more sketch of that day, and a replayed batch
+    overwrites its own folder.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        daily_sketches(batch, who, time, by, lg_k).write.mode("overwrite").parquet(f"{path}/{_BATCH}={batch_id}")
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
