@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from checks.common import DAY, TZ, Build
+from checks.common import CFG, DAY, TZ, Build
+from trailmark.config import work_path
 from trailmark.functions.time import period
-from trailmark.operators import counts, funnel
+from trailmark.operators import counts, funnel, touchpoints
 from trailmark.sources.landing import AS_OF, Star
+from trailmark.sources.layout import save_colocated
+from trailmark.sources.staging import Tables
 
 
 def k01(t: Star) -> DataFrame:
@@ -62,15 +65,38 @@ def k05_week(t: Star) -> DataFrame:
         t["events"], t["source_properties"], t["page_definitions"], t["custom_events"], funnel.PURCHASE_FUNNEL, period=week), 5)
 
 
+EVENT_KEYS = {"events": "id", "source_properties": "event_id", "custom_events": "event_id"}
+BUCKETS = 8
+_LAYOUTS: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
+def colocated(t: Star) -> dict[str, DataFrame]:
+    """The star with events and per-event tables bucketed on the event key, saved once per application."""
+    key = (t.spark.sparkContext.applicationId, t.sf_dir)
+    if key not in _LAYOUTS:
+        prefix = f"colocated_{len(_LAYOUTS)}_"
+        save_colocated({n: t[n] for n in EVENT_KEYS}, EVENT_KEYS, BUCKETS, prefix=prefix, path=work_path(t.spark, "colocated"))
+        saved = Tables(t.spark, f"default.{prefix}{{}}")
+        _LAYOUTS[key] = {**{n: saved[n] for n in EVENT_KEYS}, **{n: t[n] for n in ("page_definitions", "users")}}
+    return _LAYOUTS[key]
+
+
+def k07(t: dict[str, DataFrame]) -> DataFrame:
+    return touchpoints.touchpoints(t["events"], t["source_properties"], t["users"], CFG)
+
+
 PARITY: dict[str, Build] = {
     "k01_sessions_by_page": k01,
+    "k01_sessions_by_page_colocated": lambda t: k01(colocated(t)),
     "k02_device_and_identified_counts": k02,
     "k03_ui_user_count": k03,
     "k04_property_id_count": k04,
     "k05_funnel_first_touch": k05,
+    "k05_funnel_first_touch_colocated": lambda t: k05(colocated(t)),
     "k05_funnel_first_touch_local_day": k05_day,
     "k05_funnel_first_touch_week": k05_week,
     "k06_funnel_chained": k06,
+    "k07_touchpoints_colocated": lambda t: k07(colocated(t)),
     "k06_funnel_repeated_page": repeated_page,
     "k06_funnel_chained_local_day": k06_day,
 }

@@ -236,6 +236,13 @@ MART_OUT = f"{_IDS}, attribution_model, round(attributed_revenue, 6) AS attribut
 
 def parity() -> dict[str, str]:
     every = "event_time IS NOT NULL"
+    plain = _parity(every)
+    # The same questions over tables in another layout.
+    return {**plain, **{f"{name}_colocated": plain[name] for name in ("k01_sessions_by_page", "k05_funnel_first_touch")},
+            "k07_touchpoints_colocated": with_fx("SELECT * FROM tp", pipeline())}
+
+
+def _parity(every: str) -> dict[str, str]:
     return {
         "k01_sessions_by_page": with_fx(f"""
           SELECT count(DISTINCT e.session_id) AS sessions FROM fx_events e JOIN fx_source_properties sp ON e.id = sp.event_id
