@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from trailmark.config import work_path
 from trailmark.operators.export import (
-    chunked_payloads, export_updated_user_properties, export_user_properties, exportable, numbered_in_order, wave_of, write_outbox,
+    MOST_WAVES, chunked_payloads, export_updated_user_properties, export_user_properties, exportable, numbered_in_order, round_of, wave_of,
+    write_outbox,
 )
 from trailmark.operators.properties import custom_columns, property_profile
 from trailmark.sources.state import Cursor, SyncState
@@ -162,3 +163,40 @@ def test_each_payload_is_sent_once(spark, tmp_path):
     folder = str(sent)
     report, _ = export_user_properties(users(spark, 50), 30, {"a": 1}, transport=note, batch_size=4)
     assert report.first()["chunks_pushed"] == 8 and len(list(sent.iterdir())) == 8
+
+
+def test_rounds_double_up_to_a_bound(spark):
+    most = MOST_WAVES
+    got = rows(spark.range(5 * most).select(round_of(F.col("id")).alias("r")).groupBy("r").count(), "r")
+    ramp = most.bit_length() - 1
+    assert got == [(r, 1 << r) for r in range(ramp)] + [(ramp + i, most) for i in range(4)] + [(ramp + 4, 1)]
+
+
+def test_jobs_and_watermark_steps_do_not_grow_with_the_waves(spark, tmp_path):
+    """100 waves of one chunk: a watermark step and a folder a round, 7 of them, and none a wave."""
+    path, outbox = str(tmp_path / "state"), str(tmp_path / "outbox")
+    report, _ = run(spark, SyncState(spark, path), users(spark, 400, ties=20), accept, wave=1, outbox_path=outbox)
+    assert (report["status"], report["chunks_pushed"], report["users_pushed"]) == ("ok", 100, 400)
+    assert spark.read.parquet(path).count() == 1 + 7
+    assert len(list((tmp_path / "outbox").glob("*=*"))) == 7
+
+
+@pytest.mark.parametrize("wave", [1, 2, 3])
+def test_a_failure_deep_in_a_run_sends_little_in_vain(spark, wave, tmp_path):
+    """Of the failed round no more goes out than was delivered before it and a wave; nobody is lost or sent before the watermark."""
+    folder, failing = str(tmp_path), "u130"
+
+    def note(payload):
+        import hashlib
+        import os
+
+        bad = f'"{failing}"' in payload
+        os.close(os.open(f"{folder}/{hashlib.sha256(payload.encode()).hexdigest()}", os.O_CREAT | os.O_EXCL))
+        return (500, "no") if bad else (200, "ok")
+
+    st, df = state(spark), users(spark, 240, ties=20)
+    report, _ = run(spark, st, df, note, wave=wave)
+    assert (report["status"], report["chunks_pushed"], report["users_pushed"]) == ("failed_mid_run", 32, 128)
+    assert 33 <= len(list(tmp_path.iterdir())) <= 2 * 32 + wave
+    _, outbox = run(spark, st, df, accept, wave=wave)
+    assert uids(outbox) == [f"u{i:03d}" for i in range(128, 240)]

@@ -14,7 +14,9 @@ from trailmark.sources.state import Cursor, SyncState
 
 BATCH_SIZE = 1000
 _RESPONSE_CHARS = 500
-_WAVE = "wave"
+_WAVE, _ROUND = "wave", "round"
+# Most waves of a round: what a failure may send in vain and a crash may send again is bounded.
+MOST_WAVES = 1024
 
 # Delivers one JSON payload, returns (status code, response text).  Runs on executors.
 Transport = Callable[[str], tuple[int, str]]
@@ -89,6 +91,20 @@ def wave_of(outbox: DataFrame, number: int) -> DataFrame:
     return outbox.filter(F.col(_WAVE) == number)
 
 
+def round_of(wave: Column) -> Column:
+    """Round of a wave: rounds hold 1, 2, 4 ... ``MOST_WAVES`` waves, then ``MOST_WAVES`` each."""
+    ramp = MOST_WAVES.bit_length() - 1
+    growing = F.length(F.bin(wave + 1)) - 1
+    return F.when(wave < MOST_WAVES - 1, growing).otherwise(ramp + F.floor((wave - (MOST_WAVES - 1)) / MOST_WAVES)).cast("long")
+
+
+def write_rounds(chunks: DataFrame, path: str, wave: int) -> DataFrame:
+    """Write chunks in order, a round of waves to a folder, so that folders do not grow with the chunks; returns them with ``round``."""
+    in_rounds = chunks.withColumn(_ROUND, round_of(F.floor(F.col("chunk_id") / F.lit(wave)).cast("long")))
+    in_rounds.repartitionByRange("chunk_id").sortWithinPartitions("chunk_id").write.partitionBy(_ROUND).parquet(path)
+    return chunks.sparkSession.read.schema(in_rounds.schema).parquet(path)
+
+
 def _sender(transport: Transport, kept: Sequence[str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -106,6 +122,38 @@ def push_chunks(chunks: DataFrame, transport: Transport, tasks: int) -> DataFram
     return spread.mapInPandas(_sender(transport, kept), schema)
 
 
+def _is_good() -> Column:
+    return (F.col("http_status") >= 200) & (F.col("http_status") < 300)
+
+
+def _sender_in_order(transport: Transport, kept: Sequence[str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        stopped = False
+        for batch in batches:
+            answers = []
+            for payload in batch["payload"]:
+                if stopped:
+                    break
+                answers.append(transport(payload))
+                stopped = not 200 <= answers[-1][0] < 300
+            # What is left after a failure is read to the end and not sent.
+            yield batch[list(kept)].head(len(answers)).assign(
+                http_status=[a[0] for a in answers], response=[a[1][:_RESPONSE_CHARS] for a in answers])
+
+    return send
+
+
+def push_in_lanes(chunks: DataFrame, transport: Transport, lanes: int) -> DataFrame:
+    """Send chunks from ``lanes`` tasks, each its own in order, up to its first failure.
+
+    Chunk n goes by lane n modulo ``lanes``.  Every chunk before the first that failed of all has been delivered.
+    One status row per chunk sent.
+    """
+    kept = ["chunk_id", "users", "at", "uid"]
+    own = chunks.select(*kept, "payload").repartitionById(lanes, F.pmod("chunk_id", F.lit(lanes)).cast("int")).sortWithinPartitions("chunk_id")
+    return own.mapInPandas(_sender_in_order(transport, kept), "chunk_id long, users long, at string, uid string, http_status int, response string")
+
+
 def export_updated_user_properties(
     users: DataFrame, state: SyncState, sync_name: str = "user_props",
     properties: Sequence[str] = ("loyalty_tier",), batch_size: int = BATCH_SIZE,
@@ -117,10 +165,13 @@ def export_updated_user_properties(
     ``log_path`` collects the reports of all runs.
 
     Executors write all payloads to the outbox.  Without a transport that is the delivery and the
-    watermark moves to its end.  With one, chunks go out in order in waves of ``wave``; the
+    watermark moves to its end.  With one, chunks go out in order, ``wave`` at a time, each by a lane of its own; the
     watermark follows the unbroken run of delivered chunks and the run stops at the first failure,
     so the next run resumes there.  A chunk may be sent twice after a failure, never skipped.
-    Each payload is read once, by its wave; only chunk statuses reach the driver, ``wave`` at a time.
+
+    Waves go in rounds of 1, 2, 4 ... ``MOST_WAVES``, a job and a step of the watermark each.  A lane stops at its own failure, the
+    other lanes finish the round: at most a wave more than had been delivered before is sent in vain.
+    Each payload is read once, by its round; statuses stay on executors, the driver sees the first failure and sums.
     """
     spark = users.sparkSession
     state.seed(sync_name)
@@ -128,8 +179,8 @@ def export_updated_user_properties(
     delta = after_cursor(exportable(users), cursor, strict_timestamp).select("uid", "updated_at", *properties)
     bag = F.struct(*properties, F.col("updated_at").cast("string").alias("warehouse_synced_at"))
     path = outbox_path or work_path(spark, "outbox")
-    stored = write_outbox(chunked_payloads(delta, bag, batch_size), path, wave)
-    outbox = stored.drop(_WAVE)
+    stored = write_rounds(chunked_payloads(delta, bag, batch_size), path, wave)
+    outbox = stored.drop(_ROUND)
 
     def end_of(chunks: DataFrame) -> tuple[int, int, Cursor]:
         end = F.max(F.struct("updated_at", "uid"))
@@ -159,17 +210,19 @@ def export_updated_user_properties(
 
     at = F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at")
     pushed, sent, reached = 0, 0, cursor
-    for number in range(-(-total // wave)):
-        mine = wave_of(stored, number).select("chunk_id", "users", at, "uid", "payload")
-        # At most ``wave`` small rows, sorted here: a distributed sort samples its input, and would send everything twice.
-        statuses = sorted(push_chunks(mine, transport, wave).collect(), key=lambda s: s["chunk_id"])
-        failed = next((s for s in statuses if not 200 <= s["http_status"] < 300), None)
-        good = statuses if failed is None else [s for s in statuses if s["chunk_id"] < failed["chunk_id"]]
-        if good:
-            reached = Cursor(good[-1]["at"], good[-1]["uid"])
+    rounds = stored.agg(F.max(_ROUND).alias("last")).first()["last"] + 1
+    for number in range(rounds):
+        mine = stored.filter(F.col(_ROUND) == number).select("chunk_id", "users", at, "uid", "payload")
+        # Written, so that reading the answers again does not send again.
+        answers = work_table(push_in_lanes(mine, transport, wave), "answers")
+        failed = answers.filter(~_is_good()).agg(F.min(F.struct("chunk_id", "users", "http_status", "response")).alias("f")).first()["f"]
+        good = answers if failed is None else answers.filter(F.col("chunk_id") < failed["chunk_id"])
+        done = good.agg(F.count(F.lit(1)).alias("n"), F.sum("users").alias("users"), F.max(F.struct("chunk_id", "at", "uid")).alias("end")).first()
+        if done["n"]:
+            reached = Cursor(done["end"]["at"], done["end"]["uid"])
             state.advance(sync_name, reached)
-            sent += sum(s["users"] for s in good)
-            pushed += len(good)
+            sent += done["users"]
+            pushed += done["n"]
         if failed is not None:
             last = failed["chunk_id"] == total - 1 and failed["users"] < batch_size
             status = "failed_on_final_chunk" if last else "failed_mid_run"
