@@ -64,3 +64,25 @@ def test_metrics_use_it(spark):
     plain = metric_query(t, ["avg_inp", fact_aggregate("p75_inp", "inp", "percentile({}, 0.75)"), fact_aggregate("p90", "inp", "percentile({}, 0.9)")], ["browser"])
     near = lambda d: d.select("browser", *[F.round(c, 6).alias(c) for c in d.columns[1:]])
     same(near(exact), near(plain))
+
+
+def test_cuts_that_differ_between_evaluations_do_no_harm(spark, monkeypatch):
+    """Merged in another order a sketch gives other cuts; here every evaluation does, and none is shared."""
+    from trailmark.operators import quantiles
+
+    def elsewhere(_):
+        import random
+
+        return sorted({float(random.SystemRandom().randrange(1000)) for _ in range(6)})
+
+    anywhere = F.udf(elsewhere, "array<double>").asNondeterministic()
+    monkeypatch.setattr(quantiles, "_cuts", lambda ranges: anywhere(F.max("v")))
+    df = spark.range(6000).select((F.col("id") % 3).alias("g"), F.pmod(F.hash("id"), F.lit(1000)).cast("double").alias("v"))
+    wanted = {f"p{i}": i / 10 for i in range(11)}
+    plain = df.groupBy("g").agg(*[F.expr(f"percentile(v, {p})").alias(n) for n, p in wanted.items()])
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = rows(quantiles.exact_percentiles(df, ["g"], "v", wanted), "g")
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    assert np.allclose(got, rows(plain, "g"))

@@ -6,7 +6,9 @@ looked at again, cut once more or, at the last level, ordered.  A cut value is a
 a third of the rows is found by counting.  No task holds more than one last range of a group, about
 ``ranges ** -levels`` of its rows, and of these the distinct values.
 
-Everything stays a plan; nothing runs until the result is used.  The input is read once for the cuts and twice a level.
+The approximate quantiles depend on the order in which sketches are merged, so every evaluation may cut elsewhere.  Cuts are
+therefore written once a level, and all that counts or looks up by them reads the same ones.  The rest stays a plan.
+The input is read once for the cuts and twice a level.
 """
 
 from __future__ import annotations
@@ -16,6 +18,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trailmark.config import work_table
+
 RANGES, LEVELS = 32, 2
 
 
@@ -25,8 +29,8 @@ def _cuts(ranges: int) -> Column:
     return F.array_distinct(F.percentile_approx("v", at, 8 * ranges))
 
 
-def _at_ranks(rows: DataFrame, cuts: DataFrame, targets: DataFrame, ranges: int, levels: int) -> DataFrame:
-    """(k, rank, v): the value at each target rank, from 0, of (k, v) rows; ``cuts`` has (k, cuts)."""
+def _at_ranks(rows: DataFrame, cuts: DataFrame | None, targets: DataFrame, ranges: int, levels: int) -> DataFrame:
+    """(k, rank, v): the value at each target rank, from 0, of (k, v) rows; ``cuts`` has (k, cuts) as written, none at the last level."""
     if not levels:
         counted = rows.groupBy("k", "v").agg(F.count(F.lit(1)).alias("c"))
         upto = F.sum("c").over(Window.partitionBy("k").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
@@ -47,7 +51,8 @@ def _at_ranks(rows: DataFrame, cuts: DataFrame, targets: DataFrame, ranges: int,
     opened = held.filter(~is_cut).select("k", "rank", within.alias("deep"), "inner")
     wanted = opened.select(F.col("deep").alias("k"), F.col("inner").alias("rank")).distinct()
     inside = coded.select(within, "v").join(wanted.select("k"), "k", "left_semi")
-    deeper = _at_ranks(inside, inside.groupBy("k").agg(_cuts(ranges).alias("cuts")), wanted, ranges, levels - 1)
+    inner_cuts = work_table(inside.groupBy("k").agg(_cuts(ranges).alias("cuts")), "cuts") if levels > 1 else None
+    deeper = _at_ranks(inside, inner_cuts, wanted, ranges, levels - 1)
     deeper = deeper.select(F.col("k").alias("deep"), F.col("rank").alias("inner"), "v")
     return points.unionByName(opened.join(deeper, ["deep", "inner"]).select("k", "rank", "v"))
 
@@ -61,7 +66,7 @@ def exact_percentiles(
     """
     key = F.struct(*keys) if keys else F.lit(0)
     narrow = rows.select(key.alias("k"), F.col(value).cast("double").alias("v"))
-    sizes = narrow.groupBy("k").agg(F.count("v").alias("n"), _cuts(ranges).alias("cuts"))
+    sizes = work_table(narrow.groupBy("k").agg(F.count("v").alias("n"), _cuts(ranges).alias("cuts")), "cuts")
     place = lambda p: F.lit(float(p)) * (F.col("n") - 1)
     ends = [end(place(p)).cast("long") for p in wanted.values() for end in (F.floor, F.ceil)]
     some = sizes.filter("n > 0")
