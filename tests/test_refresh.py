@@ -313,3 +313,19 @@ def test_bounded_sessions_give_the_same(spark):
     for cond in (F.dayofmonth("event_time") <= 20, F.dayofmonth("event_time") > 20):
         st.refresh(t["events"].filter(cond), t["source_properties"], t["custom_events"].filter(cond), t["users"])
     same(st.mart(), full(t["events"], t["source_properties"], t["custom_events"], t["users"]))
+
+
+def test_a_noted_batch_is_written_by_many_tasks(spark):
+    """One task would write, and later read, the whole batch."""
+    ev, sp = visits(spark, [(i, f"d{i}", f"s{i}", dt(2024, 1, 1 + i % 5)) for i in range(60)])
+    sold = sales(spark, [(1000 + i, f"d{i}", f"s{i}", dt(2024, 1, 9)) for i in range(60)]).repartition(4)
+    st = store(spark)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        noted = st._note(st.tables.snapshot(), ev, sp, sold, spark.createDataFrame([(f"d{i}", f"u{i}") for i in range(60)], USERS))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for name, n in (("noted_touchpoints", 60), ("noted_conversions", 60), ("noted_users", 60)):
+        assert len(noted.parts(name)) == 1
+        found = st.read(name, noted)
+        assert found.count() == n and len(found.inputFiles()) > 1

@@ -214,7 +214,8 @@ class AttributionStore:
         # The user table is always the current one, so an older batch's rows of it no longer count.
         noted = base.but("noted_users", dict.fromkeys(base.parts("noted_users")))
         for name, rows in kept.items():
-            noted = noted.but(name, self.tables.write(name, rows.withColumn(PART, F.lit(batch))))
+            # One part, however large the batch: the tasks that made its rows write them.
+            noted = noted.but(name, self.tables.write(name, rows.withColumn(PART, F.lit(batch)), files=None))
         return self.tables.commit(noted)
 
     def _by_day(self, classified: DataFrame) -> DataFrame:

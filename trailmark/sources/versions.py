@@ -102,15 +102,15 @@ class VersionedTables:
         folders = sorted({f"{self.root}/{held[p].folder}" for p in wanted})
         return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
 
-    def write(self, table: str, rows: DataFrame, files: int = 1, counted: Mapping[str, int] | None = None) -> dict[str, Part]:
+    def write(self, table: str, rows: DataFrame, files: int | None = 1, counted: Mapping[str, int] | None = None) -> dict[str, Part]:
         """Write rows with a ``part`` column into a new folder; returns the parts found in them.  No version names them yet.
 
-        A part's rows are dealt over ``files`` tasks.
+        A part's rows are dealt over ``files`` tasks; with None every task writes the rows it has, which suits a single large part.
         """
         folder = f"{table}/{uuid.uuid4().hex}"
         others = [c for c in rows.columns if c != PART]
-        spread = F.pmod(F.hash(*others[:2]), F.lit(files))
-        rows.repartition(PART, spread).write.partitionBy(PART).parquet(f"{self.root}/{folder}")
+        dealt = rows if files is None else rows.repartition(PART, F.pmod(F.hash(*others[:2]), F.lit(files)))
+        dealt.write.partitionBy(PART).parquet(f"{self.root}/{folder}")
         found = [n.removeprefix(f"{PART}=") for n in self._names(folder) if n.startswith(f"{PART}=")]
         return {p: Part(f"{folder}/{PART}={p}", (counted or {}).get(p)) for p in found}
 
