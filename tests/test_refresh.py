@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tests.conftest import SF, rows, same
 from trailmark.config import AttributionConfig, work_path, work_table
 from trailmark.operators import attribution, conversions, touchpoints
+from trailmark.plans import refresh
 from trailmark.plans.refresh import AttributionStore, row_changes, same_time_range
 from trailmark.sources.landing import star
 from trailmark.sources.versions import Conflict
@@ -329,3 +330,15 @@ def test_a_noted_batch_is_written_by_many_tasks(spark):
         assert len(noted.parts(name)) == 1
         found = st.read(name, noted)
         assert found.count() == n and len(found.inputFiles()) > 1
+
+
+def test_a_first_build_is_not_compared_with_nothing(spark, monkeypatch):
+    ev, sp = visits(spark, [(1, "d", "s1", dt(2024, 1, 1))])
+    nobody = spark.createDataFrame([], USERS)
+    compared = []
+    monkeypatch.setattr(refresh, "row_changes", lambda *a, **k: compared.append(1) or row_changes(*a, **k))
+    st = store(spark)
+    assert rows(st.refresh(ev, sp, sales(spark, [(2, "d", "s1", dt(2024, 1, 3))]), nobody)) == [(5, 0, 0)]
+    assert not compared
+    assert rows(st.refresh(ev.limit(0), sp, sales(spark, [(3, "d", "s1", dt(2024, 1, 2))]), nobody)) == [(5, 5, 0)]
+    assert compared

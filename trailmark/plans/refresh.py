@@ -407,14 +407,20 @@ class AttributionStore:
         early = F.col("converted_at") < F.col("since")
         last = sales.filter(early).groupBy("user_id").agg(F.max("converted_at").alias("converted_at"))
         needed = sales.filter(~early).unionByName(sales.join(last, ["user_id", "converted_at"], "left_semi"))
-        cv = conversions.ordered_conversions(needed.drop("since"))
+        # Ordering reads its input twice.
+        cv = conversions.ordered_conversions(work_table(needed.drop("since"), "needed-sales"))
         paths = attribution.attribution_mart(work_table(tp, "touchpoints"), work_table(cv, "conversions"), self.cfg)
         open_again = F.col("converted_at") >= F.col("since")
         new = work_table(dated(paths).filter(open_again).select(*attribution.MART_COLUMNS), "new-mart")
 
         day = day_of(F.col("converted_at"))
-        replaced = dated(self.read("mart", after, from_day("mart", first))).filter(open_again).select(*new.columns)
-        changes = {r[PART]: r for r in row_changes(replaced, new, by=day).collect() if r["inserted_rows"] or r["deleted_rows"]}
+        standing = from_day("mart", first)
+        if standing:
+            replaced = dated(self.read("mart", after, standing)).filter(open_again).select(*new.columns)
+            compared = row_changes(replaced, new, by=day)
+        else:  # nothing to compare with
+            compared = new.groupBy(day.alias(PART)).agg(F.count(F.lit(1)).alias("inserted_rows"), F.lit(0).alias("deleted_rows"))
+        changes = {r[PART]: r for r in compared.collect() if r["inserted_rows"] or r["deleted_rows"]}
         inserted, deleted = (sum(r[c] for r in changes.values()) for c in ("inserted_rows", "deleted_rows"))
         if changes:
             counted = {d: (held[d].rows if d in held else 0) + r["inserted_rows"] - r["deleted_rows"] for d, r in changes.items()}
