@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from checks.attribution import stored
 from checks.common import CFG, Build
 from checks.parity import hits
-from trailmark.config import work_path
+from trailmark.config import work_path, work_table
 from trailmark.functions.traffic import signal_rank
 from trailmark.operators import conversions, export, funnel, properties, sketches, touchpoints
 from trailmark.plans.refresh import AttributionStore
@@ -163,7 +163,8 @@ def streamed_store(t: Star) -> AttributionStore:
 def rs2_stateful(t: Star) -> DataFrame:
     """Conversions in shuffled arrivals, put in order by state per user; a last row of a user of its own moves the watermark past all."""
     columns = ["user_id", "conversion_session_id", "converted_at", "conversion_revenue", "event_id"]
-    found = touchpoints.with_identity(conversions.device_conversions(t["custom_events"], CFG), t["users"]).select(*columns)
+    # Written once: the arrivals are read from it four times.
+    found = work_table(touchpoints.with_identity(conversions.device_conversions(t["custom_events"], CFG), t["users"]).select(*columns), "identified-conversions")
     path = work_path(t.spark, "arrivals")
     for i in range(3):
         found.filter(F.pmod(F.hash("event_id"), F.lit(3)) == i).repartition(FILES_PER_ARRIVAL).write.mode("append").parquet(path)

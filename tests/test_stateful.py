@@ -74,3 +74,54 @@ def test_late_rows_go_aside_and_state_falls(spark, run):
     assert 11 not in rows  # the watermark has not passed it
     state = [p["stateOperators"][0]["numRowsTotal"] for p in reports if p["stateOperators"]]
     assert state[-1] < max(state)
+
+
+def test_a_user_has_one_timer_and_few_messages():
+    """Three arrivals, then the watermark passes all and the time to remember them: every row in order, nothing kept."""
+    calls, timers, kept = [], [], {}
+
+    class State:
+        def __init__(self, name):
+            self.name = name
+
+        def __getattr__(self, call):
+            def done(*value):
+                calls.append((self.name, call))
+                if call == "exists":
+                    return self.name in kept
+                if call == "get":
+                    return kept.get(self.name) if self.name != "waiting" else iter(kept.get(self.name, []))
+                if call == "appendList":
+                    kept[self.name] = kept.get(self.name, []) + value[0]
+                elif call == "clear":
+                    kept.pop(self.name, None)
+                else:
+                    kept[self.name] = value[0]
+            return done
+
+    class Handle:
+        getListState = getValueState = lambda self, name, schema: State(name)
+
+        def registerTimer(self, at):
+            calls.append(("timer", "register"))
+            timers.append(at)
+
+        def deleteTimer(self, at):
+            calls.append(("timer", "delete"))
+            timers.remove(at)
+
+    class Now:
+        getCurrentWatermarkInMs = lambda self: 900 * stateful.DAY_MILLIS
+
+    user = stateful.InOrder("bigint", 400)
+    user.init(Handle())
+    for n in (2, 3, 1):
+        row = {"at": n * 1_000_000, "event_id": n, "conversion_session_id": "s", "revenue": "1"}
+        assert not list(user.handleInputRows(("a",), iter([row]), None))
+    out = []
+    while timers:
+        at = min(timers)
+        out += list(user.handleExpiredTimer(("a",), Now(), None))
+        timers.remove(at)
+    assert [(r["conversion_index"], r["event_id"]) for r in out] == [(1, 1), (2, 2), (3, 3)]
+    assert not kept and len(calls) <= 16
